@@ -1,15 +1,18 @@
 """The corpus queries by name."""
 
-from . import exact_dedup
+from . import chat, exact_dedup, licenses
 
 
 def queries():
     return {
         "op4_exact_dedup": exact_dedup.op4_exact_dedup,
+        "op5_chat_format": chat.op5_chat_format,
+        "op8_license_scan": licenses.op8_license_scan,
     }
 
 
 def oracle_sql():
     return {
         "op4_exact_dedup": exact_dedup.ORACLE,
+        "op5_chat_format": chat.ORACLE,
     }
