@@ -1,6 +1,6 @@
 """The corpus queries by name."""
 
-from . import chat, exact_dedup, licenses
+from . import chat, exact_dedup, licenses, simhash
 
 
 def queries():
@@ -8,6 +8,7 @@ def queries():
         "op4_exact_dedup": exact_dedup.op4_exact_dedup,
         "op5_chat_format": chat.op5_chat_format,
         "op8_license_scan": licenses.op8_license_scan,
+        "op10_simhash": simhash.op10_simhash,
     }
 
 
