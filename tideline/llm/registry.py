@@ -1,13 +1,15 @@
 """The corpus queries by name."""
 
-from . import chat, exact_dedup, licenses, simhash
+from . import chat, exact_dedup, licenses, simhash, suffix_dedup, window_dedup
 
 
 def queries():
     return {
         "op4_exact_dedup": exact_dedup.op4_exact_dedup,
         "op5_chat_format": chat.op5_chat_format,
+        "op7_suffix_dedup": suffix_dedup.op7_suffix_dedup,
         "op8_license_scan": licenses.op8_license_scan,
+        "op9_window_dedup": window_dedup.op9_window_dedup,
         "op10_simhash": simhash.op10_simhash,
     }
 
@@ -16,4 +18,5 @@ def oracle_sql():
     return {
         "op4_exact_dedup": exact_dedup.ORACLE,
         "op5_chat_format": chat.ORACLE,
+        "op9_window_dedup": window_dedup.ORACLE,
     }
