@@ -1,10 +1,11 @@
 """The corpus queries by name."""
 
-from . import chat, exact_dedup, licenses, order_minhash, simhash, suffix_dedup, window_dedup
+from . import chat, exact_dedup, licenses, order_minhash, quality, simhash, suffix_dedup, window_dedup
 
 
 def queries():
     return {
+        "op1_quality": quality.op1_quality,
         "op3_order_minhash": order_minhash.op3_order_minhash,
         "op4_exact_dedup": exact_dedup.op4_exact_dedup,
         "op5_chat_format": chat.op5_chat_format,
