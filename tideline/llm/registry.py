@@ -1,14 +1,16 @@
 """The corpus queries by name."""
 
-from . import chat, exact_dedup, licenses, order_minhash, quality, simhash, suffix_dedup, window_dedup
+from . import chat, exact_dedup, licenses, order_minhash, packing, pieces, quality, simhash, suffix_dedup, window_dedup
 
 
 def queries():
     return {
         "op1_quality": quality.op1_quality,
+        "op2_sentencepiece": pieces.op2_sentencepiece,
         "op3_order_minhash": order_minhash.op3_order_minhash,
         "op4_exact_dedup": exact_dedup.op4_exact_dedup,
         "op5_chat_format": chat.op5_chat_format,
+        "op6_packing": packing.op6_packing,
         "op7_suffix_dedup": suffix_dedup.op7_suffix_dedup,
         "op8_license_scan": licenses.op8_license_scan,
         "op9_window_dedup": window_dedup.op9_window_dedup,

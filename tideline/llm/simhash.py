@@ -188,7 +188,7 @@ def near_components(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
     return prints.join(of_code, "code").select("doc_id", "key", "code", "component_id")
 
 
-def keep_smallest(docs: DataFrame, shingle: int, distance: int = DISTANCE) -> DataFrame:
+def keep_smallest(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """One document of each component: the one with the smallest doc_id (of rows with that id, one)."""
     found = near_components(docs, shingle, distance)
     keep = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component_id").agg(F.min("key").alias("key"))
