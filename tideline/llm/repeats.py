@@ -146,7 +146,7 @@ def repeated_windows(docs: DataFrame, w: Windows, keep_first: bool) -> DataFrame
     texts = docs.select(*row_id(), body().alias("text"))
     place = "doc_id long, key int, lo long"
     cores = texts.select("text").mapInArrow(_block_rows(w, True), "core long").groupBy("core").agg(F.count(F.lit(1)).alias("c"))
-    cores = cores.filter("c > 1").select("core")
+    cores = cut(cores.filter("c > 1").select("core"))  # read anew, so that a hot core's side of the join can be split
     blocks = texts.mapInArrow(_block_rows(w, False), f"core long, hull long, {place}, n int")
     blocks = cut(blocks.join(cores.hint("merge"), "core", "left_semi"))
     hulls = blocks.groupBy("core", "hull").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("doc_id", "key", "lo", "n")).alias("rep"))
