@@ -69,17 +69,18 @@ def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-COLUMNS = "doc_id long, key int, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+COLUMNS = "doc_id long, key int, n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
 _NAMES = [c.split()[0] for c in COLUMNS.split(", ")]
-_TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+_TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.float64(), pa.float64()]
+_HEX = ("edited_sha256", "fingerprint", "edited_fingerprint")
 
 
 def _pair(doc_id, key, text: str, sign: np.ndarray, following: str, next_sign: np.ndarray) -> tuple:
     half = len(text) // 2
     edited = text[: len(text) - half] + following[:half]
     edited_sign = signature(_codes(edited))
-    sha = hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest()
-    return doc_id, key, len(text), sha, sign.tobytes().hex(), edited_sign.tobytes().hex(), likeness(sign, edited_sign), likeness(sign, next_sign)
+    sha = hashlib.sha256(edited.encode("utf-8", "surrogatepass")).digest()
+    return doc_id, key, len(text), sha, sign.tobytes(), edited_sign.tobytes(), likeness(sign, edited_sign), likeness(sign, next_sign)
 
 
 def _batch(rows: list[tuple], edges: list[int]) -> pa.RecordBatch:
@@ -101,7 +102,7 @@ def _along(batches):
             held = (doc_id, key, text, sign)
         yield _batch(rows, edges)
     if held is not None:
-        yield _batch([(held[0], held[1], len(held[2]), None, held[3].tobytes().hex(), None, None, None)], [first + 2])
+        yield _batch([(held[0], held[1], len(held[2]), None, held[3].tobytes(), None, None, None)], [first + 2])
 
 
 def _ends(batches):
@@ -130,7 +131,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     theirs = theirs.select("pair", F.col("text").alias("following")).dropDuplicates(["pair"])
     rest = mine.join(theirs, "pair").select("doc_id", "key", "text", "following").mapInArrow(_ends, COLUMNS)
     out = done.filter("edge < 2").drop("edge").unionByName(rest)
-    return out.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))
+    shown = {c: F.lower(F.hex(c)) for c in _HEX}  # bytes until here: what is written between the passes stays small
+    return out.withColumns(shown | {"doc_id": F.nullif("doc_id", F.lit(NO_ID))})
 
 
 def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
