@@ -30,7 +30,7 @@ def digest(text: str = "text") -> Column:
 def open_index(spark: SparkSession, table: str, buckets: int | None = None) -> DataFrame:
     """The index table, made empty if it isn't there."""
     if not spark.catalog.tableExists(table):
-        empty = spark.createDataFrame([], "text_sha256 string, keep_id long")
+        empty = spark.range(0).select(F.col("id").cast("string").alias("text_sha256"), F.col("id").alias("keep_id"))
         empty.write.bucketBy(buckets or partitions(spark), "text_sha256").sortBy("text_sha256").format("parquet").saveAsTable(table)
     return spark.table(table)
 
