@@ -70,7 +70,8 @@ add("f07_training_rows", "origin:i target:i change:f weight:f calibrates", lambd
     _WITH_TRAIN + """, rw AS (SELECT *, actual - last AS change FROM ft WHERE actual - last IS NOT NULL), hv AS (SELECT horizon, CASE WHEN var_pop(change) > 0 THEN 1 / var_pop(change) ELSE 1 END AS wt, count(*) AS n FROM rw GROUP BY 1)
     SELECT origin, target, change, wt / (SELECT sum(wt * n) / sum(n) FROM hv) AS weight, origin + 96 > 1200 - 6 * 48 AS calibrates FROM rw JOIN hv USING (horizon))""")
 add("f12_conformal", "lead_band:i widening:f n:i", lambda w: fc.conformal(fc.common(_predictions(w)).select("horizon", F.col("actual").alias("y"), F.col("model_p10").alias("lo"), F.col("model_p90").alias("hi"))),
-    _WITH + "(SELECT lead_band, quantile_cont(score, least(1.0, ceil((n + 1) * 0.8) / n)) AS widening, n FROM (SELECT * , count(*) OVER (PARTITION BY lead_band) AS n FROM (SELECT (horizon - 1) // 12 AS lead_band, greatest(model_p10 - actual, actual - model_p90) AS score FROM cm)) GROUP BY lead_band, n))")
+    _WITH + """(SELECT lead_band, n, l[CAST(floor(p) AS INT) + 1] + (l[CAST(least(floor(p) + 1, n - 1) AS INT) + 1] - l[CAST(floor(p) AS INT) + 1]) * (p - floor(p)) AS widening FROM (
+      SELECT lead_band, n, l, least(1.0, ceil((n + 1) * 0.8) / n) * (n - 1) AS p FROM (SELECT lead_band, count(*) AS n, list_sort(list(score)) AS l FROM (SELECT (horizon - 1) // 12 AS lead_band, greatest(model_p10 - actual, actual - model_p90) AS score FROM cm) GROUP BY 1))))""")
 _entries_model = {"f14_next_forecast": ("origin:i horizon:i model:f model_p10:f model_p90:f", partial(fc.next_forecast, s=SMALL)), "f16_backtest": ("issue target_ts horizon:i actual:f model:f model_p10:f model_p90:f fold:i", lambda w: fc.backtest(w, SMALL, 4, 2))}
 for _name, (_spec, _plan) in _entries_model.items():
     add(_name, _spec, _plan, None)
@@ -89,3 +90,66 @@ add("st3_newey_west", "n:i mean:f variance:f", lambda w: stats.newey_west(stats.
 add("st4_diebold_mariano", "n:i mean_difference:f statistic:f p_value:f", lambda w: stats.diebold_mariano(stats.daily_pairs(w.raw).select("i", F.col("rule").alias("a"), F.col("base").alias("b"))),
     f"""(WITH {_NW}, q AS (SELECT n, mean AS mean_difference, mean / sqrt(variance / n) AS statistic FROM nw), e AS (SELECT *, abs(statistic) / sqrt(2.0) AS x, 1 / (1 + 0.3275911 * abs(statistic) / sqrt(2.0)) AS t FROM q)
     SELECT n, mean_difference, statistic, ((((1.061405429 * t - 1.453152027) * t + 1.421413741) * t - 0.284496736) * t + 0.254829592) * t * exp(-x * x) AS p_value FROM e)""")
+
+
+# ---- tables over the forecasts and strategies ----
+
+
+def _forecast_headline(w):
+    """MAE reduction against the best naive method, and the band with the lowest and highest coverage."""
+    p = _predictions(w)
+    m = fc.by_method(p).filter("band = '24-48 h'")
+    model, naive = F.max(F.when(F.col("method") == "model", F.col("mae"))), F.min(F.when(F.col("method").startswith("naive") | (F.col("method") == "persistence"), F.col("mae")))
+    cover = fc.interval_coverage(p).agg(F.min("coverage_pct").alias("least_coverage"), F.max("coverage_pct").alias("most_coverage"))
+    return m.agg((F.lit(100.0) * (1 - model / naive)).alias("mae_reduction_pct")).crossJoin(F.broadcast(cover))
+
+
+add("q17_forecast_headline", "mae_reduction_pct:f least_coverage:f most_coverage:f", _forecast_headline,
+    _WITH + f"""(WITH mm AS (SELECT {_MAE} FROM cm WHERE horizon > 48), cv AS (SELECT band, {_COVER} FROM cm JOIN {_bands(fc.BANDS)} ON horizon BETWEEN lo AND hi GROUP BY 1)
+    SELECT 100.0 * (1 - mae_model / least(mae_persistence, mae_naive_yesterday, mae_naive_last_week)) AS mae_reduction_pct, (SELECT min(coverage_pct) FROM cv) AS least_coverage, (SELECT max(coverage_pct) FROM cv) AS most_coverage FROM mm))""")
+
+_RULES = ("fixed_0000", "any_start", "profile_guided", "forecast_guided", "oracle")
+_BASES = ("fixed_0900", "fixed_1700")
+
+
+def _interval_table(w):
+    """A bootstrap interval for every rule against two fixed starts."""
+    days = stats.numbered(w.complete_days, "day").persist()
+    out = []
+    for rule in _RULES:
+        for base in _BASES:
+            row = stats.saving_interval(days.select("i", F.col(rule).cast("double").alias("rule"), F.col(base).cast("double").alias("base")), 3, 100)
+            out.append(row.withColumns({"strategy": F.lit(rule), "against": F.lit(base)}))
+    return readers_merge(out)
+
+
+def readers_merge(parts):
+    from ..sources.readers import merge_all
+
+    return merge_all(parts)
+
+
+_ONE = """SELECT '{r}' AS strategy, '{b}' AS against, (SELECT 100.0 * (1 - avg({r}) / avg({b})) FROM fdn) AS estimate, quantile_cont(v, 0.025) AS lower, quantile_cont(v, 0.975) AS upper, (SELECT count(*) FROM fdn) AS days
+  FROM (SELECT x.r, 100.0 * (1 - sum(d.{r}) / sum(d.{b})) AS v FROM bl x JOIN fdn d ON d.i >= x.s AND d.i < x.s + x.z GROUP BY 1)"""
+add("q18_interval_table", "strategy against estimate:f lower:f upper:f days:i", _interval_table,
+    """(WITH fdn AS (SELECT *, row_number() OVER (ORDER BY day) - 1 AS i FROM full_days), nn AS (SELECT count(*) AS n FROM fdn),
+    bl AS (SELECT r, b, CAST('0x' || substr(md5('blocks-' || r || '-' || b), 1, 15) AS BIGINT) % (n - 2) AS s, least(3, n - b * 3) AS z FROM nn, range(100) x(r), range(1000) y(b) WHERE b * 3 < n) """ + " UNION ALL ".join(_ONE.format(r=r, b=b) for r in _RULES for b in _BASES) + ")")
+
+
+def _dm_table(w):
+    """Diebold-Mariano tests of the model against each naive method on issue-wise MAE, in two bands."""
+    p = fc.common(_predictions(w)).persist()
+    out = []
+    for band, lo, hi in fc.BANDS[:2]:
+        daily = stats.numbered(p.filter(F.col("horizon").between(lo, hi)).groupBy("issue").agg(*fc._maes()), "issue")
+        for other in ("persistence", "naive_yesterday", "naive_last_week"):
+            row = stats.diebold_mariano(daily.select("i", F.col("mae_model").alias("a"), F.col(f"mae_{other}").alias("b")), 3)
+            out.append(row.withColumns({"band": F.lit(band), "compared_with": F.lit(other)}))
+    return readers_merge(out)
+
+
+_DM = """SELECT '{band}' AS band, '{m}' AS compared_with, n, mean AS mean_difference, mean / sqrt(variance / n) AS statistic FROM (SELECT (SELECT count(*) FROM d{k}) AS n, (SELECT avg(mae_model - mae_{m}) FROM d{k}) AS mean,
+  (SELECT sum(CASE g WHEN 0 THEN 1.0 ELSE 2 * (1 - g / 4.0) END * (a.mae_model - a.mae_{m} - c.m) * (b.mae_model - b.mae_{m} - c.m)) / (SELECT count(*) FROM d{k}) FROM range(4) t(g), d{k} a, d{k} b, (SELECT avg(mae_model - mae_{m}) AS m FROM d{k}) c WHERE b.i = a.i + g) AS variance)"""
+add("q19_dm_table", "band compared_with n:i mean_difference:f statistic:f", _dm_table,
+    _WITH + "(WITH " + ", ".join(f"d{k} AS (SELECT *, row_number() OVER (ORDER BY issue) - 1 AS i FROM (SELECT issue, {_MAE} FROM cm WHERE horizon BETWEEN {lo} AND {hi} GROUP BY 1))" for k, (_, lo, hi) in enumerate(fc.BANDS[:2]))
+    + " " + " UNION ALL ".join(_DM.format(band=b, m=m, k=k) for k, (b, _, _) in enumerate(fc.BANDS[:2]) for m in ("persistence", "naive_yesterday", "naive_last_week")) + "))")
