@@ -72,19 +72,19 @@ def exact_dedup(docs: DataFrame, table: str) -> DataFrame:
 def keep_first(docs: DataFrame, table: str) -> DataFrame:
     """The documents that stay, with their own columns."""
     verdict = cut(exact_dedup(docs, table))
-    kept = verdict.filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_digest"))
-    rows = docs.withColumn("_digest", digest())
-    again = verdict.filter("copy > 1").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_digest")).distinct()
+    kept = verdict.filter("kept").select(F.col("doc_id").alias("__tl_id"), F.col("text_sha256").alias("__tl_digest"))
+    rows = docs.withColumn("__tl_digest", digest())
+    again = verdict.filter("copy > 1").select(F.col("doc_id").alias("__tl_id"), F.col("text_sha256").alias("__tl_digest")).distinct()
 
     def match(right):
-        return (rows["_digest"] == right["_digest"]) & rows["doc_id"].cast("long").eqNullSafe(right["_id"])
+        return (rows["__tl_digest"] == right["__tl_digest"]) & rows["doc_id"].cast("long").eqNullSafe(right["__tl_id"])
 
     if again.isEmpty():
-        return rows.join(kept, match(kept), "left_semi").drop("_digest")
-    once = rows.join(again, match(again), "left_semi").dropDuplicates(["doc_id", "_digest"])
+        return rows.join(kept, match(kept), "left_semi").drop("__tl_digest")
+    once = rows.join(again, match(again), "left_semi").dropDuplicates(["doc_id", "__tl_digest"])
     rest = rows.join(again, match(again), "left_anti")
     rows = rest.unionByName(once)
-    return rows.join(kept, match(kept), "left_semi").drop("_digest")
+    return rows.join(kept, match(kept), "left_semi").drop("__tl_digest")
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

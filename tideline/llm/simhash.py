@@ -192,10 +192,10 @@ def keep_smallest(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTA
     """One document of each component: the one with the smallest doc_id (of rows with that id, one)."""
     found = near_components(docs, shingle, distance)
     keep = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component_id").agg(F.min("key").alias("key"))
-    keep = keep.select(F.col("component_id").alias("_id"), F.col("key").alias("_key"))
-    rows = docs.withColumn("_row", row_key())
-    kept = rows.join(keep, rows["doc_id"].cast("long").eqNullSafe(keep["_id"]) & (rows["_row"] == keep["_key"]), "left_semi")
-    return kept.drop("_row")
+    keep = keep.select(F.col("component_id").alias("__tl_id"), F.col("key").alias("__tl_key"))
+    rows = docs.withColumn("__tl_row", row_key())
+    kept = rows.join(keep, rows["doc_id"].cast("long").eqNullSafe(keep["__tl_id"]) & (rows["__tl_row"] == keep["__tl_key"]), "left_semi")
+    return kept.drop("__tl_row")
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

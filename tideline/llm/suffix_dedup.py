@@ -56,9 +56,9 @@ def digests(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 
 def without_repeats(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """The documents with repeated passages cut out of text (code points cut in half go too) and n_chars counted anew."""
-    changed = repeated_bytes(docs, threshold).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), F.col("kept_text").alias("_kept"))
-    rows = docs.withColumns(dict(zip(("_id", "_key"), row_id()))).join(changed, ["_id", "_key"], "left")
-    text = F.coalesce("_kept", "text")
+    changed = repeated_bytes(docs, threshold).select(F.col("doc_id").alias("__tl_id"), F.col("key").alias("__tl_key"), F.col("kept_text").alias("__tl_kept"))
+    rows = docs.withColumns(dict(zip(("__tl_id", "__tl_key"), row_id()))).join(changed, ["__tl_id", "__tl_key"], "left")
+    text = F.coalesce("__tl_kept", "text")
     return rows.select(*(c for c in docs.columns if c not in ("text", "n_chars")), text.alias("text"), F.length(text).cast("long").alias("n_chars")).select(docs.columns)
 
 
