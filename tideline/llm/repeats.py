@@ -7,7 +7,8 @@ that offset, form a block. All windows of a block share its core (length - width
 
 - a window can only repeat where its block's core repeats: blocks with an unrepeated core leave after the first pass;
 - where all blocks of one core have one hull, every window of them repeats, window by window: they are settled;
-- of the other cores, one representative per distinct hull goes on, and its single windows are compared.
+- of the other cores, one representative per distinct hull goes on: its windows pass through the levels, if there are any (a
+  window stays while its parts of that shorter length all repeat), and those left are compared one by one.
 
 Groups are counted with partial aggregates and joined, so a core that a third of the corpus shares is never gathered.
 Rows are identified by doc_id and a hash of their text; rows alike in both share one verdict.
@@ -109,31 +110,73 @@ def _block_rows(w: Windows, only_core: bool):
     return run
 
 
-def _window_rows(w: Windows):
-    """Texts with their blocks -> a row per window: hash, place, and 1 or 2 for windows known once or more often."""
+def _expanded(batch, i: int, j: int):
+    """(row, start, many) of each single window in the spans of rows i to j."""
+    spans = batch.column("spans")
+    ends = spans.offsets.to_numpy()
+    los, counts, many = (spans.values.field(k).to_numpy(zero_copy_only=False)[ends[i] : ends[j]].astype(np.int64) for k in ("lo", "n", "many"))
+    row = np.repeat(np.repeat(np.arange(i, j), np.diff(ends[i : j + 1])), counts)
+    step = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    return row, np.repeat(los, counts) + step, np.repeat(many, counts)
+
+
+def _parts(w: Windows, length: int) -> list[int]:
+    """Where in a window its parts of a shorter length begin, so that they cover it."""
+    return sorted({*range(0, w.length - length + 1, length), w.length - length})
+
+
+def _window_rows(w: Windows, length: int):
+    """Texts with their spans -> a row per distinct part of their windows: hash, place, and 2 if it is known to repeat, else 1."""
 
     def run(batches):
         for batch in batches:
             raw, offsets = text_buffers(batch.column("text"))
-            spans = batch.column("spans")
-            los, counts, many = (spans.values.field(k).to_numpy(zero_copy_only=False) for k in ("lo", "n", "many"))
-            ends = spans.offsets.to_numpy()
             doc, key = batch.column("doc_id"), batch.column("key")
             for i, j in blocks_of(offsets, SLICE):
                 codes, first = w.units(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                if len(codes) < w.length:
+                row, lo, many = _expanded(batch, i, j)
+                if not len(row):
                     continue
-                prefix = prefixes(codes)
-                take = slice(ends[i], ends[j])
-                n = counts[take].astype(np.int64)
-                row = np.repeat(np.repeat(np.arange(i, j), np.diff(ends[i : j + 1])), n)
-                step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                lo = np.repeat(los[take].astype(np.int64), n) + step
-                start = lo + first[row - i]
-                h = spans_hash(prefix, start, start + w.length)
-                at = pa.array(row)
-                weight = np.repeat(many[take], n)
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), doc.take(at), key.take(at), pa.array(lo), pa.array(weight.astype(np.int32))], names=["h", "doc_id", "key", "lo", "many"])
+                steps = _parts(w, length)
+                at = np.concatenate([lo + first[row - i] + k for k in steps])
+                many = np.tile(many, len(steps))
+                order = np.lexsort((-many, at))
+                at, many = at[order], many[order]
+                new = np.ones(len(at), bool)
+                new[1:] = at[1:] != at[:-1]
+                at, many = at[new], many[new]
+                h = spans_hash(prefixes(codes), at, at + length)
+                text = np.searchsorted(first, at, "right") - 1
+                where = pa.array(text + i)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), doc.take(where), key.take(where), pa.array(at - first[text]), pa.array(many.astype(np.int32))], names=["h", "doc_id", "key", "lo", "many"])
+
+    return run
+
+
+def _extend(w: Windows, length: int):
+    """Texts with spans and the starts of their repeated parts -> the same texts with the windows whose parts all repeat."""
+    reach = np.int64(1) << np.int64(40)
+
+    def run(batches):
+        for batch in batches:
+            n = batch.num_rows
+            row, lo, many = _expanded(batch, 0, n)
+            hits = batch.column("hits")
+            ends = hits.offsets.to_numpy()
+            known = np.repeat(np.arange(n), np.diff(ends)) * reach + hits.values.to_numpy(zero_copy_only=False)[ends[0] : ends[-1]]
+            keep = np.ones(len(row), bool)
+            for k in _parts(w, length):
+                keep &= np.isin(row * reach + lo + k, known)
+            row, lo, many = row[keep], lo[keep], many[keep]
+            order = np.lexsort((lo, row))
+            row, lo, many = row[order], lo[order], many[order]
+            new = np.ones(len(row), bool)
+            new[1:] = (row[1:] != row[:-1]) | (lo[1:] != lo[:-1] + 1) | (many[1:] != many[:-1])
+            begin = np.flatnonzero(new)
+            size = np.diff(np.append(begin, len(row)))
+            cells = pa.StructArray.from_arrays([pa.array(lo[begin]), pa.array(size.astype(np.int32)), pa.array(many[begin].astype(np.int32))], names=["lo", "n", "many"])
+            edges = np.searchsorted(row[begin], np.arange(n + 1)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "key", "text")), pa.ListArray.from_arrays(pa.array(edges), cells)], names=["doc_id", "key", "text", "spans"])
 
     return run
 
@@ -160,11 +203,19 @@ def repeated_windows(docs: DataFrame, w: Windows, keep_first: bool) -> DataFrame
         settled = settled.filter(~((F.col("doc_id") == F.col("rep.doc_id")) & (F.col("lo") == F.col("rep.lo"))))
     settled = settled.select(columns)
     # the others window by window
-    reps = hulls.join(mixed, "core", "left_semi").select("rep.*", (F.when(F.col("c") > 1, 2).otherwise(1)).alias("many"))
+    reps = hulls.join(mixed, "core", "left_semi").select("rep.*", (F.when(F.col("c") > 1, 2).otherwise(1)).cast("int").alias("many"))
     of_text = reps.groupBy("doc_id", "key").agg(F.collect_list(F.struct("lo", "n", "many")).alias("spans"))
     # rows alike share a verdict, so one of them is enough here
     once = texts.join(of_text, ["doc_id", "key"]).select("doc_id", "key", "text", "spans").dropDuplicates(["doc_id", "key"])
-    singles = cut(once.mapInArrow(_window_rows(w), f"h long, {place}, many int"))
+    hashed = f"h long, {place}, many int"
+    for length in w.levels:
+        once = cut(once)
+        parts = cut(once.mapInArrow(_window_rows(w, length), hashed))
+        again = cut(parts.groupBy("h").agg(F.sum("many").alias("c")).filter("c > 1").select("h"))
+        hits = parts.join(again, "h", "left_semi").groupBy("doc_id", "key").agg(F.collect_list("lo").alias("hits"))
+        once = once.join(hits, ["doc_id", "key"]).select("doc_id", "key", "text", "spans", "hits")
+        once = once.mapInArrow(_extend(w, length), "doc_id long, key int, text string, spans array<struct<lo: long, n: int, many: int>>")
+    singles = cut(once.mapInArrow(_window_rows(w, w.length), hashed))
     if keep_first:
         found = singles.groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("doc_id", "lo")).alias("rep")).filter("c > 1")
         found = singles.join(found, "h").filter(~((F.col("doc_id") == F.col("rep.doc_id")) & (F.col("lo") == F.col("rep.lo"))))
