@@ -250,3 +250,19 @@ def test_csv_export_counts(spark, tmp_path):
     manifest = sinks.export_star(spark, {"t": (spark.range(5), ["id"]), "u": (spark.range(2), ["id"])}, str(tmp_path / "star"))
     assert {tuple(r) for r in manifest.collect()} == {("t", 5), ("u", 2)}
     assert spark.read.option("header", True).csv(str(tmp_path / "star/t")).count() == 5
+
+
+def test_plan_has_a_limit_for_each_dataset(spark):
+    rows = [("national", ts("2026-01-01T00:00"), ts("2026-02-10T00:00")), ("regional", ts("2026-01-01T00:00"), ts("2026-01-20T00:00"))]
+    df = spark.createDataFrame(rows, "dataset string, start_ts timestamp_ntz, end_ts timestamp_ntz")
+    out = intervals.plan(df, [], "dataset", {"national": 30, "regional": 13})
+    assert {r.dataset: r["count"] for r in out.groupBy("dataset").count().collect()} == {"national": 2, "regional": 2}
+    with pytest.raises(ValueError):
+        intervals.plan(df, [], "dataset", {"national": 30})
+
+
+def test_snapshots_are_stamped_only_near_the_clock(spark):
+    rows = spark.createDataFrame([(1,)], "forecast int")
+    clock = F.lit("2026-01-01 10:10:00").cast("timestamp_ntz")
+    assert readers.issued_now(rows, "2026-01-01 10:00:00", clock).count() == 1
+    assert readers.issued_now(rows, "2026-01-01 09:00:00", clock).count() == 0

@@ -55,3 +55,15 @@ def chunks(df: DataFrame, keys: Sequence[str], max_days: int) -> DataFrame:
     steps = F.sequence("a", F.col("b") - F.expr("INTERVAL 1 MICROSECOND"), F.expr(f"INTERVAL {max_days} DAYS"))
     out = pieces.select(*keys, "b", F.explode(steps).alias("start_ts"))
     return out.select(*keys, "start_ts", F.least(F.col("start_ts") + F.expr(f"INTERVAL {max_days} DAYS"), "b").alias("end_ts"))
+
+
+def plan(df: DataFrame, keys: Sequence[str], dataset: str, limits: dict[str, int]) -> DataFrame:
+    """Intervals of several datasets cut by each dataset's own limit of days; a dataset without a limit is an error."""
+    unknown = df.select(dataset).distinct().filter(~F.col(dataset).isin(*limits)).limit(1).collect()
+    if unknown:
+        raise ValueError(f"no limit for {unknown[0][0]}")
+    parts = [chunks(df.filter(F.col(dataset) == name), list(dict.fromkeys([dataset, *keys])), days) for name, days in limits.items()]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out

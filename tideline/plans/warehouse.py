@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -68,8 +69,20 @@ def one(df: DataFrame) -> DataFrame:
 
 
 class Warehouse:
+    """Models that several reports read (spine, facts, job windows, country years) are kept once computed; see release()."""
+
     def __init__(self, raw: Bound, params: Params = Params()):
         self.raw, self.p = raw, params
+        self._kept: list[DataFrame] = []
+
+    def _keep(self, df: DataFrame) -> DataFrame:
+        """Spills to executors' disks, and is computed again where an executor is lost."""
+        self._kept.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+        return self._kept[-1]
+
+    def release(self) -> None:
+        while self._kept:
+            self._kept.pop().unpersist()
 
     # ---- spine and intermediates ----
 
@@ -81,12 +94,13 @@ class Warehouse:
         forecast, bad_forecast = ops.in_range("forecast", p.low, p.high)
         actual, bad_actual = ops.in_range("actual", p.low, p.high)
         local = rows.withColumn("local_ts", fn.to_local("ts"))
-        return local.select(
+        out = local.select(
             "ts", (F.col("ts") + F.expr("INTERVAL 30 MINUTES")).alias("end_ts"), "local_ts", F.to_date("local_ts").alias("local_date"),
             fn.date_key("local_ts").alias("date_key"), fn.slot("local_ts").alias("time_key"), forecast.alias("forecast"), actual.alias("actual"), "band",
             (~F.col("seen")).alias("is_missing"), bad_forecast.alias("is_forecast_implausible"), bad_actual.alias("is_actual_implausible"),
             (F.col("actual").isNull() | bad_actual).alias("is_actual_missing"),
         )
+        return self._keep(out)
 
     @cached_property
     def mix_wide(self) -> DataFrame:
@@ -107,7 +121,8 @@ class Warehouse:
         rows = ops.indexed(self.half_hours.select("ts", "local_ts", "local_date", "date_key", "time_key", "forecast", "actual"), [], "ts")
         means = {"job_actual": F.avg("actual"), "n_actual": F.count("actual"), "job_forecast": F.avg("forecast"), "n_forecast": F.count("forecast"), "n": F.count(F.lit(1))}
         out = ops.rolling(rows, [], "idx", 0, k - 1, means)
-        return out.filter((F.col("n") == k) & (F.col("n_actual") == k) & (F.col("n_forecast") == k)).select("ts", "local_ts", F.col("local_date").alias("day"), "date_key", "time_key", "job_actual", "job_forecast")
+        whole = out.filter((F.col("n") == k) & (F.col("n_actual") == k) & (F.col("n_forecast") == k))
+        return self._keep(whole.select("ts", "local_ts", F.col("local_date").alias("day"), "date_key", "time_key", "job_actual", "job_forecast"))
 
     @cached_property
     def country_year(self) -> DataFrame:
@@ -118,7 +133,7 @@ class Warehouse:
         wide = rows.groupBy("area", "year").agg(*cells).filter("generation is not null")
         named = wide.join(F.broadcast(self.raw.countries.select("area", "country")), "area").drop("area")
         zeros = {f"{s.lower()}_share": F.coalesce(f"{s.lower()}_share", F.lit(0.0)) for s in SOURCES}
-        return named.withColumns(zeros).withColumns({"fossil_share": F.col("gas_share") + F.col("coal_share"), "clean_share": F.col("nuclear_share") + F.col("solar_share") + F.col("wind_share")})
+        return self._keep(named.withColumns(zeros).withColumns({"fossil_share": F.col("gas_share") + F.col("coal_share"), "clean_share": F.col("nuclear_share") + F.col("solar_share") + F.col("wind_share")}))
 
     # ---- dimensions ----
 
@@ -159,7 +174,7 @@ class Warehouse:
     @cached_property
     def national(self) -> DataFrame:
         rows = self.half_hours.join(self.mix_wide.withColumn("_mix", F.lit(True)), "ts", "left")
-        return rows.withColumns({"error": F.col("forecast") - F.col("actual"), "is_mix_missing": F.col("_mix").isNull()}).drop("_mix")
+        return self._keep(rows.withColumns({"error": F.col("forecast") - F.col("actual"), "is_mix_missing": F.col("_mix").isNull()}).drop("_mix"))
 
     @cached_property
     def mix(self) -> DataFrame:
