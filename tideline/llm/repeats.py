@@ -217,10 +217,10 @@ def repeated_windows(docs: DataFrame, w: Windows, keep_first: bool) -> DataFrame
         once = once.mapInArrow(_extend(w, length), "doc_id long, key int, text string, spans array<struct<lo: long, n: int, many: int>>")
     singles = cut(once.mapInArrow(_window_rows(w, w.length), hashed))
     if keep_first:
-        found = singles.groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("doc_id", "lo")).alias("rep")).filter("c > 1")
+        found = cut(singles.groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("doc_id", "lo")).alias("rep")).filter("c > 1"))
         found = singles.join(found, "h").filter(~((F.col("doc_id") == F.col("rep.doc_id")) & (F.col("lo") == F.col("rep.lo"))))
     else:
-        found = singles.groupBy("h").agg(F.sum("many").alias("c")).filter("c > 1")
+        found = cut(singles.groupBy("h").agg(F.sum("many").alias("c")).filter("c > 1").select("h"))
         found = singles.join(found, "h", "left_semi")
     return settled.unionByName(found.select("doc_id", "key", "lo", F.lit(1).alias("n")))
 
