@@ -27,7 +27,7 @@ from .window_dedup import word_codes
 SAMPLE = 8000  # positives, and unlabelled texts, that the fit sees at most
 THRESHOLD = 0.7
 FOLDS, HELD_OUT = 4, 2
-STEPS, RATE, PENALTY = 600, 0.05, 1e-3
+STEPS, RATE, PENALTY, SHRINK = 600, 0.05, 1e-3, 3.0  # SHRINK: more penalty where there are few positives
 SOFTEN = 0.01  # added to each feature's deviation, so that rare characters weigh little
 
 # Classes of bytes: lower case, upper case, digit, space, line end, full stop, comma, ! and ?, |, other ASCII, beyond ASCII.
@@ -92,13 +92,19 @@ def fold() -> Column:
 
 
 def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
-    """The share of positives among the unlabelled: the least ratio of upper tails, where at least a tenth of each is left."""
+    """The share of positives among the unlabelled: the least ratio of the two upper tails, each ratio plus two standard errors.
+
+    Above any score the unlabelled hold at least prior times what the positives hold. The error keeps the least of many
+    ratios from being a matter of chance where the tails are small.
+    """
     positive, unlabelled = np.sort(positive), np.sort(unlabelled)
+    n, m = len(positive), len(unlabelled)
     cuts = np.quantile(positive, np.linspace(0.0, 0.9, 181))
-    above_p = 1 - np.searchsorted(positive, cuts) / len(positive)
-    above_u = 1 - np.searchsorted(unlabelled, cuts) / len(unlabelled)
-    ratio = above_u / np.maximum(above_p, 1e-9)
-    return float(np.clip(ratio.min(), 0.05, 0.99))
+    above_p = np.maximum(1 - np.searchsorted(positive, cuts) / n, 1 / n)
+    above_u = np.maximum(1 - np.searchsorted(unlabelled, cuts) / m, 1 / m)
+    ratio = above_u / above_p
+    error = ratio * np.sqrt((1 - above_p) / (n * above_p) + (1 - above_u) / (m * above_u))
+    return float(np.clip((ratio + 2 * error).min(), 0.05, 0.99))
 
 
 def fit_risk(p: np.ndarray, u: np.ndarray, prior: float, steps: int = STEPS) -> np.ndarray:
@@ -117,7 +123,7 @@ def fit_risk(p: np.ndarray, u: np.ndarray, prior: float, steps: int = STEPS) ->
             grad = -prior * (p.T @ sigmoid(-gp)) / len(p) + slope
         else:  # the negative part fell below zero: step back on it alone
             grad = -slope
-        grad[:-1] += PENALTY * w[:-1]
+        grad[:-1] += (PENALTY + SHRINK / len(p)) * w[:-1]
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         w -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
     return w
