@@ -38,9 +38,6 @@ MODELS = {
     "m10_country_year": ("country year:i generation:f emissions:f intensity:f gas_share:f coal_share:f nuclear_share:f solar_share:f wind_share:f fossil_share:f clean_share:f", "country_year", "cy"),
     "m11_job_windows": ("ts local_ts day date_key:i time_key:i job_actual:f job_forecast:f", "job_windows", "jobs"),
     "m12_dim_date": ("date_key:i day year:i quarter:i month:i month_name year_month day_of_month:i weekday:i day_name is_weekend is_holiday holiday is_working_day season", "dim_date", "dd"),
-    "m13_dim_time": ("time_key:i label hour:i minute:i day_part is_evening_peak", "dim_time", "dt"),
-    "m14_dim_region": ("region_id:i region nation is_aggregate", "dim_region", "regions"),
-    "m15_dim_fuel": ("fuel label category is_fossil is_renewable is_low_carbon sort_order:i", "dim_fuel", "fuels"),
     "m16_dim_country": ("area country peer_group sort_order:i first_year:i latest_year:i", "dim_country", "dc"),
     "m17_national": ("ts date_key:i time_key:i forecast:i actual:i error:i band is_missing is_mix_missing gas_pct:f wind_pct:f fossil_pct:f low_carbon_pct:f", "national", "fn"),
     "m18_mix": ("ts fuel date_key:i time_key:i share:f", "mix", "fm"),
@@ -77,6 +74,16 @@ STAGING = {
 }
 for _name, (_spec, _attr, _cte) in STAGING.items():
     add(_name, _spec, lambda w, a=_attr: getattr(w.raw, a), _cte)
+
+
+def _used(dim: DataFrame, fact: DataFrame, key: str) -> DataFrame:
+    """A dimension with the number of the fact's rows that refer to each member."""
+    return dim.join(fact.groupBy(key).agg(F.count(F.lit(1)).alias("n")), key, "left").withColumn("n", F.coalesce("n", F.lit(0)))
+
+
+add("m13_dim_time", "time_key:i label hour:i minute:i day_part is_evening_peak n:i", lambda w: _used(w.dim_time, w.half_hours, "time_key"), "(SELECT dt.*, coalesce(n, 0) AS n FROM dt LEFT JOIN (SELECT time_key, count(*) AS n FROM hh GROUP BY 1) USING (time_key))")
+add("m14_dim_region", "region_id:i region nation is_aggregate n:i", lambda w: _used(w.dim_region, w.raw.regional, "region_id"), "(SELECT regions.*, coalesce(n, 0) AS n FROM regions LEFT JOIN (SELECT region_id, count(*) AS n FROM rawreg GROUP BY 1) USING (region_id))")
+add("m15_dim_fuel", "fuel label category is_fossil is_renewable is_low_carbon sort_order:i n:i", lambda w: _used(w.dim_fuel, w.raw.mix, "fuel"), "(SELECT fuels.*, coalesce(n, 0) AS n FROM fuels LEFT JOIN (SELECT fuel, count(*) AS n FROM rawmix GROUP BY 1) USING (fuel))")
 add("m05_staged_snapshots", "issued ts forecast:i lead_minutes:i", lambda w: w.staged_snapshots, "(SELECT *, date_diff('minute', issued, ts) AS lead_minutes FROM rawsnap)")
 add("m09_regional_half_hours", "ts local_ts region_id:i forecast:i band", lambda w: w.regional_half_hours, "freg")
 add("m24_report_window", "start_date end_date days:i", lambda w: Warehouse(w.raw, Params()).report_window, "(SELECT *, end_date - start_date + 1 AS days FROM autowin)")

@@ -38,7 +38,8 @@ add("src07_snapshot_json", "issued ts forecast:i", lambda w: readers.snapshot_ro
 add("src08_quarantine", "problem n:i", lambda w: readers.periods(_national_documents(w).withColumn("body", F.replace("body", F.lit('"index":"very low"'), F.lit('"index":"tiny"')))).select(F.explode("problems").alias("problem")).groupBy("problem").agg(F.count(F.lit(1)).alias("n")),
     "(SELECT 'bad_index' AS problem, count(*) AS n FROM nat WHERE band = 'very low' HAVING count(*) > 0)")
 add("src09_clip", "ts actual:i", lambda w: readers.clip(w.raw.national, "ts", "2024-03-20 00:00:00", "2024-03-22 00:00:00"), "nat WHERE ts >= TIMESTAMP '2024-03-20' AND ts < TIMESTAMP '2024-03-22'")
-add("src13_slots", "time_key:i", lambda w: w.raw.spark.range(48).select(F.col("id").alias("time_key")), "dt")
+add("src13_slots", "time_key:i n:i", lambda w: w.raw.spark.range(48).select(F.col("id").alias("time_key")).join(w.raw.national.groupBy(fn.slot("ts").alias("time_key")).agg(F.count(F.lit(1)).alias("n")), "time_key", "left"),
+    "(SELECT time_key, n FROM dt LEFT JOIN (SELECT hour(ts) * 2 + minute(ts) // 30 AS time_key, count(*) AS n FROM nat GROUP BY 1) USING (time_key))")
 add("src14_bounds", "region_id:i lo hi", lambda w: readers.bounds(w.raw.regional, "ts", ["region_id"]), "(SELECT region_id, min(ts) AS lo, max(ts) AS hi FROM rawreg GROUP BY 1)")
 add("src15_distinct_times", "ts", lambda w: readers.distinct_times(w.raw.mix, "ts"), "(SELECT DISTINCT ts FROM rawmix)")
 add("src16_before", "ts actual:i", lambda w: w.raw.national.filter(F.col("ts") < F.lit("2024-03-25").cast("timestamp_ntz")), "nat WHERE ts < TIMESTAMP '2024-03-25'")
