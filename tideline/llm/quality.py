@@ -8,10 +8,11 @@ two samples' mass above a threshold, over thresholds that leave enough of both.
 
 Features are taken from whole texts, in one pass over their bytes: shares of pairs of neighbouring character classes, and
 word statistics (length, repetition, variety). Labels are read from a bounded sample (SAMPLE positives and SAMPLE unlabelled
-texts, chosen by a hash of doc_id, so the same at every run); scoring is a pass without a shuffle.
+texts, chosen by a hash of doc_id, so the same at every run; one row of each doc_id); scoring is a pass without a shuffle.
 
 Defined results: null and empty texts have zero features and are scored like any other text; rows repeated are scored alike; a
-null doc_id is in no fold and has no label; an empty table gives an empty result; without any positive every score is 0.5.
+null doc_id is in no fold and has no label; an empty table gives an empty result; without any positive every score is
+0.5 and no document is rejected.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import blocks_of, body, read_documents, text_buffers
+from .common import blocks_of, body, read_documents, smallest_hashes, text_buffers
 from .window_dedup import word_codes
 
 SAMPLE = 8000  # positives, and unlabelled texts, that the fit sees at most
@@ -84,7 +85,7 @@ def _extract(batches):
     for batch in batches:
         rows = [f for _, _, f in _batches(batch)]
         flat = np.concatenate(rows) if rows else np.zeros((0, WIDTH), np.float32)
-        yield pa.RecordBatch.from_arrays([batch.column("positive"), pa.array(list(flat), pa.list_(pa.float32()))], names=["positive", "x"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("positive"), pa.array(list(flat), pa.list_(pa.float32()))], names=["doc_id", "positive", "x"])
 
 
 def fold() -> Column:
@@ -131,13 +132,14 @@ def fit_risk(p: np.ndarray, u: np.ndarray, prior: float, steps: int = STEPS) ->
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict | None:
     """The model, from labels outside the held-out fold and unlabelled texts outside it."""
-    known = labels.filter(F.coalesce(fold(), F.lit(0)) != HELD_OUT).filter("quality = 1").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    positives = known.orderBy(F.xxhash64("doc_id")).limit(sample).withColumn("positive", F.lit(True))
-    free = docs.filter(F.coalesce(fold(), F.lit(0)) != HELD_OUT).select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id is not null").distinct()
-    others = free.orderBy(F.xxhash64("doc_id", F.lit("unlabelled"))).limit(sample).withColumn("positive", F.lit(False))
+    known = labels.filter(F.coalesce(fold(), F.lit(0)) != HELD_OUT).filter("quality = 1").select(F.col("doc_id").cast("long").alias("doc_id"))
+    positives = smallest_hashes(known, sample).withColumn("positive", F.lit(True))
+    free = docs.filter(F.coalesce(fold(), F.lit(0)) != HELD_OUT).select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id is not null")
+    others = smallest_hashes(free, sample, "unlabelled").withColumn("positive", F.lit(False))
     chosen = positives.unionByName(others)  # at most 2 * sample ids, whatever the corpus
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), body().alias("text")).join(F.broadcast(chosen), "doc_id")
-    rows = texts.select("positive", "text").mapInArrow(_extract, "positive boolean, x array<float>").toArrow()
+    found = texts.select("doc_id", "positive", "text").mapInArrow(_extract, "doc_id long, positive boolean, x array<float>")
+    rows = found.groupBy("doc_id", "positive").agg(F.min("x").alias("x")).toArrow()  # one of the rows that repeat an id
     x = np.frombuffer(rows.column("x").combine_chunks().values.to_numpy(zero_copy_only=False), np.float32).reshape(-1, WIDTH) if len(rows) else np.zeros((0, WIDTH))
     sign = rows.column("positive").to_numpy().astype(bool)
     if not sign.any() or sign.all():
@@ -172,8 +174,10 @@ def score(docs: DataFrame, model: dict | None) -> DataFrame:
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the classifier keeps, with their own columns."""
+    """The documents that the classifier keeps, with their own columns; all of them where nothing could be learned."""
     model, columns = fit(docs, labels), docs.columns
+    if model is None:
+        return docs
 
     def keep(batches):
         for batch in batches:
