@@ -7,7 +7,8 @@ whose boundary it overlaps by that 1 bit (triangle bound). Inside a shard finger
 vantage point and compared exactly within the ring that the triangle bound leaves. A shard returns a spanning forest of
 its pairs, not the pairs; components of the forests are then joined up over all shards.
 
-The trees are built from a bounded sample (SAMPLE fingerprints); every fingerprint is indexed and every pair within the
+The trees are built from a bounded sample (SAMPLE fingerprints); a shard that they leave large divides itself by a tree over
+its own fingerprints, with the same bounds. Every fingerprint is indexed and every pair within the
 distance is found whatever the sample is.
 
 Defined results: a text without words (null, empty, white space) has fingerprint zero and links like any other; rows
@@ -25,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import body, cut, partitions, read_documents, row_key
+from .common import body, cut, partitions, read_documents, row_key, smallest_hashes
 from .components import connected_components
 
 SHINGLE = 3
@@ -155,10 +156,21 @@ def forest(codes: np.ndarray, distance: int, chunk: int = 256) -> tuple[np.ndarr
     return codes[linked], codes[top[linked]]
 
 
+def shard_forest(codes: np.ndarray, mask: np.uint64, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """forest() of a shard; one that the sample's tree left large is divided again by a tree of its own."""
+    codes = np.unique(codes)
+    if len(codes) <= 8 * SHARD_ROWS:
+        return forest(codes, distance)
+    depth = int(np.ceil(np.log2(len(codes) / SHARD_ROWS)))
+    tree = build_tree(codes[:: max(1, len(codes) // SAMPLE)], mask, depth)
+    links = [forest(codes[at], distance) for _, at in route(tree, codes, mask, distance // len(HALVES))]
+    return np.concatenate([a for a, _ in links]), np.concatenate([b for _, b in links])
+
+
 def _search(distance: int):
     def run(key, table):
         codes = np.frombuffer(b"".join(x.as_py() for x in table.column("codes")), np.uint64)
-        a, b = forest(codes, distance)
+        a, b = shard_forest(codes, HALVES[key[0].as_py() % 2], distance)
         return pa.table({"a": pa.array(a.view(np.int64)), "b": pa.array(b.view(np.int64))})
 
     return run
@@ -167,7 +179,7 @@ def _search(distance: int):
 def near_links(codes: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """Distinct (code) -> links (a, b) whose components are those of all pairs within `distance`."""
     n = codes.count()
-    sample = codes.orderBy(F.xxhash64("code")).limit(SAMPLE)  # bounded: the trees only divide the work
+    sample = smallest_hashes(codes.select("code"), SAMPLE)  # bounded: the trees only divide the work
     points = np.array([r[0] for r in sample.collect()], np.int64).view(np.uint64)
     depth = max(0, int(np.ceil(np.log2(max(1, n / SHARD_ROWS)))))
     trees = [build_tree(points, mask, depth) for mask in HALVES]
@@ -177,25 +189,34 @@ def near_links(codes: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
 
 def near_components(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """(doc_id, key, code, component_id) for every row of docs."""
+    """(doc_id, key, code, root, component_id) for every row of docs; root tells components apart, even where doc_ids repeat."""
     prints = cut(fingerprints(docs, shingle))
     nodes = cut(prints.groupBy("code").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n")))
     roots = connected_components(near_links(nodes.select("code"), distance))
     linked = nodes.join(roots, nodes["code"] == roots["node"], "left").select("code", "first_id", F.coalesce("root", "code").alias("root"))
     linked = cut(linked)
     least = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of_code = cut(linked.join(least, "root").select("code", "component_id"))
-    return prints.join(of_code, "code").select("doc_id", "key", "code", "component_id")
+    of_code = cut(linked.join(least, "root").select("code", "root", "component_id"))
+    return prints.join(of_code, "code").select("doc_id", "key", "code", "root", "component_id")
 
 
 def keep_smallest(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """One document of each component: the one with the smallest doc_id (of rows with that id, one)."""
     found = near_components(docs, shingle, distance)
-    keep = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component_id").agg(F.min("key").alias("key"))
-    keep = keep.select(F.col("component_id").alias("__tl_id"), F.col("key").alias("__tl_key"))
+    heads = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root", "component_id", "key").agg(F.count(F.lit(1)).alias("n"))
+    least = heads.groupBy("root", "component_id").agg(F.min(F.struct("key", "n")).alias("head"))
+    keep = cut(least.select(F.col("component_id").alias("__tl_id"), F.col("head.key").alias("__tl_key"), F.col("head.n").alias("__tl_n")))
     rows = docs.withColumn("__tl_row", row_key())
-    kept = rows.join(keep, rows["doc_id"].cast("long").eqNullSafe(keep["__tl_id"]) & (rows["__tl_row"] == keep["__tl_key"]), "left_semi")
-    return kept.drop("__tl_row")
+
+    def match(right):
+        return rows["doc_id"].cast("long").eqNullSafe(right["__tl_id"]) & (rows["__tl_row"] == right["__tl_key"])
+
+    again = keep.filter("__tl_n > 1")
+    if again.isEmpty():
+        return rows.join(keep, match(keep), "left_semi").drop("__tl_row")
+    single = keep.filter("__tl_n = 1")
+    once = rows.join(again, match(again), "left_semi").dropDuplicates(["doc_id", "__tl_row"])
+    return rows.join(single, match(single), "left_semi").unionByName(once).drop("__tl_row")
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
