@@ -7,7 +7,8 @@ going on from the tightest with room through its successors, and opens a bin onl
 longest first. Those longer than a bin fill whole bins of their own, and the rest is packed like any other document.
 
 Documents are dealt by a hash to groups of about GROUP rows, each packed by itself from (id, source, cluster, length), never
-texts: a bounded number of small rows a task, whatever source or cluster is hot.
+texts: a bounded number of small rows a task, whatever source or cluster is hot. Rows alike in all four are counted first
+and dealt in lots of at most LOT, so a row repeated any number of times is spread over groups too.
 
 Defined results: null sources are one source; null and empty texts have length 0 and take a place like others; rows
 repeated are packed each (in different bins, being one cluster); an empty table gives no bins.
@@ -26,6 +27,7 @@ from .common import SPACE, body, partitions, read_documents
 CAPACITY = 2048
 PER_SOURCE = 2
 GROUP = 8192
+LOT = 256
 
 
 def pack(items: list[tuple], capacity: int = CAPACITY, per_source: int = PER_SOURCE) -> list[tuple[int, int]]:
@@ -65,7 +67,8 @@ def words(text: str = "text") -> Column:
 
 def _pack_group(capacity: int, per_source: int):
     def run(key, table):
-        rows = sorted(table.to_pylist(), key=lambda r: (-r["length"], -1 if r["doc_id"] is None else r["doc_id"], r["cluster"]))
+        rows = [r for r in table.to_pylist() for _ in range(min(LOT, r["n"] - LOT * r["lot"]))]
+        rows.sort(key=lambda r: (-r["length"], -1 if r["doc_id"] is None else r["doc_id"], r["cluster"], r["source"]))
         names: dict = {}
         groups: dict = {}
         out, items = [], []
@@ -101,7 +104,9 @@ def pack_documents(docs: DataFrame, capacity: int = CAPACITY, per_source: int =
         F.xxhash64(F.regexp_replace(body(), SPACE, " ")).alias("cluster"), words().alias("length"),
     )
     groups = max(1, -(-docs.count() // GROUP))
-    dealt = items.withColumn("group", F.pmod(F.xxhash64("doc_id", "cluster"), F.lit(groups)))
+    lots = items.groupBy("doc_id", "source", "cluster", "length").agg(F.count(F.lit(1)).alias("n"))
+    lots = lots.withColumn("lot", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / LOT))))
+    dealt = lots.withColumn("group", F.pmod(F.xxhash64("doc_id", "cluster", "lot"), F.lit(groups)))
     schema = "doc_id long, part long, length long, bin_id long, offset long, bin_fill long"
     return dealt.repartition(max(partitions(docs.sparkSession), 1), "group").groupBy("group").applyInArrow(_pack_group(capacity, per_source), schema)
 
