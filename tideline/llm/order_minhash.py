@@ -5,7 +5,7 @@ The k-mers of a text are numbered by occurrence, so that repeats differ. One has
 tuple is hashed to 16 bits. The likeness of two fingerprints is the share of equal entries among those that either fills.
 
 Each text is also compared to an edited copy of itself that ends with the next document's beginning. Documents are range
-partitioned and sorted by doc_id, so the next document is the next row; only the last row of each partition is completed
+partitioned and sorted by doc_id and a hash of their text, so the next document is the next row; only the last row of each partition is completed
 afterwards, from as many pairs as there are partitions.
 
 Defined results: null and empty texts have one empty k-mer, so all empty texts are alike (likeness 1); texts shorter than a
@@ -118,7 +118,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, key, n_chars, the two fingerprints, the edited text's hash and the two likenesses."""
     spark = docs.sparkSession
     texts = docs.select(*row_id(), body().alias("text"))
-    lined = texts.repartitionByRange(partitions(spark), "doc_id").sortWithinPartitions("doc_id", "key")
+    lined = texts.repartitionByRange(partitions(spark), "doc_id", "key").sortWithinPartitions("doc_id", "key")
     done = cut(lined.mapInArrow(_along, f"{COLUMNS}, edge int"))
     # one first and one last row for each partition
     edges = sorted(tuple(r) for r in done.filter("edge > 0").select("doc_id", "key", "edge").collect())
