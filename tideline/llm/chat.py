@@ -6,7 +6,7 @@ every final message is rendered as one piece of its conversation's formatted tex
 in order. A conversation of any length is thus spread over tasks; only the reader that digests a whole conversation passes
 through it in order, piece by piece, without holding it.
 
-Defined results: null texts and roles are empty; a null turn sorts first; rows of one turn sort by role and text, rows
+Defined results: null texts and roles are empty; a null turn sorts first; rows of one turn sort by role and a hash of the text, rows
 repeated as a whole stay repeated; a null conv_id is a conversation of its own; an empty table has no conversations.
 """
 
@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import hashlib
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,8 +76,7 @@ def _digests(batches):
 
     for batch in batches:
         done = []
-        ids = [None if x is None or x != x else int(x) for x in batch["conv_id"].tolist()]
-        for conv, piece, a, b in zip(ids, batch["piece"], batch["loss_from"], batch["loss_to"]):
+        for conv, piece, a, b in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "piece", "loss_from", "loss_to"))):
             if state is None or now != (conv,):
                 if state is not None:
                     done.append(row())
@@ -86,26 +85,24 @@ def _digests(batches):
             text = unescape(rest.removesuffix("<|end|>\n"))
             state[0] += 1
             state[1].update(f"{unescape(head)}\n{text}\n".encode())
-            if a == a and a is not None:
-                under = unescape(piece[int(a) : int(b)])
+            if a is not None:
+                under = unescape(piece[a:b])
                 state[2] += len(under)
                 state[3].update(under.encode())
             state[4] += len(piece)
-        yield _frame(done)
+        yield pa.RecordBatch.from_pylist(done, _DIGESTS)
     if state is not None:
-        yield _frame([row()])
+        yield pa.RecordBatch.from_pylist([row()], _DIGESTS)
 
 
-def _frame(rows: list[dict]) -> pd.DataFrame:
-    out = pd.DataFrame(rows, columns=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
-    return out.astype({"conv_id": "Int64", "n_turns": "int64", "loss_chars": "int64", "formatted_chars": "int64"})
+_DIGESTS = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])
 
 
 def conversation_digests(pieces: DataFrame) -> DataFrame:
     schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
     n = pieces.sparkSession.conf.get("spark.sql.shuffle.partitions")
     rows = pieces.repartition(int(n), "conv_id").sortWithinPartitions("conv_id", "turn", "role", "part")
-    return rows.select("conv_id", "piece", "loss_from", "loss_to").mapInPandas(_digests, schema)
+    return rows.select("conv_id", "piece", "loss_from", "loss_to").mapInArrow(_digests, schema)
 
 
 def as_events(conversations: DataFrame) -> DataFrame:
