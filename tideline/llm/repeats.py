@@ -239,7 +239,7 @@ def covered(los: np.ndarray, counts: np.ndarray, length: int) -> tuple[np.ndarra
 def with_runs(docs: DataFrame, runs: DataFrame) -> DataFrame:
     """The affected documents' rows (doc_id, key, text) with their runs, for a function over whole texts."""
     texts = docs.select(*row_id(), body().alias("text"))
-    of_text = runs.groupBy("doc_id", "key").agg(F.collect_list(F.struct("lo", "n")).alias("runs"))
+    of_text = runs.groupBy("doc_id", "key").agg(F.collect_set(F.struct("lo", "n")).alias("runs"))  # rows alike add nothing
     return texts.join(of_text, ["doc_id", "key"]).select("doc_id", "key", "text", "runs").dropDuplicates(["doc_id", "key"])
 
 
