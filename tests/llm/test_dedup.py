@@ -144,6 +144,50 @@ def test_simhash(docs, rows, no_docs):
     assert simhash.near_components(no_docs).count() == 0
     kept = simhash.keep_smallest(docs)
     assert kept.columns == docs.columns
+    ids = Counter(r.doc_id for r in kept.collect())
+    assert set(ids) == set(least.values()) and all(n == len([g for g in least if least[g] == i]) for i, n in ids.items())
+
+
+def components(codes, links):
+    parent = {c: c for c in codes}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        i, j = find(a), find(b)
+        parent[max(i, j)] = min(i, j)
+    return {c: find(c) for c in codes}
+
+
+def test_large_shards_lose_no_link(monkeypatch):
+    """Of links that differ in at most one bit of the upper half; the other half's tree has the rest."""
+    monkeypatch.setattr(simhash, "SHARD_ROWS", 8)
+    monkeypatch.setattr(simhash, "SAMPLE", 40)
+    rng = np.random.default_rng(11)
+    codes = set()
+    for c in rng.integers(0, 1 << 63, 80, dtype=np.uint64).tolist():
+        for _ in range(10):
+            codes.add(c)
+            for b in [int(rng.integers(32, 64)), *rng.integers(0, 32, rng.integers(0, 3)).tolist()]:
+                c ^= 1 << b
+    links = list(zip(*(x.tolist() for x in simhash.shard_forest(np.array(sorted(codes), np.uint64), simhash.HALVES[0], 3))))
+    assert all((a ^ b).bit_count() for a, b in links) and len(codes) > 8 * simhash.SHARD_ROWS
+    want = [(a, b) for a in codes for b in codes if b < a and (a ^ b).bit_count() <= 3]
+    assert components(codes, links) == components(codes, want)
+
+
+def test_smallest_hashes(spark):
+    from pyspark.sql import functions as F
+
+    from tideline.llm.common import smallest_hashes
+
+    rows = spark.range(1000).unionByName(spark.range(500)).repartition(3)
+    want = [r.id for r in spark.range(1000).orderBy(F.xxhash64("id", F.lit("x"))).limit(20).collect()]
+    assert [r.id for r in smallest_hashes(rows, 20, "x").collect()] == want
+    assert smallest_hashes(rows.limit(0), 20).count() == 0 and smallest_hashes(rows, 600).count() == 600
 
 
 def test_vantage_shards_lose_no_link(spark):

@@ -149,6 +149,12 @@ def test_pack_documents(docs, rows, no_docs):
     assert packing.pack_documents(no_docs).count() == 0
 
 
+def test_pack_a_row_repeated_often(spark):
+    table = spark.range(700).select(F.lit(3).alias("doc_id"), F.lit("two words").alias("text"), F.lit("s").alias("source"))
+    out = packing.pack_documents(table).collect()
+    assert len(out) == 700 == len({r.bin_id for r in out}) and all(r.bin_fill == 2 for r in out)  # copies never share a bin
+
+
 def test_quality(spark, docs, rows, no_docs):
     rng = np.random.default_rng(5)
     good = [(1000 + i, " ".join("theonandreer"[k % 9 : k % 9 + 4] for k in rng.integers(0, 9, 60)) + ".") for i in range(120)]
