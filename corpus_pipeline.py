@@ -2,7 +2,7 @@
 
 quality      documents that the PU classifier scores below its threshold go
 exact_dedup  of texts equal up to white space, the smallest doc_id stays
-near_dedup   of each SimHash component (three-word shingles, at most three bits), the smallest doc_id stays
+near_dedup   of each component of near copies (five-word shingles, Jaccard similarity 0.8 or more), the smallest doc_id stays
 suffix_dedup passages of 400 bytes that also stand elsewhere are cut out of the texts
 packing      what is left is packed into bins, no two documents of one cluster and few of one source together
 
@@ -15,7 +15,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tideline.llm import exact_dedup, packing, quality, simhash, suffix_dedup
+from tideline.llm import exact_dedup, near_copies, packing, quality, suffix_dedup
 from tideline.llm.common import read_documents, shared_dir
 
 
@@ -28,7 +28,7 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.keep_smallest(docs)
+    return near_copies.keep_smallest(docs)
 
 
 def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

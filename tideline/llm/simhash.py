@@ -202,7 +202,11 @@ def near_components(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
 
 def keep_smallest(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """One document of each component: the one with the smallest doc_id (of rows with that id, one)."""
-    found = near_components(docs, shingle, distance)
+    return keep_heads(docs, near_components(docs, shingle, distance))
+
+
+def keep_heads(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """Of each component of `found` (doc_id, key, root, component_id) the row of docs with the smallest doc_id."""
     heads = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root", "component_id", "key").agg(F.count(F.lit(1)).alias("n"))
     least = heads.groupBy("root", "component_id").agg(F.min(F.struct("key", "n")).alias("head"))
     keep = cut(least.select(F.col("component_id").alias("__tl_id"), F.col("head.key").alias("__tl_key"), F.col("head.n").alias("__tl_n")))
