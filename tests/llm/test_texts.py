@@ -40,6 +40,30 @@ def test_viterbi_matches_the_library():
         assert codec.decode(ids) == text
 
 
+@needs_model
+def test_runs_of_spaces_match_the_library():
+    """Against the model's unchanged set of pieces, runs of markers among them."""
+    sp = pytest.importorskip("sentencepiece")
+    pb = pytest.importorskip("sentencepiece.sentencepiece_model_pb2")
+    codec = pieces.load()
+    model = pb.ModelProto()
+    model.ParseFromString(Path(pieces.MODEL).read_bytes())
+    model.trainer_spec.model_type = 1
+    for i, p in enumerate(model.pieces):
+        p.score = float(codec.scores[i])
+    other = sp.SentencePieceProcessor(model_proto=model.SerializeToString())
+    value = lambda x: sum(codec.scores[i] for i in x)
+    texts = [t for n in range(2, 21) for t in (f"a{' ' * n}b", f"{' ' * n}return x\n{' ' * n}y = 1", f"end{' ' * n}", " " * n)]
+    runs = {i for i, p in enumerate(model.pieces) if p.type == 1 and pieces.MARK in p.piece[1:]}
+    used = set()
+    for text, ids in zip(texts, codec.encode(texts, {})):
+        want = other.encode(text)
+        assert list(ids) == want or (len(ids) == len(want) and abs(value(ids) - value(want)) < 1e-2), text
+        assert codec.decode(ids) == text
+        used |= runs & set(ids.tolist())
+    assert used
+
+
 @needs_model
 def test_encode_documents(docs, rows, no_docs):
     out = pieces.decode_documents(pieces.encode_documents(docs)).collect()

@@ -3,8 +3,9 @@
 The pieces come from a public model file, whose path is a parameter; nothing is trained. If the file's scores are merge ranks
 (a BPE model) they are turned into log probabilities by Zipf's law; a unigram model's own scores are used as they are. The trie
 is two integer arrays. A text gets a marker in front and for each space; characters without a piece fall back to byte
-pieces. No piece holds a marker after its first character or a line end, so the best path of a text is that of its segments between
-them; distinct segments are solved together, column by column, in vectorised steps, and kept for later texts of the worker.
+pieces. Pieces may be runs of markers, so a run stays with the word after it: texts are cut before a marker that follows
+another character and at line ends, and at neither if a piece of the model spans such a place. The best path of a text is
+that of its segments; distinct segments are solved together, column by column, in vectorised steps, and kept for later texts of the worker.
 
 Defined results: null and empty texts have no ids; decoding gives every
 text back exactly, but for a literal marker character, which decodes as a space, and lone surrogates; repeated rows repeat.
@@ -13,6 +14,7 @@ text back exactly, but for a literal marker character, which decodes as a space,
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 
 import numpy as np
@@ -26,6 +28,8 @@ MARK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNKNOWN_PENALTY = 10.0
+SPANS = re.compile(f"[^{MARK}]{MARK}")
+SEGMENTS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 KEEP = 150_000  # segments a worker remembers
 
 
@@ -119,7 +123,9 @@ class Codec:
 
     def __init__(self, data: bytes):
         pieces, scores, kinds, unigram = read_model(data)
-        use = [k in (NORMAL, USER) and MARK not in p[1:] and "\n" not in p for p, k in zip(pieces, kinds)]
+        use = [k in (NORMAL, USER) and p != "" for p, k in zip(pieces, kinds)]
+        self.by_line = not any(u and "\n" in p for p, u in zip(pieces, use))
+        self.by_word = not any(u and SPANS.search(p) for p, u in zip(pieces, use))
         if not unigram:
             ranks = {i: r for r, i in enumerate(sorted((i for i, u in enumerate(use) if u), key=lambda i: -scores[i]))}
             total = float(np.log(np.sum(1.0 / np.arange(1, len(ranks) + 1))))
@@ -216,8 +222,8 @@ class Codec:
         end = self.byte_ids[10:11].tobytes()
         cut = []
         for text in texts:
-            lines = text.split("\n")
-            cut.append([[(MARK if i or not k else "") + w for i, w in enumerate(line.replace(MARK, " ").split(" "))] for k, line in enumerate(lines)] if text else [])
+            lines = (MARK + text.replace(" ", MARK)).split("\n") if self.by_line else [MARK + text.replace(" ", MARK)]
+            cut.append([SEGMENTS.findall(line) if self.by_word else [line] for line in lines] if text else [])
         new = list({w for lines in cut for line in lines for w in line} - memory.keys())
         some = [w for w in new if w]
         memory.update((w, b"") for w in new if not w)
