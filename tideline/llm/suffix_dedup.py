@@ -1,11 +1,11 @@
-"""Repeated byte passages by a depth-limited radix sort of suffixes.
-
-Two suffixes share a passage of THRESHOLD bytes exactly when they agree through that depth, so they need no further
-order than that: groups are formed by most-significant-digit passes and a group of one leaves at once. The first digit of a
-suffix is the core of its block, the bytes that it and its neighbours with the same anchor all share (all but the first
-and last WIDTH - 1 of the depth), so one row stands for a block of suffixes; the second is the block's hull, which settles a
-whole block of suffixes when it is equal; only suffixes that agree in the first and differ in the second are divided one by
-one by their full depth. The groups left are exactly the repeated windows. See repeats.py.
+"""Repeated byte passages by anchored window hashing, in place of a depth-limited radix sort of suffixes.
+
+Two suffixes share a passage of THRESHOLD bytes exactly when they agree through that depth. No suffix is ordered and no
+leading digits are compared: suffixes with one anchor form a block, and 64-bit hashes are grouped, a group of one leaving at
+once. First comes the core of a block, the bytes that all its suffixes share (all but the first and last WIDTH - 1 of the
+depth), so one row stands for a block of suffixes; then the block's hull, which settles a whole block of suffixes when it is
+equal; only suffixes that agree in the first and differ in the second are divided one by one by their full depth. The groups
+left are exactly the repeated windows, up to collisions of hashes. See repeats.py.
 
 Defined results: null and empty texts have no bytes and keep the hash of nothing; texts shorter than the threshold lose
 nothing; texts equal in at least THRESHOLD bytes lose all they share, in every copy, rows repeated with one doc_id included;
