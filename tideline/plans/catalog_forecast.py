@@ -72,7 +72,7 @@ add("f07_training_rows", "origin:i target:i change:f weight:f calibrates", lambd
 add("f12_conformal", "lead_band:i widening:f n:i", lambda w: fc.conformal(fc.common(_predictions(w)).select("horizon", F.col("actual").alias("y"), F.col("model_p10").alias("lo"), F.col("model_p90").alias("hi"))),
     _WITH + """(SELECT lead_band, n, l[CAST(floor(p) AS INT) + 1] + (l[CAST(least(floor(p) + 1, n - 1) AS INT) + 1] - l[CAST(floor(p) AS INT) + 1]) * (p - floor(p)) AS widening FROM (
       SELECT lead_band, n, l, least(1.0, ceil((n + 1) * 0.8) / n) * (n - 1) AS p FROM (SELECT lead_band, count(*) AS n, list_sort(list(score)) AS l FROM (SELECT (horizon - 1) // 12 AS lead_band, greatest(model_p10 - actual, actual - model_p90) AS score FROM cm) GROUP BY 1))))""")
-_entries_model = {"f14_next_forecast": ("origin:i horizon:i model:f model_p10:f model_p90:f", partial(fc.next_forecast, s=SMALL)), "f16_backtest": ("issue target_ts horizon:i actual:f model:f model_p10:f model_p90:f fold:i", lambda w: fc.backtest(w, SMALL, 4, 2))}
+_entries_model = {"f14_next_forecast": ("origin:i horizon:i model:f model_p10:f model_p90:f", partial(fc.next_forecast, s=fc.Settings())), "f16_backtest": ("issue target_ts horizon:i actual:f model:f model_p10:f model_p90:f fold:i", lambda w: fc.backtest(w, SMALL, 4, 2))}
 for _name, (_spec, _plan) in _entries_model.items():
     add(_name, _spec, _plan, None)
 
