@@ -6,6 +6,8 @@ import uuid
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pytest
 import xxhash
 
 from tideline.llm import exact_dedup, simhash, suffix_dedup, window_dedup
@@ -162,21 +164,67 @@ def components(codes, links):
     return {c: find(c) for c in codes}
 
 
-def test_large_shards_lose_no_link(monkeypatch):
-    """Of links that differ in at most one bit of the upper half; the other half's tree has the rest."""
-    monkeypatch.setattr(simhash, "SHARD_ROWS", 8)
-    monkeypatch.setattr(simhash, "SAMPLE", 40)
-    rng = np.random.default_rng(11)
+def chains(rng, many, steps, width=64):
+    """Fingerprints in chains: neighbours are near, the ends of a chain aren't."""
     codes = set()
-    for c in rng.integers(0, 1 << 63, 80, dtype=np.uint64).tolist():
-        for _ in range(10):
+    for c in rng.integers(0, 1 << (width - 1), many, dtype=np.uint64).tolist():
+        for _ in range(steps):
             codes.add(c)
-            for b in [int(rng.integers(32, 64)), *rng.integers(0, 32, rng.integers(0, 3)).tolist()]:
+            for b in rng.integers(0, width, rng.integers(1, 4)).tolist():
                 c ^= 1 << b
-    links = list(zip(*(x.tolist() for x in simhash.shard_forest(np.array(sorted(codes), np.uint64), simhash.HALVES[0], 3))))
-    assert all((a ^ b).bit_count() for a, b in links) and len(codes) > 8 * simhash.SHARD_ROWS
-    want = [(a, b) for a in codes for b in codes if b < a and (a ^ b).bit_count() <= 3]
-    assert components(codes, links) == components(codes, want)
+    return np.array(sorted(codes), np.uint64)
+
+
+def all_links(codes, distance):
+    return [(a, b) for a in codes for b in codes if b < a and (a ^ b).bit_count() <= distance]
+
+
+def routed(codes, bits, parts, distance, most):
+    """Every shard of the first level, as a task gets it, and the number of copies in them."""
+    blob = pa.RecordBatch.from_arrays([pa.array(["0"]), pa.array([codes.tobytes()], pa.binary())], names=["path", "codes"])
+    sent = list(simhash._send(codes[:: max(1, len(codes) // 300)], most, bits, parts, distance // parts)([blob]))
+    shards = {}
+    for batch in sent:
+        for path, c in zip(batch.column("path").to_pylist(), batch.column("codes").to_pylist()):
+            shards[path] = np.concatenate([shards.get(path, codes[:0]), np.frombuffer(c, np.uint64)])
+    return shards
+
+
+@pytest.mark.parametrize("bits,parts,distance", [(64, 4, 3), (48, 4, 3), (64, 2, 3), (64, 3, 4)])
+def test_shards_lose_no_link(monkeypatch, bits, parts, distance):
+    """With and without balls that cross boundaries; long runs are divided again."""
+    monkeypatch.setattr(simhash, "RUN", 4)
+    codes = chains(np.random.default_rng(11), 60, 10, bits)
+    links = []
+    for path, held in routed(codes, bits, parts, distance, 20).items():
+        a, b = simhash.shard_links(held, path, distance, bits, parts)
+        assert len(a) < 4 * len(held)  # not all pairs
+        links += zip(a.tolist(), b.tolist())
+    assert all(0 < (a ^ b).bit_count() <= distance for a, b in links)
+    assert components(codes.tolist(), links) == components(codes.tolist(), all_links(codes.tolist(), distance))
+
+
+def test_a_dense_shard_loses_no_link(monkeypatch):
+    """All fingerprints of one shard are alike in its part, so only the bits that are left divide them."""
+    monkeypatch.setattr(simhash, "RUN", 16)
+    codes = np.unique(chains(np.random.default_rng(5), 40, 25, 48))  # the upper 16 bits are zero
+    path = "0/3:1"
+    free, part = simhash.free_bits(path, 64, 4)
+    assert part == 0xFFFF << 48 and free == (1 << 48) - 1
+    a, b = simhash.shard_links(codes, path, 3, 64, 4)
+    assert components(codes.tolist(), zip(a.tolist(), b.tolist())) == components(codes.tolist(), all_links(codes.tolist(), 3))
+
+
+def test_copies_do_not_grow():
+    """Copies of a fingerprint over all shards, at eight times the fingerprints and as many more leaves."""
+    rng = np.random.default_rng(2)
+    copies = []
+    for n in (20_000, 160_000):
+        codes = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        shards = routed(codes, 64, simhash.PARTS, simhash.DISTANCE, 300 * 500 / n)
+        assert len(shards) > n / 2000
+        copies.append(sum(map(len, shards.values())) / len(codes))
+    assert copies == [simhash.PARTS] * 2
 
 
 def test_smallest_hashes(spark):
@@ -190,34 +238,15 @@ def test_smallest_hashes(spark):
     assert smallest_hashes(rows.limit(0), 20).count() == 0 and smallest_hashes(rows, 600).count() == 600
 
 
-def test_vantage_shards_lose_no_link(spark):
-    rng = np.random.default_rng(3)
-    centres = rng.integers(0, 1 << 63, 60, dtype=np.uint64)
-    codes = set()
-    for c in centres.tolist():
-        for _ in range(20):
-            codes.add(c)
-            for b in rng.integers(0, 64, rng.integers(1, 4)).tolist():
-                c ^= 1 << b  # a chain: neighbours are near, its ends are not
-    codes = sorted(codes)
-    signed = [(x - (1 << 64) if x >> 63 else x,) for x in codes]
-    old = simhash.SHARD_ROWS
-    simhash.SHARD_ROWS = 16
-    try:
-        links = simhash.near_links(spark.createDataFrame(signed, "code long")).collect()
-    finally:
-        simhash.SHARD_ROWS = old
-    groups = brute_groups(codes, 3)
-    at = {c: i for i, c in enumerate(codes)}
-    parent = list(range(len(codes)))
-
-    def find(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
-
-    for a, b in links:
-        i, j = find(at[a % (1 << 64)]), find(at[b % (1 << 64)])
-        parent[max(i, j)] = min(i, j)
-    assert [find(i) for i in range(len(codes))] == groups
-    assert len(links) < 40 * len(codes)  # forests, not pairs
+def test_levels_lose_no_link(spark, monkeypatch):
+    """Shards far over the limit go through several levels of trees; two tables stay apart."""
+    monkeypatch.setattr(simhash, "SHARD_ROWS", 16)
+    monkeypatch.setattr(simhash, "LIMIT", 40)
+    codes = [chains(np.random.default_rng(k), 50, 20) for k in (3, 4)]
+    codes.append(codes[0][::2])
+    rows = [(k, x - (1 << 64) if x >> 63 else x) for k, some in enumerate(codes) for x in some.tolist()]
+    links = simhash.near_links(spark.createDataFrame(rows, "tab int, code long").repartition(3)).collect()
+    assert len(links) < 12 * len(rows)
+    for k, some in enumerate(codes):
+        mine = [(r.a % (1 << 64), r.b % (1 << 64)) for r in links if r.tab == k]
+        assert components(some.tolist(), mine) == components(some.tolist(), all_links(some.tolist(), 3))

@@ -1,14 +1,21 @@
-"""Near copies: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
+"""SimHash near-dedup (operator 10) at a similarity: five-word shingles, Jaccard similarity 0.8 or more.
 
-Texts with the same words in a row are one class. Classes that agree in one of BANDS bands of ROWS MinHash values meet in a
-bucket: at similarity 0.8 a pair misses every bucket with a chance of (1 - 0.8**ROWS)**BANDS, below 1 in 30,000, and less
-above it. Every link is then checked exactly on the two shingle sets of a class's representative. Rounds first hold each class against
-one head of its buckets, so a large group takes as many checks as it has members; when few pairs of different components are
-left in the buckets (or after STARS rounds) all of those are checked, so no pair of a bucket is left out.
+A single fingerprint of 64 bits at 3 bits finds hardly anything but the closest copies at that similarity: two texts that share
+0.8 of their shingles differ in some 15 % of their bits. So each text gets TABLES independent fingerprints of BITS bits over its
+set of shingles, and in each table the vantage-point trees of simhash.py link what is at most DISTANCE bits apart. Texts
+that are connected in a table meet in a bucket there; every link is then checked exactly on the two shingle sets of a class's
+representative (texts with the same words in a row are one class). Chance of meeting in one bucket at least, for the
+constants below: 0.93 at similarity 0.8, 0.997 at 0.85, above 0.9999 from 0.9 on; links of random texts stay rare up to some
+10**10 classes, beyond which BITS and TABLES have to be raised together.
+
+Rounds first hold each class against one head of its buckets, so a large group takes as many checks as it has members; when few
+pairs of different components are left in the buckets (or after STARS rounds) all of those are checked, so no pair of a
+bucket is left out.
 
 Defined results: words are split at white space and ASCII letters lowered; a text of fewer words than a shingle has one
 shingle, all of it; texts without words (null, empty, white space) are one class; rows repeated share a component; a null
-doc_id is never the smallest unless its component has no other; empty tables give empty results.
+doc_id is never the smallest unless its component has no other; columns beyond doc_id and text are carried along, whatever their
+names; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -18,17 +25,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import simhash
 from .common import BYTE_CODES, blocks_of, body, cut, mix, prefixes, row_key, spans_hash, text_buffers
 from .components import connected_components
-from .simhash import keep_heads
 
 SHINGLE = 5
 SIMILARITY = (4, 5)  # as a fraction, so that the bound itself is exact
-BANDS, ROWS = 20, 4
+TABLES, BITS, DISTANCE = 48, 48, 3
 STARS = 6
 BLOCK = 1 << 20
 
-_FACTORS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+WORDS = TABLES * BITS // 64  # the tables' bits, side by side
+_FACTORS = mix(np.arange(1, WORDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+_LANES = np.uint64(0x0101010101010101)
+_TEXT_BITS = np.uint64(20)  # a block holds at most as many texts as these bits can number
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _CODES = BYTE_CODES[_LOWER]
@@ -56,28 +66,44 @@ def shingles(raw: np.ndarray, offsets: np.ndarray, shingle: int = SHINGLE) -> tu
     return whole, spans_hash(prefix, at, np.minimum(at + shingle, np.repeat(place[1:], many))), bounds
 
 
-def bands(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(texts with shingles, their bucket in each band)."""
+def fingerprints(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(texts with shingles, their TABLES fingerprints): a bit is set if over half of the text's distinct shingles have it."""
     rows = np.flatnonzero(np.diff(bounds))
-    out = np.zeros((len(rows), BANDS), np.uint64)
-    if len(rows):
-        for k, factor in enumerate(_FACTORS):
-            least = np.minimum.reduceat(hashes * factor, bounds[rows])
-            out[:, k // ROWS] = mix(out[:, k // ROWS] + least + np.uint64(k))
-    return rows, out
+    if not len(rows):
+        return rows, np.zeros((0, TABLES), np.uint64)
+    text = np.repeat(np.arange(len(rows), dtype=np.uint64), np.diff(bounds)[rows])
+    shift = np.uint64(64) - _TEXT_BITS
+    own = np.unique((text << shift) | (hashes >> _TEXT_BITS))
+    first = np.searchsorted(own >> shift, np.arange(len(rows), dtype=np.uint64))
+    n = np.diff(np.append(first, len(own)))
+    # bits are counted eight lanes at a time, in runs short enough for a lane of eight bits
+    runs = -(-n // 255)
+    begin = np.repeat(first, runs) + 255 * (np.arange(runs.sum()) - np.repeat(np.cumsum(runs) - runs, runs))
+    of_text = np.cumsum(runs) - runs
+    base = own & ((np.uint64(1) << shift) - np.uint64(1))
+    bits = np.zeros((len(rows), WORDS, 64), np.uint8)
+    for k, factor in enumerate(_FACTORS):
+        word = mix(base * factor + factor)
+        for b in range(8):
+            lanes = np.add.reduceat((word >> np.uint64(b)) & _LANES, begin)
+            counts = np.add.reduceat(lanes.view(np.uint8).reshape(-1, 8).astype(np.int32), of_text, axis=0)
+            bits[:, k, 8 * b : 8 * b + 8] = 2 * counts > n[:, None]
+    bits = np.pad(bits.reshape(len(rows), TABLES, BITS), ((0, 0), (0, 0), (0, 64 - BITS)))
+    return rows, np.packbits(bits, axis=2, bitorder="little").view(np.uint64)[:, :, 0]
 
 
 def _describe(batches):
     for batch in batches:
         raw, offsets = text_buffers(batch.column("text"))
         for i, j in blocks_of(offsets, BLOCK):
-            whole, hashes, bounds = shingles(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-            rows, found = bands(hashes, bounds)
-            sizes = np.zeros(j - i + 1, np.int32)
-            sizes[rows + 1] = BANDS
-            lists = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes, dtype=np.int32)), pa.array(found.reshape(-1).view(np.int64)))
-            part = batch.slice(i, j - i)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("key"), pa.array(whole.view(np.int64)), lists], names=["doc_id", "key", "code", "buckets"])
+            for i, j in ((a, min(a + (1 << 16), j)) for a in range(i, j, 1 << 16)):
+                whole, hashes, bounds = shingles(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                rows, found = fingerprints(hashes, bounds)
+                sizes = np.zeros(j - i + 1, np.int32)
+                sizes[rows + 1] = TABLES
+                lists = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes, dtype=np.int32)), pa.array(found.reshape(-1).view(np.int64)))
+                part = batch.slice(i, j - i)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("key"), pa.array(whole.view(np.int64)), lists], names=["doc_id", "key", "code", "prints"])
 
 
 def _check(batches):
@@ -101,10 +127,23 @@ def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return cut(pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(_check, "a long, b long"))
 
 
+def buckets(nodes: DataFrame) -> DataFrame:
+    """nodes (code, prints) -> (bucket, code): for each table, what the trees connect within DISTANCE bits."""
+    dealt = nodes.select("code", F.posexplode("prints").alias("tab", "print"))
+    prints = cut(dealt.groupBy("tab", "print").agg(F.count(F.lit(1)).alias("n")))
+    links = simhash.near_links(prints.select("tab", F.col("print").alias("code")), DISTANCE, BITS)
+    # a node for each table's fingerprint; equal fingerprints of different tables stay apart
+    node = lambda c: F.xxhash64("tab", c)
+    roots = connected_components(links.select(node("a").alias("a"), node("b").alias("b")))
+    named = prints.select("tab", "print", "n", node("print").alias("node")).join(roots, "node", "left")
+    named = cut(named.select("tab", "print", F.coalesce("root", "node").alias("bucket"), (F.col("root").isNotNull() | (F.col("n") > 1)).alias("met")))
+    return dealt.join(named.filter("met").drop("met"), ["tab", "print"]).select("bucket", "code").distinct()
+
+
 def near_links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """nodes (code, key, buckets) -> exactly checked links (a, b) that connect what is linked by any pair of a bucket."""
+    """nodes (code, key, prints) -> exactly checked links (a, b) that connect what is linked by any pair of a bucket."""
     spark = docs.sparkSession
-    dealt = nodes.select("code", F.explode("buckets").alias("bucket"))
+    dealt = cut(buckets(nodes))
     shared = dealt.groupBy("bucket").agg(F.min("code").alias("lo"), F.max("code").alias("hi")).filter("lo <> hi").select("bucket")
     entries = cut(dealt.join(shared, "bucket").select("bucket", "code"))
     met = cut(nodes.select("code", "key").join(entries.select("code").distinct(), "code"))
@@ -137,8 +176,8 @@ def near_links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
 def near_components(docs: DataFrame) -> DataFrame:
     """(doc_id, key, code, root, component_id) for every row of docs; root tells components apart, even where doc_ids repeat."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("key"), body().alias("text"))
-    described = cut(rows.mapInArrow(_describe, "doc_id long, key long, code long, buckets array<long>"))
-    nodes = cut(described.groupBy("code").agg(F.min("doc_id").alias("first_id"), F.min("key").alias("key"), F.first("buckets").alias("buckets")))
+    described = cut(rows.mapInArrow(_describe, "doc_id long, key long, code long, prints array<long>"))
+    nodes = cut(described.groupBy("code").agg(F.min("doc_id").alias("first_id"), F.min("key").alias("key"), F.first("prints").alias("prints")))
     roots = connected_components(near_links(nodes, docs))
     linked = cut(nodes.join(roots, nodes["code"] == roots["node"], "left").select("code", "first_id", F.coalesce("root", "code").alias("root")))
     least = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
@@ -148,4 +187,4 @@ def near_components(docs: DataFrame) -> DataFrame:
 
 def keep_smallest(docs: DataFrame) -> DataFrame:
     """One document of each component: the one with the smallest doc_id (of rows with that id, one)."""
-    return keep_heads(docs, near_components(docs))
+    return simhash.keep_heads(docs, near_components(docs))

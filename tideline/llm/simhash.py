@@ -1,19 +1,24 @@
 """SimHash near-duplicates through vantage-point trees.
 
-Fingerprints are taken once per document and reduced to the distinct ones. Two vantage-point trees divide them, one on
-the Hamming distance of the upper 32 bits and one on that of the lower 32: two fingerprints at most 3 bits apart differ in
-at most 1 bit of one half, so in that half's tree they meet in a shard if every fingerprint is also sent to the shards
-whose boundary it overlaps by that 1 bit (triangle bound). Inside a shard fingerprints are ordered by their distance to a
-vantage point and compared exactly within the ring that the triangle bound leaves. A shard returns a spanning forest of
-its pairs, not the pairs; components of the forests are then joined up over all shards.
-
-The trees are built from a bounded sample (SAMPLE fingerprints); a shard that they leave large divides itself by a tree over
-its own fingerprints, with the same bounds. Every fingerprint is indexed and every pair within the
-distance is found whatever the sample is.
+Fingerprints are taken once per document and reduced to the distinct ones. Their bits are divided into PARTS parts, and a
+vantage-point tree for each part divides the fingerprints by Hamming distance within it: two fingerprints at most DISTANCE bits
+apart differ in at most DISTANCE // PARTS bits of one part, so they meet in one of that part's shards if every fingerprint
+goes to all the shards whose boundary a ball of that radius overlaps (triangle bound). With more parts than differing bits the
+radius is 0: a ball crosses no boundary, and a fingerprint has PARTS copies however many there are. Fewer parts give wider
+balls, whose copies grow with the depth of the trees.
+
+A shard of over LIMIT fingerprints is divided again by Spark, by trees over the parts of the bits that the first part left
+(name and level stand in the shard's path), so none outgrows a task; copies grow by PARTS with each level, once for every
+factor of LIMIT or so in the number of fingerprints. Inside a shard, fingerprints equal in the part are compared, long runs after
+a further division of the bits that are left; a wider ball is searched in rings around a vantage point. A shard returns links
+between pairs that were not connected yet, not all pairs; components of the links are then joined up over all shards.
+
+The trees are built from a bounded sample (SAMPLE fingerprints) and only divide the work: every fingerprint is indexed, and
+every pair within the distance is found whatever the sample is.
 
 Defined results: a text without words (null, empty, white space) has fingerprint zero and links like any other; rows
-repeated with one doc_id share a component; a null doc_id is never the smallest unless its component has no other; empty
-tables give empty results.
+repeated with one doc_id share a component; a null doc_id is never the smallest unless its component has no other; columns
+beyond doc_id and text are neither read nor in the way, whatever their names; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -26,15 +31,19 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import body, cut, partitions, read_documents, row_key, smallest_hashes
+from .common import body, cut, read_documents, row_key, smallest_hashes
 from .components import connected_components
 
 SHINGLE = 3
 DISTANCE = 3
-HALVES = (np.uint64(0xFFFFFFFF00000000), np.uint64(0x00000000FFFFFFFF))
-HALF_DISTANCE = DISTANCE // len(HALVES)
+PARTS = 4
+BITS = 64
 SAMPLE = 4096
-SHARD_ROWS = 2000
+SHARD_ROWS = 16_384  # fingerprints that a leaf of a tree is meant for
+LIMIT = 4 * SHARD_ROWS  # a larger shard is divided by another level
+LEVELS = 4
+RUN = 512  # fingerprints alike in their part that are compared without a further division
+FLUSH = 1 << 20  # fingerprints that are routed together
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -76,9 +85,16 @@ def _bits(a: np.ndarray) -> np.ndarray:
     return np.bitwise_count(a).astype(np.int16)
 
 
-def build_tree(codes: np.ndarray, mask: np.uint64, depth: int):
-    """Nested (vantage, median, inner, outer) over a sample; None where a sample can't be divided."""
-    if depth == 0 or len(codes) < 2:
+def divide(free: int, parts: int = PARTS) -> list[int]:
+    """The bits set in `free` as masks of `parts` runs of about equal width (no more than there are bits)."""
+    bits = [b for b in range(64) if free >> b & 1]
+    edges = np.linspace(0, len(bits), min(parts, len(bits)) + 1).astype(int)
+    return [sum(1 << b for b in bits[i:j]) for i, j in zip(edges, edges[1:])]
+
+
+def build_tree(codes: np.ndarray, mask: np.uint64, most: float):
+    """Nested (vantage, median, inner, outer) over a sample; None for a leaf of at most `most`, or that can't be divided."""
+    if len(codes) <= max(most, 1):
         return None
     # of a few candidates the one whose distances spread most
     picks = codes[np.linspace(0, len(codes) - 1, min(8, len(codes))).astype(int)]
@@ -86,14 +102,16 @@ def build_tree(codes: np.ndarray, mask: np.uint64, depth: int):
     vantage = picks[int(np.argmax(spread))]
     far = _bits((codes ^ vantage) & mask)
     median = int(np.median(far))
+    if median == far.max():
+        median -= 1
     inner, outer = codes[far <= median], codes[far > median]
     if not len(inner) or not len(outer):
         return None
-    return vantage, median, build_tree(inner, mask, depth - 1), build_tree(outer, mask, depth - 1)
+    return vantage, median, build_tree(inner, mask, most), build_tree(outer, mask, most)
 
 
 def route(tree, codes: np.ndarray, mask: np.uint64, radius: int, at: np.ndarray | None = None, name: int = 1):
-    """(shard, rows of codes): the leaves that each code's ball overlaps."""
+    """(leaf, rows of codes): the leaves that each code's ball overlaps."""
     at = np.arange(len(codes)) if at is None else at
     if not len(at):
         return
@@ -106,93 +124,173 @@ def route(tree, codes: np.ndarray, mask: np.uint64, radius: int, at: np.ndarray
     yield from route(outer, codes, mask, radius, at[far + radius > median], 2 * name + 1)
 
 
-def _send(trees, radius: int):
+def free_bits(path: str, bits: int, parts: int) -> tuple[int, int]:
+    """(bits that the levels of a shard's path have left, the last level's part). A path is "table/part:leaf/part:leaf"."""
+    free, last = (1 << bits) - 1, 0
+    for step in path.split("/")[1:]:
+        last = divide(free, parts)[int(step.split(":")[0])]
+        free &= ~last
+    return free, last
+
+
+def _send(points: np.ndarray, most: float, bits: int, parts: int, radius: int):
+    """Blocks of fingerprints (path, codes) -> the same, each on its way to the shards of the next level."""
+
     def run(batches):
+        trees: dict[str, list] = {}
+
+        def routed(path, codes):
+            free, _ = free_bits(path, bits, parts)
+            masks = divide(free, parts)
+            taken = "/".join(x.split(":")[0] for x in path.split("/")[1:])  # shards of like parts share their trees
+            if taken not in trees:
+                trees[taken] = [build_tree(points, np.uint64(m), most) for m in masks]
+            for k, (tree, mask) in enumerate(zip(trees[taken], masks)):
+                for leaf, at in route(tree, codes, np.uint64(mask), radius):
+                    yield f"{path}/{k}:{leaf}", codes[at].tobytes()
+
+        def flushed(held):
+            rows = [r for path, blobs in held.items() for r in routed(path, np.unique(np.frombuffer(b"".join(blobs), np.uint64)))]
+            return pa.RecordBatch.from_arrays([pa.array([p for p, _ in rows], pa.string()), pa.array([c for _, c in rows], pa.binary())], names=["path", "codes"])
+
+        held, size = {}, 0
         for batch in batches:
-            codes = np.unique(batch.column("code").to_numpy(zero_copy_only=False).view(np.uint64))
-            shards, blobs = [], []
-            for k, (tree, mask) in enumerate(zip(trees, HALVES)):
-                for name, at in route(tree, codes, mask, radius):
-                    shards.append(2 * name + k)
-                    blobs.append(codes[at].tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(shards, pa.int64()), pa.array(blobs, pa.binary())], names=["shard", "codes"])
+            for path, blob in zip(batch.column("path").to_pylist(), batch.column("codes").to_pylist()):
+                held.setdefault(path, []).append(blob)
+                size += len(blob)
+            if size >= 8 * FLUSH:
+                yield flushed(held)
+                held, size = {}, 0
+        yield flushed(held)
 
     return run
 
 
-def forest(codes: np.ndarray, distance: int, chunk: int = 256) -> tuple[np.ndarray, np.ndarray]:
-    """Links (code, root) that connect what is linked within `distance`; root is the smallest code of its group here."""
-    codes = np.unique(codes)
-    n = len(codes)
-    if n < 2:
-        return codes[:0], codes[:0]
-    far = _bits(codes ^ codes[0])
-    order = np.argsort(far, kind="stable")
-    ring, sorted_codes = far[order], codes[order]
-    parent = np.arange(n)
+def _blocks(batches):
+    """(tab, code) rows -> a block of codes for each tab in a batch."""
+    for batch in batches:
+        tabs, codes = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("tab", "code"))
+        order = np.argsort(tabs, kind="stable")
+        names, first = np.unique(tabs[order], return_index=True)
+        blobs = [x.tobytes() for x in np.split(codes[order], first[1:])] if len(names) else []
+        yield pa.RecordBatch.from_arrays([pa.array([str(x) for x in names], pa.string()), pa.array(blobs, pa.binary())], names=["path", "codes"])
 
-    def root(x):
+
+class Links:
+    """Pairs (a, b) of places, kept only while they connect what was apart."""
+
+    def __init__(self, n: int):
+        self.parent = np.arange(n)
+        self.a: list[np.ndarray] = []
+        self.b: list[np.ndarray] = []
+
+    def root(self, x: np.ndarray) -> np.ndarray:
         while True:
-            up = parent[x]
-            if (up == parent[up]).all():
+            up = self.parent[x]
+            if (up == self.parent[up]).all():
                 return up
-            x = parent[up]
+            x = self.parent[up]
 
-    for i in range(0, n, chunk):
-        j = min(i + chunk, n)
-        stop = int(np.searchsorted(ring, ring[j - 1] + distance, "right"))
-        near = np.bitwise_count(sorted_codes[i:j, None] ^ sorted_codes[None, i:stop]) <= distance
-        a, b = np.nonzero(near)
-        a, b = order[a + i], order[b + i]
-        pending = a != b
-        a, b = a[pending], b[pending]
+    def add(self, a: np.ndarray, b: np.ndarray) -> None:
         while len(a):
-            ra, rb = root(a), root(b)
+            ra, rb = self.root(a), self.root(b)
             apart = ra != rb
-            a, b, ra, rb = a[apart], b[apart], ra[apart], rb[apart]
-            np.minimum.at(parent, np.maximum(ra, rb), np.minimum(ra, rb))
-    top = root(np.arange(n))
-    linked = top != np.arange(n)
-    return codes[linked], codes[top[linked]]
+            a, b, low, high = a[apart], b[apart], np.minimum(ra, rb)[apart], np.maximum(ra, rb)[apart]
+            _, one = np.unique(high, return_index=True)  # each root is hung up once; the other pairs are looked at again
+            self.a.append(a[one])
+            self.b.append(b[one])
+            self.parent[high[one]] = low[one]
 
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        none = [np.zeros(0, np.int64)]
+        return np.concatenate(none + self.a), np.concatenate(none + self.b)
 
-def shard_forest(codes: np.ndarray, mask: np.uint64, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """forest() of a shard; one that the sample's tree left large is divided again by a tree of its own."""
+
+def link_ring(codes: np.ndarray, at: np.ndarray, distance: int, links: Links, chunk: int = 256) -> None:
+    """Links what is within the distance, each compared to the ring around a vantage point that the triangle bound leaves."""
+    if len(at) < 2:
+        return
+    far = _bits(codes[at] ^ codes[at[0]])
+    order = np.argsort(far, kind="stable")
+    ring, at = far[order], at[order]
+    for i in range(0, len(at), chunk):
+        j = min(i + chunk, len(at))
+        stop = int(np.searchsorted(ring, ring[j - 1] + distance, "right"))
+        a, b = np.nonzero(np.bitwise_count(codes[at[i:j], None] ^ codes[None, at[i:stop]]) <= distance)
+        links.add(at[a + i][a < b], at[b + i][a < b])
+
+
+def link_equal(codes: np.ndarray, at: np.ndarray, part: int, free: int, distance: int, parts: int, links: Links) -> None:
+    """Links those codes[at] within the distance that are equal in `part`; of a long run, those equal in a part of `free` besides."""
+    value = codes[at] & np.uint64(part)
+    order = np.argsort(value, kind="stable")
+    at, value = at[order], value[order]
+    first = np.flatnonzero(np.append(True, value[1:] != value[:-1]))
+    end = np.append(first[1:], len(at))
+    deep = len(divide(free, parts)) > distance
+    for i, j in zip(first, end):
+        if deep and j - i > RUN:
+            for more in divide(free, parts):
+                link_equal(codes, at[i:j], more, free & ~more, distance, parts, links)
+    stop = np.repeat(np.where(deep & (end - first > RUN), first, end), end - first)
+    i, step = np.arange(len(at)), 1
+    while len(i := i[i + step < stop[i]]):
+        near = i[np.bitwise_count(codes[at[i]] ^ codes[at[i + step]]) <= distance]
+        links.add(at[near], at[near + step])
+        step += 1
+
+
+def shard_links(codes: np.ndarray, path: str, distance: int, bits: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Linked pairs of a shard: their components are those of all its pairs that its part is there to find."""
     codes = np.unique(codes)
-    if len(codes) <= 8 * SHARD_ROWS:
-        return forest(codes, distance)
-    depth = int(np.ceil(np.log2(len(codes) / SHARD_ROWS)))
-    tree = build_tree(codes[:: max(1, len(codes) // SAMPLE)], mask, depth)
-    links = [forest(codes[at], distance) for _, at in route(tree, codes, mask, distance // len(HALVES))]
-    return np.concatenate([a for a, _ in links]), np.concatenate([b for _, b in links])
+    links = Links(len(codes))
+    if distance // parts:
+        link_ring(codes, np.arange(len(codes)), distance, links)
+    else:
+        free, part = free_bits(path, bits, parts)
+        link_equal(codes, np.arange(len(codes)), part, free, distance, parts, links)
+    a, b = links.pairs()
+    return codes[a], codes[b]
 
 
-def _search(distance: int):
+def _search(distance: int, bits: int, parts: int):
     def run(key, table):
+        path = key[0].as_py()
         codes = np.frombuffer(b"".join(x.as_py() for x in table.column("codes")), np.uint64)
-        a, b = shard_forest(codes, HALVES[key[0].as_py() % 2], distance)
-        return pa.table({"a": pa.array(a.view(np.int64)), "b": pa.array(b.view(np.int64))})
+        a, b = shard_links(codes, path, distance, bits, parts)
+        return pa.table({"tab": pa.array(np.full(len(a), int(path.split("/")[0]), np.int32)), "a": pa.array(a.view(np.int64)), "b": pa.array(b.view(np.int64))})
 
     return run
 
 
-def near_links(codes: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """Distinct (code) -> links (a, b) whose components are those of all pairs within `distance`."""
-    n = codes.count()
+def near_links(codes: DataFrame, distance: int = DISTANCE, bits: int = BITS, parts: int = PARTS) -> DataFrame:
+    """Distinct (tab, code) -> links (tab, a, b) within `distance`, whose components are those of all such pairs of a tab."""
+    tabs, n = codes.agg(F.count_distinct("tab"), F.count(F.lit(1))).first()
     sample = smallest_hashes(codes.select("code"), SAMPLE)  # bounded: the trees only divide the work
     points = np.array([r[0] for r in sample.collect()], np.int64).view(np.uint64)
-    depth = max(0, int(np.ceil(np.log2(max(1, n / SHARD_ROWS)))))
-    trees = [build_tree(points, mask, depth) for mask in HALVES]
-    radius = distance // len(HALVES)
-    sent = codes.coalesce(max(1, min(partitions(codes.sparkSession), n // 20_000 + 1))).mapInArrow(_send(trees, radius), "shard long, codes binary")
-    return sent.groupBy("shard").applyInArrow(_search(distance), "a long, b long")
+    most = len(points) * SHARD_ROWS * max(1, tabs) / max(1, n)
+    send = _send(points, most, bits, parts, distance // parts)
+    sent = codes.select("tab", "code").mapInArrow(_blocks, "path string, codes binary")
+    found, schema = None, "tab int, a long, b long"
+    for level in range(LEVELS):
+        sent = cut(sent.mapInArrow(send, "path string, codes binary"))
+        large = sent.groupBy("path").agg(F.sum(F.octet_length("codes")).alias("size")).filter(F.col("size") > 8 * LIMIT)
+        large = cut(large.select("path"))
+        last = level == LEVELS - 1 or large.isEmpty()
+        here = sent if last else sent.join(large, "path", "left_anti")
+        links = here.groupBy("path").applyInArrow(_search(distance, bits, parts), schema)
+        found = links if found is None else found.unionByName(links)
+        if last:
+            return found
+        sent = sent.join(large, "path", "left_semi")
 
 
 def near_components(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """(doc_id, key, code, root, component_id) for every row of docs; root tells components apart, even where doc_ids repeat."""
     prints = cut(fingerprints(docs, shingle))
     nodes = cut(prints.groupBy("code").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n")))
-    roots = connected_components(near_links(nodes.select("code"), distance))
+    links = near_links(nodes.select(F.lit(0).alias("tab"), "code"), distance)
+    roots = connected_components(links.select("a", "b"))
     linked = nodes.join(roots, nodes["code"] == roots["node"], "left").select("code", "first_id", F.coalesce("root", "code").alias("root"))
     linked = cut(linked)
     least = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
