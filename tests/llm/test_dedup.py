@@ -1,6 +1,7 @@
 """Deduplicators against brute force, on documents with every awkward case."""
 
 import hashlib
+import random
 import re
 import uuid
 from collections import Counter, defaultdict
@@ -75,14 +76,25 @@ def brute_bytes(rows, length):
 
 
 def test_suffix_dedup(docs, rows, no_docs):
-    small = [r for r in rows if len(r[1] or "") < 20_000]
-    few = docs.filter("text is null or length(text) < 20000")
     for length in (400, 60):
-        found = suffix_dedup.digests(few, length).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
-        same(found, brute_bytes(small, length))
+        found = suffix_dedup.digests(docs, length).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+        same(found, brute_bytes(rows, length))
     assert suffix_dedup.digests(no_docs).count() == 0
 
 
+def test_suffix_dedup_of_runs_and_shared_beginnings(spark):
+    """Long runs of one byte, passages that agree in their first 399 bytes only, and passages shifted against each other."""
+    rng = random.Random(2)
+    text = lambda n: "".join(rng.choice("abc ") for _ in range(n))
+    base, run, tail = text(900), "x" * 1000, text(450)
+    texts = [base, base[:399] + text(300), text(50) + base[501:], base[3:402], base[3:403], run, run[:401] + "y" + run[:399], "y" + run[:400], "ab" * 700]
+    texts += [text(20) + tail + text(k) for k in (0, 1, 700)] + [tail[:225] + tail[226:], "é" * 250, "é" * 199 + "e"]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = suffix_dedup.digests(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+    same(found, brute_bytes(rows, 400))
+
+
 def test_suffix_dedup_text(docs, rows):
     out = suffix_dedup.without_repeats(docs)
     assert out.columns == docs.columns and out.count() == len(rows)

@@ -102,6 +102,22 @@ def spans_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
     return mix((prefix[end] - prefix[start]) * down[start] + (end - start).astype(np.uint64))
 
 
+def anchors(prefix: np.ndarray, n: int, gram: int, reach: int) -> np.ndarray:
+    """For each of the n - gram - reach + 2 runs of `reach` grams among n codes, the place of its smallest gram hash.
+
+    Of grams whose hashes agree in 32 bits the first is taken, so equal codes have their anchors at equal places everywhere.
+    """
+    at = np.arange(n - gram + 1, dtype=np.uint64)
+    low = (spans_hash(prefix, at.astype(np.int64), at.astype(np.int64) + gram) >> np.uint64(32) << np.uint64(32)) | at
+    size = 1
+    while 2 * size <= reach:
+        low = np.minimum(low[:-size], low[size:])
+        size *= 2
+    if size < reach:
+        low = np.minimum(low[: len(low) - (reach - size)], low[reach - size :])
+    return (low & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
+
 def blocks_of(offsets: np.ndarray, limit: int):
     """Runs (i, j) of consecutive rows with about `limit` bytes together, one row at least."""
     i, n = 0, len(offsets) - 1

@@ -22,5 +22,6 @@ def oracle_sql():
     return {
         "op4_exact_dedup": exact_dedup.ORACLE,
         "op5_chat_format": chat.ORACLE,
+        "op7_suffix_dedup": suffix_dedup.ORACLE,
         "op9_window_dedup": window_dedup.ORACLE,
     }

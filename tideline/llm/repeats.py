@@ -1,6 +1,6 @@
 """Repeated windows of a fixed length, in whole corpora, without moving every window.
 
-Both deduplicators of passages use this: one over bytes, one over words ("units" here). A window is `length` consecutive
+The level-wise deduplicator of passages is built on this. A window is `length` consecutive
 units of one text. Each window is charged to its anchor, the first place in it with the smallest hash of a short gram;
 equal windows have their anchors at equal offsets. Neighbouring windows with one anchor, cut at multiples of `width` of
 that offset, form a block. All windows of a block share its core (length - width + 1 units) and lie in its hull, so
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks_of, body, cut, mix, prefixes, spans_hash, text_buffers
+from .common import anchors, blocks_of, body, cut, mix, prefixes, spans_hash, text_buffers
 
 SLICE = 1 << 21  # bytes of text worked on at once
 
@@ -47,29 +47,13 @@ def row_id() -> list[Column]:
     return [F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.hash(body()).alias("key")]
 
 
-def _anchors(prefix: np.ndarray, n: int, w: Windows) -> np.ndarray:
-    """For each window start, the place of its anchor."""
-    grams = n - w.gram + 1
-    reach = w.length - w.gram + 1
-    bits = max(1, int(grams).bit_length())
-    at = np.arange(grams)
-    low = (spans_hash(prefix, at, at + w.gram) >> np.uint64(bits) << np.uint64(bits)) | at.astype(np.uint64)
-    size = 1
-    while 2 * size <= reach:
-        low = np.minimum(low[:-size], low[size:])
-        size *= 2
-    if size < reach:
-        low = np.minimum(low[: len(low) - (reach - size)], low[reach - size :])
-    return (low & np.uint64((1 << bits) - 1)).astype(np.int64)
-
-
 def _blocks(codes: np.ndarray, first: np.ndarray, w: Windows):
     """(text, core, hull, first start, starts) of the blocks of texts laid end to end."""
     n = len(codes)
     if n < w.length:
         return None
     prefix = prefixes(codes)
-    anchor = _anchors(prefix, n, w)
+    anchor = anchors(prefix, n, w.gram, w.length - w.gram + 1)
     at = np.arange(len(anchor))
     text = np.searchsorted(first, at, "right") - 1
     whole = at + w.length <= first[text + 1]
@@ -243,7 +227,7 @@ def with_runs(docs: DataFrame, runs: DataFrame) -> DataFrame:
     return texts.join(of_text, ["doc_id", "key"]).select("doc_id", "key", "text", "runs").dropDuplicates(["doc_id", "key"])
 
 
-def apply_runs(docs: DataFrame, runs: DataFrame, w: Windows, cut_out: Callable) -> DataFrame:
+def apply_runs(docs: DataFrame, runs: DataFrame, length: int, cut_out: Callable) -> DataFrame:
     """(doc_id, key, n_removed, n_spans, kept_text, kept_sha256) of the documents that lose something.
 
     kept_sha256 is of the kept bytes; kept_text leaves out code points that a removed run cut in half.
@@ -259,7 +243,7 @@ def apply_runs(docs: DataFrame, runs: DataFrame, w: Windows, cut_out: Callable)
             ends = runs.offsets.to_numpy()
             removed, spans, kept = [], [], []
             for i, text in enumerate(batch.column("text").cast(pa.large_binary())):
-                begin, end = covered(los[ends[i] : ends[i + 1]], counts[ends[i] : ends[i + 1]], w.length)
+                begin, end = covered(los[ends[i] : ends[i + 1]], counts[ends[i] : ends[i + 1]], length)
                 removed.append(int((end - begin).sum()))
                 spans.append(len(begin))
                 kept.append(cut_out(text.as_py(), begin, end))

@@ -64,7 +64,7 @@ def windows(length: int = LENGTH, first: int = FIRST) -> Windows:
 def repeated_words(docs: DataFrame, length: int = LENGTH, first: int = FIRST) -> DataFrame:
     """(doc_id, key, n_removed, n_spans, kept_text, kept_sha256) of the documents that lose words."""
     w = windows(length, first)
-    return apply_runs(docs, cut(repeated_windows(docs, w, keep_first=True)), w, _cut_words)
+    return apply_runs(docs, cut(repeated_windows(docs, w, keep_first=True)), w.length, _cut_words)
 
 
 def digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
