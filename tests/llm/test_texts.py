@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+from collections import Counter
 from pathlib import Path
 
 import numpy as np
@@ -9,6 +10,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tideline.llm import chat, licenses, order_minhash, packing, pieces, quality
+from tideline.llm.common import row_key
+
+from .test_dedup import brute_groups, brute_print
 
 
 def sha(x):
@@ -173,6 +177,39 @@ def test_pack_documents(docs, rows, no_docs):
     assert packing.pack_documents(no_docs).count() == 0
 
 
+def test_pack_documents_against_brute_force(docs, rows):
+    """One group of documents: near copies of SimHash are clusters, parts beyond a bin fill bins of their own."""
+    codes = [brute_print(r[1]) for r in rows]
+    signed = [c - (1 << 64) if c >> 63 else c for c in codes]
+    groups = brute_groups(codes, 3)
+    root = [min(signed[i] for i, h in enumerate(groups) if h == g) for g in groups]
+    items = [(len((r[1] or "").split()), r[3] or "", c, r[0]) for r, c in zip(rows, root)]
+    items.sort(key=lambda x: (-x[0], -1 if x[3] is None else x[3], x[2], x[1]))
+    rest = []
+    for n, source, cluster, doc in items:
+        full = (n - 1) // 100 if n else 0
+        rest.append((n - 100 * full, source, cluster, doc, full))
+    rest.sort(key=lambda x: -x[0])
+    placed = brute_pack([x[:3] for x in rest], 100, 2)
+    fill = {}
+    for (n, *_), (b, _) in zip(rest, placed):
+        fill[b] = fill.get(b, 0) + n
+    want = [(doc, full, n, at, fill[b]) for (n, _, _, doc, full), (b, at) in zip(rest, placed)]
+    want += [(doc, part, 100, 0, 100) for *_, doc, full in rest for part in range(full)]
+    found = [(r.doc_id, r.part, r.length, r.offset, r.bin_fill) for r in packing.pack_documents(docs, 100, 2).collect()]
+    assert Counter(found) == Counter(want)
+
+
+def test_pack_with_clusters_of_the_caller(spark):
+    table = spark.range(40).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"), F.col("id").cast("string").alias("source"))
+    clusters = table.select(row_key().alias("key"), (F.col("doc_id") % 4).alias("cluster"))
+    out = packing.pack_documents(table, clusters=clusters).collect()
+    bins = {}
+    for r in out:
+        bins.setdefault(r.bin_id, []).append(r.doc_id % 4)
+    assert len(bins) == 10 and all(sorted(x) == [0, 1, 2, 3] for x in bins.values())
+
+
 def test_pack_a_row_repeated_often(spark):
     table = spark.range(700).select(F.lit(3).alias("doc_id"), F.lit("two words").alias("text"), F.lit("s").alias("source"))
     out = packing.pack_documents(table).collect()

@@ -1,17 +1,20 @@
 """Best-fit packing of documents into bins of equal capacity, under conflicts.
 
-A bin may not hold two documents of one duplicate cluster, nor more than PER_SOURCE documents of one source; it carries
+A duplicate cluster is a component of near copies as operator 10 finds them (three-word SimHash at 3 bits, exact copies among
+them), unless the caller brings a table of clusters. A bin may not hold two documents of one cluster, nor more than PER_SOURCE documents of one source; it carries
 a bitmap of its clusters and PER_SOURCE bitmaps of its sources (a source's bit stands in as many of them as the bin holds documents of
 it). Bins stand in order of what is left in them; a document goes to the tightest bin that has room and no conflict, found by
 going on from the tightest with room through its successors, and opens a bin only if none is compatible. Documents come
 longest first. Those longer than a bin fill whole bins of their own, and the rest is packed like any other document.
 
 Documents are dealt by a hash to groups of about GROUP rows, each packed by itself from (id, source, cluster, length), never
-texts: a bounded number of small rows a task, whatever source or cluster is hot. Rows alike in all four are counted first
+texts: a bounded number of small rows a task, whatever source or cluster is hot. Lengths are words split at white space. Rows alike in all four are counted first
 and dealt in lots of at most LOT, so a row repeated any number of times is spread over groups too.
 
 Defined results: null sources are one source; null and empty texts have length 0 and take a place like others; rows
-repeated are packed each (in different bins, being one cluster); an empty table gives no bins.
+repeated are packed each (in different bins, being one cluster); a null doc_id is packed like others; texts longer than a bin
+are divided, never cut short; columns beyond doc_id, text and source are neither read nor in the way; an empty table gives
+no bins.
 """
 
 from __future__ import annotations
@@ -22,7 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, body, partitions, read_documents
+from .common import SPACE, body, cut, partitions, read_documents, row_key
+from .simhash import near_components
 
 CAPACITY = 2048
 PER_SOURCE = 2
@@ -97,14 +101,21 @@ def _pack_group(capacity: int, per_source: int):
     return run
 
 
-def pack_documents(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE) -> DataFrame:
-    """(doc_id, part, length, bin_id, offset, bin_fill): a row for each part of each document."""
+def pack_documents(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE, clusters: DataFrame | None = None) -> DataFrame:
+    """(doc_id, part, length, bin_id, offset, bin_fill): a row for each part of each document.
+
+    clusters: (key, cluster) with key as common.row_key() makes it; a row without one is a cluster of its own text.
+    """
+    if clusters is None:
+        clusters = near_components(docs).select("key", F.col("root").alias("cluster"))
     items = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
-        F.xxhash64(F.regexp_replace(body(), SPACE, " ")).alias("cluster"), words().alias("length"),
+        row_key().alias("key"), words().alias("length"),
     )
-    groups = max(1, -(-docs.count() // GROUP))
-    lots = items.groupBy("doc_id", "source", "cluster", "length").agg(F.count(F.lit(1)).alias("n"))
+    lots = items.groupBy("doc_id", "source", "key", "length").agg(F.count(F.lit(1)).alias("n"))
+    lots = lots.join(clusters.groupBy("key").agg(F.min("cluster").alias("cluster")), "key", "left").withColumn("cluster", F.coalesce("cluster", "key"))
+    lots = cut(lots.groupBy("doc_id", "source", "cluster", "length").agg(F.sum("n").alias("n")))
+    groups = max(1, -(-(lots.agg(F.sum("n")).first()[0] or 0) // GROUP))
     lots = lots.withColumn("lot", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / LOT))))
     dealt = lots.withColumn("group", F.pmod(F.xxhash64("doc_id", "cluster", "lot"), F.lit(groups)))
     schema = "doc_id long, part long, length long, bin_id long, offset long, bin_fill long"
