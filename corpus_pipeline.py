@@ -2,10 +2,14 @@
 
 quality      documents that the PU classifier scores below its threshold go
 exact_dedup  of texts equal up to white space, the smallest doc_id stays
-near_dedup   of each component of near copies (five-word shingles, Jaccard similarity 0.8 or more), the smallest doc_id stays
-suffix_dedup passages of 400 bytes that also stand elsewhere are cut out of the texts
+near_dedup   SimHash over five-word shingles: of each component of near copies (Jaccard similarity 0.8 or more), the smallest
+             doc_id stays
+suffix_dedup passages of 50 words that also stand elsewhere are cut out of the texts, in all their copies
 packing      what is left is packed into bins, no two documents of one cluster and few of one source together
 
+Each stage is one of the operators; the near stage is operator 10 at a similarity instead of a number of bits, the suffix stage
+operator 7 over words instead of bytes: a passage of 50 words has some 300 bytes, so the 400 bytes of op7 would leave it.
+
 The first four return the columns of documents; the last returns one row per packed part.
 """
 

@@ -1,11 +1,13 @@
 """The pipeline's stages, one after the other, against brute force on what each was given."""
 
+import random
 import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
-from .test_dedup import brute_groups, brute_print
+from .test_near_copies import brute
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
@@ -14,16 +16,16 @@ def squeezed(text):
     return re.sub(r"[ \t\n\x0b\x0c\r]+", " ", text or "")
 
 
-def without_repeats(texts, length=400):
-    raw = [(t or "").encode() for t in texts]
-    seen = Counter(b[p : p + length] for b in raw for p in range(len(b) - length + 1))
+def without_repeats(texts, length=50):
+    """Passages of `length` words that stand twice or more are cut out, with the white space after them."""
+    places = [[m.span() for m in re.finditer(r"[^ \t\n\x0b\x0c\r]+", t or "")] for t in texts]
+    words = [[t[a:b] for a, b in p] for t, p in zip(texts, places)]
+    seen = Counter(tuple(w[p : p + length]) for w in words for p in range(len(w) - length + 1))
     out = []
-    for b in raw:
-        gone = bytearray(len(b))
-        for p in range(len(b) - length + 1):
-            if seen[b[p : p + length]] > 1:
-                gone[p : p + length] = b"\1" * length
-        out.append(bytes(x for x, g in zip(b, gone) if not g).decode(errors="ignore"))
+    for t, p, w in zip(texts, places, words):
+        gone = {i + k for i in range(len(w) - length + 1) if seen[tuple(w[i : i + length])] > 1 for k in range(length)}
+        starts = [a for a, _ in p] + [len(t or "")]
+        out.append((t or "")[: starts[0]] + "".join(t[starts[i] : starts[i + 1]] for i in range(len(w)) if i not in gone))
     return out
 
 
@@ -45,7 +47,7 @@ def check_stages(spark, docs, sf_dir, place):
         elif name == "exact_dedup":
             assert len(got) == len({squeezed(r.text) for r in given}) == len({squeezed(r.text) for r in got})
         elif name == "near_dedup":
-            groups = brute_groups([brute_print(r.text) for r in given], 3)
+            groups = brute([(r.doc_id, r.text) for r in given])
             assert len(got) == len(set(groups))
             least = Counter(min((r.doc_id for r, h in zip(given, groups) if h == g and r.doc_id is not None), default=None) for g in set(groups))
             assert Counter(r.doc_id for r in got) == least
@@ -86,3 +88,22 @@ def test_run(spark, tmp_path):
     assert kept > 0
     show = lambda df: sorted(map(tuple, df.collect()))
     assert show(corpus_pipeline.run(spark, sf_dir)) == show(last)
+
+
+def test_planted_passages_go_and_clean_documents_stay(spark):
+    """Passages of 51 to 80 words, each in three documents; copies of 49 words or fewer are no passage."""
+    rng = random.Random(13)
+    words = lambda n: [f"{rng.choice('abcdefgh')}{rng.randrange(10**5)}" for _ in range(n)]
+    rows, planted = [], []
+    for n in range(51, 81):
+        passage = words(n)
+        planted.append(" ".join(passage))
+        for k in range(3):
+            rows.append((len(rows), " ".join(words(rng.randrange(5, 90))) + "\n" + planted[-1] + (" " + " ".join(words(rng.randrange(1, 90))) if k else "")))
+    short = " ".join(words(49))
+    clean = {i: t for i, t in ((1000 + k, f"{' '.join(words(60))} {short} {' '.join(words(20))}") for k in range(40))}
+    docs = spark.createDataFrame(rows + list(clean.items()), "doc_id long, text string").withColumn("n_chars", F.length("text").cast("long")).repartition(3)
+    got = {r.doc_id: r.text for r in corpus_pipeline.suffix_stage(spark, docs, "").collect()}
+    assert all(got[i] == t for i, t in clean.items())
+    assert not [i for i, t in rows if any(p in got[i] for p in planted)]
+    assert [got[i] for i, _ in rows] == without_repeats([t for _, t in rows])
