@@ -1,6 +1,7 @@
 """Encoding, fingerprints, chats, licences, packing and the classifier."""
 
 import hashlib
+import random
 import re
 from collections import Counter
 from pathlib import Path
@@ -145,6 +146,48 @@ def test_licenses(docs, rows, no_docs):
     assert licenses.scan_licenses(no_docs).count() == 0
 
 
+def brute_license(words, idf):
+    """(labels of the templates, best score): every template at every place, word by word."""
+    labels, best = set(), 0.0
+    for label, text, key in licenses.TEMPLATES:
+        form, key = licenses._words(text), key.split()
+        total = sum(idf[w] for w in form)
+        if sum(idf[w] for w in form if w in words) < 0.8 * total - 1e-9:
+            continue  # no place can reach it
+        for s in range(-len(form), len(words) + 1):
+            got = sum(idf[w] for k, w in enumerate(form) if 0 <= s + k < len(words) and words[s + k] == w) / total
+            inside = range(max(s, 0), min(s + len(form), len(words)) - len(key) + 1)
+            if got >= 0.8 and any(words[i : i + len(key)] == key for i in inside):
+                labels.add(label)
+                best = max(best, got)
+    return labels, best
+
+
+def test_license_templates_against_brute_force(spark):
+    """Whole texts, texts with words lost, put in, changed or cut off, and several licences in a file."""
+    rng = random.Random(4)
+    filler = lambda n: [rng.choice(["the", "of", "software", "x", "license", "copy", "zz9"]) for _ in range(n)]
+    files = [[], ["mit", "license"], filler(200)]
+    for _, text, _ in licenses.TEMPLATES:
+        form = licenses._words(text)
+        files.append(filler(9) + form + filler(4))
+        at = rng.randrange(len(form))
+        files += [form[:at] + form[at + 1 :], form[:at] + ["added"] + form[at:], form[: int(0.85 * len(form))], form[len(form) // 6 :]]
+        files.append([w if rng.random() < 0.93 else "other" for w in form] * 2)
+    files.append([w for _, text, _ in licenses.TEMPLATES[::3] for w in licenses._words(text) + filler(3)])
+    docs = spark.createDataFrame([(i, " ".join(w).upper()) for i, w in enumerate(files)], "doc_id long, text string").repartition(3)
+    idf = dict(zip(licenses.WORDS, licenses.inverse_frequencies(docs)))
+    base = {label for _, label in licenses.BASE}
+    found = {r.doc_id: r for r in licenses.scan_licenses(docs).collect()}
+    several = 0
+    for i, words in enumerate(files):
+        labels, best = brute_license(words, idf)
+        assert set(found[i].labels.split(",")) - base - {""} == labels, (i, words[:8])
+        assert abs(found[i].score - best) < 1e-9
+        several += len(labels) > 2
+    assert several and {x for r in found.values() for x in r.labels.split(",")} >= {t[0] for t in licenses.TEMPLATES}
+
+
 def brute_pack(items, capacity, per_source):
     bins = []
     out = []
