@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as entry
 
 DIR = Path("/root/testdata/sf0.001")
-NAMES = ["m07_half_hours", "m08_mix_wide", "m12_dim_date", "m21_snapshots", "m24_report_window", "m29_weekly_profile", "m33_seasonal_summary", "m36_snapshot_accuracy", "m38_country_comparison", "q31_same_period_last_year", "qc03_unexpected_gaps", "qc16_suite", "inc3_merged_gaps", "inc5_chunks", "f02_features", "st2_saving_interval", "src06_regional_mix_json", "snk1_classify", "str2_half_hourly", "fn_time_functions"]
+NAMES = ["m07_half_hours", "m08_mix_wide", "m12_dim_date", "m21_snapshots", "m24_report_window", "m29_weekly_profile", "m33_seasonal_summary", "m36_snapshot_accuracy", "m38_country_comparison", "q31_same_period_last_year", "qc03_unexpected_gaps", "qc16_suite", "inc3_merged_gaps", "inc5_chunks", "f02_features", "st2_saving_interval", "src06_regional_mix_json", "snk1_classify", "str2_half_hourly", "fn_time_functions", "src01_scan", "src10_seed_csv", "snk5_star_export", "snk7_restore", "snk8_refresh", "inc7_report", "q25_annual_csv", "q20_compare_runs", "qc14_oracle_never_beaten", "qc15_bad_window", "f07_training_rows"]
 
 
 @pytest.fixture(scope="module")

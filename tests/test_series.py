@@ -33,11 +33,6 @@ def test_spine_fills_and_flags(spark):
     assert rows == [(100, 110, False, False, False, False), (None, None, True, False, False, True), (None, None, False, True, True, True)]
 
 
-def test_summer_time(spark):
-    w = Warehouse(Given(spark, [(ts("2026-07-01T23:30"), 100, 110, "low")]))
-    assert tuple(w.half_hours.select("local_date", "date_key", "time_key").first()) == (dt.date(2026, 7, 2), 20260702, 1)
-
-
 def test_spring_change_skips_slots(spark):
     times = [(ts("2026-03-29T00:00") + dt.timedelta(minutes=30 * k),) for k in range(4)]
     out = spark.createDataFrame(times, "ts timestamp_ntz").orderBy("ts").select(fn.slot(fn.to_local("ts")).alias("s"))
@@ -60,16 +55,6 @@ def test_rolling_equals_one_window(spark):
     assert got.exceptAll(want).isEmpty() and got.count() == 1000
 
 
-def test_savings(spark):
-    days = [(dt.date(2026, 1, d), 100.0, 150.0, 200.0, 125.0, p, 75.0, 60.0) for d, p in ((1, 70.0), (2, 80.0), (3, None))]
-    df = spark.createDataFrame(days, "day date, fixed_0000 double, fixed_0900 double, fixed_1700 double, any_start double, profile_guided double, forecast_guided double, oracle double")
-    out = {r.strategy: r for r in savings_of(df.dropna(subset=["profile_guided", "forecast_guided"]), Params()).collect()}
-    assert {k: (v.days, v.mean_job, v.saving_1700_pct, v.kg_per_run) for k, v in out.items()} == {
-        "fixed_0000": (2, 100, 50, 40), "fixed_0900": (2, 150, 25, 60), "fixed_1700": (2, 200, 0, 80), "any_start": (2, 125, 37.5, 50),
-        "profile_guided": (2, 75, 62.5, 30), "forecast_guided": (2, 75, 62.5, 30), "oracle": (2, 60, 70, 24),
-    }
-
-
 def test_ties_go_to_the_earliest_slot(spark):
     rows = []
     for day in range(40):
@@ -96,12 +81,6 @@ def test_newey_west(spark):
     assert out.variance == pytest.approx(14 / 4 + 2 * 0.5 * -3 / 4)
 
 
-def test_bootstrap_of_a_constant_ratio(spark):
-    pairs = [(i, 0.85 * (100 + i % 5), 100.0 + i % 5) for i in range(60)]
-    out = stats.saving_interval(spark.createDataFrame(pairs, "i long, rule double, base double"), 7, 100).first()
-    assert (round(out.estimate, 9), round(out.lower, 9), round(out.upper, 9)) == (15.0, 15.0, 15.0)
-
-
 def test_diebold_mariano_is_undefined_without_variation(spark):
     losses = [(i, 1.0, 1.0) for i in range(20)]
     assert stats.diebold_mariano(spark.createDataFrame(losses, "i long, a double, b double")).first().statistic is None
@@ -116,16 +95,6 @@ def test_common_sample(spark):
     assert [(r.band, r.n, r.coverage_pct) for r in fc.by_lead(p).collect()] == [("0-1 h", 1, 100.0)]
 
 
-def half_hours(spark, days):
-    import math
-
-    rows = []
-    for k in range(48 * days):
-        a = 150 + 40 * math.sin(2 * math.pi * k / 48) + 15 * math.sin(2 * math.pi * k / 336) + 8 * random.Random(k).gauss(0, 1)
-        rows.append((k, ts("2025-01-01T00:00") + dt.timedelta(minutes=30 * k), a, a + random.Random(-k).gauss(0, 5)))
-    return spark.createDataFrame(rows, "idx long, ts timestamp_ntz, actual double, forecast double")
-
-
 HOLIDAYS = "day date, name string"
 
 
@@ -154,15 +123,6 @@ def test_horizons_weigh_alike(spark):
     assert rows.agg(F.avg("weight")).first()[0] == pytest.approx(1)
 
 
-def test_model_learns_the_daily_cycle(spark):
-    s = half_hours(spark, 40).cache()
-    cal = fc.calendar(s, spark.createDataFrame([], HOLIDAYS))
-    origin = s.filter("idx in (1700, 1748, 1796)").select("idx")
-    model = fc.Forecaster(fc.Settings(calibration_days=6, trees=8, depth=4, rate=0.3)).fit(s, cal, 1690)
-    out = fc.baselines(model.predict(fc.features(s, cal, origin))).agg(F.avg(F.abs(F.col("model") - F.col("actual"))).alias("m"), F.avg(F.abs(F.col("persistence") - F.col("actual"))).alias("p"), F.min((F.col("model_p10") <= F.col("model")) & (F.col("model") <= F.col("model_p90"))).alias("ordered")).first()
-    assert out.m < 0.7 * out.p and out.ordered
-
-
 def test_intervals(spark):
     t = lambda x: ts(f"2026-01-0{x}T00:00")
     df = spark.createDataFrame([("a", t(1), t(2)), ("a", t(2), t(3)), ("a", t(5), t(6)), ("b", t(1), t(4)), ("b", t(2), t(3))], "k string, start_ts timestamp_ntz, end_ts timestamp_ntz")
@@ -261,8 +221,228 @@ def test_plan_has_a_limit_for_each_dataset(spark):
         intervals.plan(df, [], "dataset", {"national": 30})
 
 
-def test_snapshots_are_stamped_only_near_the_clock(spark):
-    rows = spark.createDataFrame([(1,)], "forecast int")
-    clock = F.lit("2026-01-01 10:10:00").cast("timestamp_ntz")
-    assert readers.issued_now(rows, "2026-01-01 10:00:00", clock).count() == 1
-    assert readers.issued_now(rows, "2026-01-01 09:00:00", clock).count() == 0
+def test_the_hour_that_comes_twice(spark):
+    """Both clock hours of an autumn night keep their own UTC rows under one local slot and date."""
+    rows = [(ts("2023-10-29T00:00") + dt.timedelta(minutes=30 * k), 50, 60 + k, "low") for k in range(4)]
+    w = Warehouse(Given(spark, rows))
+    out = w.half_hours.orderBy("ts").select("date_key", "time_key", "actual").collect()
+    assert [tuple(r) for r in out] == [(20231029, 2, 60), (20231029, 3, 61), (20231029, 2, 62), (20231029, 3, 63)]
+
+
+def test_savings_are_taken_over_complete_days_only(spark):
+    """Three days of which the second lacks a profile; 8 hours at 250 kW."""
+    names = ("fixed_0000", "fixed_0900", "fixed_1700", "any_start", "profile_guided", "forecast_guided", "oracle")
+    days = [(dt.date(2022, 5, 1), 90.0, 300.0, 240.0, 210.0, 120.0, 150.0, 60.0), (dt.date(2022, 5, 2), 1.0, 1.0, 1.0, 1.0, None, 1.0, 1.0), (dt.date(2022, 5, 3), 110.0, 500.0, 160.0, 190.0, 200.0, 50.0, 40.0)]
+    df = spark.createDataFrame(days, "day date, " + ", ".join(f"{n} double" for n in names))
+    out = {r.strategy: r for r in savings_of(df.dropna(subset=["profile_guided", "forecast_guided"]), Params(job_hours=8, job_kw=250)).collect()}
+    for n in names:
+        mean = (days[0][1 + names.index(n)] + days[2][1 + names.index(n)]) / 2
+        row = out[n]
+        assert (row.days, row.mean_job, row.kg_per_run) == (2, mean, mean * 2)
+        assert row.saving_0900_pct == pytest.approx(100 * (400 - mean) / 400) and row.saving_0000 == 100 - mean
+
+
+def test_bootstrap_against_whole_resamples(spark):
+    """Block sums by running sums are those of the resampled rows themselves."""
+    rng = random.Random(8)
+    pairs = [(i, rng.uniform(1, 9), rng.uniform(10, 20)) for i in range(23)]
+    got = stats.saving_interval(spark.createDataFrame(pairs, "i long, rule double, base double"), 5, 60).first()
+    drawn = {}
+    for r in stats.block_starts(spark, 23, 5, 60).collect():
+        drawn.setdefault(r.r, []).extend(range(r.start, r.start + r.size))
+    assert all(len(x) == 23 for x in drawn.values())
+    savings = sorted(100 * (1 - sum(pairs[i][1] for i in x) / sum(pairs[i][2] for i in x)) for x in drawn.values())
+    at = 0.025 * 59
+    assert got.lower == pytest.approx(savings[1] + (savings[2] - savings[1]) * (at - 1))
+    assert got.estimate == pytest.approx(100 * (1 - sum(p[1] for p in pairs) / sum(p[2] for p in pairs)))
+
+
+def half_hours(spark, days):
+    """A tent over the day, lower at weekends, with a rough edge that repeats every 101 half-hours."""
+    rows = []
+    for k in range(48 * days):
+        a = 220.0 - 5 * abs(k % 48 - 31) - (25 if k // 48 % 7 > 4 else 0) + k * 7919 % 101 / 12
+        rows.append((k, ts("2025-01-01T00:00") + dt.timedelta(minutes=30 * k), a, a + k * 104729 % 13 - 6))
+    return spark.createDataFrame(rows, "idx long, ts timestamp_ntz, actual double, forecast double")
+
+
+def test_fitted_forecasts_beat_the_last_value(spark):
+    s = half_hours(spark, 40).cache()
+    cal = fc.calendar(s, spark.createDataFrame([], HOLIDAYS))
+    origin = s.filter("idx in (1700, 1748, 1796)").select("idx")
+    model = fc.Forecaster(fc.Settings(calibration_days=6, trees=8, depth=4, rate=0.3)).fit(s, cal, 1690)
+    out = fc.baselines(model.predict(fc.features(s, cal, origin))).agg(F.avg(F.abs(F.col("model") - F.col("actual"))).alias("m"), F.avg(F.abs(F.col("persistence") - F.col("actual"))).alias("p"), F.min((F.col("model_p10") <= F.col("model")) & (F.col("model") <= F.col("model_p90"))).alias("ordered")).first()
+    assert out.m < 0.7 * out.p and out.ordered
+
+
+def test_conformal_is_the_interpolated_order_statistic(spark):
+    rng = random.Random(5)
+    rows = [(h, rng.gauss(0, 9), -4.0, 5.0) for h in (1, 12, 13, 24) for _ in range(rng.randint(3, 40))]
+    got = {r.lead_band: (r.widening, r.n) for r in fc.conformal(spark.createDataFrame(rows, "horizon int, y double, lo double, hi double")).collect()}
+    for band in (0, 1):
+        scores = sorted(max(lo - y, y - hi) for h, y, lo, hi in rows if (h - 1) // 12 == band)
+        n = len(scores)
+        at = min(1.0, -(-(n + 1) * 8 // 10) / n) * (n - 1)
+        below = int(at)
+        want = scores[below] + (scores[min(below + 1, n - 1)] - scores[below]) * (at - below)
+        assert got[band] == (pytest.approx(want), n)
+
+
+def test_a_backtest_has_enough_to_train_on(spark):
+    s = fc.Settings()
+    series = half_hours(spark, 30)
+    first = fc.first_cutoff(s)
+    least = {r.idx for r in fc.daily_origins(series, least=first).collect()}
+    assert least and min(least) >= first and least < {r.idx for r in fc.daily_origins(series).collect()}
+    cal = fc.calendar(series, spark.createDataFrame([], HOLIDAYS))
+    assert fc.training_rows(series, cal, min(least), s).count() >= s.least_rows > fc.training_rows(series, cal, first - 2 * s.origin_step, s).count()
+
+
+def test_snapshots_are_stamped_with_the_half_hour(spark):
+    rows = spark.createDataFrame([(7,), (8,)], "forecast int")
+    clock = F.lit("2024-02-29 23:59:00").cast("timestamp_ntz")
+    stamped = readers.issued_now(rows, "2024-02-29 23:41:12", clock).collect()
+    assert {(r.forecast, r.issued) for r in stamped} == {(7, ts("2024-02-29T23:30")), (8, ts("2024-02-29T23:30"))}
+    assert readers.issued_now(rows, "2024-02-29 23:28:59", clock).count() == 0
+
+
+def scattered(seed, many, span):
+    rng = random.Random(seed)
+    return sorted({ts("2024-01-15T00:00") + dt.timedelta(minutes=30 * rng.randrange(span)) for _ in range(many)})
+
+
+def test_following_and_numbering_go_through_months(spark):
+    times = scattered(1, 300, 48 * 200)  # several months, some of them nearly empty
+    rows = [("a", t) for t in times] + [("b", t) for t in times[::50]] + [("c", times[0])]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz").repartition(3)
+    got = {(r.k, r.ts): r.next_ts for r in series.following(df, ["k"], "ts").collect()}
+    for k in "abc":
+        mine = [t for name, t in rows if name == k]
+        assert [got[k, t] for t in mine] == mine[1:] + [None]
+    one = df.filter("k = 'a'").select("ts")
+    assert {r.ts: r.i for r in series.numbered(one, "ts").collect()} == {t: i for i, t in enumerate(times)}
+    assert series.regular(one, [], "ts").count() == sum(b - a != dt.timedelta(minutes=30) for a, b in zip(times, times[1:]))
+
+
+def test_running_sums_go_through_chunks(spark):
+    df = spark.range(500).select(F.col("id").alias("i"), (F.col("id") % 7).cast("double").alias("x"))
+    got = {r.i: r.x for r in series.running_sums(df, "i", ["x"], chunk=64).collect()}
+    total = 0
+    for i in range(500):
+        total += i % 7
+        assert got[i] == total
+
+
+def test_spine_is_made_in_chunks(spark):
+    df = spark.createDataFrame([("a", ts("2024-03-01T00:00")), ("a", ts("2024-03-05T10:30")), ("b", ts("2024-03-01T00:30"))], "k string, ts timestamp_ntz")
+    for chunk in (1, 7, 48, 5000):
+        out = [tuple(r) for r in series.spine(df, ["k"], "ts", chunk).orderBy("k", "ts").collect()]
+        assert out == [("a", ts("2024-03-01T00:00") + dt.timedelta(minutes=30 * i)) for i in range(214)] + [("b", ts("2024-03-01T00:30"))]
+
+
+def test_merging_across_months(spark):
+    rng = random.Random(6)
+    rows = []
+    for _ in range(80):
+        a = ts("2024-01-20T00:00") + dt.timedelta(hours=rng.randrange(24 * 150))
+        rows.append((rng.choice("xy"), a, a + dt.timedelta(hours=rng.choice((1, 5, 24, 24 * 45)))))
+    df = spark.createDataFrame(rows, "k string, start_ts timestamp_ntz, end_ts timestamp_ntz").repartition(3)
+
+    def merged(spans):
+        out = []
+        for a, b in sorted(spans):
+            if out and a <= out[-1][1]:
+                out[-1][1] = max(out[-1][1], b)
+            else:
+                out.append([a, b])
+        return sorted(map(tuple, out))
+
+    assert sorted(map(tuple, intervals.merge(df, []).select("start_ts", "end_ts").collect())) == merged([r[1:] for r in rows])
+    for k in "xy":
+        assert sorted((r.start_ts, r.end_ts) for r in intervals.merge(df, ["k"]).filter(F.col("k") == k).collect()) == merged([r[1:] for r in rows if r[0] == k])
+
+
+def test_known_gaps_excuse_their_own_dataset_only(spark):
+    day = lambda d, h: ts(f"2024-05-{d:02d}T{h:02d}:00")
+    df = spark.createDataFrame([(1, day(1, 0)), (1, day(3, 5)), (1, day(9, 0))], "k int, ts timestamp_ntz")
+    known = spark.createDataFrame([("mine", day(1, 0), day(4, 0)), ("other", day(3, 0), day(10, 0)), ("mine", day(5, 0), day(10, 0))], "dataset string, start_ts timestamp_ntz, end_ts timestamp_ntz")
+    assert [r.start_ts for r in quality.unexpected_gaps(df, ["k"], "ts", known, "mine").collect()] == [ts("2024-05-03T05:30")]
+    assert quality.unexpected_gaps(df, ["k"], "ts", known.filter("false"), "mine").count() == 2
+
+
+def test_rules_of_rows_take_one_scan(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None), (None, "b"), (9, "a")], "v int, s string")
+    rules = [quality.Rule("small", F.col("v") < 5), quality.Rule("named", F.col("s").isNotNull(), F.col("v") > 1, 1, 2), quality.Rule("any", F.lit(True))]
+    assert {tuple(r) for r in quality.check_rows(df, rules).collect()} == {("small", 1, "error"), ("named", 1, "warn"), ("any", 0, "pass")}
+
+
+def test_an_interrupted_upsert_is_finished(spark, tmp_path):
+    path = str(tmp_path / "table")
+    put = lambda *rows: upsert.upsert(spark, path, spark.createDataFrame(rows, "ts timestamp_ntz, v int"), ["ts"], "ts")
+    a, b = ts("2024-01-31T23:30"), ts("2024-02-01T00:00")
+    put((a, 1), (b, 2))
+    whole = spark.createDataFrame([(b, 5, "2024-02")], "ts timestamp_ntz, v int, ym string")
+    whole.write.partitionBy("ym").parquet(f"{path}__redo/merged")  # it stopped after the log was written
+    upsert.remove(spark, f"{path}/ym=2024-02")  # and after the month was removed
+    assert put((a, 1)) == {"inserted": 0, "updated": 0, "unchanged": 1, "months": []}
+    assert sorted((r.ts, r.v) for r in spark.read.parquet(path).collect()) == [(a, 1), (b, 5)]
+    whole.write.partitionBy("ym").parquet(f"{path}__redo/merged")
+    (tmp_path / "table__redo" / "merged" / "_SUCCESS").unlink()  # a log that isn't whole is thrown away
+    assert upsert.recover(spark, path) is False and not upsert.exists(spark, f"{path}__redo")
+    assert sorted((r.ts, r.v) for r in spark.read.parquet(path).collect()) == [(a, 1), (b, 5)]
+
+
+def test_restore_stops_on_a_damaged_file(spark, tmp_path):
+    published, table = str(tmp_path / "published"), str(tmp_path / "table")
+    rows = [(ts("2024-06-01T00:00") + dt.timedelta(hours=k), k) for k in range(50)]
+    spark.createDataFrame(rows, "ts timestamp_ntz, v int").repartition(3).write.parquet(published)
+    manifest = spark.createDataFrame(upsert.file_manifest(spark, published, rows=True).collect())
+    again = lambda m: upsert.restore(spark, m, published, table, ["ts"], "ts")
+    assert again(manifest)["inserted"] == 50 and again(manifest)["unchanged"] == 50
+    for wrong in (manifest.filter("false"), manifest.withColumn("rows", F.col("rows") + 1)):
+        with pytest.raises(ValueError):
+            again(wrong)
+    damaged = next((tmp_path / "published").glob("*.parquet"))
+    damaged.write_bytes(damaged.read_bytes()[:-1] + b"x")
+    (damaged.parent / f".{damaged.name}.crc").unlink()  # as in a store without checksums of its own
+    with pytest.raises(ValueError, match="manifest"):
+        upsert.restore(spark, manifest, published, str(tmp_path / "elsewhere"), ["ts"], "ts")
+    assert not (tmp_path / "elsewhere").exists()
+
+
+def test_refresh_keeps_the_last_good_copy(spark, tmp_path):
+    table, landed = str(tmp_path / "table"), tmp_path / "yearly.csv"
+    read = lambda path: readers.strict_csv(spark, path, {"Area": ("area", "string"), "Year": ("year", "int")}, ["area", "year"])
+    landed.write_text("Area,Year\n")
+    with pytest.raises(ValueError):
+        upsert.refresh(spark, str(landed), table, read)  # bad, and nothing to keep
+    said = []
+    for text in ("Area,Year\nA,2001\n", "Area,Year\nA,2001\n", "Area\nA\n", "Area,Year\nB,soon\n", "Area,Year\nC,2003\nC,2004\n"):
+        landed.write_text(text)
+        said.append(upsert.refresh(spark, str(landed), table, read))
+    assert said == ["replaced", "unchanged", "kept", "kept", "replaced"]
+    assert sorted((r.area, r.year) for r in upsert.current(spark, table).collect()) == [("C", 2003), ("C", 2004)]
+
+
+def test_runs_are_stored_and_compared(spark, tmp_path):
+    scores = spark.createDataFrame([("24-48 h", "model", 4.0), ("24-48 h", "persistence", 6.0), ("0-24 h", "model", 1.0)], "band string, method string, mae double")
+    for cutoff, more in (("2024-01-01", 0), ("2024-02-01", 10)):
+        sinks.write_run(scores, {"by_method": scores.withColumn("mae", F.col("mae") + more)}, str(tmp_path), cutoff, "small")
+    out = sinks.compare_runs(spark.read.parquet(f"{tmp_path}/by_method")).orderBy("cutoff").collect()
+    assert [(r.cutoff, r.model, r.persistence, r.naive_yesterday) for r in out] == [("2024-01-01", 4.0, 6.0, None), ("2024-02-01", 14.0, 16.0, None)]
+
+
+def test_conform_takes_the_schema_exactly(spark):
+    df = spark.createDataFrame([("1", "2024-01-01 00:00:00")], "n string, ts string")
+    out = upsert.conform(df.select("ts", "n"), readers.Dataset("n int, ts timestamp_ntz", ("ts",), "ts").struct())
+    assert out.dtypes == [("n", "int"), ("ts", "timestamp_ntz")] and out.first().n == 1
+    for wrong in (df.drop("n"), df.withColumn("more", F.lit(1))):
+        with pytest.raises(ValueError):
+            upsert.conform(wrong, out.schema)
+
+
+def test_ceiling_and_floor_of_half_hours(spark):
+    times = ["2024-01-01T00:00:00", "2024-01-01T00:00:00.000001", "2024-01-01T00:29:59.999999", "2024-01-01T00:30:00", "2023-12-31T23:31:07"]
+    out = spark.createDataFrame([(ts(t),) for t in times], "ts timestamp_ntz").select(fn.floor_half_hour("ts").alias("a"), fn.ceil_half_hour("ts").alias("b")).collect()
+    show = lambda t: t.strftime("%d %H:%M")
+    assert [(show(r.a), show(r.b)) for r in out] == [("01 00:00", "01 00:00"), ("01 00:00", "01 00:30"), ("01 00:00", "01 00:30"), ("01 00:30", "01 00:30"), ("31 23:30", "01 00:00")]

@@ -44,12 +44,14 @@ def minutes_between(start: Column | str, end: Column | str) -> Column:
 
 
 def floor_half_hour(ts: Column | str) -> Column:
-    return F.window(ts, "30 minutes")["start"]
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    return ts - F.make_dt_interval(mins=F.minute(ts) % 30, secs=F.date_part(F.lit("SECOND"), ts))
 
 
 def ceil_half_hour(ts: Column | str) -> Column:
     ts = F.col(ts) if isinstance(ts, str) else ts
-    return floor_half_hour(ts + F.expr("INTERVAL 30 MINUTES") - F.expr("INTERVAL 0.000001 SECOND"))
+    floor = floor_half_hour(ts)
+    return F.when(floor == ts, ts).otherwise(floor + F.expr("INTERVAL 30 MINUTES"))
 
 
 def year_split(ts: Column | str) -> Column:

@@ -8,24 +8,34 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import timefn as fn
-
+from .series import following
 
 
 def gaps(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
     """(keys, start_ts, end_ts, missing): holes between consecutive distinct times of each key."""
-    times = df.select(*keys, ts).distinct()
-    w = Window.partitionBy(*keys).orderBy(ts)
-    out = times.select(*keys, (F.col(ts) + F.expr("INTERVAL 30 MINUTES")).alias("start_ts"), F.lead(ts).over(w).alias("end_ts"))
+    times = following(df.select(*keys, ts).distinct(), keys, ts, "end_ts")
+    out = times.select(*keys, (F.col(ts) + F.expr("INTERVAL 30 MINUTES")).alias("start_ts"), "end_ts")
     return out.filter("end_ts > start_ts").withColumn("missing", (fn.minutes_between("start_ts", "end_ts") / 30).cast("int"))
 
 
 def merge(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Overlapping or touching intervals of each key become one."""
-    w = Window.partitionBy(*keys).orderBy("start_ts", "end_ts")
-    reach = F.max("end_ts").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    islands = df.withColumn("fresh", F.when(reach.isNull() | (F.col("start_ts") > reach), 1).otherwise(0))
-    islands = islands.withColumn("island", F.sum("fresh").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return islands.groupBy(*keys, "island").agg(F.min("start_ts").alias("start_ts"), F.max("end_ts").alias("end_ts")).drop("island")
+    """Overlapping or touching intervals of each key become one; without keys all of them.
+
+    They are dealt to the months in which they begin. A month is scanned by itself, given how far those before it reach.
+    """
+    df = df.withColumn("_month", F.trunc(F.to_date("start_ts"), "month"))
+    months = df.groupBy(*keys, "_month").agg(F.max("end_ts").alias("_far"))
+    earlier = Window.partitionBy(*keys).orderBy("_month").rowsBetween(Window.unboundedPreceding, -1)  # a row a month
+    months = months.withColumn("_reach", F.max("_far").over(earlier)).drop("_far")
+    w = Window.partitionBy(*keys, "_month").orderBy("start_ts", "end_ts")
+    reach = F.greatest("_reach", F.max("end_ts").over(w.rowsBetween(Window.unboundedPreceding, -1)))  # skips nulls
+    islands = df.join(months, [*keys, "_month"]).withColumn("_fresh", F.when(reach.isNull() | (F.col("start_ts") > reach), 1).otherwise(0))
+    islands = islands.withColumn("_island", F.sum("_fresh").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    # numbered through all months; what goes on from an earlier month (island 0) gets the number of the last one before it
+    made = islands.groupBy(*keys, "_month").agg(F.sum("_fresh").alias("_made"))
+    made = made.withColumn("_before", F.coalesce(F.sum("_made").over(earlier), F.lit(0))).drop("_made")
+    whole = islands.join(made, [*keys, "_month"]).withColumn("_whole", F.col("_before") + F.col("_island"))
+    return whole.groupBy(*keys, "_whole").agg(F.min("start_ts").alias("start_ts"), F.max("end_ts").alias("end_ts")).drop("_whole")
 
 
 def to_fetch(bounds: DataFrame, keys: Sequence[str], start: str, now: str, refetch_days: int = 2) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import intervals
@@ -47,13 +47,19 @@ def shares_sum(df: DataFrame, column: str, by: Sequence[str], tolerance: float =
     return df.groupBy(*by).agg(F.sum(column).alias("total")).filter(F.abs(F.col("total") - 100) > tolerance)
 
 
-def unexpected_gaps(df: DataFrame, keys: Sequence[str], ts: str, known: DataFrame | None = None) -> DataFrame:
-    """Holes that no known interval (start_ts, end_ts) contains."""
+def unexpected_gaps(df: DataFrame, keys: Sequence[str], ts: str, known: DataFrame | None = None, dataset: str | None = None) -> DataFrame:
+    """Holes that no known interval (dataset, start_ts, end_ts) of the same dataset contains.
+
+    A known interval is dealt to its days, and a hole looked up by the day on which it begins.
+    """
     found = intervals.gaps(df, keys, ts)
     if known is None:
         return found
-    k = F.broadcast(known.select(F.col("start_ts").alias("k_start"), F.col("end_ts").alias("k_end")))
-    return found.join(k, (F.col("start_ts") >= F.col("k_start")) & (F.col("end_ts") <= F.col("k_end")), "left_anti")
+    mine = known if dataset is None else known.filter(F.col("dataset") == dataset)
+    days = F.explode(F.sequence(F.to_date("start_ts"), F.to_date("end_ts")))
+    k = mine.select(days.alias("k_day"), F.col("start_ts").alias("k_start"), F.col("end_ts").alias("k_end"))
+    inside = (F.to_date("start_ts") == F.col("k_day")) & (F.col("start_ts") >= F.col("k_start")) & (F.col("end_ts") <= F.col("k_end"))
+    return found.join(k, inside, "left_anti")
 
 
 def stale(df: DataFrame, column: str, hours: int, now) -> DataFrame:
@@ -99,12 +105,33 @@ class Check:
     error_if: int = 1
 
 
+@dataclass(frozen=True)
+class Rule:
+    """What every row of a table has to satisfy (null: satisfied), among those rows that `where` picks."""
+
+    name: str
+    holds: Column
+    where: Column | None = None
+    warn_if: int = 1
+    error_if: int = 1
+
+
+def _status(failures: Column, c: Check | Rule) -> Column:
+    return F.when(failures >= c.error_if, "error").when(failures >= c.warn_if, "warn").otherwise("pass")
+
+
+def check_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """(check_name, failures, status) of all rules over one table, in one scan."""
+    counts = df.agg(*(F.count_if((F.lit(True) if r.where is None else r.where) & ~r.holds).alias(f"c{k}") for k, r in enumerate(rules)))
+    rows = F.array(*(F.struct(F.lit(r.name).alias("check_name"), F.col(f"c{k}").alias("failures"), _status(F.col(f"c{k}"), r).alias("status")) for k, r in enumerate(rules)))
+    return counts.select(F.explode(rows).alias("r")).select("r.*")
+
+
 def run_suite(checks: Sequence[Check]) -> DataFrame:
     """(check_name, failures, status): one row for each check."""
 
     def row(c: Check) -> DataFrame:
-        n = F.col("failures")
-        status = F.when(n >= c.error_if, "error").when(n >= c.warn_if, "warn").otherwise("pass")
-        return c.failures.agg(F.count(F.lit(1)).alias("failures")).select(F.lit(c.name).alias("check_name"), "failures", status.alias("status"))
+        counted = c.failures.agg(F.count(F.lit(1)).alias("failures"))
+        return counted.select(F.lit(c.name).alias("check_name"), "failures", _status(F.col("failures"), c).alias("status"))
 
     return reduce(DataFrame.unionByName, map(row, checks))

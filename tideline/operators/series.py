@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 CHUNK = 4096  # rows of a series that one window partition holds
 
 
-def spine(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
-    """One row per half-hour between each key's first and last time."""
+def spine(df: DataFrame, keys: Sequence[str], ts: str, chunk: int = CHUNK) -> DataFrame:
+    """One row per half-hour between each key's first and last time; made chunk by chunk, so no row holds a whole series."""
     bounds = df.groupBy(*keys).agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).filter("lo is not null")
-    return bounds.select(*keys, F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 30 MINUTES"))).alias(ts))
+    begins = bounds.select(*keys, "hi", F.explode(F.sequence("lo", "hi", F.expr(f"INTERVAL {30 * chunk} MINUTES"))).alias("lo"))
+    end = F.least("hi", F.col("lo") + F.expr(f"INTERVAL {30 * (chunk - 1)} MINUTES"))
+    return begins.select(*keys, F.explode(F.sequence("lo", end, F.expr("INTERVAL 30 MINUTES"))).alias(ts))
 
 
 def on_spine(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
@@ -75,15 +77,48 @@ def keep_last(df: DataFrame, keys: Sequence[str], arrival: str) -> DataFrame:
     return picked.select(*keys, "_row.*").select(df.columns)
 
 
+def following(df: DataFrame, keys: Sequence[str], ts: str, name: str = "next_ts") -> DataFrame:
+    """Adds the next row's time. Windows are over a month of a key; months are chained by the first time of the next one."""
+    df = df.withColumn("_month", F.trunc(F.to_date(ts), "month"))
+    first = df.groupBy(*keys, "_month").agg(F.min(ts).alias("_first"))
+    order = Window.partitionBy(*keys).orderBy("_month")  # a row a month
+    chain = first.select(*(F.col(k).alias(f"_k_{k}") for k in keys), F.col("_month").alias("_m"), F.lead("_first").over(order).alias("_then"))
+    same = F.col("_month") == F.col("_m")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    inside = F.lead(ts).over(Window.partitionBy(*keys, "_month").orderBy(ts))
+    out = df.withColumn("_inside", inside).join(chain, same, "left").withColumn(name, F.coalesce("_inside", "_then"))
+    return out.drop("_month", "_m", "_then", "_inside", *(f"_k_{k}" for k in keys))
+
+
 def regular(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
     """Rows after which the next one isn't 30 minutes later: empty for a regular series."""
-    w = Window.partitionBy(*keys).orderBy(ts)
-    gap = F.lead(ts).over(w)
-    return df.withColumn("next_ts", gap).filter(F.col("next_ts").isNotNull() & (F.col("next_ts") != F.col(ts) + F.expr("INTERVAL 30 MINUTES")))
+    return following(df, keys, ts).filter(F.col("next_ts").isNotNull() & (F.col("next_ts") != F.col(ts) + F.expr("INTERVAL 30 MINUTES")))
+
+
+def numbered(df: DataFrame, order: str) -> DataFrame:
+    """Adds i = 0, 1, ... in the order of a day or time, which doesn't repeat; counted by month, so no task orders the whole table."""
+    df = df.withColumn("_month", F.trunc(F.to_date(order), "month"))
+    counts = df.groupBy("_month").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_month").rowsBetween(Window.unboundedPreceding, -1))  # a row a month
+    starts = counts.select("_month", F.coalesce(before, F.lit(0)).alias("_start"))
+    place = F.row_number().over(Window.partitionBy("_month").orderBy(order)) - 1
+    return df.withColumn("i", place).join(starts, "_month").withColumn("i", (F.col("i") + F.col("_start")).cast("long")).drop("_month", "_start")
+
+
+def running_sums(df: DataFrame, index: str, columns: Sequence[str], chunk: int = CHUNK) -> DataFrame:
+    """The columns' sums up to and with each row: windows over chunks of the index, and the totals of the chunks before."""
+    df = df.withColumn("_part", F.floor(F.col(index) / chunk))
+    totals = df.groupBy("_part").agg(*(F.sum(c).alias(c) for c in columns))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row a chunk
+    carried = totals.select("_part", *(F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_{c}") for c in columns))
+    inside = Window.partitionBy("_part").orderBy(index).rowsBetween(Window.unboundedPreceding, 0)
+    out = df.withColumns({c: F.sum(c).over(inside) for c in columns}).join(carried, "_part")
+    return out.withColumns({c: F.col(c) + F.col(f"_{c}") for c in columns}).drop("_part", *(f"_{c}" for c in columns))
 
 
 def indexed(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
     """Adds idx, the row's place on its series' half-hour grid."""
     first = df.groupBy(*keys).agg(F.min(ts).alias("_first"))
-    joined = df.join(F.broadcast(first), list(keys)) if keys else df.crossJoin(F.broadcast(first))
+    joined = df.join(first, list(keys)) if keys else df.crossJoin(F.broadcast(first))  # without keys one row
     return joined.withColumn("idx", ((F.unix_timestamp(ts) - F.unix_timestamp("_first")) / 1800).cast("long")).drop("_first")

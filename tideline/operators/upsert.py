@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from functools import reduce
 
@@ -19,7 +18,10 @@ def conform(df: DataFrame, schema) -> DataFrame:
 
 
 def classify(old: DataFrame, batch: DataFrame, keys: Sequence[str], metadata: Sequence[str] = (), arrival: str | None = None) -> DataFrame:
-    """The batch's last row per key with change: insert, update or same (metadata columns don't count)."""
+    """The batch's last row per key with change: insert, update or same (metadata columns don't count).
+
+    Keys are compared by plain equality: upsert() refuses null keys.
+    """
     if arrival:
         rest = [c for c in batch.columns if c not in keys]
         batch = batch.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(arrival)).alias("_r")).select(*keys, "_r.*").drop(arrival)
@@ -37,21 +39,61 @@ def upsert_stats(classified: DataFrame) -> DataFrame:
     return classified.agg(*(F.coalesce(c, F.lit(0)).alias(n) for c, n in zip(count, ("inserted", "updated", "unchanged"))))
 
 
+def _files(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, place = _files(spark, path)
+    return fs.exists(place)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, place = _files(spark, path)
+    fs.delete(place, True)
+
+
+def _redo_log(path: str) -> str:
+    return f"{path.rstrip('/')}__redo"
+
+
+def recover(spark: SparkSession, path: str) -> bool:
+    """Finish an upsert that stopped while it replaced months. True if there was one.
+
+    The months to replace stand whole in the redo log before the table is touched, so replacing them again is safe.
+    """
+    log = _redo_log(path)
+    if not exists(spark, log):
+        return False
+    whole = exists(spark, f"{log}/merged/_SUCCESS")
+    if whole:
+        _replace(spark, path)
+    remove(spark, log)
+    return whole
+
+
+def _replace(spark: SparkSession, path: str) -> None:
+    log = f"{_redo_log(path)}/merged"
+    whole = spark.read.option("basePath", log).parquet(log).withColumn("ym", F.col("ym").cast("string"))
+    whole.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ym").parquet(path)
+
+
 def upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str], ts: str, metadata: Sequence[str] = (), arrival: str | None = None) -> dict:
-    """Merge a batch into the table at path; only months with an insert or update are rewritten.
+    """Merge a batch into the table at path; only months with an insert or update are rewritten. One writer at a time.
 
-    Readers may see a month between its removal and its replacement, as plain Parquet has no transactions.
+    Months are first written to a redo log and then replaced. After a failure in between, the next upsert (or recover()) finishes
+    the replacement; a reader may meanwhile miss a month, as plain Parquet has no snapshots.
     """
+    recover(spark, path)
     nulls = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
     if not batch.filter(nulls).isEmpty():
         raise ValueError("null in a key column")
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    there = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
     columns = [c for c in batch.columns if c != arrival]
     months = [r[0] for r in batch.select(F.date_format(ts, "yyyy-MM")).distinct().collect()]  # as many as months in the batch
     empty = spark.createDataFrame([], batch.select(columns).schema)
-    old = spark.read.parquet(path).filter(F.col("ym").isin(months)).select(columns) if there else empty
-    staged = f"{path.rstrip('/')}__staged_{uuid.uuid4().hex}"
+    old = spark.read.parquet(path).filter(F.col("ym").isin(months)).select(columns) if exists(spark, path) else empty
+    staged = _redo_log(path)
     classify(old, batch, keys, metadata, arrival).withColumn("ym", F.date_format(ts, "yyyy-MM")).write.parquet(f"{staged}/flags")
     flags = spark.read.parquet(f"{staged}/flags")
     stats = upsert_stats(flags).first().asDict()
@@ -61,15 +103,74 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str]
         kept = old.withColumn("ym", F.date_format(ts, "yyyy-MM")).filter(F.col("ym").isin(touched)).join(changed.select(*keys), list(keys), "left_anti")
         merged = kept.unionByName(changed.drop("change"))
         merged.write.partitionBy("ym").parquet(f"{staged}/merged")
-        whole = spark.read.option("basePath", f"{staged}/merged").parquet(f"{staged}/merged").withColumn("ym", F.col("ym").cast("string"))
-        whole.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ym").parquet(path)
+        _replace(spark, path)
+    remove(spark, staged)
     return stats | {"months": sorted(touched)}
 
 
-def file_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """(path, bytes, sha256) of every file under path."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+def file_manifest(spark: SparkSession, path: str, rows: bool = False) -> DataFrame:
+    """(path, bytes, sha256) of every file under path, with the rows of Parquet files on request."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "[!_.]*").load(path)
+    out = files.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    if not rows:
+        return out
+    counts = spark.read.option("recursiveFileLookup", "true").parquet(path).groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("rows"))
+    return out.join(counts, "path", "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
+
+
+def restore(spark: SparkSession, manifest: DataFrame, published: str, table: str, keys: Sequence[str], ts: str, metadata: Sequence[str] = ()) -> dict:
+    """Published Parquet files merged into a table, after each was found as its manifest row (path, sha256, rows) has it.
+
+    A missing or changed file, a wrong count or a manifest without rows is an error, before anything is written.
+    """
+    if manifest.isEmpty():
+        raise ValueError("the manifest lists no files")
+    found = file_manifest(spark, published)
+    bad = [r.path for r in corrupt_files(manifest, found).select("path").limit(20).collect()]
+    if bad:
+        raise ValueError(f"files that differ from the manifest: {bad}")
+    listed = spark.read.option("recursiveFileLookup", "true").parquet(published).withColumn("_path", F.col("_metadata.file_path"))
+    counted = listed.groupBy(F.col("_path").alias("path")).agg(F.count(F.lit(1)).alias("found"))
+    wrong = manifest.select("path", "rows").join(counted, "path", "left").filter(F.col("rows") != F.coalesce("found", F.lit(0)))
+    if not wrong.isEmpty():
+        raise ValueError("row counts differ from the manifest")
+    rows = listed.join(manifest.select(F.col("path").alias("_path")), "_path", "left_semi").drop("_path")
+    return upsert(spark, table, rows, keys, ts, metadata)
+
+
+def refresh(spark: SparkSession, landed: str, table: str, read) -> str:
+    """A table that one landed file replaces whole: "unchanged", "replaced", or "kept" where the new file is bad.
+
+    read(path) -> rows, and raises on a bad file. A version is written beside the old ones under its content's hash and
+    becomes the current one by a row in `versions`, so readers never see a part of it; see current().
+    """
+    found = [r.sha256 for r in file_manifest(spark, landed).select("sha256").limit(2).collect()]
+    if len(found) != 1:
+        raise ValueError(f"{landed} should be one file")
+    version = found[0]
+    last = _last_version(spark, table)
+    if version == last:
+        return "unchanged"
+    try:
+        rows = read(landed)
+        rows.write.mode("overwrite").parquet(f"{table}/data-{version}")
+    except Exception:
+        if last is None:
+            raise
+        return "kept"
+    spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("since")).write.mode("append").parquet(f"{table}/versions")
+    return "replaced"
+
+
+def _last_version(spark: SparkSession, table: str) -> str | None:
+    if not exists(spark, f"{table}/versions"):
+        return None
+    return spark.read.parquet(f"{table}/versions").agg(F.max_by("version", "since")).first()[0]
+
+
+def current(spark: SparkSession, table: str) -> DataFrame:
+    """The rows of a refreshed table's current version."""
+    return spark.read.parquet(f"{table}/data-{_last_version(spark, table)}")
 
 
 def corrupt_files(manifest: DataFrame, found: DataFrame) -> DataFrame:

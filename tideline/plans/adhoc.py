@@ -126,7 +126,7 @@ def latest_snapshot(w: Warehouse) -> DataFrame:
     return w.snapshots.join(F.broadcast(newest), F.col("issued") == F.col("newest")).filter("lead_minutes >= 0").drop("newest")
 
 
-def export_tail(w: Warehouse, days: int = 7) -> DataFrame:
+def export_tail(w: Warehouse, days: int = 365) -> DataFrame:
     end = w.national.agg(F.max("ts").alias("end"))
     rows = w.national.crossJoin(one(end)).filter(F.col("ts") >= F.col("end") - F.expr(f"INTERVAL {days} DAYS"))
     return rows.select(F.date_format("ts", "yyyy-MM-dd HH:mm").alias("moment"), "forecast", "actual", F.round("wind_pct", 3).alias("wind_pct"), F.round("gas_pct", 3).alias("gas_pct"))

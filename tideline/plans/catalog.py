@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -70,7 +71,7 @@ STAGING = {
     "m02_staged_mix": ("ts fuel share:f", "mix", "rawmix"),
     "m03_staged_regional": ("ts region_id:i forecast:i band", "regional", "rawreg"),
     "m04_staged_regional_mix": ("ts region_id:i fuel share:f", "regional_mix", "rawregmix"),
-    "m06_staged_yearly": ("area year:i source is_total generation:f share:f emissions:f intensity:f", "yearly", "yearly"),
+    "m06_staged_yearly": ("area code year:i source is_total generation:f share:f emissions:f intensity:f", "yearly", "yearly"),
 }
 for _name, (_spec, _attr, _cte) in STAGING.items():
     add(_name, _spec, lambda w, a=_attr: getattr(w.raw, a), _cte)
@@ -92,7 +93,14 @@ add("m24_report_window_set", "start_date end_date days:i job_hours:f", lambda w:
 
 def _run(name: str) -> Callable[[SparkSession, str], DataFrame]:
     spec, plan, _ = _entries[name]
-    return lambda spark, sf_dir: shaped(plan(Warehouse(Bound(spark, sf_dir), SETTINGS)), spec)
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        w = Warehouse(Bound(spark, sf_dir), SETTINGS)
+        out = shaped(plan(w), spec)
+        weakref.finalize(out, w.release).atexit = False  # what is kept goes with the result; a later use computes it again
+        return out
+
+    return run
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

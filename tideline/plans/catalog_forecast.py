@@ -4,27 +4,29 @@ from functools import partial
 
 from pyspark.sql import functions as F
 
+from ..operators.series import numbered
+from ..sources import sinks
 from ..sources.bound import HOLIDAYS
+from ..sources.readers import merge_all
+from ..streaming import feeds
 from . import forecasting as fc
 from . import stats
 from .catalog import add
 from .oracle import ERRORS
 
-SMALL = fc.Settings(train_days=60, calibration_days=6, trees=4, depth=4, rate=0.2)
-
 _CAL = f"""cal AS (SELECT idx, CAST(hour(l) * 2 + minute(l) // 30 AS DOUBLE) AS slot, CAST(isodow(l) - 1 AS DOUBLE) AS weekday, CASE WHEN CAST(l AS DATE) IN ({", ".join(f"DATE '{d}'" for d, _ in HOLIDAYS)}) THEN 1.0 ELSE 0.0 END AS holiday,
   sin(2 * pi() * (dayofyear(l) - 1) / 365.25) AS doy_sin, cos(2 * pi() * (dayofyear(l) - 1) / 365.25) AS doy_cos FROM (SELECT idx, (ts AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/London' AS l FROM series UNION ALL
   SELECT m + k, ((t + k * INTERVAL 30 MINUTE) AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/London' FROM (SELECT max(idx) AS m, max(ts) AS t FROM series), range(1, 97) r(k)))"""
 _TRAIL = """tr AS (SELECT idx, actual AS last, lag(actual) OVER o AS previous, avg(actual) OVER d AS mean_24h, avg(actual) OVER k AS mean_7d, stddev_pop(actual) OVER d AS std_24h, min(actual) OVER d AS min_24h, max(actual) OVER d AS max_24h, actual - lag(actual, 48) OVER o AS change_24h
   FROM series WINDOW o AS (ORDER BY idx), d AS (ORDER BY idx ROWS BETWEEN 47 PRECEDING AND CURRENT ROW), k AS (ORDER BY idx ROWS BETWEEN 335 PRECEDING AND CURRENT ROW)),
   prof AS (SELECT idx, actual AS latest_slot, avg(actual) OVER (PARTITION BY idx % 48 ORDER BY idx ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS slot_profile FROM series)"""
-_ORIG = """org AS (SELECT idx, issue, (row_number() OVER (ORDER BY idx) - 1) // 7 AS fold FROM (SELECT idx, ts + INTERVAL 30 MINUTE AS issue FROM series WHERE ts + INTERVAL 30 MINUTE >= date_trunc('day', (SELECT min(ts) FROM series)) + INTERVAL 1 DAY
-  AND hour(ts + INTERVAL 30 MINUTE) = 0 AND minute(ts) = 30 AND idx <= (SELECT max(idx) FROM series WHERE actual IS NOT NULL) - 96 ORDER BY idx DESC LIMIT 14))"""
+_ORIG = """org AS (SELECT idx, issue, (row_number() OVER (ORDER BY idx) - 1) // 28 AS fold FROM (SELECT idx, ts + INTERVAL 30 MINUTE AS issue FROM series WHERE ts + INTERVAL 30 MINUTE >= date_trunc('day', (SELECT min(ts) FROM series)) + INTERVAL 1 DAY
+  AND hour(ts + INTERVAL 30 MINUTE) = 0 AND minute(ts) = 30 AND idx <= (SELECT max(idx) FROM series WHERE actual IS NOT NULL) - 96 ORDER BY idx DESC LIMIT 365))"""
 _REL = ", ".join(f"{n} - last AS {n}_rel" for n in fc.RELATIVE)
-_FEAT = f"""ft AS (SELECT *, {_REL} FROM (SELECT o.idx AS origin, o.idx + h AS target, CAST(h AS DOUBLE) AS horizon, cal.* EXCLUDE (idx), tr.* EXCLUDE (idx), prof.latest_slot, prof.slot_profile, w1.actual AS week_before, w2.actual AS two_weeks_before, v.actual, v.forecast AS api_forecast
+_FEAT = f"""ft AS (SELECT *, {_REL} FROM (SELECT o.idx AS origin, o.idx + h AS target, CAST(h AS DOUBLE) AS horizon, cal.* EXCLUDE (idx), tr.* EXCLUDE (idx), prof.latest_slot, prof.slot_profile, w1.actual AS back_1w, w2.actual AS back_2w, v.actual, v.forecast AS api_forecast
   FROM org o CROSS JOIN range(1, 97) r(h) JOIN tr ON tr.idx = o.idx JOIN cal ON cal.idx = o.idx + h LEFT JOIN series v ON v.idx = o.idx + h LEFT JOIN series w1 ON w1.idx = o.idx + h - 336 LEFT JOIN series w2 ON w2.idx = o.idx + h - 672
   LEFT JOIN prof ON prof.idx = o.idx + h - CAST(ceil(h / 48.0) * 48 AS BIGINT)))"""
-_PRED = """pr AS (SELECT issue, ts AS target_ts, CAST(horizon AS INT) AS horizon, f.actual, slot_profile AS model, last AS persistence, latest_slot AS naive_yesterday, week_before AS naive_last_week, api_forecast, slot_profile - std_24h AS model_p10, slot_profile + std_24h AS model_p90, fold
+_PRED = """pr AS (SELECT issue, ts AS target_ts, CAST(horizon AS INT) AS horizon, f.actual, slot_profile AS model, last AS persistence, latest_slot AS naive_yesterday, back_1w AS naive_last_week, api_forecast, slot_profile - std_24h AS model_p10, slot_profile + std_24h AS model_p90, fold
   FROM ft f JOIN org ON org.idx = origin JOIN series s ON s.idx = target),
   cm AS (SELECT * FROM pr WHERE actual IS NOT NULL AND model IS NOT NULL AND persistence IS NOT NULL AND naive_yesterday IS NOT NULL AND naive_last_week IS NOT NULL AND api_forecast IS NOT NULL AND model_p10 IS NOT NULL)"""
 _WITH = f"(WITH {_CAL}, {_TRAIL}, {_ORIG}, {_FEAT}, {_PRED} SELECT * FROM "
@@ -39,7 +41,7 @@ def _bands(bands) -> str:
 def _setup(w):
     series = fc.national_series(w)
     cal = fc.calendar(series, w.raw.holidays)
-    origins = fc.daily_origins(series, 14, 0, 7)
+    origins = fc.daily_origins(series)
     return series, cal, origins
 
 
@@ -64,24 +66,33 @@ add("f21_by_month", "month n:i " + " ".join(f"mae_{m}:f" for m in fc.METHODS) +
 add("f22_win_rates", "compared_with days:i better_days:i better_pct:f", lambda w: fc.win_rates(_predictions(w)),
     _WITH + "(WITH dly AS (SELECT issue, " + _MAE + " FROM cm WHERE horizon > 48 GROUP BY 1) " + " UNION ALL ".join(f"SELECT '{m}' AS compared_with, count(*) AS days, count(*) FILTER (mae_model < mae_{m}) AS better_days, 100.0 * avg(CAST(mae_model < mae_{m} AS INT)) AS better_pct FROM dly" for m in fc.METHODS[1:]) + "))")
 add("q24_mae_by_horizon", "hours_ahead:f n:i " + " ".join(f"mae_{m}:f" for m in fc.METHODS), lambda w: fc.by_horizon(_predictions(w)), _WITH + f"(SELECT horizon / 2.0 AS hours_ahead, count(*) AS n, {_MAE} FROM cm GROUP BY 1))")
-_TRAIN = """org AS (SELECT idx, ts AS issue, 0 AS fold FROM series WHERE idx <= 1200 - 96 AND idx >= 672 AND (1104 - idx) % 12 = 0 AND actual IS NOT NULL)"""
-_WITH_TRAIN = f"(WITH full_series AS (SELECT * FROM series), {_CAL}, {_TRAIL}, {_TRAIN}, {_FEAT.replace('JOIN series v ON', 'JOIN (SELECT * FROM full_series WHERE idx <= 1200) v ON')}"
-add("f07_training_rows", "origin:i target:i change:f weight:f calibrates", lambda w: fc.training_rows(*(lambda s: (s, fc.calendar(s, w.raw.holidays)))(fc.national_series(w)), 1200, SMALL),
+_TRAIN = """co AS (SELECT max(idx) AS c FROM series WHERE actual IS NOT NULL), org AS (SELECT idx, ts AS issue, 0 AS fold FROM series, co WHERE idx <= c - 96 AND idx >= greatest(672, c - 730 * 48) AND (c - 96 - idx) % 12 = 0 AND actual IS NOT NULL)"""
+_WITH_TRAIN = f"(WITH full_series AS (SELECT * FROM series), {_CAL}, {_TRAIL}, {_TRAIN}, {_FEAT.replace('JOIN series v ON', 'JOIN (SELECT full_series.* FROM full_series, co WHERE idx <= c) v ON')}"
+
+
+def _training(w):
+    """Training rows up to the last known value."""
+    series = fc.national_series(w)
+    last = series.filter("actual is not null").agg(F.max("idx")).first()[0]
+    return fc.training_rows(series, fc.calendar(series, w.raw.holidays), last)
+
+
+add("f07_training_rows", "origin:i target:i change:f weight:f calibrates", _training,
     _WITH_TRAIN + """, rw AS (SELECT *, actual - last AS change FROM ft WHERE actual - last IS NOT NULL), hv AS (SELECT horizon, CASE WHEN var_pop(change) > 0 THEN 1 / var_pop(change) ELSE 1 END AS wt, count(*) AS n FROM rw GROUP BY 1)
-    SELECT origin, target, change, wt / (SELECT sum(wt * n) / sum(n) FROM hv) AS weight, origin + 96 > 1200 - 6 * 48 AS calibrates FROM rw JOIN hv USING (horizon))""")
+    SELECT origin, target, change, wt / (SELECT sum(wt * n) / sum(n) FROM hv) AS weight, origin + 96 > (SELECT c FROM co) - 56 * 48 AS calibrates FROM rw JOIN hv USING (horizon))""")
 add("f12_conformal", "lead_band:i widening:f n:i", lambda w: fc.conformal(fc.common(_predictions(w)).select("horizon", F.col("actual").alias("y"), F.col("model_p10").alias("lo"), F.col("model_p90").alias("hi"))),
     _WITH + """(SELECT lead_band, n, l[CAST(floor(p) AS INT) + 1] + (l[CAST(least(floor(p) + 1, n - 1) AS INT) + 1] - l[CAST(floor(p) AS INT) + 1]) * (p - floor(p)) AS widening FROM (
       SELECT lead_band, n, l, least(1.0, ceil((n + 1) * 0.8) / n) * (n - 1) AS p FROM (SELECT lead_band, count(*) AS n, list_sort(list(score)) AS l FROM (SELECT (horizon - 1) // 12 AS lead_band, greatest(model_p10 - actual, actual - model_p90) AS score FROM cm) GROUP BY 1))))""")
-_entries_model = {"f14_next_forecast": ("origin:i horizon:i model:f model_p10:f model_p90:f", partial(fc.next_forecast, s=fc.Settings())), "f16_backtest": ("issue target_ts horizon:i actual:f model:f model_p10:f model_p90:f fold:i", lambda w: fc.backtest(w, SMALL, 4, 2))}
+_entries_model = {"f14_next_forecast": ("origin:i horizon:i model:f model_p10:f model_p90:f", partial(fc.next_forecast, s=fc.Settings())), "f16_backtest": ("issue target_ts horizon:i actual:f model:f model_p10:f model_p90:f fold:i", partial(fc.backtest, s=fc.Settings()))}
 for _name, (_spec, _plan) in _entries_model.items():
     add(_name, _spec, _plan, None)
 
 _PAIRS = """pp AS (SELECT row_number() OVER (ORDER BY day) - 1 AS i, rule, base FROM (SELECT CAST(o_orderdate AS DATE) AS day, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) FILTER (o_orderkey % 2 = 0) AS DOUBLE) / nullif(100 * count(*) FILTER (o_orderkey % 2 = 0), 0) AS rule,
   CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) / (100 * count(*)) AS base FROM orders GROUP BY 1) WHERE rule IS NOT NULL)"""
 _BOOT = f"""{_PAIRS}, nn AS (SELECT count(*) AS n FROM pp), ps AS (SELECT 0 AS i, 0.0 AS r, 0.0 AS b UNION ALL SELECT i + 1, sum(rule) OVER (ORDER BY i), sum(base) OVER (ORDER BY i) FROM pp),
-  bl AS (SELECT r, b, CAST('0x' || substr(md5('blocks-' || r || '-' || b), 1, 15) AS BIGINT) % (n - 6) AS s, least(7, n - b * 7) AS z FROM nn, range(200) x(r), range(1000) y(b) WHERE b * 7 < n)"""
-add("st1_block_starts", "r:i b:i start:i size:i", lambda w: stats.block_starts(w.raw.spark, stats.daily_pairs(w.raw).count(), 7, 200), f"(WITH {_BOOT} SELECT r, b, s AS start, z AS size FROM bl)")
-add("st2_saving_interval", "estimate:f lower:f upper:f days:i", lambda w: stats.saving_interval(stats.daily_pairs(w.raw), 7, 200),
+  bl AS (SELECT r, b, CAST('0x' || substr(md5('blocks-' || r || '-' || b), 1, 15) AS BIGINT) % (n - 6) AS s, least(7, n - b * 7) AS z FROM nn, range(2000) x(r), range(1 + CAST((SELECT count(*) FROM pp) AS BIGINT) // 7) y(b) WHERE b * 7 < n)"""
+add("st1_block_starts", "r:i b:i start:i size:i", lambda w: stats.block_starts(w.raw.spark, stats.daily_pairs(w.raw).count(), 7, 2000), f"(WITH {_BOOT} SELECT r, b, s AS start, z AS size FROM bl)")
+add("st2_saving_interval", "estimate:f lower:f upper:f days:i", lambda w: stats.saving_interval(stats.daily_pairs(w.raw)),
     f"""(WITH {_BOOT}, bt AS (SELECT bl.r, 100.0 * (1 - sum(p1.r - p0.r) / sum(p1.b - p0.b)) AS saving FROM bl JOIN ps p0 ON p0.i = s JOIN ps p1 ON p1.i = s + z GROUP BY 1)
     SELECT (SELECT 100.0 * (1 - avg(rule) / avg(base)) FROM pp) AS estimate, quantile_cont(saving, 0.025) AS lower, quantile_cont(saving, 0.975) AS upper, (SELECT n FROM nn) AS days FROM bt)""")
 _NW = f"""{_PAIRS}, dv AS (SELECT i, rule - base AS x, rule - base - (SELECT avg(rule - base) FROM pp) AS c FROM pp), gm AS (SELECT k, sum(a.c * b.c) AS s FROM range(8) t(k), dv a, dv b WHERE b.i = a.i + k GROUP BY 1),
@@ -114,38 +125,32 @@ _BASES = ("fixed_0900", "fixed_1700")
 
 def _interval_table(w):
     """A bootstrap interval for every rule against two fixed starts."""
-    days = stats.numbered(w.complete_days, "day").persist()
+    days = w._keep(numbered(w.complete_days, "day"))
     out = []
     for rule in _RULES:
         for base in _BASES:
-            row = stats.saving_interval(days.select("i", F.col(rule).cast("double").alias("rule"), F.col(base).cast("double").alias("base")), 3, 100)
+            row = stats.saving_interval(days.select("i", F.col(rule).cast("double").alias("rule"), F.col(base).cast("double").alias("base")))
             out.append(row.withColumns({"strategy": F.lit(rule), "against": F.lit(base)}))
-    return readers_merge(out)
-
-
-def readers_merge(parts):
-    from ..sources.readers import merge_all
-
-    return merge_all(parts)
+    return merge_all(out)
 
 
 _ONE = """SELECT '{r}' AS strategy, '{b}' AS against, (SELECT 100.0 * (1 - avg({r}) / avg({b})) FROM fdn) AS estimate, quantile_cont(v, 0.025) AS lower, quantile_cont(v, 0.975) AS upper, (SELECT count(*) FROM fdn) AS days
   FROM (SELECT x.r, 100.0 * (1 - sum(d.{r}) / sum(d.{b})) AS v FROM bl x JOIN fdn d ON d.i >= x.s AND d.i < x.s + x.z GROUP BY 1)"""
 add("q18_interval_table", "strategy against estimate:f lower:f upper:f days:i", _interval_table,
     """(WITH fdn AS (SELECT *, row_number() OVER (ORDER BY day) - 1 AS i FROM full_days), nn AS (SELECT count(*) AS n FROM fdn),
-    bl AS (SELECT r, b, CAST('0x' || substr(md5('blocks-' || r || '-' || b), 1, 15) AS BIGINT) % (n - 2) AS s, least(3, n - b * 3) AS z FROM nn, range(100) x(r), range(1000) y(b) WHERE b * 3 < n) """ + " UNION ALL ".join(_ONE.format(r=r, b=b) for r in _RULES for b in _BASES) + ")")
+    bl AS (SELECT r, b, CAST('0x' || substr(md5('blocks-' || r || '-' || b), 1, 15) AS BIGINT) % (n - 6) AS s, least(7, n - b * 7) AS z FROM nn, range(2000) x(r), range(1000) y(b) WHERE b * 7 < n) """ + " UNION ALL ".join(_ONE.format(r=r, b=b) for r in _RULES for b in _BASES) + ")")
 
 
 def _dm_table(w):
     """Diebold-Mariano tests of the model against each naive method on issue-wise MAE, in two bands."""
-    p = fc.common(_predictions(w)).persist()
+    p = w._keep(fc.common(_predictions(w)))
     out = []
     for band, lo, hi in fc.BANDS[:2]:
-        daily = stats.numbered(p.filter(F.col("horizon").between(lo, hi)).groupBy("issue").agg(*fc._maes()), "issue")
+        daily = w._keep(numbered(p.filter(F.col("horizon").between(lo, hi)).groupBy("issue").agg(*fc._maes()), "issue"))
         for other in ("persistence", "naive_yesterday", "naive_last_week"):
             row = stats.diebold_mariano(daily.select("i", F.col("mae_model").alias("a"), F.col(f"mae_{other}").alias("b")), 3)
             out.append(row.withColumns({"band": F.lit(band), "compared_with": F.lit(other)}))
-    return readers_merge(out)
+    return merge_all(out)
 
 
 _DM = """SELECT '{band}' AS band, '{m}' AS compared_with, n, mean AS mean_difference, mean / sqrt(variance / n) AS statistic FROM (SELECT (SELECT count(*) FROM d{k}) AS n, (SELECT avg(mae_model - mae_{m}) FROM d{k}) AS mean,
@@ -153,3 +158,37 @@ _DM = """SELECT '{band}' AS band, '{m}' AS compared_with, n, mean AS mean_differ
 add("q19_dm_table", "band compared_with n:i mean_difference:f statistic:f", _dm_table,
     _WITH + "(WITH " + ", ".join(f"d{k} AS (SELECT *, row_number() OVER (ORDER BY issue) - 1 AS i FROM (SELECT issue, {_MAE} FROM cm WHERE horizon BETWEEN {lo} AND {hi} GROUP BY 1))" for k, (_, lo, hi) in enumerate(fc.BANDS[:2]))
     + " " + " UNION ALL ".join(_DM.format(band=b, m=m, k=k) for k, (b, _, _) in enumerate(fc.BANDS[:2]) for m in ("persistence", "naive_yesterday", "naive_last_week")) + "))")
+
+
+# ---- validation runs ----
+
+_RUNS = {"2024-04-04 00:00:00": "a week earlier", "2024-04-08 00:00:00": "three days earlier"}  # settings name what a run was made with
+
+
+def _profile_model(series, cal, origins):
+    return fc.stand_in(fc.features(series, cal, origins))
+
+
+def _compared_runs(w):
+    """Backtests of the series as it was at two times, stored and compared."""
+    path = feeds.shared(w.raw.spark)
+    for until, settings in _RUNS.items():
+        fc.validation_run(w, until, path, _profile_model, settings)
+    return sinks.compare_runs(w.raw.spark.read.parquet(f"{path}/by_method"))
+
+
+_RUN = "SELECT '{u}' AS cutoff, '{s}' AS settings, {m} FROM (WITH whole AS (SELECT * FROM series), series AS (SELECT * FROM whole WHERE ts < TIMESTAMP '{u}'), " + f"{_CAL}, {_TRAIL}, {_ORIG}, {_FEAT}, {_PRED} SELECT * FROM cm WHERE horizon > 48)"
+_RUN_MAE = ", ".join(f"avg(abs({m} - actual)) AS {m}" for m in fc.METHODS)
+add("q20_compare_runs", "cutoff settings " + " ".join(f"{m}:f" for m in fc.METHODS), _compared_runs, "(" + " UNION ALL ".join(_RUN.format(u=u, s=s, m=_RUN_MAE) for u, s in _RUNS.items()) + ")")
+
+
+def _stored_predictions(w):
+    """A stored run's rows come back with the cutoff and settings that they belong to, and only from before the cutoff."""
+    path, until = feeds.shared(w.raw.spark), next(iter(_RUNS))
+    fc.validation_run(w, until, path, _profile_model, _RUNS[until])
+    rows = w.raw.spark.read.parquet(f"{path}/predictions")
+    return rows.groupBy("cutoff", "settings", "horizon").agg(F.count(F.lit(1)).alias("n"), F.max("target_ts").alias("last_target"), F.sum("actual").alias("total"))
+
+
+add("f23_validation_run", "cutoff settings horizon:i n:i last_target total:f", _stored_predictions,
+    "(" + _RUN.format(u=next(iter(_RUNS)), s=_RUNS[next(iter(_RUNS))], m="horizon, count(*) AS n, max(target_ts) AS last_target, sum(actual) AS total").replace("FROM cm WHERE horizon > 48", "FROM pr") + " GROUP BY horizon)")

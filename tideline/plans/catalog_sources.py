@@ -5,13 +5,13 @@ from pyspark.sql import functions as F
 from ..functions import timefn as fn
 from ..operators import series as ops
 from ..operators import upsert as up
-from ..sources import readers
+from ..sources import readers, sinks
 from ..streaming import feeds
+from . import forecasting
 from .catalog import add
 
 
 
-
 def _national_documents(w):
     level = F.struct("forecast", "actual", F.col("band").alias("index")).alias("intensity")
     return readers.landed(w.raw.national.select("ts", level), F.to_date("ts"))
@@ -42,7 +42,7 @@ add("src13_slots", "time_key:i n:i", lambda w: w.raw.spark.range(48).select(F.co
     "(SELECT time_key, n FROM dt LEFT JOIN (SELECT hour(ts) * 2 + minute(ts) // 30 AS time_key, count(*) AS n FROM nat GROUP BY 1) USING (time_key))")
 add("src14_bounds", "region_id:i lo hi", lambda w: readers.bounds(w.raw.regional, "ts", ["region_id"]), "(SELECT region_id, min(ts) AS lo, max(ts) AS hi FROM rawreg GROUP BY 1)")
 add("src15_distinct_times", "ts", lambda w: readers.distinct_times(w.raw.mix, "ts"), "(SELECT DISTINCT ts FROM rawmix)")
-add("src16_before", "ts actual:i", lambda w: w.raw.national.filter(F.col("ts") < F.lit("2024-03-25").cast("timestamp_ntz")), "nat WHERE ts < TIMESTAMP '2024-03-25'")
+add("src16_before", "ts actual:i", lambda w: forecasting.before(w.raw.national, "2024-03-25 00:00:00"), "nat WHERE ts < TIMESTAMP '2024-03-25'")
 add("src17_irregular", "ts next_ts", lambda w: ops.regular(w.raw.national.select("ts"), [], "ts"), "(SELECT * FROM (SELECT ts, lead(ts) OVER (ORDER BY ts) AS next_ts FROM nat) WHERE next_ts <> ts + INTERVAL 30 MINUTE)")
 
 _CUT = "2024-04-08 00:00:00"
@@ -79,6 +79,99 @@ def _upserted(w):
 add("snk1_upsert", "ts actual:i", _upserted, f"(SELECT ts, actual FROM nat WHERE ts < TIMESTAMP '2024-04-06' UNION ALL SELECT ts, actual FROM {_CLASS})")
 
 
+# ---- tables on disk: scans, conforming, published files, refreshes ----
+
+_TEXTS = ("forecast", "actual", "ts", "end_ts")  # columns that land as text
+
+
+def _landed(w):
+    """The national rows as they land: every number and time as text, in another order of columns."""
+    full = w.raw.national.select("band", "actual", "forecast", (F.col("ts") + F.expr("INTERVAL 30 MINUTES")).alias("end_ts"), F.lit("2024-05-01 00:00:00").alias("fetched_at"), "ts")
+    return full.withColumns({c: F.col(c).cast("string") for c in _TEXTS})
+
+
+def _stored(w):
+    path = feeds.shared(w.raw.spark)
+    rows = up.conform(_landed(w), readers.NATIONAL.struct())
+    up.upsert(w.raw.spark, path, rows, readers.NATIONAL.keys, "ts", readers.NATIONAL.metadata)
+    return path
+
+
+add("src01_scan", "ts end_ts forecast:i actual:i band", lambda w: readers.NATIONAL.scan(w.raw.spark, _stored(w)), "(SELECT *, ts + INTERVAL 30 MINUTE AS end_ts FROM nat)")
+add("src11_conform", "ts forecast:i actual:i band", lambda w: up.conform(_landed(w), readers.NATIONAL.struct()), "nat")
+add("src12_first_run", "day change n:i", lambda w: up.classify(readers.NATIONAL.scan(w.raw.spark, feeds.shared(w.raw.spark)), up.conform(_landed(w), readers.NATIONAL.struct()), ["ts"], readers.NATIONAL.metadata).groupBy(F.to_date("ts").alias("day"), "change").agg(F.count(F.lit(1)).alias("n")),
+    "(SELECT CAST(ts AS DATE) AS day, 'insert' AS change, count(*) AS n FROM nat GROUP BY 1)")
+
+
+def _seeded(w):
+    """A seed kept as CSV with declared types, joined to the mix."""
+    path = feeds.shared(w.raw.spark)
+    w.raw.fuels.coalesce(1).write.option("header", True).csv(path)
+    seed = readers.seed_csv(w.raw.spark, path, "fuel string, label string, category string, is_fossil boolean, is_renewable boolean, is_low_carbon boolean, sort_order int")
+    return w.raw.mix.join(F.broadcast(seed), "fuel").groupBy("category", "is_low_carbon").agg(F.count(F.lit(1)).alias("n"), F.max("sort_order").alias("last_place"))
+
+
+add("src10_seed_csv", "category is_low_carbon n:i last_place:i", _seeded, "(SELECT category, is_low_carbon, count(*) AS n, max(sort_order) AS last_place FROM rawmix JOIN fuels USING (fuel) GROUP BY ALL)")
+
+
+def _layers(w):
+    """The fact as a shared table, the model over it as a view."""
+    fact = sinks.materialise(w.raw.national, "tideline_national", True)
+    daily = fact.groupBy(F.to_date("ts").alias("day")).agg(F.avg("actual").alias("mean_actual"), F.count("actual").alias("n"))
+    return sinks.materialise(daily, "tideline_daily", False)
+
+
+add("snk3_layers", "day mean_actual:f n:i", lambda w: (_layers(w), w.raw.spark.table("tideline_daily"))[1], "(SELECT CAST(ts AS DATE) AS day, avg(actual) AS mean_actual, count(actual) AS n FROM nat GROUP BY 1)")
+
+
+def _star(w):
+    """Dimensions and facts as ordered CSV with a manifest; the counts in it are those of the files."""
+    path = feeds.shared(w.raw.spark)
+    tables = {"dim_date": (w.dim_date, ["date_key"]), "dim_time": (w.dim_time, ["time_key"]), "fact_national": (w.national.select("ts", "date_key", "time_key", "forecast", "actual"), ["ts"]), "fact_mix": (w.mix, ["ts", "fuel"])}
+    manifest = sinks.export_star(w.raw.spark, tables, path)
+    files = readers.merge_all([w.raw.spark.read.option("header", True).csv(f"{path}/{name}").agg(F.count(F.lit(1)).alias("read_back")).withColumn("table", F.lit(name)) for name in tables])
+    return manifest.join(files, "table").withColumnRenamed("table", "dataset")
+
+
+add("snk5_star_export", "dataset rows:i read_back:i", _star,
+    "(SELECT *, rows AS read_back FROM (SELECT 'dim_date' AS dataset, count(*) AS rows FROM dd UNION ALL SELECT 'dim_time', count(*) FROM dt UNION ALL SELECT 'fact_national', count(*) FROM fn UNION ALL SELECT 'fact_mix', count(*) FROM fm))")
+
+
+def _restored(w):
+    """Months published as files with a manifest; a changed file stops the restore, the whole ones give the table back."""
+    spark, published, table = w.raw.spark, feeds.shared(w.raw.spark), feeds.shared(w.raw.spark)
+    rows = up.conform(_landed(w), readers.NATIONAL.struct())
+    rows.write.parquet(published)
+    manifest = up.file_manifest(spark, published, rows=True).persist()
+    try:
+        up.restore(spark, manifest.withColumn("sha256", F.reverse("sha256")), published, table, readers.NATIONAL.keys, "ts", readers.NATIONAL.metadata)
+        refused = False
+    except ValueError:
+        refused = not up.exists(spark, table)
+    done = up.restore(spark, manifest, published, table, readers.NATIONAL.keys, "ts", readers.NATIONAL.metadata)
+    manifest.unpersist()
+    return readers.NATIONAL.scan(spark, table).select("ts", "actual", F.lit(refused).alias("refused"), F.lit(done["inserted"]).alias("inserted"))
+
+
+add("snk7_restore", "ts actual:i refused inserted:i", _restored, "(SELECT ts, actual, true AS refused, count(*) OVER () AS inserted FROM nat)")
+
+
+def _refreshed(w):
+    """A yearly file landed, landed again as it was, then with a column missing: the good rows stay."""
+    spark, table = w.raw.spark, feeds.shared(w.raw.spark)
+    good, bad = feeds.shared(spark), feeds.shared(spark)
+    rows = w.raw.yearly.select("area", "year", "source", "generation")
+    rows.coalesce(1).write.option("header", True).csv(good)
+    rows.drop("generation").coalesce(1).write.option("header", True).csv(bad)
+    columns = {"area": ("area", "string"), "year": ("year", "int"), "source": ("source", "string"), "generation": ("generation", "double")}
+    said = [up.refresh(spark, landed, table, lambda path: readers.strict_csv(spark, path, columns, ["area", "year"])) for landed in (good, good, bad)]
+    return up.current(spark, table).withColumn("said", F.lit(",".join(said)))
+
+
+add("snk8_refresh", "area year:i source generation:f said", _refreshed, "(SELECT area, year, source, generation, 'replaced,unchanged,kept' AS said FROM yearly)")
+add("inc8_issued", "issued ts forecast:i", lambda w: readers.issued_now(w.raw.national.select("ts", "forecast"), "2024-04-10 09:47:00", fn.as_of("2024-04-10 10:05:00")), "(SELECT TIMESTAMP '2024-04-10 09:30:00' AS issued, ts, forecast FROM nat)")
+
+
 def _events(w):
     schema = w.raw.table("events").schema
     return feeds.file_stream(w.raw.spark, w.raw.dir, "events.parquet", schema)
@@ -92,6 +185,26 @@ def _streamed_upsert(w):
 
 
 add("str1_upsert_stream", "day n:i users:i", _streamed_upsert, "(SELECT CAST(ts AS DATE) AS day, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY 1)")
+
+
+def _incremental(w):
+    """Two sources read to their ends, once more without anything new, and one that fails: a report row for each run and source."""
+    spark, path = w.raw.spark, feeds.shared(w.raw.spark)
+
+    def sources():
+        orders = feeds.file_stream(spark, w.raw.dir, "orders.parquet", w.raw.table("orders").schema)
+        events = _events(w).select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id", F.col("event_id").alias("arrival"))
+        orders = orders.select("o_orderkey", F.col("o_orderdate").cast("timestamp_ntz").alias("ts"), F.col("o_orderkey").alias("arrival"))
+        broken = orders.withColumn("o_orderkey", F.lit(None).cast("long"))  # null keys are refused
+        return {"events": (events, ["event_id"], "ts", "arrival"), "orders": (orders, ["o_orderkey"], "ts", "arrival"), "broken": (broken, ["o_orderkey"], "ts", "arrival")}
+
+    runs = [feeds.incremental_run(spark, sources(), path).withColumn("run", F.lit(k)) for k in (1, 2)]
+    return readers.merge_all(runs).withColumn("failed", F.col("problem").isNotNull())
+
+
+add("inc7_report", "run:i dataset inserted:i updated:i unchanged:i failed", _incremental,
+    """(SELECT run, dataset, CASE WHEN run = 1 THEN n ELSE 0 END AS inserted, 0 AS updated, 0 AS unchanged, dataset = 'broken' AS failed FROM range(1, 3) r(run),
+    (SELECT 'events' AS dataset, count(DISTINCT event_id) AS n FROM events UNION ALL SELECT 'orders', count(DISTINCT o_orderkey) FROM orders UNION ALL SELECT 'broken', 0))""")
 add("str2_half_hourly", "ts n:i cents:i", lambda w: feeds.collect_append(feeds.half_hourly(_events(w).withColumn("cents", F.round(F.col("value") * 100).cast("long")), "ts"), "ts timestamp_ntz, n long, cents long"),
     "(SELECT * FROM (SELECT time_bucket(INTERVAL 30 MINUTE, ts) AS ts, count(*) AS n, sum(CAST(round(value * 100) AS BIGINT)) AS cents FROM events GROUP BY 1) WHERE ts + INTERVAL 30 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 2 DAY)")
 add("str3_outages", "key:i start_ts end_ts", lambda w: feeds.collect_append(feeds.outages(_events(w), "user_id", "ts"), "key long, start_ts timestamp_ntz, end_ts timestamp_ntz"),
@@ -100,18 +213,19 @@ add("str3_outages", "key:i start_ts end_ts", lambda w: feeds.collect_append(feed
 
 def _functions(w):
     """Every time function once, over the national series' times."""
-    t = w.raw.national.select("ts", (F.col("ts") + F.expr("INTERVAL 17 MINUTES")).alias("odd"))
+    k, at = fn.slot("ts"), lambda minutes: F.timestamp_add("MINUTE", minutes, F.col("ts"))
+    t = w.raw.national.select("ts", at(k % 3 * 17).alias("odd"), at((k % 7 - 2) * 15).alias("end"), F.timestamp_add("MONTH", k % 12, F.col("ts")).alias("later"))
     start = F.lit("2024-03-11 00:00:00").cast("timestamp_ntz")
     return t.select(
-        "ts", fn.to_local("ts").alias("local_ts"), fn.slot("ts").alias("slot"), fn.season(F.month("ts")).alias("season"), fn.date_key("ts").alias("date_key"), fn.iso_weekday("ts").alias("weekday"), fn.minutes_between("ts", "odd").alias("minutes"),
-        fn.floor_half_hour("odd").alias("floor_ts"), F.timestamp_add("MINUTE", F.lit(30), "ts").alias("ceil_ts"), fn.year_split("ts").alias("split_ts"), fn.slot_label(fn.slot("ts")).alias("label"), fn.grid_index("ts", start).alias("idx"),
-        fn.grid_time(fn.grid_index("ts", start), start).alias("back_ts"), fn.is_interval("ts", "odd").alias("valid"), fn.lead_band(fn.slot("ts") + 1).alias("band"), fn.last_known_offset(fn.slot("ts") + 1).alias("back_offset"),
+        "ts", fn.to_local("ts").alias("local_ts"), fn.slot("ts").alias("slot"), fn.season(F.month("later")).alias("season"), fn.date_key("ts").alias("date_key"), fn.iso_weekday("ts").alias("weekday"), fn.minutes_between("ts", "odd").alias("minutes"),
+        fn.floor_half_hour("odd").alias("floor_ts"), fn.ceil_half_hour("odd").alias("ceil_ts"), fn.year_split("later").alias("split_ts"), fn.slot_label(fn.slot("ts")).alias("label"), fn.grid_index("ts", start).alias("idx"),
+        fn.grid_time(fn.grid_index("ts", start), start).alias("back_ts"), fn.is_interval("ts", "end").alias("valid"), fn.lead_band(fn.slot("ts") + 1).alias("band"), fn.last_known_offset(2 * fn.slot("ts") + 1).alias("back_offset"),
         fn.erfc(F.lit(1.0) * fn.slot("ts") / 24).alias("tail"), fn.shown_p(F.lit(1.0) * fn.slot("ts") / 40000).alias("shown"),
     )
 
 
 add("fn_time_functions", "ts local_ts slot:i season date_key:i weekday:i minutes:i floor_ts ceil_ts split_ts label idx:i back_ts valid band:i back_offset:i tail:f shown", _functions,
-    """(SELECT ts, (ts AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/London' AS local_ts, k AS slot, CASE WHEN month(ts) IN (3, 4, 5) THEN 'Spring' ELSE 'Other' END AS season, CAST(strftime(ts, '%Y%m%d') AS INT) AS date_key, isodow(ts) AS weekday, 17 AS minutes, ts AS floor_ts, ts + INTERVAL 30 MINUTE AS ceil_ts,
-    TIMESTAMP '2024-12-31 23:30:00' AS split_ts, printf('%02d:%02d', CAST(k // 2 AS INT), CAST(k % 2 * 30 AS INT)) AS label, CAST((epoch(ts) - epoch(TIMESTAMP '2024-03-11')) / 1800 AS BIGINT) AS idx, ts AS back_ts, false AS valid, k // 12 AS band, 48 AS back_offset,
+    """(SELECT ts, (ts AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/London' AS local_ts, k AS slot, CASE WHEN month(later) IN (12, 1, 2) THEN 'Winter' WHEN month(later) <= 5 THEN 'Spring' WHEN month(later) <= 8 THEN 'Summer' ELSE 'Autumn' END AS season, CAST(strftime(ts, '%Y%m%d') AS INT) AS date_key, isodow(ts) AS weekday, k % 3 * 17 AS minutes, time_bucket(INTERVAL 30 MINUTE, odd) AS floor_ts, CASE WHEN odd = time_bucket(INTERVAL 30 MINUTE, odd) THEN odd ELSE time_bucket(INTERVAL 30 MINUTE, odd) + INTERVAL 30 MINUTE END AS ceil_ts,
+    make_timestamp(CAST(year(later + INTERVAL 30 MINUTE) AS BIGINT), 12, 31, 23, 30, 0) AS split_ts, printf('%02d:%02d', CAST(k // 2 AS INT), CAST(k % 2 * 30 AS INT)) AS label, CAST((epoch(ts) - epoch(TIMESTAMP '2024-03-11')) / 1800 AS BIGINT) AS idx, ts AS back_ts, (k % 7 - 2) * 15 % 30 = 0 AND k % 7 > 2 AS valid, k // 12 AS band, CASE WHEN 2 * k + 1 <= 48 THEN 48 ELSE 96 END AS back_offset,
     ((((1.061405429 * t - 1.453152027) * t + 1.421413741) * t - 0.284496736) * t + 0.254829592) * t * exp(-k * k / 576.0) AS tail, CASE WHEN k / 40000.0 < 0.001 THEN '<0.001' ELSE printf('%.3f', k / 40000.0) END AS shown
-    FROM (SELECT ts, k, 1 / (1 + 0.3275911 * k / 24.0) AS t FROM (SELECT ts, hour(ts) * 2 + minute(ts) // 30 AS k FROM nat)))""")
+    FROM (SELECT ts, k, 1 / (1 + 0.3275911 * k / 24.0) AS t, ts + (k % 3 * 17) * INTERVAL 1 MINUTE AS odd, ts + (k % 12) * INTERVAL 1 MONTH AS later FROM (SELECT ts, hour(ts) * 2 + minute(ts) // 30 AS k FROM nat)))""")

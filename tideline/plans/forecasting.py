@@ -6,6 +6,7 @@ windows computed once, and every feature of an (origin, horizon) pair uses rows
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
@@ -13,11 +14,19 @@ from pyspark.sql import functions as F
 
 from ..functions import timefn as fn
 from ..operators import series as ops
+from ..sources.sinks import write_run
 from .warehouse import Warehouse, error_metrics
 
 DAY, WEEK, AHEAD = 48, 336, 96
-RELATIVE = ("previous", "mean_24h", "mean_7d", "min_24h", "max_24h", "latest_slot", "slot_profile", "week_before", "two_weeks_before")
-FEATURES = ("horizon", "slot", "weekday", "holiday", "doy_sin", "doy_cos", "last", "previous", "mean_24h", "mean_7d", "std_24h", "min_24h", "max_24h", "change_24h", "latest_slot", "slot_profile", "week_before", "two_weeks_before", *(f"{n}_rel" for n in RELATIVE))
+# What is known of the target's time; of the series around the origin, by length of window; and around the target, by weeks back.
+CLOCK = ("doy_cos", "doy_sin", "holiday", "slot", "weekday")
+WINDOWS = {"24h": (DAY, {"max": F.max, "mean": F.avg, "min": F.min, "std": F.stddev_pop}), "7d": (WEEK, {"mean": F.avg})}
+WEEKS_BACK = {f"back_{k}w": k for k in (1, 2)}
+TRAILING = tuple(f"{s}_{label}" for label, (_, statistics) in WINDOWS.items() for s in statistics)
+LEVELS = (*(n for n in TRAILING if not n.startswith("std")), "previous", "latest_slot", "slot_profile", *WEEKS_BACK)  # in the series' own unit
+RELATIVE = tuple(sorted(LEVELS))
+FEATURES = ("last", "change_24h", *sorted({*TRAILING, *LEVELS}), *(f"{n}_rel" for n in RELATIVE), *CLOCK, "horizon")
+# Bands of leads and names of methods, as they stand in the results.
 BANDS = (("0-24 h", 1, 48), ("24-48 h", 49, 96), ("0-48 h", 1, 96))
 LEADS = (("0-1 h", 1, 2), ("1-4 h", 3, 8), ("4-12 h", 9, 24), ("12-24 h", 25, 48), ("24-36 h", 49, 72), ("36-48 h", 73, 96))
 METHODS = ("model", "persistence", "naive_yesterday", "naive_last_week", "api_forecast")
@@ -62,17 +71,19 @@ def calendar(series: DataFrame, holidays: DataFrame, ahead: int = AHEAD) -> Data
 def trailing(series: DataFrame) -> DataFrame:
     """What is known at each index: the value, the one before, statistics of the last day and week, change on the day before."""
     a = F.col("actual")
-    day = ops.rolling(series, [], "idx", DAY - 1, 0, {"mean_24h": F.avg(a), "std_24h": F.stddev_pop(a), "min_24h": F.min(a), "max_24h": F.max(a)})
-    week = ops.rolling(day, [], "idx", WEEK - 1, 0, {"mean_7d": F.avg(a)})
-    out = ops.gather(week, series, [], F.col("idx") - 1, "actual", "previous")
+    out = series
+    for label, (length, statistics) in WINDOWS.items():
+        out = ops.rolling(out, [], "idx", length - 1, 0, {f"{name}_{label}": of(a) for name, of in statistics.items()})
+    out = ops.gather(out, series, [], F.col("idx") - 1, "actual", "previous")
     out = ops.gather(out, series, [], F.col("idx") - DAY, "actual", "day_before")
-    return out.select("idx", a.alias("last"), "previous", "mean_24h", "mean_7d", "std_24h", "min_24h", "max_24h", (a - F.col("day_before")).alias("change_24h"))
+    return out.select("idx", a.alias("last"), "previous", *TRAILING, (a - F.col("day_before")).alias("change_24h"))
 
 
 def slot_profiles(series: DataFrame) -> DataFrame:
-    """Mean of up to seven values a day apart, ending at each index."""
-    w = Window.partitionBy(F.col("idx") % DAY).orderBy("idx").rowsBetween(-6, 0)
-    return series.select("idx", F.col("actual").alias("latest_slot"), F.avg("actual").over(w).alias("slot_profile"))
+    """Mean of up to seven values a day apart, ending at each index; windows over chunks of days with the six days before."""
+    rows = series.select("idx", "actual", (F.col("idx") % DAY).alias("place"), F.floor(F.col("idx") / DAY).alias("day"))
+    out = ops.rolling(rows, ["place"], "day", 6, 0, {"slot_profile": F.avg("actual")}, chunk=512)
+    return out.select("idx", F.col("actual").alias("latest_slot"), "slot_profile")
 
 
 def features(series: DataFrame, cal: DataFrame, origins: DataFrame, horizons: DataFrame | None = None) -> DataFrame:
@@ -82,17 +93,20 @@ def features(series: DataFrame, cal: DataFrame, origins: DataFrame, horizons: Da
     at_origin = trailing(series).withColumnRenamed("idx", "origin")
     at_target = cal.withColumnRenamed("idx", "target")
     value = series.select(F.col("idx").alias("target"), "actual", F.col("forecast").alias("api_forecast"))
-    week = series.select((F.col("idx") + WEEK).alias("target"), F.col("actual").alias("week_before"))
-    weeks = series.select((F.col("idx") + 2 * WEEK).alias("target"), F.col("actual").alias("two_weeks_before"))
-    at_target = at_target.join(value, "target", "left").join(week, "target", "left").join(weeks, "target", "left")
+    at_target = at_target.join(value, "target", "left")
+    for name, weeks in WEEKS_BACK.items():
+        at_target = at_target.join(series.select((F.col("idx") + weeks * WEEK).alias("target"), F.col("actual").alias(name)), "target", "left")
     latest = slot_profiles(series).withColumnRenamed("idx", "latest")
     rows = pairs.join(at_origin, "origin").join(at_target, "target").withColumn("latest", F.col("target") - fn.last_known_offset(F.col("horizon"))).join(latest, "latest", "left")
     rows = rows.withColumn("horizon", F.col("horizon").cast("double")).withColumns({f"{n}_rel": F.col(n) - F.col("last") for n in RELATIVE})
     return rows.select("origin", "target", *FEATURES, "actual", "api_forecast")
 
 
-def daily_origins(series: DataFrame, days: int = 365, hour: int = 0, retrain: int = 28, pinned: str | None = None) -> DataFrame:
-    """(idx, issue, fold): the last known index of each daily issue whose 48 hours are observed; fold counts blocks of `retrain` issues."""
+def daily_origins(series: DataFrame, days: int = 365, hour: int = 0, retrain: int = 28, pinned: str | None = None, least: int = 0) -> DataFrame:
+    """(idx, issue, fold): the last known index of each daily issue whose 48 hours are observed; fold counts blocks of `retrain` issues.
+
+    Only the last `days` issues, from index `least` on, are tested.
+    """
     known = series.agg(F.max(F.when(F.col("actual").isNotNull(), F.col("idx"))).alias("last"), F.min("ts").alias("start"))
     first = F.date_trunc("day", F.col("start")).cast("timestamp_ntz") + F.expr(f"INTERVAL {24 + hour} HOURS")
     rows = series.select("idx", "ts").crossJoin(F.broadcast(known)).withColumn("issue", F.col("ts") + F.expr("INTERVAL 30 MINUTES"))
@@ -102,7 +116,7 @@ def daily_origins(series: DataFrame, days: int = 365, hour: int = 0, retrain: in
         rows = rows.filter(F.col("issue") <= wanted)
         if rows.agg(F.max("issue") < wanted - F.expr("INTERVAL 1 DAY") + F.expr("INTERVAL 1 SECOND")).first()[0] is not False:
             raise ValueError(f"no complete 48-hour test for a forecast issued at {pinned}")
-    rows = rows.orderBy(F.desc("idx")).limit(days)
+    rows = rows.filter(F.col("idx") >= least).orderBy(F.desc("idx")).limit(days)
     return rows.select("idx", "issue", F.floor((F.row_number().over(Window.orderBy("idx")) - 1) / retrain).cast("int").alias("fold"))
 
 
@@ -126,13 +140,11 @@ def training_rows(series: DataFrame, cal: DataFrame, cutoff: int, s: Settings =
 def conformal(scored: DataFrame, coverage: float = 0.8) -> DataFrame:
     """(lead_band, widening): per quarter-day of lead the ceil((n + 1) * coverage) / n quantile of max(lo - y, y - hi), interpolated."""
     s = scored.withColumn("lead_band", fn.lead_band(F.col("horizon"))).withColumn("score", F.greatest(F.col("lo") - F.col("y"), F.col("y") - F.col("hi")))
-    w = Window.partitionBy("lead_band")
-    s = s.withColumns({"k": F.row_number().over(w.orderBy("score")) - 1, "n": F.count(F.lit(1)).over(w)})
-    level = F.least(F.lit(1.0), F.ceil((F.col("n") + 1) * coverage) / F.col("n"))
-    spot = level * (F.col("n") - 1)
-    s = s.withColumns({"below": F.floor(spot), "part": spot - F.floor(spot)})
-    lower, upper = F.max(F.when(F.col("k") == F.col("below"), F.col("score"))), F.max(F.when(F.col("k") == F.least(F.col("below") + 1, F.col("n") - 1), F.col("score")))
-    return s.groupBy("lead_band").agg((lower + (upper - lower) * F.max("part")).alias("widening"), F.max("n").alias("n"))
+    sizes = dict(s.groupBy("lead_band").agg(F.count("score")).collect())  # a number for each quarter-day of lead
+    level = {band: min(1.0, math.ceil((n + 1) * coverage) / n) for band, n in sizes.items() if n}
+    # one aggregate: a band's level is a constant in it
+    of_band = F.coalesce(*(F.when(F.col("lead_band") == band, F.percentile(F.when(F.col("lead_band") == band, F.col("score")), p)) for band, p in level.items()), F.lit(None).cast("double"))
+    return s.groupBy("lead_band").agg(of_band.alias("widening"), F.count("score").alias("n"))
 
 
 class Forecaster:
@@ -186,7 +198,7 @@ class Forecaster:
 
 
 def baselines(rows: DataFrame) -> DataFrame:
-    return rows.withColumns({"persistence": F.col("last"), "naive_yesterday": F.col("latest_slot"), "naive_last_week": F.col("week_before")})
+    return rows.withColumns({"persistence": F.col("last"), "naive_yesterday": F.col("latest_slot"), "naive_last_week": F.col("back_1w")})
 
 
 def stand_in(rows: DataFrame) -> DataFrame:
@@ -245,11 +257,16 @@ def win_rates(predictions: DataFrame) -> DataFrame:
     return long.groupBy(F.regexp_replace("other", "^mae_", "").alias("compared_with")).agg(F.count(F.lit(1)).alias("days"), F.sum((F.col("mae_model") < F.col("mae")).cast("long")).alias("better_days"), (100 * F.avg((F.col("mae_model") < F.col("mae")).cast("double"))).alias("better_pct"))
 
 
-def backtest(w: Warehouse, s: Settings, days: int, retrain: int) -> DataFrame:
-    """Predictions of every daily origin, each fold's model fitted on data before its first origin."""
+def first_cutoff(s: Settings) -> int:
+    """The least index before which a gap-free series has enough training rows."""
+    return 2 * WEEK + AHEAD + s.origin_step * -(-s.least_rows // AHEAD)
+
+
+def backtest(w: Warehouse, s: Settings = Settings(), days: int = 365, retrain: int = 28) -> DataFrame:
+    """Predictions of the last `days` daily origins before which there is enough to train on, each fold's model fitted on data before its first."""
     series = national_series(w).persist()
     cal = calendar(series, w.raw.holidays).persist()
-    origins = daily_origins(series, days, 0, retrain).persist()
+    origins = daily_origins(series, days, 0, retrain, least=first_cutoff(s)).persist()
     rows = features(series, cal, origins).persist()
     out = None
     for fold, cutoff in origins.groupBy("fold").agg(F.min("idx")).orderBy("fold").collect():  # one fit a fold
@@ -257,10 +274,24 @@ def backtest(w: Warehouse, s: Settings, days: int, retrain: int) -> DataFrame:
         part = model.predict(rows.join(F.broadcast(origins.filter(F.col("fold") == fold).select(F.col("idx").alias("origin"))), "origin", "left_semi"))
         part = prediction_table(part, origins, series)
         out = part if out is None else out.unionByName(part)
-    return out
+    return prediction_table(stand_in(rows), origins, series) if out is None else out  # no origin: no rows
+
+
+def validation_run(w: Warehouse, until: str, path: str, predict, settings: str) -> None:
+    """A backtest as it would have been at a time: the series before it, predictions and their scores stored with cutoff and settings.
+
+    predict(series, calendar, origins) -> feature rows with model, model_p10 and model_p90.
+    """
+    series = before(national_series(w), until).persist()
+    cal = calendar(series, w.raw.holidays)
+    origins = daily_origins(series).persist()
+    predictions = prediction_table(predict(series, cal, origins), origins, series).persist()
+    write_run(predictions, {"by_method": by_method(predictions), "coverage": interval_coverage(predictions)}, path, until, settings)
+    for kept in (predictions, origins, series):
+        kept.unpersist()
 
 
-def next_forecast(w: Warehouse, s: Settings) -> DataFrame:
+def next_forecast(w: Warehouse, s: Settings = Settings()) -> DataFrame:
     """The 48 hours after the last actual."""
     series = national_series(w).persist()
     cal = calendar(series, w.raw.holidays).persist()

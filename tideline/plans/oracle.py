@@ -45,14 +45,14 @@ WITH ev AS (
   SELECT d.issued, p.ts, p.forecast FROM (SELECT DISTINCT date_trunc('day', ts)::TIMESTAMP AS issued FROM nat) d
   JOIN (SELECT ts + INTERVAL 2 DAY AS ts, actual AS forecast FROM nat) p ON p.ts BETWEEN d.issued - INTERVAL 30 MINUTE AND d.issued + INTERVAL 48 HOUR
 ), yr0 AS (
-  SELECT n_name AS area, CAST(year(o_orderdate) AS INTEGER) AS year, o_orderpriority AS pr, sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS cents
+  SELECT n_name AS area, CASE WHEN n_regionkey <> 2 THEN upper(substr(n_name, 1, 3)) END AS code, CAST(year(o_orderdate) AS INTEGER) AS year, o_orderpriority AS pr, sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS cents
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL
 ), yr1 AS (
-  SELECT area, year, {_case("pr", {p: v[0] for p, v in PRIORITIES.items()})} AS source, cents, cents * {_case("pr", {p: v[1] for p, v in PRIORITIES.items()})} AS grams FROM yr0
+  SELECT area, code, year, {_case("pr", {p: v[0] for p, v in PRIORITIES.items()})} AS source, cents, cents * {_case("pr", {p: v[1] for p, v in PRIORITIES.items()})} AS grams FROM yr0
 ), yr2 AS (
-  SELECT area, year, source, cents, grams FROM yr1 UNION ALL SELECT area, year, 'Total generation', sum(cents), sum(grams) FROM yr1 GROUP BY area, year
+  SELECT area, code, year, source, cents, grams FROM yr1 UNION ALL SELECT area, code, year, 'Total generation', sum(cents), sum(grams) FROM yr1 GROUP BY area, code, year
 ), yearly AS (
-  SELECT area, year, source, source = 'Total generation' AS is_total, cents / 1e8 AS generation, 100.0 * cents / max(cents) OVER (PARTITION BY area, year) AS share,
+  SELECT area, code, year, source, source = 'Total generation' AS is_total, cents / 1e8 AS generation, 100.0 * cents / max(cents) OVER (PARTITION BY area, year) AS share,
     grams / 1e11 AS emissions, CAST(grams AS DOUBLE) / cents AS intensity FROM yr2
 ), countries AS (
   SELECT n_name AS area, printf('C%02d', CAST(n_nationkey AS INT)) AS country, (list_value({", ".join(repr(g) for g in GROUPS)}))[CAST(n_regionkey + 1 AS INT)] AS peer_group, CAST(n_nationkey AS INT) AS sort_order FROM nation
@@ -60,7 +60,7 @@ WITH ev AS (
 ), regions AS (
   SELECT CAST(i AS INT) AS region_id, 'Region ' || i AS region, CASE WHEN i <= 14 THEN 'Mainland' ELSE 'Aggregate' END AS nation, i > 14 AS is_aggregate FROM range(1, {REGIONS + 1}) t(i)
 ), hol AS (SELECT CAST(a AS DATE) AS day, min(b) AS holiday FROM (VALUES {_rows(HOLIDAYS)}) t(a, b) GROUP BY 1
-), known(start_ts, end_ts) AS (SELECT CAST(a AS TIMESTAMP), CAST(b AS TIMESTAMP) FROM (VALUES {_rows(KNOWN_GAPS)}) t(a, b)
+), known(dataset, start_ts, end_ts) AS (SELECT d, CAST(a AS TIMESTAMP), CAST(b AS TIMESTAMP) FROM (VALUES {_rows(KNOWN_GAPS)}) t(d, a, b)
 ), dayord AS (
   SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS orders, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) / (100 * count(*)) AS value FROM orders GROUP BY 1
 ), grid AS (SELECT unnest(generate_series((SELECT min(ts) FROM nat), (SELECT max(ts) FROM nat), INTERVAL 30 MINUTE)) AS ts
@@ -97,7 +97,7 @@ WITH ev AS (
 ), snap AS (
   SELECT issued, s.ts, date_diff('minute', issued, s.ts) AS lead_minutes, {_KEY.format(_LOCAL.format("s.ts"))} AS date_key, s.clean AS forecast, bad AS is_forecast_implausible, hh.actual, s.clean - hh.actual AS error
   FROM (SELECT *, CASE WHEN forecast BETWEEN {low} AND {high} THEN forecast END AS clean, coalesce(forecast NOT BETWEEN {low} AND {high}, false) AS bad FROM rawsnap) s LEFT JOIN hh ON s.ts = hh.ts
-), elec AS (SELECT country, y.* EXCLUDE (area) FROM yearly y JOIN countries USING (area)
+), elec AS (SELECT country, y.* EXCLUDE (area, code) FROM yearly y JOIN countries USING (area)
 ), ci AS (SELECT *, intensity - lag(intensity) OVER (PARTITION BY country ORDER BY year) AS change FROM cy
 ), autowin AS (
   SELECT CASE WHEN z >= a THEN a ELSE first END AS start_date, CASE WHEN z >= a THEN z ELSE last END AS end_date FROM (

@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import timefn as fn
-
-
-def numbered(df: DataFrame, order: str) -> DataFrame:
-    """Adds i = 0, 1, ... in order; for daily series, whose length is the number of days."""
-    return df.withColumn("i", F.row_number().over(Window.orderBy(order)).cast("long") - 1)
+from ..operators.series import numbered, running_sums
 
 
 def block_starts(spark, n: int, length: int, resamples: int, seed: str = "blocks") -> DataFrame:
@@ -25,17 +21,16 @@ def block_starts(spark, n: int, length: int, resamples: int, seed: str = "blocks
 def saving_interval(pairs: DataFrame, length: int = 7, resamples: int = 2000, level: float = 0.95) -> DataFrame:
     """One row: 100 * (1 - mean(rule) / mean(base)) with a percentile interval over resamples of paired blocks.
 
-    pairs: (i, rule, base). Block sums are differences of prefix sums, so resamples * blocks rows are made, not resamples * n.
+    pairs: (i, rule, base). Block sums are differences of running sums, so resamples * blocks rows are made, not resamples * n.
     """
     n = pairs.count()
     if not 1 <= length <= n:
         raise ValueError("the block length must be between 1 and the number of rows")
-    run = Window.orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
-    sums = pairs.select((F.col("i") + 1).alias("i"), F.sum("rule").over(run).alias("rule"), F.sum("base").over(run).alias("base"))
+    sums = running_sums(pairs.select("i", "rule", "base"), "i", ["rule", "base"]).select((F.col("i") + 1).alias("i"), "rule", "base")
     sums = sums.unionByName(pairs.sparkSession.range(1).select(F.lit(0).cast("long").alias("i"), F.lit(0.0).alias("rule"), F.lit(0.0).alias("base")))
     blocks = block_starts(pairs.sparkSession, n, length, resamples).withColumn("stop", F.col("start") + F.col("size"))
-    low = F.broadcast(sums.select(F.col("i").alias("start"), F.col("rule").alias("r0"), F.col("base").alias("b0")))
-    high = F.broadcast(sums.select(F.col("i").alias("stop"), F.col("rule").alias("r1"), F.col("base").alias("b1")))
+    low = sums.select(F.col("i").alias("start"), F.col("rule").alias("r0"), F.col("base").alias("b0"))
+    high = sums.select(F.col("i").alias("stop"), F.col("rule").alias("r1"), F.col("base").alias("b1"))
     boot = blocks.join(low, "start").join(high, "stop").groupBy("r").agg((F.lit(100.0) * (1 - F.sum(F.col("r1") - F.col("r0")) / F.sum(F.col("b1") - F.col("b0")))).alias("saving"))
     tail = (1 - level) / 2
     spread = boot.agg(F.percentile("saving", tail).alias("lower"), F.percentile("saving", 1 - tail).alias("upper"))

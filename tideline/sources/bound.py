@@ -32,7 +32,7 @@ FUELS = [
 FUEL_NAMES = [f[0] for f in FUELS]
 REGIONS = 18  # the last one is the aggregate
 HOLIDAYS = [("2024-03-29", "Good Friday"), ("2024-04-01", "Easter Monday"), ("2024-04-01", "Easter holiday"), ("2024-05-06", "Early May")]
-KNOWN_GAPS = [("2024-03-20 00:00:00", "2024-03-21 00:00:00")]
+KNOWN_GAPS = [("regional", "2024-03-20 00:00:00", "2024-03-21 00:00:00"), ("regional", "2024-03-27 18:00:00", "2024-03-29 06:00:00"), ("national", "2024-04-02 00:00:00", "2024-04-04 00:00:00")]
 PRIORITIES = {"1-URGENT": ("Gas", 490), "2-HIGH": ("Coal", 820), "3-MEDIUM": ("Wind", 11), "4-NOT SPECIFIED": ("Solar", 45), "5-LOW": ("Nuclear", 12)}
 GROUPS = ("GCC", "UK", "EU", "Benchmark", "Other")  # by number of the nation's region
 
@@ -102,17 +102,17 @@ class Bound:
 
     @cached_property
     def yearly(self) -> DataFrame:
-        """area, year, source, generation, share, emissions, intensity, with a total for each area and year."""
+        """area, code (blank ones null), year, source, generation, share, emissions, intensity, with a total for each area and year."""
         orders, customers, nations = self.table("orders"), self.table("customer"), self.table("nation")
         cents = orders.join(customers, orders.o_custkey == customers.c_custkey).groupBy("c_nationkey", F.year("o_orderdate").alias("year"), "o_orderpriority").agg(F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).alias("cents"))
         cents = cents.join(F.broadcast(nations), cents.c_nationkey == nations.n_nationkey)
-        each = cents.select(F.col("n_name").alias("area"), "year", choose(F.col("o_orderpriority"), {k: v[0] for k, v in PRIORITIES.items()}).alias("source"), "cents", (F.col("cents") * choose(F.col("o_orderpriority"), {k: v[1] for k, v in PRIORITIES.items()})).alias("grams"))
-        total = each.groupBy("area", "year").agg(F.sum("cents").alias("cents"), F.sum("grams").alias("grams"))
+        each = cents.select(F.col("n_name").alias("area"), "n_regionkey", "year", choose(F.col("o_orderpriority"), {k: v[0] for k, v in PRIORITIES.items()}).alias("source"), "cents", (F.col("cents") * choose(F.col("o_orderpriority"), {k: v[1] for k, v in PRIORITIES.items()})).alias("grams"))
+        total = each.groupBy("area", "n_regionkey", "year").agg(F.sum("cents").alias("cents"), F.sum("grams").alias("grams"))
         whole = total.select("area", "year", F.col("cents").alias("total_cents"))
         rows = each.unionByName(total.withColumn("source", F.lit("Total generation")))
         rows = rows.join(whole, ["area", "year"])
         return rows.select(
-            "area", "year", "source", (F.col("source") == "Total generation").alias("is_total"), (F.col("cents") / 1e8).alias("generation"),
+            "area", F.nullif(F.when(F.col("n_regionkey") == 2, F.lit("")).otherwise(F.upper(F.substring("area", 1, 3))), F.lit("")).alias("code"), "year", "source", (F.col("source") == "Total generation").alias("is_total"), (F.col("cents") / 1e8).alias("generation"),
             (F.lit(100.0) * F.col("cents") / F.col("total_cents")).alias("share"), (F.col("grams") / 1e11).alias("emissions"), (F.col("grams") / F.col("cents")).alias("intensity"),
         )
 
@@ -135,7 +135,7 @@ class Bound:
 
     @cached_property
     def known_gaps(self) -> DataFrame:
-        return self.spark.createDataFrame(KNOWN_GAPS, "a string, b string").select(F.col("a").cast("timestamp_ntz").alias("start_ts"), F.col("b").cast("timestamp_ntz").alias("end_ts"))
+        return self.spark.createDataFrame(KNOWN_GAPS, "dataset string, a string, b string").select("dataset", F.col("a").cast("timestamp_ntz").alias("start_ts"), F.col("b").cast("timestamp_ntz").alias("end_ts"))
 
     @cached_property
     def daily_orders(self) -> DataFrame:

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import timefn as fn
+
 
 @dataclass(frozen=True)
 class Dataset:
@@ -151,9 +153,14 @@ def snapshot_rows(rows: DataFrame, issued: Column) -> DataFrame:
 
 
 def issued_now(rows: DataFrame, as_of: str, now: Column) -> DataFrame:
-    """Snapshots may only be stamped with an as-of time at most 30 minutes behind the clock."""
+    """Snapshot rows stamped with the half-hour that the as-of time lies in; none where that time is over 30 minutes behind the clock."""
     at = F.lit(as_of).cast("timestamp_ntz")
-    return rows.filter(now - at <= F.expr("INTERVAL 30 MINUTES"))
+    return rows.filter(now - at <= F.expr("INTERVAL 30 MINUTES")).withColumn("issued", fn.floor_half_hour(at))
+
+
+def seed_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A small table kept as CSV, with declared types: another header, or a field that isn't of its type, is an error."""
+    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
 
 
 def landed(df: DataFrame, by: Column, ts: str = "ts") -> DataFrame:

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 
 def write_csv(df: DataFrame, path: str, order: Sequence[str]) -> int:
-    """Ordered CSV with a header; returns the rows written, counted while they are written."""
+    """Ordered CSV with a header; returns the rows written, counted while they are written (behind the sort, which samples its input)."""
     seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).orderBy(*order).write.mode("overwrite").option("header", True).csv(path)
+    df.orderBy(*order).observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option("header", True).csv(path)
     return int(seen.get["rows"])
 
 

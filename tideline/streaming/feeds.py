@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -14,8 +15,13 @@ from ..operators.upsert import upsert
 
 
 def shared(spark: SparkSession) -> str:
-    """The folder that driver and executors share; the session's own setting where there is one."""
-    place = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or "/tmp/tideline-streams"
+    """A new place in the folder that driver and executors share (spark.checkpoint.dir); local sessions may go without the setting."""
+    place = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not place:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        place = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+        spark.sparkContext.setCheckpointDir(place)
     return f"{place}/{uuid.uuid4().hex}"
 
 
@@ -35,6 +41,29 @@ def upsert_stream(df: DataFrame, table: str, path: str, keys: Sequence[str], ts:
     run_once(df, path, lambda batch, _: upsert(batch.sparkSession, table, batch, keys, ts, metadata, arrival))
 
 
+def incremental_run(spark: SparkSession, sources: dict[str, tuple], path: str) -> DataFrame:
+    """Every source read on from where its last run ended; (dataset, inserted, updated, unchanged, problem), a row for each.
+
+    sources: name -> (stream, keys, time column, arrival column). Tables and checkpoints stand under path by name. A source that
+    fails has its problem in its row, and the others go on.
+    """
+    report = []
+    for name, (stream, keys, ts, arrival) in sources.items():
+        seen = [0, 0, 0]
+
+        def write(batch, _, name=name, keys=keys, ts=ts, arrival=arrival, seen=seen):
+            done = upsert(batch.sparkSession, f"{path}/{name}/table", batch, keys, ts, (), arrival)
+            for k, n in enumerate(("inserted", "updated", "unchanged")):
+                seen[k] += done[n]
+
+        try:
+            run_once(stream, f"{path}/{name}", write)
+            report.append((name, *seen, None))
+        except Exception as error:  # noqa: BLE001  (stands in the report)
+            report.append((name, *seen, f"{type(error).__name__}: {error}"[:200]))
+    return spark.createDataFrame(report, "dataset string, inserted long, updated long, unchanged long, problem string")
+
+
 def half_hourly(df: DataFrame, ts: str, lateness: str = "2 days") -> DataFrame:
     """Counts and sums per half-hour, final once the watermark has passed. The time column becomes a TIMESTAMP here."""
     at = df.withColumn("at", F.col(ts).cast("timestamp")).withWatermark("at", lateness)
