@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,9 +16,11 @@ SPACE = r"[\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one is made only where none is set (tests)."""
+    """The folder that driver and executors share; local sessions may go without the setting (tests)."""
     place = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not place:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         place = tempfile.mkdtemp(prefix="tideline-", dir="/tmp")
         spark.sparkContext.setCheckpointDir(place)
     return place
@@ -29,6 +33,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(place)
 
 
+@contextmanager
+def records_per_batch(spark: SparkSession, most: int):
+    """Actions inside send Python workers at most so many rows at once."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -60,6 +76,26 @@ def smallest_hashes(rows: DataFrame, limit: int, *salt: str) -> DataFrame:
     return rows.distinct().orderBy(place).limit(limit)
 
 
+def lean(run):
+    """For functions over Arrow batches: at a task's end its worker, which is kept, gives free memory back to the system."""
+
+    @functools.wraps(run)
+    def whole(batches):
+        import ctypes
+
+        import pyarrow as pa
+
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+            if trim:
+                trim(0)
+
+    return whole
+
+
 # ---- hashing of byte and word sequences: polynomials modulo 2**64, by prefix sums ----
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import blocks_of, body, read_documents, smallest_hashes, text_buffers
+from .common import blocks_of, body, lean, read_documents, smallest_hashes, text_buffers
 from .window_dedup import word_codes
 
 SAMPLE = 8000  # positives, and unlabelled texts, that the fit sees at most
@@ -81,6 +81,7 @@ def _batches(batch):
         yield i, j, features(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
 
 
+@lean
 def _extract(batches):
     for batch in batches:
         rows = [f for _, _, f in _batches(batch)]
@@ -153,6 +154,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict | None
 
 
 def _score(model: dict | None):
+    @lean
     def run(batches):
         for batch in batches:
             scores = np.full(batch.num_rows, 0.5)
@@ -179,6 +181,7 @@ def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     if model is None:
         return docs
 
+    @lean
     def keep(batches):
         for batch in batches:
             scored = next(iter(_score(model)([pa.RecordBatch.from_arrays([batch.column("text")], names=["text"])])))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import anchors, blocks_of, body, cut, mix, prefixes, spans_hash, text_buffers
+from .common import anchors, blocks_of, body, cut, lean, mix, prefixes, spans_hash, text_buffers
 
 SLICE = 1 << 21  # bytes of text worked on at once
 
@@ -73,6 +73,7 @@ def _blocks(codes: np.ndarray, first: np.ndarray, w: Windows):
 
 
 def _block_rows(w: Windows, only_core: bool):
+    @lean
     def run(batches):
         for batch in batches:
             raw, offsets = text_buffers(batch.column("text"))
@@ -112,6 +113,7 @@ def _parts(w: Windows, length: int) -> list[int]:
 def _window_rows(w: Windows, length: int):
     """Texts with their spans -> a row per distinct part of their windows: hash, place, and 2 if it is known to repeat, else 1."""
 
+    @lean
     def run(batches):
         for batch in batches:
             raw, offsets = text_buffers(batch.column("text"))
@@ -141,6 +143,7 @@ def _extend(w: Windows, length: int):
     """Texts with spans and the starts of their repeated parts -> the same texts with the windows whose parts all repeat."""
     reach = np.int64(1) << np.int64(40)
 
+    @lean
     def run(batches):
         for batch in batches:
             n = batch.num_rows
@@ -236,6 +239,7 @@ def apply_runs(docs: DataFrame, runs: DataFrame, length: int, cut_out: Callable)
     """
     import hashlib
 
+    @lean
     def run(batches):
         for batch in batches:
             runs = batch.column("runs")

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import body, cut, read_documents, row_key, smallest_hashes
+from .common import body, cut, lean, read_documents, row_key, smallest_hashes
 from .components import connected_components
 
 SHINGLE = 3
@@ -66,6 +66,7 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def _fingerprints(shingle: int):
+    @lean
     def run(batches):
         for batch in batches:
             texts = batch.column("text").cast(pa.large_binary())
@@ -133,9 +134,20 @@ def free_bits(path: str, bits: int, parts: int) -> tuple[int, int]:
     return free, last
 
 
+def _blocks(batch) -> list[tuple[str, bytes]]:
+    """(path, codes) of a batch that has them, or of one with a row for each (tab, code)."""
+    if "path" in batch.schema.names:
+        return list(zip(batch.column("path").to_pylist(), batch.column("codes").to_pylist()))
+    tabs, codes = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("tab", "code"))
+    order = np.argsort(tabs, kind="stable")
+    names, first = np.unique(tabs[order], return_index=True)
+    return [(str(x), part.tobytes()) for x, part in zip(names, np.split(codes[order], first[1:]))]
+
+
 def _send(points: np.ndarray, most: float, bits: int, parts: int, radius: int):
-    """Blocks of fingerprints (path, codes) -> the same, each on its way to the shards of the next level."""
+    """Fingerprints, in rows or in blocks (path, codes) -> blocks, each on its way to the shards of the next level."""
 
+    @lean
     def run(batches):
         trees: dict[str, list] = {}
 
@@ -155,7 +167,7 @@ def _send(points: np.ndarray, most: float, bits: int, parts: int, radius: int):
 
         held, size = {}, 0
         for batch in batches:
-            for path, blob in zip(batch.column("path").to_pylist(), batch.column("codes").to_pylist()):
+            for path, blob in _blocks(batch):
                 held.setdefault(path, []).append(blob)
                 size += len(blob)
             if size >= 8 * FLUSH:
@@ -166,16 +178,6 @@ def _send(points: np.ndarray, most: float, bits: int, parts: int, radius: int):
     return run
 
 
-def _blocks(batches):
-    """(tab, code) rows -> a block of codes for each tab in a batch."""
-    for batch in batches:
-        tabs, codes = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("tab", "code"))
-        order = np.argsort(tabs, kind="stable")
-        names, first = np.unique(tabs[order], return_index=True)
-        blobs = [x.tobytes() for x in np.split(codes[order], first[1:])] if len(names) else []
-        yield pa.RecordBatch.from_arrays([pa.array([str(x) for x in names], pa.string()), pa.array(blobs, pa.binary())], names=["path", "codes"])
-
-
 class Links:
     """Pairs (a, b) of places, kept only while they connect what was apart."""
 
@@ -197,8 +199,9 @@ class Links:
             apart = ra != rb
             a, b, low, high = a[apart], b[apart], np.minimum(ra, rb)[apart], np.maximum(ra, rb)[apart]
             _, one = np.unique(high, return_index=True)  # each root is hung up once; the other pairs are looked at again
-            self.a.append(a[one])
-            self.b.append(b[one])
+            if len(one):
+                self.a.append(a[one])
+                self.b.append(b[one])
             self.parent[high[one]] = low[one]
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
@@ -227,11 +230,12 @@ def link_equal(codes: np.ndarray, at: np.ndarray, part: int, free: int, distance
     at, value = at[order], value[order]
     first = np.flatnonzero(np.append(True, value[1:] != value[:-1]))
     end = np.append(first[1:], len(at))
-    deep = len(divide(free, parts)) > distance
+    deep = free.bit_count() >= parts > distance
     for i, j in zip(first, end):
         if deep and j - i > RUN:
-            for more in divide(free, parts):
-                link_equal(codes, at[i:j], more, free & ~more, distance, parts, links)
+            left = free & int(np.bitwise_or.reduce(codes[at[i:j]] ^ codes[at[i]]))  # bits alike in the whole run divide nothing
+            for more in divide(left, parts):
+                link_equal(codes, at[i:j], more, left & ~more, distance, parts, links)
     stop = np.repeat(np.where(deep & (end - first > RUN), first, end), end - first)
     i, step = np.arange(len(at)), 1
     while len(i := i[i + step < stop[i]]):
@@ -270,7 +274,7 @@ def near_links(codes: DataFrame, distance: int = DISTANCE, bits: int = BITS, par
     points = np.array([r[0] for r in sample.collect()], np.int64).view(np.uint64)
     most = len(points) * SHARD_ROWS * max(1, tabs) / max(1, n)
     send = _send(points, most, bits, parts, distance // parts)
-    sent = codes.select("tab", "code").mapInArrow(_blocks, "path string, codes binary")
+    sent = codes.select("tab", "code")
     found, schema = None, "tab int, a long, b long"
     for level in range(LEVELS):
         sent = cut(sent.mapInArrow(send, "path string, codes binary"))

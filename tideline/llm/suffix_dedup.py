@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BYTE_CODES, anchors, blocks_of, body, cut, mix, prefixes, read_documents, spans_hash, text_buffers
+from .common import BYTE_CODES, anchors, blocks_of, body, cut, lean, mix, prefixes, read_documents, spans_hash, text_buffers
 from .repeats import NO_ID, SLICE, apply_runs, row_id
 from .window_dedup import word_codes
 
@@ -122,6 +122,7 @@ def _sliced(batch, tokens: Tokens):
 
 
 def _leading_digits(tokens: Tokens, d: Depths):
+    @lean
     def run(batches):
         for batch in batches:
             for _, _, codes, first in _sliced(batch, tokens):
@@ -133,6 +134,7 @@ def _leading_digits(tokens: Tokens, d: Depths):
 
 
 def _digits(tokens: Tokens, d: Depths):
+    @lean
     def run(batches):
         for batch in batches:
             doc, key = batch.column("doc_id"), batch.column("key")
@@ -152,6 +154,7 @@ def _digits(tokens: Tokens, d: Depths):
 def _windows(tokens: Tokens, d: Depths):
     """Texts with spans (lo, n, many, d2) -> a row for each window in them: its group, the name of the whole window, its place."""
 
+    @lean
     def run(batches):
         for batch in batches:
             doc, key, spans = batch.column("doc_id"), batch.column("key"), batch.column("spans")
