@@ -5,8 +5,8 @@ candidates that the index lacks are found by a sort-merge anti-join (both sides
 never shuffled) and appended. Only DataFrame functions are used.
 
 Defined results: a null text counts as empty; white-space runs count as one space; of equal texts the smallest doc_id
-stays, a null doc_id only if the group has no other; a row repeated with the same doc_id stays once; an empty batch
-appends nothing.
+stays, a null doc_id only if the group has no other; a row repeated with the same doc_id stays once; columns beyond doc_id and text are carried along, whatever their names; an empty
+batch appends nothing.
 """
 
 from __future__ import annotations
@@ -89,7 +89,9 @@ def keep_first(docs: DataFrame, table: str) -> DataFrame:
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the row that stays for its text, from an index that starts empty."""
-    out = exact_dedup(read_documents(spark, sf_dir), f"digest_index_{uuid.uuid4().hex}")
+    table = f"digest_index_{uuid.uuid4().hex}"
+    out = exact_dedup(read_documents(spark, sf_dir), table)
+    spark.sql(f"DROP TABLE {table}")  # this one was for one batch, whose verdicts stand
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
