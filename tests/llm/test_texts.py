@@ -98,6 +98,74 @@ def test_order_minhash(docs, rows, no_docs):
     assert one.near_next == 1.0
 
 
+def brute_signature(text, k=8, bins=128, size=2):
+    """Selection and order with dictionaries and lists; only the hashes of single k-mers are the operator's."""
+    mix, odd = order_minhash.mix, order_minhash._ODD
+    codes = np.array([ord(c) + 1 for c in text], np.uint64)
+    prefix = order_minhash.prefixes(codes)
+    n = max(1, len(text) - k + 1)
+    hash_of = [int(order_minhash.spans_hash(prefix, np.array([i]), np.array([min(i + k, len(text))]))[0]) for i in range(n)]
+    seen, every, dealt = Counter(), [], [[] for _ in range(bins)]
+    for i, h in enumerate(hash_of):
+        key = int(order_minhash.mix(np.array([h], np.uint64) + np.array([seen[h]], np.uint64) * order_minhash._ODD)[0])
+        seen[h] += 1
+        every.append((key, i))
+        dealt[key * bins >> 64].append((key, i))
+    out = []
+    for b in range(bins):
+        if len(dealt[b]) < min(size, n):
+            salt = mix(np.array([b + 1], np.uint64) * odd)
+            dealt[b] = [(int(mix(np.array([key], np.uint64) + salt)[0]), i) for key, i in every]
+        places = sorted(i for _, i in sorted(dealt[b])[:size])
+        value = np.zeros(1, np.uint64)
+        for i in places:
+            value = order_minhash.mix(value * order_minhash._ODD + np.array([hash_of[i]], np.uint64) + np.uint64(1))
+        out.append(int(value[0]) >> 48)
+    return out
+
+
+def test_order_minhash_against_brute_force(spark):
+    """Fingerprints, edited texts and both likenesses of texts of every length, as the query gives them."""
+    rng = random.Random(12)
+    text = lambda n: "".join(rng.choice("abcdé ") for _ in range(n))
+    texts = ["", "a", "seven77", "eightchr", text(9), text(10), text(40), text(130), text(400), text(1500), "ab" * 200, text(260)]
+    texts += [texts[8][:200] + texts[8][201:], texts[9][700:] + texts[9][:700]]
+    table = spark.createDataFrame([(3 * i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    want = [brute_signature(t) for t in texts]
+    like = lambda a, b: sum(x == y for x, y in zip(a, b)) / len(a)
+    show = lambda s: "".join(f"{x:04x}" for x in s)
+    for i, r in enumerate(order_minhash.fingerprints(table).orderBy("doc_id").collect()):
+        j, n = (i + 1) % len(texts), len(texts[i])
+        edited = texts[i][: n - n // 2] + texts[j][: n // 2]
+        assert (r.n_chars, r.fingerprint, r.edited_sha256) == (n, show(want[i]), sha(edited))
+        assert r.edited_fingerprint == show(brute_signature(edited))
+        assert r.near_edited == like(want[i], brute_signature(edited)) and r.near_next == like(want[i], want[j])
+
+
+def test_order_minhash_of_short_texts_against_independent_selections():
+    """The binned form estimates what one hash function for each entry does, from 12 characters on."""
+    rng = random.Random(3)
+    errors = []
+    for n in (12, 20, 45, 90, 180, 500, 1500):
+        for _ in range(4):
+            a = "".join(rng.choice("abcdefgh ") for _ in range(n))
+            at = rng.randrange(n)
+            b = rng.choice([a[:at] + "Q" + a[at:], a[:at] + a[at + 3 :], a[n // 3 :] + a[: n // 3]])
+            hits = 0
+            for salt in range(600):  # one function each: the two smallest numbered k-mers, in their order
+                pick = []
+                for t in (a, b):
+                    seen, keys = Counter(), []
+                    for i in range(max(1, len(t) - 7)):
+                        keys.append((hash((salt, t[i : i + 8], seen[t[i : i + 8]])), i))
+                        seen[t[i : i + 8]] += 1
+                    pick.append([t[i : i + 8] for i in sorted(i for _, i in sorted(keys)[:2])])
+                hits += pick[0] == pick[1]
+            codes = [order_minhash._codes(t) for t in (a, b)]
+            errors.append(order_minhash.likeness(*map(order_minhash.signature, codes)) - hits / 600)
+    assert abs(sum(errors) / len(errors)) < 0.04 and max(map(abs, errors)) < 0.25
+
+
 def test_order_minhash_sees_order():
     a = np.frombuffer(" ".join(f"word{i}" for i in range(400)).encode("utf-32-le"), np.uint32)
     parts = [" ".join(f"word{i}" for i in range(k, k + 20)) for k in range(0, 400, 20)]

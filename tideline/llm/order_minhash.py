@@ -1,8 +1,10 @@
 """Order MinHash fingerprints: sensitive to the order of a text's parts, and so to edit distance.
 
 The k-mers of a text are numbered by occurrence, so that repeats differ. One hash of (k-mer, number) deals them to BINS bins
-(one permutation instead of one hash function per entry); of each bin the TUPLE smallest are selected, put back in text order, and the
-tuple is hashed to 16 bits. The likeness of two fingerprints is the share of equal entries among those that either fills.
+(one permutation instead of one hash function per entry: 128 functions over every character would be some 100 times the work);
+of each bin the TUPLE smallest are selected, put back in text order, and the tuple is hashed to 16 bits. An entry whose
+bin has fewer k-mers selects from all k-mers of the text, by a hash function of its own; only short texts have many of these.
+The likeness of two fingerprints is the share of equal entries; tests hold it against independent selections.
 
 Each text is also compared to an edited copy of itself that ends with the next document's beginning. Documents are range
 partitioned and sorted by doc_id and a hash of their text, so the next document is the next row; only the last row of each partition is completed
@@ -10,7 +12,10 @@ afterwards, from as many pairs as there are partitions.
 
 Defined results: null and empty texts have one empty k-mer, so all empty texts are alike (likeness 1); texts shorter than a
 k-mer are one k-mer; rows of one doc_id follow each other by a hash of their text; a null doc_id comes first; a single
-document is its own next; an empty table gives an empty result.
+document is its own next; columns beyond doc_id and text are neither read nor in the way; texts of any length are read whole;
+an empty table gives an empty result.
+
+Rows alike in doc_id and text follow each other in one range partition, as each is the next document of the one before.
 """
 
 from __future__ import annotations
@@ -32,7 +37,7 @@ _ODD = np.uint64(0xD6E8FEB86659FD93)
 
 
 def signature(codes: np.ndarray, k: int = K, bins: int = BINS, size: int = TUPLE) -> np.ndarray:
-    """BINS entries of 16 bits; 0 for a bin that no k-mer fell into."""
+    """BINS entries of 16 bits."""
     prefix = prefixes(codes.astype(np.uint64) + np.uint64(1))
     at = np.arange(max(1, len(codes) - k + 1))
     grams = spans_hash(prefix, at, np.minimum(at + k, len(codes)))
@@ -48,21 +53,20 @@ def signature(codes: np.ndarray, k: int = K, bins: int = BINS, size: int = TUPLE
     keys = mix(grams[where] + number.astype(np.uint64) * _ODD)
     chosen = np.sort((keys & ~mask) | where)
     edges = np.searchsorted(chosen, np.arange(bins, dtype=np.uint64) << np.uint64(64 - int(bins - 1).bit_length()))
-    spots = edges[:, None] + np.arange(size)
-    filled = spots < np.append(edges[1:], n)[:, None]
-    picked = chosen[np.minimum(spots, n - 1)]
-    order = np.argsort(np.where(filled, (picked & mask).astype(np.int64), n + 1), axis=1, kind="stable")
-    values = np.take_along_axis(np.where(filled, grams[(picked & mask).astype(np.int64)], np.uint64(0)), order, axis=1)
+    size = min(size, n)
+    few = np.flatnonzero(np.append(edges[1:], n) - edges < size)
+    picked = chosen[np.minimum(edges[:, None] + np.arange(size), n - 1)]
+    own = mix(keys + mix((few.astype(np.uint64) + np.uint64(1)) * _ODD)[:, None])
+    picked[few] = np.partition((own & ~mask) | where, size - 1, axis=1)[:, :size]
+    values = grams[np.sort((picked & mask).astype(np.int64), axis=1)]
     out = np.zeros(bins, np.uint64)
     for column in values.T:
         out = mix(out * _ODD + column + np.uint64(1))
-    out = (out >> np.uint64(48)) | np.uint64(1)
-    return np.where(filled[:, 0], out, np.uint64(0)).astype(">u2")
+    return (out >> np.uint64(48)).astype(">u2")
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    used = (a != 0) | (b != 0)
-    return float((a == b)[used].mean()) if used.any() else 1.0
+    return float((a == b).mean())
 
 
 def _codes(text: str) -> np.ndarray:
