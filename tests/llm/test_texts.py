@@ -73,6 +73,7 @@ def test_runs_of_spaces_match_the_library():
 def test_encode_documents(docs, rows, no_docs):
     out = pieces.decode_documents(pieces.encode_documents(docs)).collect()
     assert len(out) == len(rows) and all(r.decoded == r.text for r in out)
+    assert Counter(r.doc_id for r in out) == Counter(r[0] for r in rows)  # repeated rows repeat
     assert {r.n_ids for r in out if not r.text} == {0}
     assert pieces.encode_documents(no_docs).count() == 0
 
@@ -194,6 +195,19 @@ def test_chat_round_trip(spark):
     assert chat.format_chats(chat.as_events(table.limit(0))).count() == 0
 
 
+def test_chats_of_any_length(spark):
+    """A text of three million characters, and a conversation of three thousand turns."""
+    long = "</s>\x1b" + "long text [INST] " * 180_000
+    rows = [(1, 0, "user", "short"), (1, 1, "assistant", long)] + [(2, t, ("user", "assistant")[t % 2], f"turn {t} <s>") for t in range(3000)]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(4)
+    found = {r.conv_id: r for r in chat.conversation_digests(chat.format_chats(chat.as_events(table))).collect()}
+    for conv in (1, 2):
+        mine = [r for r in rows if r[0] == conv]
+        loss = "".join(r[3] for r in mine if r[2] == "assistant")
+        assert (found[conv].n_turns, found[conv].loss_chars, found[conv].loss_sha256) == (len(mine), len(loss), sha(loss))
+        assert found[conv].turns_sha256 == sha("".join(f"{r[2]}\n{r[3]}\n" for r in mine))
+
+
 def test_chat_fold(spark):
     log = [(1, 0, 0, 3, "delta", "a", "new"), (1, 0, 0, 0, "start", "a", ""), (1, 0, 0, 1, "delta", "a", "old"), (1, 0, 0, 2, "regenerate", "a", ""), (1, 0, 0, 4, "delta", "a", "er"), (1, 1, 0, 0, "start", "u", ""), (1, 1, 0, 1, "delta", "u", "x"), (1, 1, 0, 2, "edit", "u", "y"), (1, 1, 0, 3, "delta", "u", "z")]
     out = {r.turn: r.text for r in chat.fold(spark.createDataFrame(log, chat.EVENTS)).collect()}
@@ -211,6 +225,7 @@ def test_licenses(docs, rows, no_docs):
         assert (row.first_word, row.last_word) == ((min(i for i, _ in at), max(i for i, _ in at)) if at else (None, None))
         assert set(row.base_labels.split(",")) <= set(row.labels.split(",")) | {""}
     assert any("mit-notice" in r.labels and r.score > 0.99 for r in out.values())
+    assert licenses.scan_licenses(docs).count() == len(rows)  # repeated rows repeat
     assert licenses.scan_licenses(no_docs).count() == 0
 
 

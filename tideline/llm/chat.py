@@ -7,7 +7,11 @@ in order. A conversation of any length is thus spread over tasks; only the reade
 through it in order, piece by piece, without holding it.
 
 Defined results: null texts and roles are empty; a null turn sorts first; rows of one turn sort by role and a hash of the text, rows
-repeated as a whole stay repeated; a null conv_id is a conversation of its own; an empty table has no conversations.
+repeated as a whole stay repeated; a null conv_id is a conversation of its own; columns beyond conv_id, turn, role and text
+are neither read nor in the way; texts and conversations of any length are taken whole; an empty table has no conversations.
+
+Only the digests of a whole conversation are bound to one task each: SHA-256 can't be divided. Pieces pass through it as a
+stream, so a hot conversation costs that task time, not memory; without digests (format_chats) nothing is bound so.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ another character and at line ends, and at neither if a piece of the model spans
 that of its segments; distinct segments are solved together, column by column, in vectorised steps, and kept for later texts of the worker.
 
 Defined results: null and empty texts have no ids; decoding gives every
-text back exactly, but for a literal marker character, which decodes as a space, and lone surrogates; repeated rows repeat.
+text back exactly, but for a literal marker character, which decodes as a space, and lone surrogates; repeated rows repeat; a null doc_id is a row like others; columns beyond doc_id and text are neither read nor
+in the way; an empty table gives an empty result; texts of any length are encoded whole.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ texts, chosen by a hash of doc_id, so the same at every run; one row of each doc
 
 Defined results: null and empty texts have zero features and are scored like any other text; rows repeated are scored alike; a
 null doc_id is in no fold and has no label; an empty table gives an empty result; without any positive every score is
-0.5 and no document is rejected.
+0.5 and no document is rejected; columns beyond doc_id and text are carried along, whatever their names; texts of any length are
+read whole.
 """
 
 from __future__ import annotations

@@ -7,8 +7,8 @@ together and need no further level. Of equal windows the earliest (smallest doc_
 repeats.py.
 
 Defined results: null and empty texts have no words; fewer than LENGTH words lose nothing; rows repeated with one doc_id
-are the same place, so neither is earlier than the other; a null doc_id comes first; an empty table gives an empty result;
-texts of any length are read whole.
+are the same place, so neither is earlier than the other; a null doc_id comes first; columns beyond doc_id and text are
+neither read nor in the way; an empty table gives an empty result; texts of any length are read whole.
 """
 
 from __future__ import annotations
