@@ -96,14 +96,14 @@ def regular(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
     return following(df, keys, ts).filter(F.col("next_ts").isNotNull() & (F.col("next_ts") != F.col(ts) + F.expr("INTERVAL 30 MINUTES")))
 
 
-def numbered(df: DataFrame, order: str) -> DataFrame:
-    """Adds i = 0, 1, ... in the order of a day or time, which doesn't repeat; counted by month, so no task orders the whole table."""
+def numbered(df: DataFrame, order: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Adds i = 0, 1, ... for each key in the order of a day or time, which doesn't repeat; counted by month, so no task orders a whole series."""
     df = df.withColumn("_month", F.trunc(F.to_date(order), "month"))
-    counts = df.groupBy("_month").agg(F.count(F.lit(1)).alias("_n"))
-    before = F.sum("_n").over(Window.orderBy("_month").rowsBetween(Window.unboundedPreceding, -1))  # a row a month
-    starts = counts.select("_month", F.coalesce(before, F.lit(0)).alias("_start"))
-    place = F.row_number().over(Window.partitionBy("_month").orderBy(order)) - 1
-    return df.withColumn("i", place).join(starts, "_month").withColumn("i", (F.col("i") + F.col("_start")).cast("long")).drop("_month", "_start")
+    counts = df.groupBy(*keys, "_month").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_month").rowsBetween(Window.unboundedPreceding, -1))  # a row a month
+    starts = counts.select(*keys, "_month", F.coalesce(before, F.lit(0)).alias("_start"))
+    place = F.row_number().over(Window.partitionBy(*keys, "_month").orderBy(order)) - 1
+    return df.withColumn("i", place).join(starts, [*keys, "_month"]).withColumn("i", (F.col("i") + F.col("_start")).cast("long")).drop("_month", "_start")
 
 
 def running_sums(df: DataFrame, index: str, columns: Sequence[str], chunk: int = CHUNK) -> DataFrame:

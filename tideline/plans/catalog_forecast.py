@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from ..operators.series import numbered
 from ..sources import sinks
 from ..sources.bound import HOLIDAYS
-from ..sources.readers import merge_all
 from ..streaming import feeds
 from . import forecasting as fc
 from . import stats
@@ -126,12 +125,7 @@ _BASES = ("fixed_0900", "fixed_1700")
 def _interval_table(w):
     """A bootstrap interval for every rule against two fixed starts."""
     days = w._keep(numbered(w.complete_days, "day"))
-    out = []
-    for rule in _RULES:
-        for base in _BASES:
-            row = stats.saving_interval(days.select("i", F.col(rule).cast("double").alias("rule"), F.col(base).cast("double").alias("base")))
-            out.append(row.withColumns({"strategy": F.lit(rule), "against": F.lit(base)}))
-    return merge_all(out)
+    return stats.saving_intervals(days, _RULES, _BASES).withColumnsRenamed({"rule": "strategy", "base": "against"})
 
 
 _ONE = """SELECT '{r}' AS strategy, '{b}' AS against, (SELECT 100.0 * (1 - avg({r}) / avg({b})) FROM fdn) AS estimate, quantile_cont(v, 0.025) AS lower, quantile_cont(v, 0.975) AS upper, (SELECT count(*) FROM fdn) AS days
@@ -143,14 +137,12 @@ add("q18_interval_table", "strategy against estimate:f lower:f upper:f days:i",
 
 def _dm_table(w):
     """Diebold-Mariano tests of the model against each naive method on issue-wise MAE, in two bands."""
-    p = w._keep(fc.common(_predictions(w)))
-    out = []
-    for band, lo, hi in fc.BANDS[:2]:
-        daily = w._keep(numbered(p.filter(F.col("horizon").between(lo, hi)).groupBy("issue").agg(*fc._maes()), "issue"))
-        for other in ("persistence", "naive_yesterday", "naive_last_week"):
-            row = stats.diebold_mariano(daily.select("i", F.col("mae_model").alias("a"), F.col(f"mae_{other}").alias("b")), 3)
-            out.append(row.withColumns({"band": F.lit(band), "compared_with": F.lit(other)}))
-    return merge_all(out)
+    daily = fc._banded(fc.common(_predictions(w)), fc.BANDS[:2]).groupBy("band", "issue").agg(*fc._maes())
+    daily = w._keep(numbered(daily, "issue", ["band"]))
+    others = ("persistence", "naive_yesterday", "naive_last_week")
+    losses = daily.unpivot(["band", "i", "mae_model"], [f"mae_{m}" for m in others], "compared_with", "b")
+    losses = losses.withColumns({"compared_with": F.substring("compared_with", 5, 99), "a": F.col("mae_model")})
+    return stats.diebold_mariano(losses, 3, ["band", "compared_with"])
 
 
 _DM = """SELECT '{band}' AS band, '{m}' AS compared_with, n, mean AS mean_difference, mean / sqrt(variance / n) AS statistic FROM (SELECT (SELECT count(*) FROM d{k}) AS n, (SELECT avg(mae_model - mae_{m}) FROM d{k}) AS mean,
