@@ -28,7 +28,10 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return exact_dedup.keep_first(docs, f"digest_index_{uuid.uuid4().hex}")
+    table = f"digest_index_{uuid.uuid4().hex}"
+    kept = exact_dedup.keep_first(docs, table)
+    spark.sql(f"DROP TABLE {table}")
+    return kept
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -26,13 +26,34 @@ def shared_dir(spark: SparkSession) -> str:
     return place
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write a result to the shared folder and go on from the written rows: the lineage ends here."""
+_scratch: list[list[str]] = []  # what the scratch blocks that are open have written, the innermost last
+
+
+def cut(df: DataFrame, keep: bool = False) -> DataFrame:
+    """Write a result to the shared folder and go on from the written rows: the lineage ends here.
+
+    Inside a scratch block the rows go with it, but for those to keep.
+    """
     place = f"{shared_dir(df.sparkSession)}/{uuid.uuid4().hex}"
+    held = _scratch[:-1] if keep else _scratch
+    if held:
+        held[-1].append(place)
     df.write.parquet(place)
     return df.sparkSession.read.schema(df.schema).parquet(place)
 
 
+@contextmanager
+def scratch(spark: SparkSession):
+    """What is cut inside is removed at the end."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for place in _scratch.pop():
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextmanager
 def records_per_batch(spark: SparkSession, most: int):
     """Actions inside send Python workers at most so many rows at once."""

@@ -16,7 +16,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, body, cut, partitions, read_documents
+from .common import SPACE, body, cut, partitions, read_documents, scratch
 
 #: A digest that holds this share of a batch is hot; there are at most 1 / HOT_SHARE of them, which bounds the broadcast.
 HOT_SHARE = 1 / 1000
@@ -71,7 +71,8 @@ def exact_dedup(docs: DataFrame, table: str) -> DataFrame:
 
 def keep_first(docs: DataFrame, table: str) -> DataFrame:
     """The documents that stay, with their own columns."""
-    verdict = cut(exact_dedup(docs, table))
+    with scratch(docs.sparkSession):
+        verdict = cut(exact_dedup(docs, table), keep=True)
     kept = verdict.filter("kept").select(F.col("doc_id").alias("__tl_id"), F.col("text_sha256").alias("__tl_digest"))
     rows = docs.withColumn("__tl_digest", digest())
     again = verdict.filter("copy > 1").select(F.col("doc_id").alias("__tl_id"), F.col("text_sha256").alias("__tl_digest")).distinct()

@@ -2,15 +2,16 @@
 
 A single fingerprint of 64 bits at 3 bits finds hardly anything but the closest copies at that similarity: two texts that share
 0.8 of their shingles differ in some 15 % of their bits. So each text gets TABLES independent fingerprints of BITS bits over its
-set of shingles, and in each table the vantage-point trees of simhash.py link what is at most DISTANCE bits apart. Texts
-that are connected in a table meet in a bucket there; every link is then checked exactly on the two shingle sets of a class's
-representative (texts with the same words in a row are one class). Chance of meeting in one bucket at least, for the
-constants below: 0.93 at similarity 0.8, 0.997 at 0.85, above 0.9999 from 0.9 on; links of random texts stay rare up to some
-10**10 classes, beyond which BITS and TABLES have to be raised together.
+set of shingles, and in each table the vantage-point trees of simhash.py link what is at most DISTANCE bits apart: a spanning
+forest of such pairs for each table, so their number grows with the texts, never with the square of a group. Texts with the same
+words in a row are one class; every pair is checked exactly on the two shingle sets of its classes before it links them. Tables
+are taken in ROUNDS, and classes that are connected already aren't checked again, so a large group takes a few checks for each
+member.
 
-Rounds first hold each class against one head of its buckets, so a large group takes as many checks as it has members; when few
-pairs of different components are left in the buckets (or after STARS rounds) all of those are checked, so no pair of a
-bucket is left out.
+Chance that two texts come within DISTANCE bits in a table at least, for the constants below: 0.93 at similarity 0.8, 0.997 at
+0.85, above 0.9999 from 0.9 on. In a table's forest such a pair may stand apart, connected through others that are less alike;
+only where that happens in all its tables is it missed. Links of random texts stay rare up to some 10**10 classes, beyond which
+BITS and TABLES have to be raised together.
 
 Defined results: words are split at white space and ASCII letters lowered; a text of fewer words than a shingle has one
 shingle, all of it; texts without words (null, empty, white space) are one class; rows repeated share a component; a null
@@ -26,13 +27,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import simhash
-from .common import BYTE_CODES, blocks_of, body, cut, mix, prefixes, row_key, spans_hash, text_buffers
+from .common import BYTE_CODES, blocks_of, body, cut, lean, mix, prefixes, records_per_batch, row_key, scratch, spans_hash, text_buffers
 from .components import connected_components
 
 SHINGLE = 5
 SIMILARITY = (4, 5)  # as a fraction, so that the bound itself is exact
 TABLES, BITS, DISTANCE = 48, 48, 3
-STARS = 6
+ROUNDS = (2, 8, TABLES)
+PAIRS_PER_BATCH = 200
 BLOCK = 1 << 20
 
 WORDS = TABLES * BITS // 64  # the tables' bits, side by side
@@ -92,6 +94,7 @@ def fingerprints(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np
     return rows, np.packbits(bits, axis=2, bitorder="little").view(np.uint64)[:, :, 0]
 
 
+@lean
 def _describe(batches):
     for batch in batches:
         raw, offsets = text_buffers(batch.column("text"))
@@ -106,6 +109,7 @@ def _describe(batches):
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("key"), pa.array(whole.view(np.int64)), lists], names=["doc_id", "key", "code", "prints"])
 
 
+@lean
 def _check(batches):
     up, down = SIMILARITY
     for batch in batches:
@@ -124,52 +128,41 @@ def _check(batches):
 def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) whose texts are similar enough, by their whole shingle sets."""
     left, right = (texts.select(F.col("code").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
-    return cut(pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(_check, "a long, b long"))
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+    with records_per_batch(pairs.sparkSession, PAIRS_PER_BATCH):  # two whole texts a row
+        return cut(both.mapInArrow(_check, "a long, b long"))
 
 
-def buckets(nodes: DataFrame) -> DataFrame:
-    """nodes (code, prints) -> (bucket, code): for each table, what the trees connect within DISTANCE bits."""
+def candidates(nodes: DataFrame) -> DataFrame:
+    """nodes (code, prints) -> (a, b, tab): pairs of classes whose fingerprints are equal or near in a table, with their first table."""
     dealt = nodes.select("code", F.posexplode("prints").alias("tab", "print"))
-    prints = cut(dealt.groupBy("tab", "print").agg(F.count(F.lit(1)).alias("n")))
-    links = simhash.near_links(prints.select("tab", F.col("print").alias("code")), DISTANCE, BITS)
-    # a node for each table's fingerprint; equal fingerprints of different tables stay apart
-    node = lambda c: F.xxhash64("tab", c)
-    roots = connected_components(links.select(node("a").alias("a"), node("b").alias("b")))
-    named = prints.select("tab", "print", "n", node("print").alias("node")).join(roots, "node", "left")
-    named = cut(named.select("tab", "print", F.coalesce("root", "node").alias("bucket"), (F.col("root").isNotNull() | (F.col("n") > 1)).alias("met")))
-    return dealt.join(named.filter("met").drop("met"), ["tab", "print"]).select("bucket", "code").distinct()
+    prints = cut(dealt.groupBy("tab", "print").agg(F.min("code").alias("head"), F.count(F.lit(1)).alias("n")))
+    near = cut(simhash.near_links(prints.select("tab", F.col("print").alias("code")), DISTANCE, BITS))
+    heads = prints.select("tab", "print", "head")
+    ends = [heads.select("tab", F.col("print").alias(c), F.col("head").alias(f"head_{c}")) for c in "ab"]
+    linked = near.join(ends[0], ["tab", "a"]).join(ends[1], ["tab", "b"]).select("tab", F.col("head_a").alias("a"), F.col("head_b").alias("b"))
+    alike = dealt.join(prints.filter("n > 1").select("tab", "print", "head"), ["tab", "print"]).select("tab", F.col("code").alias("a"), F.col("head").alias("b"))
+    both = linked.unionByName(alike).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "tab")
+    return both.groupBy("a", "b").agg(F.min("tab").alias("tab"))
 
 
 def near_links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """nodes (code, key, prints) -> exactly checked links (a, b) that connect what is linked by any pair of a bucket."""
-    spark = docs.sparkSession
-    dealt = cut(buckets(nodes))
-    shared = dealt.groupBy("bucket").agg(F.min("code").alias("lo"), F.max("code").alias("hi")).filter("lo <> hi").select("bucket")
-    entries = cut(dealt.join(shared, "bucket").select("bucket", "code"))
-    met = cut(nodes.select("code", "key").join(entries.select("code").distinct(), "code"))
-    most = 4 * met.count()
+    """nodes (code, key, prints) -> exactly checked links (a, b)."""
+    pairs = cut(candidates(nodes))
+    met = pairs.select(F.col("a").alias("code")).unionByName(pairs.select(F.col("b").alias("code"))).distinct()
+    keys = cut(nodes.select("code", "key").join(met, "code"))
     rows = docs.select(row_key().alias("key"), F.encode(body(), "UTF-8").alias("text"))
-    texts = cut(met.join(rows, "key").groupBy("code").agg(F.first("text").alias("text")))
-    links = spark.createDataFrame([], "a long, b long")
-    labelled = cut(entries.withColumn("root", F.col("code")))
-    for number in range(STARS + 1):
-        of_root = labelled.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("c"))
-        per_bucket = of_root.groupBy("bucket").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("q")).filter("m * m > q")
-        opened = cut(per_bucket)
-        crossing = opened.agg(F.sum((F.col("m") * F.col("m") - F.col("q")) / 2)).first()[0] or 0
-        if not crossing:
-            return links
-        inside = cut(labelled.join(opened.select("bucket"), "bucket"))
-        if crossing <= most or number == STARS:
-            again = inside.select("bucket", F.col("code").alias("b"), F.col("root").alias("root_b"))
-            pairs = inside.join(again, "bucket").filter("root < root_b").select(F.col("code").alias("a"), "b").distinct()
-            return links.unionByName(similar(cut(pairs), texts))
-        head = inside.groupBy("bucket").agg(F.min_by(F.struct("code", "root"), F.xxhash64("code", F.lit(number))).alias("head"))
-        star = inside.join(head, "bucket").filter("root <> head.root").groupBy("code", F.col("head.code").alias("b")).agg(F.count(F.lit(1)).alias("n"))
-        pairs = star.groupBy("code").agg(F.max_by("b", F.struct("n", "b")).alias("b")).select(F.col("code").alias("a"), "b")
-        links = links.unionByName(similar(cut(pairs), texts))
-        roots = connected_components(links)
-        labelled = cut(entries.join(roots, entries["code"] == roots["node"], "left").select("bucket", "code", F.coalesce("root", "code").alias("root")))
+    texts = cut(keys.join(rows, "key").groupBy("code").agg(F.first("text").alias("text")))
+    links, since = docs.sparkSession.createDataFrame([], "a long, b long"), 0
+    for until in ROUNDS:
+        some = pairs.filter(F.col("tab").between(since, until - 1)).select("a", "b")
+        if since:
+            roots = connected_components(links)
+            for c in "ab":
+                root = roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
+                some = some.join(root, c, "left").withColumn(f"root_{c}", F.coalesce(f"root_{c}", c))
+            some = some.filter("root_a <> root_b").select("a", "b")
+        links, since = links.unionByName(similar(cut(some), texts)), until
     return links
 
 
@@ -187,4 +180,6 @@ def near_components(docs: DataFrame) -> DataFrame:
 
 def keep_smallest(docs: DataFrame) -> DataFrame:
     """One document of each component: the one with the smallest doc_id (of rows with that id, one)."""
-    return simhash.keep_heads(docs, near_components(docs))
+    with scratch(docs.sparkSession):
+        heads = simhash.heads(near_components(docs))
+    return simhash.keep_rows(docs, heads)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, body, cut, partitions, read_documents, row_key
+from .common import SPACE, body, cut, partitions, read_documents, row_key, scratch
 from .simhash import near_components
 
 CAPACITY = 2048
@@ -106,20 +106,24 @@ def pack_documents(docs: DataFrame, capacity: int = CAPACITY, per_source: int =
 
     clusters: (key, cluster) with key as common.row_key() makes it; a row without one is a cluster of its own text.
     """
-    if clusters is None:
-        clusters = near_components(docs).select("key", F.col("root").alias("cluster"))
+    with scratch(docs.sparkSession):
+        lots = _lots(docs, near_components(docs).select("key", F.col("root").alias("cluster")) if clusters is None else clusters)
+    groups = max(1, -(-(lots.agg(F.sum("n")).first()[0] or 0) // GROUP))
+    lots = lots.withColumn("lot", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / LOT))))
+    dealt = lots.withColumn("group", F.pmod(F.xxhash64("doc_id", "cluster", "lot"), F.lit(groups)))
+    schema = "doc_id long, part long, length long, bin_id long, offset long, bin_fill long"
+    return dealt.repartition(max(partitions(docs.sparkSession), 1), "group").groupBy("group").applyInArrow(_pack_group(capacity, per_source), schema)
+
+
+def _lots(docs: DataFrame, clusters: DataFrame) -> DataFrame:
+    """(doc_id, source, cluster, length, n): rows alike, counted."""
     items = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
         row_key().alias("key"), words().alias("length"),
     )
     lots = items.groupBy("doc_id", "source", "key", "length").agg(F.count(F.lit(1)).alias("n"))
     lots = lots.join(clusters.groupBy("key").agg(F.min("cluster").alias("cluster")), "key", "left").withColumn("cluster", F.coalesce("cluster", "key"))
-    lots = cut(lots.groupBy("doc_id", "source", "cluster", "length").agg(F.sum("n").alias("n")))
-    groups = max(1, -(-(lots.agg(F.sum("n")).first()[0] or 0) // GROUP))
-    lots = lots.withColumn("lot", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / LOT))))
-    dealt = lots.withColumn("group", F.pmod(F.xxhash64("doc_id", "cluster", "lot"), F.lit(groups)))
-    schema = "doc_id long, part long, length long, bin_id long, offset long, bin_fill long"
-    return dealt.repartition(max(partitions(docs.sparkSession), 1), "group").groupBy("group").applyInArrow(_pack_group(capacity, per_source), schema)
+    return cut(lots.groupBy("doc_id", "source", "cluster", "length").agg(F.sum("n").alias("n")), keep=True)
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import body, cut, lean, read_documents, row_key, smallest_hashes
+from .common import body, cut, lean, read_documents, row_key, scratch, smallest_hashes
 from .components import connected_components
 
 SHINGLE = 3
@@ -304,14 +304,20 @@ def near_components(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
 
 def keep_smallest(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """One document of each component: the one with the smallest doc_id (of rows with that id, one)."""
-    return keep_heads(docs, near_components(docs, shingle, distance))
+    with scratch(docs.sparkSession):
+        found = heads(near_components(docs, shingle, distance))
+    return keep_rows(docs, found)
 
 
-def keep_heads(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """Of each component of `found` (doc_id, key, root, component_id) the row of docs with the smallest doc_id."""
-    heads = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root", "component_id", "key").agg(F.count(F.lit(1)).alias("n"))
-    least = heads.groupBy("root", "component_id").agg(F.min(F.struct("key", "n")).alias("head"))
-    keep = cut(least.select(F.col("component_id").alias("__tl_id"), F.col("head.key").alias("__tl_key"), F.col("head.n").alias("__tl_n")))
+def heads(found: DataFrame) -> DataFrame:
+    """Of each component of `found` (doc_id, key, root, component_id) the row with the smallest doc_id, and how often it repeats."""
+    rows = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root", "component_id", "key").agg(F.count(F.lit(1)).alias("n"))
+    least = rows.groupBy("root", "component_id").agg(F.min(F.struct("key", "n")).alias("head"))
+    return cut(least.select(F.col("component_id").alias("__tl_id"), F.col("head.key").alias("__tl_key"), F.col("head.n").alias("__tl_n")), keep=True)
+
+
+def keep_rows(docs: DataFrame, keep: DataFrame) -> DataFrame:
+    """The rows of docs that `heads` names, each once, with their own columns."""
     rows = docs.withColumn("__tl_row", row_key())
 
     def match(right):

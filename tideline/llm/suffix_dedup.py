@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BYTE_CODES, anchors, blocks_of, body, cut, lean, mix, prefixes, read_documents, spans_hash, text_buffers
+from .common import BYTE_CODES, anchors, blocks_of, body, cut, lean, mix, prefixes, read_documents, scratch, spans_hash, text_buffers
 from .repeats import NO_ID, SLICE, apply_runs, row_id
 from .window_dedup import word_codes
 
@@ -208,7 +208,8 @@ def repeated_passages(docs: DataFrame, tokens: Tokens = BYTES, threshold: int =
 
 def digests(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
-    changed = cut(repeated_passages(docs, BYTES, threshold).drop("kept_text"))
+    with scratch(docs.sparkSession):
+        changed = cut(repeated_passages(docs, BYTES, threshold).drop("kept_text"), keep=True)
     whole = docs.select(*row_id(), F.octet_length(body()).cast("long").alias("n_bytes"), F.sha2(body(), 256).alias("whole_sha256"))
     return whole.join(changed, ["doc_id", "key"], "left").select(
         F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"), "n_bytes",

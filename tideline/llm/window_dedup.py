@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BYTE_CODES, body, cut, prefixes, read_documents, spans_hash
+from .common import BYTE_CODES, body, cut, prefixes, read_documents, scratch, spans_hash
 from .repeats import NO_ID, Windows, apply_runs, repeated_windows, row_id
 
 LENGTH = 20
@@ -69,7 +69,8 @@ def repeated_words(docs: DataFrame, length: int = LENGTH, first: int = FIRST) ->
 
 def digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """Per document: doc_id, n_words, n_removed, kept_sha256 (of the kept words joined by one space)."""
-    changed = cut(repeated_words(docs, length).drop("kept_text"))
+    with scratch(docs.sparkSession):
+        changed = cut(repeated_words(docs, length).drop("kept_text"), keep=True)
     line = F.trim(F.regexp_replace(body(), r"[\x20\x09-\x0D]+", " "))
     words = F.when(line == "", F.lit(0)).otherwise(F.length(line) - F.length(F.replace(line, F.lit(" "))) + 1)
     whole = docs.select(*row_id(), words.cast("long").alias("n_words"), F.sha2(line, 256).alias("whole_sha256"))
