@@ -1,5 +1,7 @@
 """Names, columns and SQL of sources, sinks, reshaping and streams."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from ..functions import timefn as fn
@@ -115,8 +117,9 @@ add("src10_seed_csv", "category is_low_carbon n:i last_place:i", _seeded, "(SELE
 
 
 def _layers(w):
-    """The fact as a shared table, the model over it as a view."""
-    fact = sinks.materialise(w.raw.national, "tideline_national", True)
+    """The fact as a shared table, the model over it as a view. The table is the application's own: a warehouse may outlive it."""
+    own = re.sub(r"\W", "_", w.raw.spark.sparkContext.applicationId).lower()
+    fact = sinks.materialise(w.raw.national, f"tideline_national_{own}", True)
     daily = fact.groupBy(F.to_date("ts").alias("day")).agg(F.avg("actual").alias("mean_actual"), F.count("actual").alias("n"))
     return sinks.materialise(daily, "tideline_daily", False)
 
