@@ -1,6 +1,6 @@
 """The corpus queries by name."""
 
-from . import chat, exact_dedup, licenses, order_minhash, packing, pieces, quality, simhash, suffix_dedup, window_dedup
+from . import chat, exact_dedup, filter_audit, licenses, order_minhash, packing, pieces, quality, simhash, suffix_dedup, window_dedup
 
 
 def queries():
@@ -15,6 +15,7 @@ def queries():
         "op8_license_scan": licenses.op8_license_scan,
         "op9_window_dedup": window_dedup.op9_window_dedup,
         "op10_simhash": simhash.op10_simhash,
+        "op11_filter_audit": filter_audit.op11_filter_audit,
     }
 
 
@@ -24,4 +25,5 @@ def oracle_sql():
         "op5_chat_format": chat.ORACLE,
         "op7_suffix_dedup": suffix_dedup.ORACLE,
         "op9_window_dedup": window_dedup.ORACLE,
+        "op11_filter_audit": filter_audit.ORACLE,
     }
