@@ -1,6 +1,6 @@
 """The corpus queries by name."""
 
-from . import chat, exact_dedup, filter_audit, licenses, order_minhash, packing, pieces, quality, simhash, suffix_dedup, window_dedup
+from . import chat, exact_dedup, filter_audit, licenses, order_minhash, packing, pieces, quality, simhash, suffix_dedup, vector_codes, window_dedup
 
 
 def queries():
@@ -16,6 +16,7 @@ def queries():
         "op9_window_dedup": window_dedup.op9_window_dedup,
         "op10_simhash": simhash.op10_simhash,
         "op11_filter_audit": filter_audit.op11_filter_audit,
+        "op12_vector_codes": vector_codes.op12_vector_codes,
     }
 
 
@@ -26,4 +27,5 @@ def oracle_sql():
         "op7_suffix_dedup": suffix_dedup.ORACLE,
         "op9_window_dedup": window_dedup.ORACLE,
         "op11_filter_audit": filter_audit.ORACLE,
+        "op12_vector_codes": vector_codes.ORACLE,
     }
