@@ -174,6 +174,7 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     other.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
     other.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     other.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    other.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")  # many small stores: no space ahead of its use
     if not rows:
         return report(spark.createDataFrame([], f"{_STATE}, n long"))
     stream = other.readStream.schema(docs.schema).option("maxFilesPerTrigger", -(-files // BATCHES)).parquet(f"{sf_dir}/{{documents}}.parquet")  # a pattern may name a single file
