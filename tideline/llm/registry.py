@@ -1,6 +1,6 @@
 """The corpus queries by name."""
 
-from . import chat, exact_dedup, filter_audit, licenses, order_minhash, packing, pieces, quality, simhash, suffix_dedup, vector_codes, window_dedup
+from . import chat, exact_dedup, filter_audit, licenses, order_minhash, packing, page_text, pieces, quality, simhash, suffix_dedup, vector_codes, window_dedup
 
 
 def queries():
@@ -17,6 +17,7 @@ def queries():
         "op10_simhash": simhash.op10_simhash,
         "op11_filter_audit": filter_audit.op11_filter_audit,
         "op12_vector_codes": vector_codes.op12_vector_codes,
+        "op13_page_text": page_text.op13_page_text,
     }
 
 
