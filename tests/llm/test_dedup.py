@@ -262,3 +262,28 @@ def test_levels_lose_no_link(spark, monkeypatch):
     for k, some in enumerate(codes):
         mine = [(r.a % (1 << 64), r.b % (1 << 64)) for r in links if r.tab == k]
         assert components(some.tolist(), mine) == components(some.tolist(), all_links(some.tolist(), 3))
+
+
+def test_rows_of_one_id_stay_apart(spark):
+    """Null ids and a repeated id, with texts whose 32-bit hashes clash: 450 shared bytes go, the 32 own bytes of each stay."""
+    from pyspark.sql import functions as F
+
+    from .conftest import SCHEMA
+
+    rng = random.Random(4)
+    shared = "".join(rng.choice("abcdefgh ") for _ in range(450))
+    texts = spark.range(200_000).select(F.concat(F.lit(shared), F.md5(F.col("id").cast("string"))).alias("text"))
+    clashes = texts.groupBy(F.hash("text")).agg(F.sort_array(F.collect_list("text")).alias("t")).filter("size(t) > 1").orderBy("t").limit(2).collect()
+    (a, b), (c, d) = (r.t[:2] for r in clashes)
+    for ids in ((None, None), (3, 3), (3, 4)):
+        rows = [(ids[0], a), (ids[1], b)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        found = suffix_dedup.digests(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+        same(found, brute_bytes(rows, 400))
+        assert [r.n_removed for r in found] == [450, 450]
+    rows = [(None, f"{c} {' '.join(map(str, range(40)))}"), (None, d), (7, f"x {' '.join(map(str, range(40)))}")]
+    found = window_dedup.digests(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
+    same(found, brute_words(rows, 20))
+    wide = spark.createDataFrame([(None, a, *[None] * 10), (None, b, *[None] * 10)], SCHEMA)
+    kept = suffix_dedup.without_repeats(wide, suffix_dedup.BYTES, 400)
+    assert sorted(r.text for r in kept.collect()) == sorted((a[450:], b[450:]))

@@ -73,9 +73,9 @@ def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-COLUMNS = "doc_id long, key int, n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
+COLUMNS = "doc_id long, key binary, n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
 _NAMES = [c.split()[0] for c in COLUMNS.split(", ")]
-_TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.float64(), pa.float64()]
+_TYPES = [pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.float64(), pa.float64()]
 _HEX = ("edited_sha256", "fingerprint", "edited_fingerprint")
 
 
@@ -121,15 +121,15 @@ def _ends(batches):
 def fingerprints(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, key, n_chars, the two fingerprints, the edited text's hash and the two likenesses."""
     spark = docs.sparkSession
-    texts = docs.select(*row_id(), body().alias("text"))
+    texts = docs.select(*row_id(docs), body().alias("text"))
     lined = texts.repartitionByRange(partitions(spark), "doc_id", "key").sortWithinPartitions("doc_id", "key")
     done = cut(lined.mapInArrow(_along, f"{COLUMNS}, edge int"))
     # one first and one last row for each partition
-    edges = sorted(tuple(r) for r in done.filter("edge > 0").select("doc_id", "key", "edge").collect())
+    edges = sorted((r.doc_id, bytes(r.key), r.edge) for r in done.filter("edge > 0").select("doc_id", "key", "edge").collect())
     firsts = [(d, k) for d, k, e in edges if e in (1, 3)]
     lasts = [(d, k) for d, k, e in edges if e in (2, 3)]
     pairs = [(i, *last, *firsts[(i + 1) % len(firsts)]) for i, last in enumerate(lasts)]
-    ends = F.broadcast(spark.createDataFrame(pairs, "pair int, doc_id long, key int, next_id long, next_key int"))
+    ends = F.broadcast(spark.createDataFrame(pairs, "pair int, doc_id long, key binary, next_id long, next_key binary"))
     mine = texts.join(ends.select("pair", "doc_id", "key"), ["doc_id", "key"]).dropDuplicates(["pair"])
     theirs = texts.join(ends.select("pair", F.col("next_id").alias("doc_id"), F.col("next_key").alias("key")), ["doc_id", "key"])
     theirs = theirs.select("pair", F.col("text").alias("following")).dropDuplicates(["pair"])

@@ -11,7 +11,7 @@ that offset, form a block. All windows of a block share its core (length - width
   window stays while its parts of that shorter length all repeat), and those left are compared one by one.
 
 Groups are counted with partial aggregates and joined, so a core that a third of the corpus shares is never gathered.
-Rows are identified by doc_id and a hash of their text; rows alike in both share one verdict.
+Rows are identified by doc_id and, where ids repeat, a 128-bit hash of their text; rows alike in both share one verdict.
 """
 
 from __future__ import annotations
@@ -43,8 +43,15 @@ class Windows:
 NO_ID = -(1 << 63)  # stands for a null doc_id, so that ids compare and join as plain numbers
 
 
-def row_id() -> list[Column]:
-    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.hash(body()).alias("key")]
+def row_id(docs: DataFrame) -> list[Column]:
+    """Columns that identify a row: its doc_id and, where any doc_id or null stands in several rows, 128 bits of its text's hash.
+
+    Rows alike in both are one to every operator here.
+    """
+    doc_id = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id")
+    repeated = docs.select(doc_id).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    key = F.lit(b"") if repeated.isEmpty() else F.unhex(F.md5(body()))
+    return [doc_id, key.alias("key")]
 
 
 def _blocks(codes: np.ndarray, first: np.ndarray, w: Windows):
@@ -168,13 +175,13 @@ def _extend(w: Windows, length: int):
     return run
 
 
-def repeated_windows(docs: DataFrame, w: Windows, keep_first: bool) -> DataFrame:
+def repeated_windows(docs: DataFrame, w: Windows, keep_first: bool, ids: list[Column]) -> DataFrame:
     """(doc_id, key, lo, n): starts of windows that repeat, as runs; with keep_first, not the earliest of equal windows.
 
-    Earliest is by doc_id (null first), then by place.
+    Earliest is by doc_id (null first), then by place. ids: row_id(docs).
     """
-    texts = docs.select(*row_id(), body().alias("text"))
-    place = "doc_id long, key int, lo long"
+    texts = docs.select(*ids, body().alias("text"))
+    place = "doc_id long, key binary, lo long"
     cores = texts.select("text").mapInArrow(_block_rows(w, True), "core long").groupBy("core").agg(F.count(F.lit(1)).alias("c"))
     cores = cut(cores.filter("c > 1").select("core"))  # read anew, so that a hot core's side of the join can be split
     blocks = texts.mapInArrow(_block_rows(w, False), f"core long, hull long, {place}, n int")
@@ -201,7 +208,7 @@ def repeated_windows(docs: DataFrame, w: Windows, keep_first: bool) -> DataFrame
         again = cut(parts.groupBy("h").agg(F.sum("many").alias("c")).filter("c > 1").select("h"))
         hits = parts.join(again, "h", "left_semi").groupBy("doc_id", "key").agg(F.collect_list("lo").alias("hits"))
         once = once.join(hits, ["doc_id", "key"]).select("doc_id", "key", "text", "spans", "hits")
-        once = once.mapInArrow(_extend(w, length), "doc_id long, key int, text string, spans array<struct<lo: long, n: int, many: int>>")
+        once = once.mapInArrow(_extend(w, length), "doc_id long, key binary, text string, spans array<struct<lo: long, n: int, many: int>>")
     singles = cut(once.mapInArrow(_window_rows(w, w.length), hashed))
     if keep_first:
         found = cut(singles.groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("doc_id", "lo")).alias("rep")).filter("c > 1"))
@@ -223,14 +230,14 @@ def covered(los: np.ndarray, counts: np.ndarray, length: int) -> tuple[np.ndarra
     return begin[at], reach[np.append(at[1:] - 1, len(begin) - 1)]
 
 
-def with_runs(docs: DataFrame, runs: DataFrame) -> DataFrame:
+def with_runs(docs: DataFrame, runs: DataFrame, ids: list[Column]) -> DataFrame:
     """The affected documents' rows (doc_id, key, text) with their runs, for a function over whole texts."""
-    texts = docs.select(*row_id(), body().alias("text"))
+    texts = docs.select(*ids, body().alias("text"))
     of_text = runs.groupBy("doc_id", "key").agg(F.collect_set(F.struct("lo", "n")).alias("runs"))  # rows alike add nothing
     return texts.join(of_text, ["doc_id", "key"]).select("doc_id", "key", "text", "runs").dropDuplicates(["doc_id", "key"])
 
 
-def apply_runs(docs: DataFrame, runs: DataFrame, length: int, cut_out: Callable) -> DataFrame:
+def apply_runs(docs: DataFrame, runs: DataFrame, length: int, cut_out: Callable, ids: list[Column]) -> DataFrame:
     """(doc_id, key, n_removed, n_spans, kept_text, kept_sha256) of the documents that lose something.
 
     kept_sha256 is of the kept bytes; kept_text leaves out code points that a removed run cut in half.
@@ -254,4 +261,4 @@ def apply_runs(docs: DataFrame, runs: DataFrame, length: int, cut_out: Callable)
             arrays = [batch.column("doc_id"), batch.column("key"), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array([x.decode(errors="ignore") for x in kept], pa.string()), pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string())]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "key", "n_removed", "n_spans", "kept_text", "kept_sha256"])
 
-    return with_runs(docs, runs).mapInArrow(run, "doc_id long, key int, n_removed long, n_spans long, kept_text string, kept_sha256 string")
+    return with_runs(docs, runs, ids).mapInArrow(run, "doc_id long, key binary, n_removed long, n_spans long, kept_text string, kept_sha256 string")

@@ -31,7 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import BYTE_CODES, anchors, blocks_of, body, cut, lean, mix, prefixes, read_documents, scratch, spans_hash, text_buffers
@@ -176,11 +176,11 @@ def _windows(tokens: Tokens, d: Depths):
     return run
 
 
-def repeated_windows(docs: DataFrame, tokens: Tokens = BYTES, threshold: int = THRESHOLD) -> DataFrame:
-    """(doc_id, key, lo, n): runs of starts of the windows of `threshold` tokens that also start elsewhere."""
+def repeated_windows(docs: DataFrame, ids: list[Column], tokens: Tokens = BYTES, threshold: int = THRESHOLD) -> DataFrame:
+    """(doc_id, key, lo, n): runs of starts of the windows of `threshold` tokens that also start elsewhere. ids: row_id(docs)."""
     d = Depths(threshold)
-    place = "doc_id long, key int, lo long"
-    texts = docs.select(*row_id(), body().alias("text"))
+    place = "doc_id long, key binary, lo long"
+    texts = docs.select(*ids, body().alias("text"))
     # first pass
     leading = texts.select("text").mapInArrow(_leading_digits(tokens, d), "d1 long").groupBy("d1").agg(F.count(F.lit(1)).alias("c"))
     leading = cut(leading.filter("c > 1").select("d1"))  # read anew, so that a hot digit's side of the join can be split
@@ -201,16 +201,17 @@ def repeated_windows(docs: DataFrame, tokens: Tokens = BYTES, threshold: int = T
     return settled.unionByName(found)
 
 
-def repeated_passages(docs: DataFrame, tokens: Tokens = BYTES, threshold: int = THRESHOLD) -> DataFrame:
+def repeated_passages(docs: DataFrame, ids: list[Column], tokens: Tokens = BYTES, threshold: int = THRESHOLD) -> DataFrame:
     """(doc_id, key, n_removed, n_spans, kept_text, kept_sha256) of the documents with repeated passages; counts are of tokens."""
-    return apply_runs(docs, cut(repeated_windows(docs, tokens, threshold)), threshold, tokens.without)
+    return apply_runs(docs, cut(repeated_windows(docs, ids, tokens, threshold)), threshold, tokens.without, ids)
 
 
 def digests(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
+    ids = row_id(docs)
     with scratch(docs.sparkSession):
-        changed = cut(repeated_passages(docs, BYTES, threshold).drop("kept_text"), keep=True)
-    whole = docs.select(*row_id(), F.octet_length(body()).cast("long").alias("n_bytes"), F.sha2(body(), 256).alias("whole_sha256"))
+        changed = cut(repeated_passages(docs, ids, BYTES, threshold).drop("kept_text"), keep=True)
+    whole = docs.select(*ids, F.octet_length(body()).cast("long").alias("n_bytes"), F.sha2(body(), 256).alias("whole_sha256"))
     return whole.join(changed, ["doc_id", "key"], "left").select(
         F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"), "n_bytes",
         F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("n_spans", F.lit(0)).alias("n_spans"),
@@ -220,8 +221,9 @@ def digests(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 
 def without_repeats(docs: DataFrame, tokens: Tokens = WORDS, threshold: int = PASSAGE) -> DataFrame:
     """The documents with repeated passages cut out of text (code points cut in half go too) and n_chars counted anew."""
-    changed = repeated_passages(docs, tokens, threshold).select(F.col("doc_id").alias("__tl_id"), F.col("key").alias("__tl_key"), F.col("kept_text").alias("__tl_kept"))
-    rows = docs.withColumns(dict(zip(("__tl_id", "__tl_key"), row_id()))).join(changed, ["__tl_id", "__tl_key"], "left")
+    ids = row_id(docs)
+    changed = repeated_passages(docs, ids, tokens, threshold).select(F.col("doc_id").alias("__tl_id"), F.col("key").alias("__tl_key"), F.col("kept_text").alias("__tl_kept"))
+    rows = docs.withColumns(dict(zip(("__tl_id", "__tl_key"), ids))).join(changed, ["__tl_id", "__tl_key"], "left")
     text = F.coalesce("__tl_kept", "text")
     return rows.select(*(c for c in docs.columns if c not in ("text", "n_chars")), text.alias("text"), F.length(text).cast("long").alias("n_chars")).select(docs.columns)
 

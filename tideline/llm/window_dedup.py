@@ -6,8 +6,9 @@ to LENGTH, each level keeping the windows whose parts all repeat. Where all exte
 together and need no further level. Of equal windows the earliest (smallest doc_id, then earliest start) is kept. See
 repeats.py.
 
-Defined results: null and empty texts have no words; fewer than LENGTH words lose nothing; rows repeated with one doc_id
-are the same place, so neither is earlier than the other; a null doc_id comes first; columns beyond doc_id and text are
+Defined results: null and empty texts have no words; fewer than LENGTH words lose nothing; rows with one doc_id, or null, are
+ordered by the start alone, so a window that stands at one place in two of them, repeated rows or different texts, is earlier in neither
+and stays in both, unless an earlier one is elsewhere; a null doc_id comes first; columns beyond doc_id and text are
 neither read nor in the way; an empty table gives an empty result; texts of any length are read whole.
 """
 
@@ -61,19 +62,20 @@ def windows(length: int = LENGTH, first: int = FIRST) -> Windows:
     return Windows(length, length - first + 1, first, word_codes, tuple(levels))
 
 
-def repeated_words(docs: DataFrame, length: int = LENGTH, first: int = FIRST) -> DataFrame:
+def repeated_words(docs: DataFrame, ids: list[Column], length: int = LENGTH, first: int = FIRST) -> DataFrame:
     """(doc_id, key, n_removed, n_spans, kept_text, kept_sha256) of the documents that lose words."""
     w = windows(length, first)
-    return apply_runs(docs, cut(repeated_windows(docs, w, keep_first=True)), w.length, _cut_words)
+    return apply_runs(docs, cut(repeated_windows(docs, w, True, ids)), w.length, _cut_words, ids)
 
 
 def digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """Per document: doc_id, n_words, n_removed, kept_sha256 (of the kept words joined by one space)."""
+    ids = row_id(docs)
     with scratch(docs.sparkSession):
-        changed = cut(repeated_words(docs, length).drop("kept_text"), keep=True)
+        changed = cut(repeated_words(docs, ids, length).drop("kept_text"), keep=True)
     line = F.trim(F.regexp_replace(body(), r"[\x20\x09-\x0D]+", " "))
     words = F.when(line == "", F.lit(0)).otherwise(F.length(line) - F.length(F.replace(line, F.lit(" "))) + 1)
-    whole = docs.select(*row_id(), words.cast("long").alias("n_words"), F.sha2(line, 256).alias("whole_sha256"))
+    whole = docs.select(*ids, words.cast("long").alias("n_words"), F.sha2(line, 256).alias("whole_sha256"))
     return whole.join(changed, ["doc_id", "key"], "left").select(
         F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"), "n_words", F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
         F.coalesce("kept_sha256", "whole_sha256").alias("kept_sha256"),
