@@ -77,8 +77,16 @@ def test_last_known_offset(spark):
 
 
 def test_newey_west(spark):
-    out = stats.newey_west(spark.createDataFrame([(i, float(x)) for i, x in enumerate([1, 3, 2, 6])], "i long, x double"), 1).first()
-    assert out.variance == pytest.approx(14 / 4 + 2 * 0.5 * -3 / 4)
+    """Against sums of products, over all lags up to four and for two keys at once."""
+    rng = random.Random(11)
+    rows = [(k, i, rng.gauss(2, 1) + i % 5) for k, n in (("a", 23), ("b", 9)) for i in range(n)]
+    df = spark.createDataFrame(rows, "k string, i long, x double")
+    for lags in range(5):
+        for r in stats.newey_west(df, lags, ["k"]).collect():
+            x = [v for k, _, v in rows if k == r.k]
+            mean = sum(x) / len(x)
+            covariance = lambda lag: sum((x[i] - mean) * (x[i + lag] - mean) for i in range(len(x) - lag)) / len(x)  # noqa: B023, E731
+            assert r.variance == pytest.approx(covariance(0) + 2 * sum((1 - j / (lags + 1)) * covariance(j) for j in range(1, lags + 1)))
 
 
 def test_diebold_mariano_is_undefined_without_variation(spark):
@@ -108,11 +116,13 @@ def test_features_see_nothing_after_the_origin(spark):
 
 
 def test_pinned_origin(spark):
-    s = half_hours(spark, 40)
-    out = fc.daily_origins(s, 5, 0, 28, "2025-02-03 15:00:00").orderBy("idx").collect()
-    assert out[-1].issue == ts("2025-02-03T00:00") and len(out) == 5
+    """Issued at six o'clock, the last three before a pinned evening; a pin whose two days aren't observed is refused."""
+    s = half_hours(spark, 17)
+    out = fc.daily_origins(s, 3, 6, 2, "2025-01-11 21:30:00").orderBy("idx").collect()
+    assert [(r.issue, r.fold) for r in out] == [(ts("2025-01-09T06:00"), 0), (ts("2025-01-10T06:00"), 0), (ts("2025-01-11T06:00"), 1)]
+    assert all(r.idx == (r.issue - ts("2025-01-01T00:00")) // dt.timedelta(minutes=30) - 1 for r in out)
     with pytest.raises(ValueError):
-        fc.daily_origins(s, 5, 0, 28, "2025-03-20 15:00:00")
+        fc.daily_origins(s, 3, 6, 2, "2025-01-17 21:30:00")
 
 
 def test_horizons_weigh_alike(spark):
@@ -270,7 +280,8 @@ def test_fitted_forecasts_beat_the_last_value(spark):
     s = half_hours(spark, 40).cache()
     cal = fc.calendar(s, spark.createDataFrame([], HOLIDAYS))
     origin = s.filter("idx in (1700, 1748, 1796)").select("idx")
-    model = fc.Forecaster(fc.Settings(calibration_days=6, trees=8, depth=4, rate=0.3)).fit(s, cal, 1690)
+    settings = fc.Settings(calibration_days=6, trees=8, depth=4, rate=0.3, bound_trees=3)
+    model = fc.Forecaster(settings).fit(fc.training_rows(s, cal, 1690, settings))
     out = fc.baselines(model.predict(fc.features(s, cal, origin))).agg(F.avg(F.abs(F.col("model") - F.col("actual"))).alias("m"), F.avg(F.abs(F.col("persistence") - F.col("actual"))).alias("p"), F.min((F.col("model_p10") <= F.col("model")) & (F.col("model") <= F.col("model_p90"))).alias("ordered")).first()
     assert out.m < 0.7 * out.p and out.ordered
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators import series as ops
+from ..operators.quantiles import grouped
 from .warehouse import Warehouse, one
 
 YEARS = (1995, 1996, 1998, 2000)
@@ -21,7 +22,7 @@ def coverage(w: Warehouse) -> DataFrame:
 
 
 def spread(w: Warehouse) -> DataFrame:
-    return w._known.agg(F.percentile("actual", 0.1).alias("p10"), F.percentile("actual", 0.9).alias("p90"))
+    return grouped(w._known, [], [], "actual", {"p10": 0.1, "p90": 0.9})
 
 
 def best_and_worst_slots(w: Warehouse, best: int = 5, worst: int = 46) -> DataFrame:

@@ -1,34 +1,63 @@
 """Multi-horizon forecasting on the half-hour grid: features, baselines, boosted trees, calibration, backtests, scores.
 
-A series is a long DataFrame (idx, ts, actual, forecast) on its spine. Gathers by index are equi-joins, trailing statistics are
-windows computed once, and every feature of an (origin, horizon) pair uses rows up to the origin only.
+A series is a long DataFrame (idx, ts, actual, forecast) on its spine; with `keys`, many series stand in one table, told apart by
+key columns, and cutoffs, folds and last indices are columns joined to them. Gathers by index are equi-joins on (keys, idx), trailing
+statistics are windows over (keys, chunk) computed once, and every feature of an (origin, horizon) pair uses rows up to the origin only.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from ..functions import timefn as fn
 from ..operators import series as ops
+from ..operators.quantiles import percentiles
+from ..operators.tables import written
 from ..sources.sinks import write_run
+from .boosting import PinballTrees
 from .warehouse import Warehouse, error_metrics
 
 DAY, WEEK, AHEAD = 48, 336, 96
-# What is known of the target's time; of the series around the origin, by length of window; and around the target, by weeks back.
-CLOCK = ("doy_cos", "doy_sin", "holiday", "slot", "weekday")
-WINDOWS = {"24h": (DAY, {"max": F.max, "mean": F.avg, "min": F.min, "std": F.stddev_pop}), "7d": (WEEK, {"mean": F.avg})}
-WEEKS_BACK = {f"back_{k}w": k for k in (1, 2)}
-TRAILING = tuple(f"{s}_{label}" for label, (_, statistics) in WINDOWS.items() for s in statistics)
-LEVELS = (*(n for n in TRAILING if not n.startswith("std")), "previous", "latest_slot", "slot_profile", *WEEKS_BACK)  # in the series' own unit
-RELATIVE = tuple(sorted(LEVELS))
-FEATURES = ("last", "change_24h", *sorted({*TRAILING, *LEVELS}), *(f"{n}_rel" for n in RELATIVE), *CLOCK, "horizon")
+
+
+class TooLittleHistory(ValueError):
+    """A series has too few usable rows to train on."""
+
+
+# Features, by the function that makes them and in the order in which it does. Those in the series' own unit are also taken relative
+# to the last value.
+CALENDAR = {
+    "slot": lambda: fn.slot("local").cast("double"),
+    "weekday": lambda: F.weekday("day").cast("double"),
+    "holiday": lambda: F.coalesce("holiday", F.lit(0.0)),
+    "doy_sin": lambda: F.sin(fn.year_angle("day")),
+    "doy_cos": lambda: F.cos(fn.year_angle("day")),
+}
+# of the series up to the origin: name -> (half-hours, statistic, whether it is in the series' unit)
+WINDOWS = {
+    "mean_24h": (DAY, F.avg, True),
+    "min_24h": (DAY, F.min, True),
+    "max_24h": (DAY, F.max, True),
+    "std_24h": (DAY, F.stddev_pop, False),
+    "mean_7d": (WEEK, F.avg, True),
+}
+STEPS_BACK = {"previous": 1}  # values before the origin
+SLOT = ("latest_slot", "slot_profile")  # of the target's time of day
+WEEKS_BACK = {"back_1w": 1, "back_2w": 2}  # values before the target
+RELATIVE = (*(n for n, (_, _, level) in WINDOWS.items() if level), *STEPS_BACK, *SLOT, *WEEKS_BACK)
+FEATURES = ("last", *STEPS_BACK, *WINDOWS, "change_24h", *SLOT, *WEEKS_BACK, *(f"{n}_rel" for n in RELATIVE), *CALENDAR, "horizon")
 # Bands of leads and names of methods, as they stand in the results.
 BANDS = (("0-24 h", 1, 48), ("24-48 h", 49, 96), ("0-48 h", 1, 96))
 LEADS = (("0-1 h", 1, 2), ("1-4 h", 3, 8), ("4-12 h", 9, 24), ("12-24 h", 25, 48), ("24-36 h", 49, 72), ("36-48 h", 73, 96))
+ROWS_A_TASK = 50_000  # training rows that a task of a fit sees
 METHODS = ("model", "persistence", "naive_yesterday", "naive_last_week", "api_forecast")
 
 
@@ -43,6 +72,8 @@ class Settings:
     trees: int = 300
     depth: int = 5
     rate: float = 0.05
+    bound_trees: int = 40  # each fits the bounds anew to exact leaf quantiles, so fewer and larger steps do
+    bound_rate: float = 0.2
 
 
 def national_series(w: Warehouse) -> DataFrame:
@@ -58,142 +89,193 @@ def before(series: DataFrame, until: str) -> DataFrame:
     return out
 
 
-def calendar(series: DataFrame, holidays: DataFrame, ahead: int = AHEAD) -> DataFrame:
-    """Local slot, weekday 0-6, holiday and day-of-year angles, for the series and `ahead` half-hours past its end."""
-    end = series.agg(F.max("idx").alias("i"), F.max("ts").alias("t"))
-    more = end.select(F.explode(F.sequence(F.lit(1), F.lit(ahead))).alias("k"), "i", "t").select((F.col("i") + F.col("k")).alias("idx"), F.timestamp_add("MINUTE", F.col("k") * 30, F.col("t")).alias("ts"))
-    rows = series.select("idx", "ts").unionByName(more).withColumn("local", fn.to_local("ts")).withColumn("day", F.to_date("local"))
+def regional_series(w: Warehouse) -> DataFrame:
+    """Every region's values on its own grid, a series each; the source's forecast is the national one."""
+    regions = ops.on_spine(w.raw.regional.select("region_id", "ts", F.col("forecast").cast("double").alias("actual")), ["region_id"], "ts").drop("seen")
+    source = w.raw.national.select("ts", F.col("forecast").cast("double").alias("forecast"))
+    return ops.indexed(regions.join(source, "ts", "left"), ["region_id"], "ts").select("region_id", "idx", "ts", "actual", "forecast")
+
+
+def _beside(rows: DataFrame, of_series: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows with what is known of their series: a row for each, or a single one without keys."""
+    return rows.join(of_series, list(keys)) if keys else rows.crossJoin(F.broadcast(of_series))
+
+
+def calendar(series: DataFrame, holidays: DataFrame, ahead: int = AHEAD, keys: Sequence[str] = ()) -> DataFrame:
+    """CALENDAR of local times, for each series and `ahead` half-hours past its end."""
+    end = series.groupBy(*keys).agg(F.max("idx").alias("i"), F.max("ts").alias("t"))
+    more = end.select(*keys, F.explode(F.sequence(F.lit(1), F.lit(ahead))).alias("k"), "i", "t").select(*keys, (F.col("i") + F.col("k")).alias("idx"), F.timestamp_add("MINUTE", F.col("k") * 30, F.col("t")).alias("ts"))
+    rows = series.select(*keys, "idx", "ts").unionByName(more).withColumn("local", fn.to_local("ts")).withColumn("day", F.to_date("local"))
     rows = rows.join(F.broadcast(holidays.select("day", F.lit(1.0).alias("holiday")).distinct()), "day", "left")
-    angle = fn.year_angle("day")
-    return rows.select("idx", fn.slot("local").cast("double").alias("slot"), F.weekday("day").cast("double").alias("weekday"), F.coalesce("holiday", F.lit(0.0)).alias("holiday"), F.sin(angle).alias("doy_sin"), F.cos(angle).alias("doy_cos"))
+    return rows.select(*keys, "idx", *(make().alias(name) for name, make in CALENDAR.items()))
 
 
-def trailing(series: DataFrame) -> DataFrame:
-    """What is known at each index: the value, the one before, statistics of the last day and week, change on the day before."""
-    a = F.col("actual")
-    out = series
-    for label, (length, statistics) in WINDOWS.items():
-        out = ops.rolling(out, [], "idx", length - 1, 0, {f"{name}_{label}": of(a) for name, of in statistics.items()})
-    out = ops.gather(out, series, [], F.col("idx") - 1, "actual", "previous")
-    out = ops.gather(out, series, [], F.col("idx") - DAY, "actual", "day_before")
-    return out.select("idx", a.alias("last"), "previous", *TRAILING, (a - F.col("day_before")).alias("change_24h"))
+def trailing(series: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """What is known at each index: the value, those before, WINDOWS of the last day and week, change on the day before."""
+    keys, a, out = list(keys), F.col("actual"), series
+    for length in dict.fromkeys(n for n, _, _ in WINDOWS.values()):
+        out = ops.rolling(out, keys, "idx", length - 1, 0, {name: of(a) for name, (n, of, _) in WINDOWS.items() if n == length})
+    for name, steps in {**STEPS_BACK, "day_before": DAY}.items():
+        out = ops.gather(out, series, keys, F.col("idx") - steps, "actual", name)
+    return out.select(*keys, "idx", a.alias("last"), *STEPS_BACK, *WINDOWS, (a - F.col("day_before")).alias("change_24h"))
 
 
-def slot_profiles(series: DataFrame) -> DataFrame:
+def slot_profiles(series: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Mean of up to seven values a day apart, ending at each index; windows over chunks of days with the six days before."""
-    rows = series.select("idx", "actual", (F.col("idx") % DAY).alias("place"), F.floor(F.col("idx") / DAY).alias("day"))
-    out = ops.rolling(rows, ["place"], "day", 6, 0, {"slot_profile": F.avg("actual")}, chunk=512)
-    return out.select("idx", F.col("actual").alias("latest_slot"), "slot_profile")
+    rows = series.select(*keys, "idx", "actual", (F.col("idx") % DAY).alias("place"), F.floor(F.col("idx") / DAY).alias("day"))
+    out = ops.rolling(rows, [*keys, "place"], "day", 6, 0, {"slot_profile": F.avg("actual")}, chunk=512)
+    return out.select(*keys, "idx", F.col("actual").alias("latest_slot"), "slot_profile")
 
 
-def features(series: DataFrame, cal: DataFrame, origins: DataFrame, horizons: DataFrame | None = None) -> DataFrame:
-    """FEATURES for each (origin, horizon), with target, actual and the source's own forecast where they are known."""
+def features(series: DataFrame, cal: DataFrame, origins: DataFrame, horizons: DataFrame | None = None, keys: Sequence[str] = ()) -> DataFrame:
+    """FEATURES for each (origin, horizon) of each series, with target, actual and the source's own forecast where they are known.
+
+    They depend on rows up to the origin only, so one table of them serves every fit and forecast that starts from these origins.
+    """
+    keys = list(keys)
     horizons = origins.sparkSession.range(1, AHEAD + 1).select(F.col("id").alias("horizon")) if horizons is None else horizons
-    pairs = origins.select(F.col("idx").alias("origin")).crossJoin(F.broadcast(horizons)).withColumn("target", F.col("origin") + F.col("horizon"))
-    at_origin = trailing(series).withColumnRenamed("idx", "origin")
+    pairs = origins.select(*keys, F.col("idx").alias("origin")).crossJoin(F.broadcast(horizons)).withColumn("target", F.col("origin") + F.col("horizon"))
+    at_origin = trailing(series, keys).withColumnRenamed("idx", "origin")
     at_target = cal.withColumnRenamed("idx", "target")
-    value = series.select(F.col("idx").alias("target"), "actual", F.col("forecast").alias("api_forecast"))
-    at_target = at_target.join(value, "target", "left")
+    value = series.select(*keys, F.col("idx").alias("target"), "actual", F.col("forecast").alias("api_forecast"))
+    at_target = at_target.join(value, [*keys, "target"], "left")
     for name, weeks in WEEKS_BACK.items():
-        at_target = at_target.join(series.select((F.col("idx") + weeks * WEEK).alias("target"), F.col("actual").alias(name)), "target", "left")
-    latest = slot_profiles(series).withColumnRenamed("idx", "latest")
-    rows = pairs.join(at_origin, "origin").join(at_target, "target").withColumn("latest", F.col("target") - fn.last_known_offset(F.col("horizon"))).join(latest, "latest", "left")
+        at_target = at_target.join(series.select(*keys, (F.col("idx") + weeks * WEEK).alias("target"), F.col("actual").alias(name)), [*keys, "target"], "left")
+    latest = slot_profiles(series, keys).withColumnRenamed("idx", "latest")
+    rows = pairs.join(at_origin, [*keys, "origin"]).join(at_target, [*keys, "target"]).withColumn("latest", F.col("target") - fn.last_known_offset(F.col("horizon"))).join(latest, [*keys, "latest"], "left")
     rows = rows.withColumn("horizon", F.col("horizon").cast("double")).withColumns({f"{n}_rel": F.col(n) - F.col("last") for n in RELATIVE})
-    return rows.select("origin", "target", *FEATURES, "actual", "api_forecast")
+    return rows.select(*keys, "origin", "target", *FEATURES, "actual", "api_forecast")
 
 
-def daily_origins(series: DataFrame, days: int = 365, hour: int = 0, retrain: int = 28, pinned: str | None = None, least: int = 0) -> DataFrame:
-    """(idx, issue, fold): the last known index of each daily issue whose 48 hours are observed; fold counts blocks of `retrain` issues.
+def daily_origins(series: DataFrame, days: int = 365, hour: int = 0, retrain: int = 28, pinned: str | None = None, least: int = 0, keys: Sequence[str] = ()) -> DataFrame:
+    """(idx, issue, fold) of each series: the last known index of each daily issue whose 48 hours are observed; fold counts blocks of `retrain` issues.
 
-    Only the last `days` issues, from index `least` on, are tested.
+    Only a series' last `days` issues, from index `least` on, are tested.
     """
-    known = series.agg(F.max(F.when(F.col("actual").isNotNull(), F.col("idx"))).alias("last"), F.min("ts").alias("start"))
+    keys = list(keys)
+    known = series.groupBy(*keys).agg(F.max(F.when(F.col("actual").isNotNull(), F.col("idx"))).alias("last"), F.min("ts").alias("start"))
     first = F.date_trunc("day", F.col("start")).cast("timestamp_ntz") + F.expr(f"INTERVAL {24 + hour} HOURS")
-    rows = series.select("idx", "ts").crossJoin(F.broadcast(known)).withColumn("issue", F.col("ts") + F.expr("INTERVAL 30 MINUTES"))
+    rows = _beside(series.select(*keys, "idx", "ts"), known, keys).withColumn("issue", F.col("ts") + F.expr("INTERVAL 30 MINUTES"))
     rows = rows.filter((F.col("issue") >= first) & (F.hour("issue") == hour) & (F.minute("issue") == 0) & (F.col("idx") <= F.col("last") - AHEAD))
     if pinned:
         wanted = F.lit(pinned).cast("timestamp_ntz")
         rows = rows.filter(F.col("issue") <= wanted)
         if rows.agg(F.max("issue") < wanted - F.expr("INTERVAL 1 DAY") + F.expr("INTERVAL 1 SECOND")).first()[0] is not False:
             raise ValueError(f"no complete 48-hour test for a forecast issued at {pinned}")
-    rows = rows.filter(F.col("idx") >= least).orderBy(F.desc("idx")).limit(days)
-    return rows.select("idx", "issue", F.floor((F.row_number().over(Window.orderBy("idx")) - 1) / retrain).cast("int").alias("fold"))
+    rows = rows.filter(F.col("idx") >= least)
+    if not keys:
+        rows = rows.orderBy(F.desc("idx")).limit(days)
+    from_end = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("idx")))  # a row a day
+    rows = rows.withColumn("from_end", from_end).filter(F.col("from_end") <= days)
+    tested = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("tested"))
+    return _beside(rows, tested, keys).select(*keys, "idx", "issue", F.floor((F.col("tested") - F.col("from_end")) / retrain).cast("int").alias("fold"))
+
+
+def cutoffs(origins: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys, fold, cutoff): the last index that a fold's model may know, that of the fold's first issue."""
+    return origins.groupBy(*keys, "fold").agg(F.min("idx").alias("cutoff"))
+
 
+def training_origins(series: DataFrame, cutoff: int | DataFrame, s: Settings = Settings(), keys: Sequence[str] = ()) -> DataFrame:
+    """Every origin_step-th index back from cutoff - 96, at most train_days old, with two weeks before it and a known value.
 
-def training_origins(series: DataFrame, cutoff: int, s: Settings = Settings()) -> DataFrame:
-    """Every origin_step-th index back from cutoff - 96, at most train_days old, with two weeks before it and a known value."""
-    first = max(2 * WEEK, cutoff - s.train_days * DAY)
-    last = cutoff - AHEAD
-    return series.filter((F.col("idx") <= last) & (F.col("idx") >= first) & ((F.lit(last) - F.col("idx")) % s.origin_step == 0) & F.col("actual").isNotNull()).select("idx")
+    cutoff: one index, or a table (keys, cutoff, and what else tells fits apart), whose other columns the origins then have as well.
+    """
+    rows = series.filter(F.col("actual").isNotNull()).select(*keys, "idx")
+    rows = rows.withColumn("cutoff", F.lit(cutoff).cast("long")) if isinstance(cutoff, int) else _beside(rows, cutoff, keys)
+    last = F.col("cutoff") - AHEAD
+    first = F.greatest(F.lit(2 * WEEK), F.col("cutoff") - s.train_days * DAY)
+    rows = rows.filter((F.col("idx") <= last) & (F.col("idx") >= first) & ((last - F.col("idx")) % s.origin_step == 0))
+    return rows.drop("cutoff") if isinstance(cutoff, int) else rows
 
 
-def training_rows(series: DataFrame, cal: DataFrame, cutoff: int, s: Settings = Settings()) -> DataFrame:
+def training_rows(series: DataFrame, cal: DataFrame, cutoff: int | DataFrame, s: Settings = Settings(), keys: Sequence[str] = ()) -> DataFrame:
     """Features with the change to predict, a weight that gives each horizon the same say, and whether the row calibrates."""
-    known = series.filter(F.col("idx") <= cutoff)
-    rows = features(known, cal, training_origins(known, cutoff, s)).withColumn("change", F.col("actual") - F.col("last")).filter("change is not null")
-    spread = rows.groupBy("horizon").agg(F.var_pop("change").alias("v"), F.count(F.lit(1)).alias("n")).withColumn("w", F.when(F.col("v") > 0, 1 / F.col("v")).otherwise(1.0))
-    scale = spread.agg((F.sum(F.col("w") * F.col("n")) / F.sum("n")).alias("mean_w"))
-    spread = spread.crossJoin(F.broadcast(scale)).select("horizon", (F.col("w") / F.col("mean_w")).alias("weight"))
-    return rows.join(F.broadcast(spread), "horizon").withColumn("calibrates", F.col("origin") + AHEAD > cutoff - s.calibration_days * DAY)
+    origins = training_origins(series, cutoff, s, keys)
+    rows = features(series, cal, origins.select(*keys, "idx").distinct(), keys=keys)
+    return weighted(rows, origins, cutoff, s, keys)
+
+
+def weighted(rows: DataFrame, origins: DataFrame, cutoff: int | DataFrame, s: Settings = Settings(), keys: Sequence[str] = ()) -> DataFrame:
+    """Feature rows of the training origins of one or many fits, as training_rows has them; a row stands once for each fit that uses it."""
+    keys = list(keys)
+    fits = [c for c in origins.columns if c not in ("idx", "cutoff")]  # what tells fits apart
+    rows = rows.join(origins.withColumnRenamed("idx", "origin"), [*keys, "origin"])
+    rows = rows.withColumn("cutoff", F.lit(cutoff)) if isinstance(cutoff, int) else rows
+    rows = rows.withColumn("change", F.col("actual") - F.col("last")).filter("change is not null")
+    spread = rows.groupBy(*fits, "horizon").agg(F.var_pop("change").alias("v"), F.count(F.lit(1)).alias("n")).withColumn("w", F.when(F.col("v") > 0, 1 / F.col("v")).otherwise(1.0))
+    scale = spread.groupBy(*fits).agg((F.sum(F.col("w") * F.col("n")) / F.sum("n")).alias("mean_w"))
+    spread = _beside(spread, scale, fits).select(*fits, "horizon", (F.col("w") / F.col("mean_w")).alias("weight"))
+    rows = rows.join(spread if fits else F.broadcast(spread), [*fits, "horizon"])
+    return rows.withColumn("calibrates", F.col("origin") + AHEAD > F.col("cutoff") - s.calibration_days * DAY).drop("cutoff")
 
 
 def conformal(scored: DataFrame, coverage: float = 0.8) -> DataFrame:
-    """(lead_band, widening): per quarter-day of lead the ceil((n + 1) * coverage) / n quantile of max(lo - y, y - hi), interpolated."""
-    s = scored.withColumn("lead_band", fn.lead_band(F.col("horizon"))).withColumn("score", F.greatest(F.col("lo") - F.col("y"), F.col("y") - F.col("hi")))
-    sizes = dict(s.groupBy("lead_band").agg(F.count("score")).collect())  # a number for each quarter-day of lead
-    level = {band: min(1.0, math.ceil((n + 1) * coverage) / n) for band, n in sizes.items() if n}
-    # one aggregate: a band's level is a constant in it
-    of_band = F.coalesce(*(F.when(F.col("lead_band") == band, F.percentile(F.when(F.col("lead_band") == band, F.col("score")), p)) for band, p in level.items()), F.lit(None).cast("double"))
-    return s.groupBy("lead_band").agg(of_band.alias("widening"), F.count("score").alias("n"))
+    """(lead_band, widening, n): per quarter-day of lead the ceil((n + 1) * coverage) / n quantile of max(lo - y, y - hi), interpolated."""
+    s = written(scored.select(fn.lead_band(F.col("horizon")).alias("lead_band"), F.greatest(F.col("lo") - F.col("y"), F.col("y") - F.col("hi")).alias("score")))  # read several times
+    level = F.least(F.lit(1.0), F.ceil((F.col("n") + 1) * coverage) / F.col("n"))
+    return percentiles(s, ["lead_band"], "score", {"widening": level}).select("lead_band", "widening", "n")
 
 
 class Forecaster:
-    """Boosted trees for the change since the last value, with an interval from held-out residuals per lead band, widened conformally.
+    """Boosted trees for the change since the last value: a point model on squared error and two bounds on pinball loss, widened conformally.
 
-    MLlib has no quantile loss: the 10% and 90% bounds are quantiles of the point model's residuals on the calibration half,
-    and the other half calibrates them.
+    The point model is fitted on every row. The bounds are fitted on the rows before the calibration days, and what they miss on these
+    widens them by lead band.
     """
 
     def __init__(self, settings: Settings = Settings()):
         self.s = settings
 
-    def _pipeline(self):
+    def _prepared(self):
         from pyspark.ml import Pipeline
-        from pyspark.ml.feature import Imputer, VectorAssembler
-        from pyspark.ml.regression import GBTRegressor
+        from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler
 
-        filled = [f"{c}_f" for c in FEATURES]
+        plain = [c for c in FEATURES if c != "weekday"]
+        filled = [f"{c}_f" for c in plain]
         gaps = [f"{c}_gap" for c in RELATIVE]
         return Pipeline(stages=[
-            Imputer(inputCols=list(FEATURES), outputCols=filled),
-            VectorAssembler(inputCols=[*filled, *gaps], outputCol="x"),
-            GBTRegressor(featuresCol="x", labelCol="change", weightCol="weight", predictionCol="moved", maxIter=self.s.trees, maxDepth=self.s.depth, stepSize=self.s.rate, minInstancesPerNode=50, seed=7),
+            Imputer(inputCols=plain, outputCols=filled),
+            StringIndexer(inputCol="weekday", outputCol="weekday_c", stringOrderType="alphabetAsc", handleInvalid="keep"),  # a category to the trees
+            VectorAssembler(inputCols=[*filled, "weekday_c", *gaps], outputCol="x"),
         ])
 
+    def _point(self):
+        from pyspark.ml.regression import GBTRegressor
+
+        return GBTRegressor(featuresCol="x", labelCol="change", weightCol="weight", predictionCol="moved", maxIter=self.s.trees, maxDepth=self.s.depth, stepSize=self.s.rate, minInstancesPerNode=50, seed=7)
+
     @staticmethod
     def _flags(rows: DataFrame) -> DataFrame:
         return rows.withColumns({f"{c}_gap": F.col(c).isNull().cast("double") for c in RELATIVE})
 
-    def fit(self, series: DataFrame, cal: DataFrame, cutoff: int) -> Forecaster:
-        rows = self._flags(training_rows(series, cal, cutoff, self.s)).persist()
+    def fit(self, training: DataFrame) -> Forecaster:
+        """From training_rows of one series and cutoff."""
+        s = self.s
+        rows = self._flags(training).persist()
         counts = rows.agg(F.count(F.lit(1)), F.sum(F.col("calibrates").cast("long"))).first()
-        if counts[0] < self.s.least_rows:
-            raise ValueError(f"only {counts[0]} usable training rows")
-        split = (counts[1] or 0) >= self.s.least_calibration and counts[0] - counts[1] >= self.s.least_rows
-        self.model = self._pipeline().fit(rows.filter(~F.col("calibrates")) if split else rows)
-        held = self.model.transform(rows.filter("calibrates") if split else rows).withColumn("lead_band", fn.lead_band(F.col("horizon"))).withColumn("residual", F.col("change") - F.col("moved"))
-        half = F.pmod(F.xxhash64("origin"), F.lit(2))
-        bounds = held.filter(half == 0).groupBy("lead_band").agg(F.percentile("residual", 0.1).alias("q10"), F.percentile("residual", 0.9).alias("q90"))
-        scored = held.filter(half == 1).join(F.broadcast(bounds), "lead_band").select("horizon", F.col("residual").alias("y"), F.col("q10").alias("lo"), F.col("q90").alias("hi"))
-        self.bounds = bounds.join(conformal(scored, self.s.coverage).select("lead_band", "widening"), "lead_band", "left").fillna(0.0, ["widening"])
-        self.rows = rows
+        try:
+            if counts[0] < s.least_rows:
+                raise TooLittleHistory(f"only {counts[0]} usable training rows")
+            split = (counts[1] or 0) >= s.least_calibration and counts[0] - counts[1] >= s.least_rows
+            self.prepare = self._prepared().fit(rows)
+            ready = self.prepare.transform(rows).select("horizon", "x", "change", "weight", "calibrates").repartition(-(-counts[0] // ROWS_A_TASK)).persist()
+            self.model = self._point().fit(ready)
+            self.bounds = PinballTrees(((1 - s.coverage) / 2, (1 + s.coverage) / 2), s.bound_trees, s.bound_rate, s.depth).fit(ready.filter(~F.col("calibrates")) if split else ready, "x", "change", "weight")
+            held = self.bounds.predict(ready.filter("calibrates") if split else ready, "x", ("lo", "hi"))
+            self.widening = conformal(held.select("horizon", F.col("change").alias("y"), "lo", "hi"), s.coverage).select("lead_band", "widening").collect()  # a row a lead band
+            ready.unpersist()
+        finally:
+            rows.unpersist()
         return self
 
     def predict(self, rows: DataFrame) -> DataFrame:
         """Adds model, model_p10 and model_p90 to feature rows, with p10 <= model <= p90."""
-        out = self.model.transform(self._flags(rows).withColumn("weight", F.lit(1.0))).withColumn("lead_band", fn.lead_band(F.col("horizon"))).join(F.broadcast(self.bounds), "lead_band", "left")
+        ready = self.prepare.transform(self._flags(rows).withColumn("weight", F.lit(1.0)))
+        out = self.bounds.predict(self.model.transform(ready), "x", ("lo", "hi")).withColumn("lead_band", fn.lead_band(F.col("horizon")))
+        widen = F.coalesce(*(F.when(F.col("lead_band") == r.lead_band, F.lit(r.widening)) for r in self.widening), F.lit(0.0)) if self.widening else F.lit(0.0)
         point = F.col("last") + F.col("moved")
-        low, high = point + F.coalesce("q10", F.lit(0.0)) - F.coalesce("widening", F.lit(0.0)), point + F.coalesce("q90", F.lit(0.0)) + F.coalesce("widening", F.lit(0.0))
+        low, high = F.col("last") + F.col("lo") - widen, F.col("last") + F.col("hi") + widen
         return out.withColumns({"model": point, "model_p10": F.least(low, point), "model_p90": F.greatest(high, point)}).select(*rows.columns, "model", "model_p10", "model_p90")
 
 
@@ -262,19 +344,34 @@ def first_cutoff(s: Settings) -> int:
     return 2 * WEEK + AHEAD + s.origin_step * -(-s.least_rows // AHEAD)
 
 
-def backtest(w: Warehouse, s: Settings = Settings(), days: int = 365, retrain: int = 28) -> DataFrame:
-    """Predictions of the last `days` daily origins before which there is enough to train on, each fold's model fitted on data before its first."""
+def backtest(w: Warehouse, s: Settings = Settings(), days: int = 365, retrain: int = 28, at_once: int = 4) -> DataFrame:
+    """Predictions of the last `days` daily origins before which there is enough to train on, each fold's model fitted on data before its first.
+
+    Features are made once, for the training origins of all folds and the tested ones together; a fold reads its own origins from
+    that table. Up to `at_once` folds are fitted at a time, each in a scheduler pool of its own.
+    """
     series = national_series(w).persist()
     cal = calendar(series, w.raw.holidays).persist()
     origins = daily_origins(series, days, 0, retrain, least=first_cutoff(s)).persist()
-    rows = features(series, cal, origins).persist()
-    out = None
-    for fold, cutoff in origins.groupBy("fold").agg(F.min("idx")).orderBy("fold").collect():  # one fit a fold
-        model = Forecaster(s).fit(series, cal, cutoff)
-        part = model.predict(rows.join(F.broadcast(origins.filter(F.col("fold") == fold).select(F.col("idx").alias("origin"))), "origin", "left_semi"))
-        part = prediction_table(part, origins, series)
-        out = part if out is None else out.unionByName(part)
-    return prediction_table(stand_in(rows), origins, series) if out is None else out  # no origin: no rows
+    folds = cutoffs(origins).persist()
+    train = training_origins(series, folds, s).persist()
+    made = written(features(series, cal, train.select("idx").unionByName(origins.select("idx")).distinct()))
+    spark = made.sparkSession
+
+    def one(row) -> DataFrame:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"fold-{row.fold}")
+        mine = train.filter(F.col("fold") == row.fold).select("idx")
+        model = Forecaster(s).fit(weighted(made, mine, row.cutoff, s))
+        tested = origins.filter(F.col("fold") == row.fold).select(F.col("idx").alias("origin"))
+        part = model.predict(made.join(F.broadcast(tested), "origin", "left_semi"))
+        return written(prediction_table(part, origins, series))
+
+    with ThreadPoolExecutor(at_once) as pool:
+        parts = list(pool.map(inheritable_thread_target(spark)(one), folds.orderBy("fold").collect()))  # one fit a fold
+    out = prediction_table(stand_in(made), origins, series).limit(0) if not parts else reduce(DataFrame.unionByName, parts)
+    for kept in (train, folds, origins, cal, series):
+        kept.unpersist()
+    return out
 
 
 def validation_run(w: Warehouse, until: str, path: str, predict, settings: str) -> None:
@@ -296,6 +393,8 @@ def next_forecast(w: Warehouse, s: Settings = Settings()) -> DataFrame:
     series = national_series(w).persist()
     cal = calendar(series, w.raw.holidays).persist()
     last = series.filter("actual is not null").agg(F.max("idx")).first()[0]
+    if last is None:
+        raise TooLittleHistory("no value in the series")
     origin = series.filter(F.col("idx") == last).select("idx")
-    rows = features(series, cal, origin)
-    return Forecaster(s).fit(series, cal, last).predict(rows).select("origin", F.col("horizon").cast("int").alias("horizon"), "model", "model_p10", "model_p90")
+    model = Forecaster(s).fit(training_rows(series, cal, last, s))
+    return model.predict(features(series, cal, origin)).select("origin", F.col("horizon").cast("int").alias("horizon"), "model", "model_p10", "model_p90")

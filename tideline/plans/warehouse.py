@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import timefn as fn
 from ..operators import series as ops
+from ..operators.quantiles import grouped
 from ..sources.bound import FUEL_NAMES, Bound
 
 SOURCES = ("Gas", "Coal", "Nuclear", "Solar", "Wind")
@@ -283,16 +284,16 @@ class Warehouse:
     @cached_property
     def weekly_profile(self) -> DataFrame:
         rows = self._known.join(F.broadcast(self.dim_time.select("time_key", "label")), "time_key")
-        return rows.groupBy("weekday", "day_name", "time_key", "label").agg(F.avg("actual").alias("mean_actual"), F.percentile("actual", 0.5).alias("median_actual"), F.count("actual").alias("periods"))
+        return grouped(rows, ["weekday", "day_name", "time_key", "label"], [F.avg("actual").alias("mean_actual"), F.count("actual").alias("periods")], "actual", {"median_actual": 0.5})
 
     @cached_property
     def monthly(self) -> DataFrame:
         a = F.col("actual")
-        return self._dated(self.national).groupBy("year_month", "year", "month", "season").agg(
-            F.min("day").alias("month_start"), F.avg(a).alias("mean_actual"), F.percentile(a, 0.1).alias("p10_actual"), F.percentile(a, 0.9).alias("p90_actual"), F.min(a).alias("min_actual"), F.max(a).alias("max_actual"),
+        return grouped(self._dated(self.national), ["year_month", "year", "month", "season"], [
+            F.min("day").alias("month_start"), F.avg(a).alias("mean_actual"), F.min(a).alias("min_actual"), F.max(a).alias("max_actual"),
             *(F.avg(f"{f}_pct").alias(f"mean_{f}_pct") for f in ("wind", "solar", "gas", "low_carbon")), F.count(a).alias("with_actual"), F.count(F.lit(1)).alias("periods"),
             (F.lit(100.0) * F.count(a) / F.count(F.lit(1))).alias("coverage_pct"),
-        )
+        ], "actual", {"p10_actual": 0.1, "p90_actual": 0.9})
 
     @cached_property
     def annual(self) -> DataFrame:
@@ -307,14 +308,15 @@ class Warehouse:
     @cached_property
     def seasonal_summary(self) -> DataFrame:
         daily = self._known.groupBy("season", "day").agg((F.max("actual") - F.min("actual")).alias("day_range")).groupBy("season").agg(F.avg("day_range").alias("mean_daily_range"), F.count("day").alias("days"))
-        half = self._known.groupBy("season").agg(F.avg("actual").alias("mean_actual"), F.percentile("actual", 0.1).alias("p10_actual"), F.percentile("actual", 0.9).alias("p90_actual"), *(F.avg(f"{f}_pct").alias(f"mean_{f}_pct") for f in ("wind", "solar", "gas")), F.count("actual").alias("periods"))
+        half = grouped(self._known, ["season"], [F.avg("actual").alias("mean_actual"), *(F.avg(f"{f}_pct").alias(f"mean_{f}_pct") for f in ("wind", "solar", "gas")), F.count("actual").alias("periods")], "actual", {"p10_actual": 0.1, "p90_actual": 0.9})
         return half.join(F.broadcast(daily), "season").withColumn("season_order", fn.season_order("season"))
 
     @cached_property
     def regional_report(self) -> DataFrame:
         rows = self._within(self._dated(self.regional), "day").filter("forecast is not null")
         f = F.col("forecast")
-        level = rows.groupBy("region_id").agg(F.avg(f).alias("mean_forecast"), *(F.avg(F.when(F.col("season") == s, f)).alias(f"{s.lower()}_mean") for s in ("Winter", "Spring", "Summer", "Autumn")), F.percentile(f, 0.1).alias("p10_forecast"), F.percentile(f, 0.9).alias("p90_forecast"), F.count(F.lit(1)).alias("periods"))
+        seasons = (F.avg(F.when(F.col("season") == s, f)).alias(f"{s.lower()}_mean") for s in ("Winter", "Spring", "Summer", "Autumn"))
+        level = grouped(rows, ["region_id"], [F.avg(f).alias("mean_forecast"), *seasons, F.count(F.lit(1)).alias("periods")], "forecast", {"p10_forecast": 0.1, "p90_forecast": 0.9})
         mix = self._within(self._dated(self.regional_mix_daily), "day").join(F.broadcast(self.dim_fuel), "fuel")
         wind = F.col("fuel") == "wind"
         part, n_wind = F.col("mean_share") * F.col("periods"), F.nullif(F.sum(F.when(wind, F.col("periods"))), F.lit(0))

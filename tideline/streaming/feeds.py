@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Sequence
 
 import pandas as pd
@@ -11,20 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..operators.tables import shared
 from ..operators.upsert import upsert
 
 
-def shared(spark: SparkSession) -> str:
-    """A new place in the folder that driver and executors share (spark.checkpoint.dir); local sessions may go without the setting."""
-    place = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not place:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        place = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        spark.sparkContext.setCheckpointDir(place)
-    return f"{place}/{uuid.uuid4().hex}"
-
-
 def file_stream(spark: SparkSession, directory: str, name: str, schema) -> DataFrame:
     """New files of one name in a directory, as a stream."""
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}*").parquet(directory)
