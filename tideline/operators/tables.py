@@ -19,8 +19,24 @@ def shared(spark: SparkSession) -> str:
     return f"{place}/{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame) -> DataFrame:
-    """The rows, written and read again: plans after it start from the files."""
-    place = shared(df.sparkSession)
+def written(df: DataFrame, place: str | None = None) -> DataFrame:
+    """The rows, written (to a new shared place unless one is given) and read again: plans after it start from the files."""
+    place = place or shared(df.sparkSession)
     df.write.parquet(place)
     return df.sparkSession.read.schema(df.schema).parquet(place)
+
+
+def files(spark: SparkSession, path: str):
+    """The file system of a path, and the path in its form."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, place = files(spark, path)
+    return fs.exists(place)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, place = files(spark, path)
+    fs.delete(place, True)

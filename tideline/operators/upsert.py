@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .tables import exists, remove
+
 
 def conform(df: DataFrame, schema) -> DataFrame:
     """The schema's columns, no more and no less, cast strictly."""
@@ -39,21 +41,6 @@ def upsert_stats(classified: DataFrame) -> DataFrame:
     return classified.agg(*(F.coalesce(c, F.lit(0)).alias(n) for c, n in zip(count, ("inserted", "updated", "unchanged"))))
 
 
-def _files(spark: SparkSession, path: str):
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    fs, place = _files(spark, path)
-    return fs.exists(place)
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    fs, place = _files(spark, path)
-    fs.delete(place, True)
-
-
 def _redo_log(path: str) -> str:
     return f"{path.rstrip('/')}__redo"
 

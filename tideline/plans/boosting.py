@@ -5,21 +5,20 @@ once for each level, and the level is a category that the tree may split on. The
 leaf is, for each level, the weighted quantile of the residuals that fell into it, from one selection over (leaf, level). Weights
 are rounded to whole numbers, so the values are the same in any order of rows.
 
-Rows are persisted from round to round and written every few rounds, where their lineage ends. The driver holds trees and leaf values.
+Each round's rows are written, so that no lineage grows, and those before them removed. The driver holds trees and leaf values.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.quantiles import weighted_quantiles
-from ..operators.tables import written
+from ..operators.quantiles import LIMIT, weighted_quantiles
+from ..operators.tables import remove, shared, written
 
 WHOLE = 1 << 16  # weights are counted in this part of one
-CUT = 10  # rounds between written tables
 
 
 class PinballTrees:
@@ -43,11 +42,19 @@ class PinballTrees:
             out = F.when(level == k, v).otherwise(out)
         return out
 
-    def _quantiles(self, rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-        """(keys, level, v): a quantile of each level's rows at that level."""
-        names = {f"q{k}": p for k, p in enumerate(self.levels)}
-        found = weighted_quantiles(rows, [*keys, "level"], value, "w", names)
-        return found.select(*keys, "level", self._of_level({k: F.col(f"q{k}") for k in range(len(self.levels))}, F.col("level")).alias("v"))
+    def _quantiles(self, rows: DataFrame, keys: Sequence[str], value: str, few: bool) -> DataFrame:
+        """(keys, level, v): of each group and level the least value up to which weights reach the level's share of them.
+
+        Few rows are sorted by group; of many, no group is.
+        """
+        by, share = [*keys, "level"], self._of_level({k: F.lit(p) for k, p in enumerate(self.levels)}, F.col("level"))
+        if few:
+            group = Window.partitionBy(*by)
+            up_to = F.sum("w").over(group.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+            ranked = rows.select(*by, F.col(value).alias("v"), "w", up_to.alias("up_to"), F.greatest(F.ceil(share * F.sum("w").over(group)), F.lit(1)).alias("t"))
+            return ranked.filter("t <= up_to and t > up_to - w").select(*by, "v")
+        found = weighted_quantiles(rows, by, value, "w", {f"q{k}": p for k, p in enumerate(self.levels)})
+        return found.select(*by, self._of_level({k: F.col(f"q{k}") for k in range(len(self.levels))}, F.col("level")).alias("v"))
 
     def fit(self, rows: DataFrame, x: str, y: str, weight: str) -> PinballTrees:
         from pyspark.ml.regression import DecisionTreeRegressor
@@ -56,27 +63,29 @@ class PinballTrees:
         levels = F.explode(F.array(*(F.lit(k) for k in range(len(self.levels)))))
         state = rows.select(x, F.col(y).alias("y"), F.col(weight).alias("weight"), whole.alias("w"), levels.alias("level"))
         state = self._assembled(state, x, F.col("level"), "_x").select(F.col("_x").alias("x"), "y", "weight", "w", "level")
-        start = {r.level: r.v for r in self._quantiles(state, [], "y").collect()}
+        few = state.count() <= LIMIT
+        start = {r.level: r.v for r in self._quantiles(state, [], "y", few).collect()}
         self.start = [start[k] for k in range(len(self.levels))]
-        state = state.withColumn("bound", self._of_level({k: F.lit(v) for k, v in enumerate(self.start)}, F.col("level"))).persist()
+        state = state.withColumn("bound", self._of_level({k: F.lit(v) for k, v in enumerate(self.start)}, F.col("level")))
+        spark, tables = rows.sparkSession, [shared(rows.sparkSession)]
+        state = written(state, tables[-1])
         share = self._of_level({k: F.lit(p) for k, p in enumerate(self.levels)}, F.col("level"))
         learner = DecisionTreeRegressor(featuresCol="x", labelCol="slope", weightCol="weight", leafCol="leaf", maxDepth=self.depth, minInstancesPerNode=self.least, seed=self.seed)
         self.model = []  # a tree and the values of its leaves, by level
-        for k in range(self.trees):
+        for _ in range(self.trees):
             tree = learner.fit(state.withColumn("slope", share - (F.col("y") < F.col("bound")).cast("double")))
             fallen = tree.transform(state).withColumn("residual", F.col("y") - F.col("bound")).select("x", "y", "weight", "w", "level", "bound", F.col("leaf").cast("int").alias("leaf"), "residual")
-            found = self._quantiles(fallen, ["leaf"], "residual").collect()  # two to the depth rows for each level
+            found = self._quantiles(fallen, ["leaf"], "residual", few).collect()  # two to the depth rows for each level
             leaves = 1 + max(r.leaf for r in found)
             values = [[0.0] * leaves for _ in self.levels]
             for r in found:
                 values[r.level][r.leaf] = r.v
             self.model.append((tree, values))
             after = fallen.withColumn("bound", F.col("bound") + self.rate * self._leaf_value(values, F.col("leaf"), F.col("level"))).drop("leaf", "residual")
-            after = (written(after) if k % CUT == CUT - 1 else after).persist()
-            after.count()
-            state.unpersist()
-            state = after
-        state.unpersist()
+            tables.append(shared(spark))
+            state = written(after, tables[-1])
+            remove(spark, tables.pop(0))
+        remove(spark, tables.pop())
         return self
 
     def _leaf_value(self, values, leaf: Column, level: Column) -> Column:

@@ -86,6 +86,62 @@ _entries_model = {"f14_next_forecast": ("origin:i horizon:i model:f model_p10:f
 for _name, (_spec, _plan) in _entries_model.items():
     add(_name, _spec, _plan, None)
 
+# ---- many series in one table: every region's values, with folds and cutoffs of its own ----
+
+_RKEY, _RETRAIN = ["region_id"], 7
+
+
+def _regions(w):
+    series = w._keep(fc.regional_series(w))
+    return series, fc.calendar(series, w.raw.holidays, keys=_RKEY), w._keep(fc.daily_origins(series, retrain=_RETRAIN, keys=_RKEY))
+
+
+def _region_features(w):
+    return fc.features(*_regions(w), keys=_RKEY)
+
+
+def _region_training(w):
+    series, cal, origins = _regions(w)
+    return fc.training_rows(series, cal, fc.cutoffs(origins, _RKEY), keys=_RKEY)
+
+
+def _region_scores(w):
+    series, cal, origins = _regions(w)
+    rows = fc.stand_in(fc.features(series, cal, origins, keys=_RKEY))
+    return fc.by_method(fc.prediction_table(rows, origins, series, _RKEY), _RKEY)
+
+
+_RSERIES = """rs AS (SELECT region_id, CAST((epoch(ts) - epoch(lo)) / 1800 AS BIGINT) AS idx, ts, CAST(q.forecast AS DOUBLE) AS actual, CAST(nat.forecast AS DOUBLE) AS forecast
+  FROM (SELECT region_id, lo, unnest(generate_series(lo, hi, INTERVAL 30 MINUTE)) AS ts FROM (SELECT region_id, min(ts) AS lo, max(ts) AS hi FROM rawreg GROUP BY 1)) LEFT JOIN rawreg q USING (region_id, ts) LEFT JOIN nat USING (ts))"""
+_RCAL = _CAL.replace("(SELECT idx, CAST", "(SELECT region_id, idx, CAST").replace("FROM (SELECT idx, (ts", "FROM (SELECT region_id, idx, (ts").replace("FROM series UNION ALL\n  SELECT m + k", "FROM rs UNION ALL\n  SELECT region_id, m + k").replace("FROM (SELECT max(idx) AS m, max(ts) AS t FROM series)", "FROM (SELECT region_id, max(idx) AS m, max(ts) AS t FROM rs GROUP BY 1)")
+_RTRAIL = _TRAIL.replace("(SELECT idx, actual AS last,", "(SELECT region_id, idx, actual AS last,").replace("FROM series", "FROM rs").replace("(ORDER BY idx", "(PARTITION BY region_id ORDER BY idx").replace("(SELECT idx, actual AS latest_slot", "(SELECT region_id, idx, actual AS latest_slot").replace("PARTITION BY idx % 48", "PARTITION BY region_id, idx % 48")
+_RORIG = f"""org AS (SELECT region_id, idx, issue, (row_number() OVER (PARTITION BY region_id ORDER BY idx) - 1) // {_RETRAIN} AS fold FROM (SELECT *, row_number() OVER (PARTITION BY region_id ORDER BY idx DESC) AS k FROM (SELECT region_id, idx, ts + INTERVAL 30 MINUTE AS issue
+  FROM rs JOIN (SELECT region_id, min(ts) AS t0, max(idx) FILTER (actual IS NOT NULL) AS li FROM rs GROUP BY 1) USING (region_id) WHERE ts + INTERVAL 30 MINUTE >= date_trunc('day', t0) + INTERVAL 1 DAY AND hour(ts + INTERVAL 30 MINUTE) = 0 AND minute(ts) = 30 AND idx <= li - 96)) WHERE k <= 365)"""
+
+
+def _rfeatures(origins: str) -> str:
+    at = "{t}.region_id = o.region_id AND {t}.idx = o.idx"
+    join = lambda t, shift: f"{at.format(t=t)}{shift}"
+    return f"""ft AS (SELECT *, {_REL} FROM (SELECT o.region_id, o.idx AS origin, o.idx + h AS target, CAST(h AS DOUBLE) AS horizon, cal.* EXCLUDE (idx, region_id), tr.* EXCLUDE (idx, region_id), prof.latest_slot, prof.slot_profile, w1.actual AS back_1w, w2.actual AS back_2w, v.actual, v.forecast AS api_forecast
+  FROM {origins} o CROSS JOIN range(1, 97) r(h) JOIN tr ON {join("tr", "")} JOIN cal ON {join("cal", " + h")} LEFT JOIN rs v ON {join("v", " + h")} LEFT JOIN rs w1 ON {join("w1", " + h - 336")} LEFT JOIN rs w2 ON {join("w2", " + h - 672")}
+  LEFT JOIN prof ON {join("prof", " + h - CAST(ceil(h / 48.0) * 48 AS BIGINT)")}))"""
+
+
+_RWITH = f"(WITH {_RSERIES}, {_RCAL}, {_RTRAIL}, {_RORIG}, {_rfeatures('org')} "
+add("g01_region_features", "region_id:i origin:i target:i " + " ".join(f"{f}:f" for f in fc.FEATURES), _region_features, _RWITH + "SELECT * FROM ft)")
+add("g02_region_origins", "region_id:i idx:i issue fold:i", lambda w: _regions(w)[2], f"(WITH {_RSERIES}, {_RORIG} SELECT * FROM org)")
+add("g03_region_training_rows", "region_id:i fold:i origin:i target:i change:f weight:f calibrates", _region_training,
+    f"""(WITH {_RSERIES}, {_RCAL}, {_RTRAIL}, {_RORIG}, co AS (SELECT region_id, fold, min(idx) AS c FROM org GROUP BY 1, 2),
+    tor AS (SELECT rs.region_id, fold, c, idx FROM rs JOIN co USING (region_id) WHERE idx <= c - 96 AND idx >= greatest(672, c - 730 * 48) AND (c - 96 - idx) % 12 = 0 AND actual IS NOT NULL), {_rfeatures("(SELECT DISTINCT region_id, idx FROM tor)")},
+    rw AS (SELECT ft.*, fold, c, actual - last AS change FROM ft JOIN tor ON tor.region_id = ft.region_id AND tor.idx = origin WHERE actual - last IS NOT NULL),
+    hv AS (SELECT region_id, fold, horizon, CASE WHEN var_pop(change) > 0 THEN 1 / var_pop(change) ELSE 1 END AS wt, count(*) AS n FROM rw GROUP BY 1, 2, 3), sc AS (SELECT region_id, fold, sum(wt * n) / sum(n) AS mw FROM hv GROUP BY 1, 2)
+    SELECT region_id, fold, origin, target, change, wt / mw AS weight, origin + 96 > c - 56 * 48 AS calibrates FROM rw JOIN hv USING (region_id, fold, horizon) JOIN sc USING (region_id, fold))""")
+_RCOMMON = " AND ".join(f"{c} IS NOT NULL" for c in ("actual", *fc.METHODS, "model_p10", "model_p90"))
+add("g04_region_scores", "region_id:i band method periods:i mae:f rmse:f mape_pct:f bias:f within_10_pct:f within_25_pct:f", _region_scores,
+    _RWITH + f""", cm AS (SELECT * FROM (SELECT region_id, CAST(horizon AS INT) AS horizon, actual, slot_profile AS model, last AS persistence, latest_slot AS naive_yesterday, back_1w AS naive_last_week, api_forecast, slot_profile - std_24h AS model_p10, slot_profile + std_24h AS model_p90 FROM ft) WHERE {_RCOMMON})
+    SELECT region_id, band, method, {ERRORS} FROM (SELECT *, value - actual AS error FROM ({' UNION ALL '.join(f"SELECT region_id, horizon, actual, '{m}' AS method, {m} AS value FROM cm" for m in fc.METHODS)})) JOIN {_bands(fc.BANDS)} ON horizon BETWEEN lo AND hi GROUP BY region_id, band, method)""")
+
+
 _PAIRS = """pp AS (SELECT row_number() OVER (ORDER BY day) - 1 AS i, rule, base FROM (SELECT CAST(o_orderdate AS DATE) AS day, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) FILTER (o_orderkey % 2 = 0) AS DOUBLE) / nullif(100 * count(*) FILTER (o_orderkey % 2 = 0), 0) AS rule,
   CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) / (100 * count(*)) AS base FROM orders GROUP BY 1) WHERE rule IS NOT NULL)"""
 _BOOT = f"""{_PAIRS}, nn AS (SELECT count(*) AS n FROM pp), ps AS (SELECT 0 AS i, 0.0 AS r, 0.0 AS b UNION ALL SELECT i + 1, sum(rule) OVER (ORDER BY i), sum(base) OVER (ORDER BY i) FROM pp),

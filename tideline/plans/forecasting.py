@@ -103,8 +103,8 @@ def _beside(rows: DataFrame, of_series: DataFrame, keys: Sequence[str]) -> DataF
 
 def calendar(series: DataFrame, holidays: DataFrame, ahead: int = AHEAD, keys: Sequence[str] = ()) -> DataFrame:
     """CALENDAR of local times, for each series and `ahead` half-hours past its end."""
-    end = series.groupBy(*keys).agg(F.max("idx").alias("i"), F.max("ts").alias("t"))
-    more = end.select(*keys, F.explode(F.sequence(F.lit(1), F.lit(ahead))).alias("k"), "i", "t").select(*keys, (F.col("i") + F.col("k")).alias("idx"), F.timestamp_add("MINUTE", F.col("k") * 30, F.col("t")).alias("ts"))
+    end = series.groupBy(*keys).agg(F.max("idx").alias("_i"), F.max("ts").alias("_t"))
+    more = end.select(*keys, F.explode(F.sequence(F.lit(1), F.lit(ahead))).alias("_k"), "_i", "_t").select(*keys, (F.col("_i") + F.col("_k")).alias("idx"), F.timestamp_add("MINUTE", F.col("_k") * 30, F.col("_t")).alias("ts"))
     rows = series.select(*keys, "idx", "ts").unionByName(more).withColumn("local", fn.to_local("ts")).withColumn("day", F.to_date("local"))
     rows = rows.join(F.broadcast(holidays.select("day", F.lit(1.0).alias("holiday")).distinct()), "day", "left")
     return rows.select(*keys, "idx", *(make().alias(name) for name, make in CALENDAR.items()))
@@ -288,11 +288,11 @@ def stand_in(rows: DataFrame) -> DataFrame:
     return rows.withColumns({"model": F.col("slot_profile"), "model_p10": F.col("slot_profile") - F.col("std_24h"), "model_p90": F.col("slot_profile") + F.col("std_24h")})
 
 
-def prediction_table(rows: DataFrame, origins: DataFrame, series: DataFrame) -> DataFrame:
-    issues = origins.select(F.col("idx").alias("origin"), "issue", "fold")
-    times = series.select(F.col("idx").alias("target"), F.col("ts").alias("target_ts"))
-    out = baselines(rows).join(F.broadcast(issues), "origin").join(times, "target")
-    return out.select("issue", "target_ts", F.col("horizon").cast("int").alias("horizon"), "actual", *METHODS, "model_p10", "model_p90", "fold")
+def prediction_table(rows: DataFrame, origins: DataFrame, series: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    issues = origins.select(*keys, F.col("idx").alias("origin"), "issue", "fold")
+    times = series.select(*keys, F.col("idx").alias("target"), F.col("ts").alias("target_ts"))
+    out = baselines(rows).join(issues if keys else F.broadcast(issues), [*keys, "origin"]).join(times, [*keys, "target"])
+    return out.select(*keys, "issue", "target_ts", F.col("horizon").cast("int").alias("horizon"), "actual", *METHODS, "model_p10", "model_p90", "fold")
 
 
 def common(predictions: DataFrame) -> DataFrame:
@@ -304,10 +304,10 @@ def _banded(rows: DataFrame, bands) -> DataFrame:
     return rows.withColumn("band", F.explode(picked))
 
 
-def by_method(predictions: DataFrame) -> DataFrame:
-    """Metrics of each method in each horizon band, over pairs that every method has."""
-    long = common(predictions).unpivot(["issue", "horizon", "actual"], list(METHODS), "method", "value").withColumn("error", F.col("value") - F.col("actual"))
-    return _banded(long, BANDS).groupBy("band", "method").agg(*error_metrics("error", "actual"))
+def by_method(predictions: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Metrics of each method in each horizon band, of each series, over pairs that every method has."""
+    long = common(predictions).unpivot([*keys, "issue", "horizon", "actual"], list(METHODS), "method", "value").withColumn("error", F.col("value") - F.col("actual"))
+    return _banded(long, BANDS).groupBy(*keys, "band", "method").agg(*error_metrics("error", "actual"))
 
 
 INSIDE = "actual between model_p10 and model_p90"
