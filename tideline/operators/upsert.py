@@ -1,14 +1,16 @@
-"""Idempotent keyed upserts into a month-partitioned Parquet table, file manifests and change-detected refreshes."""
+"""Idempotent keyed upserts into tables of months with snapshots, file manifests and change-detected refreshes."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import exists, remove
+from . import versions
+from .tables import exists, remove, written
 
 
 def conform(df: DataFrame, schema) -> DataFrame:
@@ -41,70 +43,98 @@ def upsert_stats(classified: DataFrame) -> DataFrame:
     return classified.agg(*(F.coalesce(c, F.lit(0)).alias(n) for c, n in zip(count, ("inserted", "updated", "unchanged"))))
 
 
-def _redo_log(path: str) -> str:
-    return f"{path.rstrip('/')}__redo"
+def rows_of(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    """The rows of a table's newest version, typed but empty where there is none yet (a schema is needed then)."""
+    found = versions.read(spark, path, schema)
+    return spark.createDataFrame([], schema) if found is None else found
 
 
-def recover(spark: SparkSession, path: str) -> bool:
-    """Finish an upsert that stopped while it replaced months. True if there was one.
+def upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str], ts: str, metadata: Sequence[str] = (), arrival: str | None = None) -> dict:
+    """Merge a batch into the table at path; only months with an insert or update are rewritten, and become current all at once.
 
-    The months to replace stand whole in the redo log before the table is touched, so replacing them again is safe.
+    The batch is evaluated once: written aside with its changes. Readers see the version before until the new one is committed; a
+    second writer that began from the same version is refused (versions.ConcurrentWrite), and may merge its batch again.
     """
-    log = _redo_log(path)
-    if not exists(spark, log):
-        return False
-    whole = exists(spark, f"{log}/merged/_SUCCESS")
-    if whole:
-        _replace(spark, path)
-    remove(spark, log)
-    return whole
+    base = versions.newest(spark, path)
+    staged = f"{path}/{versions.stage(path)}"
+    try:
+        landed = written(batch.withColumn("_ym", F.date_format(ts, "yyyy-MM")), f"{staged}/batch")
+        nulls = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
+        if not landed.filter(nulls).isEmpty():
+            raise ValueError("null in a key column")
+        of_batch = [r[0] for r in landed.select("_ym").distinct().collect()]  # as many as months in the batch
+        landed = landed.drop("_ym")
+        columns = [c for c in batch.columns if c != arrival]
+        old = versions.read(spark, path, landed.select(columns).schema, base, of_batch)
+        old = spark.createDataFrame([], landed.select(columns).schema) if old is None else old
+        flags = written(classify(old, landed, keys, metadata, arrival), f"{staged}/flags")
+        stats = upsert_stats(flags).first().asDict()
+        changed = flags.filter("change <> 'same'")
+        touched = sorted(r[0] for r in changed.select(F.date_format(ts, "yyyy-MM")).distinct().collect())
+        if touched:
+            kept = old.filter(F.date_format(ts, "yyyy-MM").isin(touched)).join(changed.select(*keys), list(keys), "left_anti")
+            versions.commit(spark, path, base, versions.write_months(kept.unionByName(changed.drop("change")), path, ts))
+        return stats | {"months": touched}
+    finally:
+        remove(spark, staged)
 
 
-def _replace(spark: SparkSession, path: str) -> None:
-    log = f"{_redo_log(path)}/merged"
-    whole = spark.read.option("basePath", log).parquet(log).withColumn("ym", F.col("ym").cast("string"))
-    whole.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ym").parquet(path)
+PIECE, WHOLE = 8 << 20, 64 << 20  # bytes that are hashed at once; files beyond WHOLE are read piece by piece
 
 
-def upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str], ts: str, metadata: Sequence[str] = (), arrival: str | None = None) -> dict:
-    """Merge a batch into the table at path; only months with an insert or update are rewritten. One writer at a time.
+def _stream_digests(batches):
+    """Files read as streams by the task that they are dealt to, in constant memory."""
+    import hashlib
+
+    import pyarrow as pa
+    from pyarrow import fs
 
-    Months are first written to a redo log and then replaced. After a failure in between, the next upsert (or recover()) finishes
-    the replacement; a reader may meanwhile miss a month, as plain Parquet has no snapshots.
+    for batch in batches:
+        sums = []
+        for path in batch.column("path").to_pylist():
+            store, place = fs.FileSystem.from_uri(path)
+            digest = hashlib.sha256()
+            with store.open_input_stream(place) as stream:
+                while piece := stream.read(PIECE):
+                    digest.update(piece)
+            sums.append(digest.hexdigest())
+        yield pa.RecordBatch.from_arrays([batch.column("path"), batch.column("bytes"), pa.array(sums, pa.string())], names=["path", "bytes", "sha256"])
+
+
+def file_manifest(spark: SparkSession, path: str, rows: bool = False, whole: int = WHOLE) -> DataFrame:
+    """(path, bytes, sha256) of every file under path that has bytes, with the rows of Parquet files on request.
+
+    Files of up to `whole` bytes are read by Spark as one value each; larger ones never stand in a row: their paths are dealt to
+    tasks, which read them as streams (the store has to be one that Arrow opens: local, HDFS, S3, GCS).
     """
-    recover(spark, path)
-    nulls = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
-    if not batch.filter(nulls).isEmpty():
-        raise ValueError("null in a key column")
-    columns = [c for c in batch.columns if c != arrival]
-    months = [r[0] for r in batch.select(F.date_format(ts, "yyyy-MM")).distinct().collect()]  # as many as months in the batch
-    empty = spark.createDataFrame([], batch.select(columns).schema)
-    old = spark.read.parquet(path).filter(F.col("ym").isin(months)).select(columns) if exists(spark, path) else empty
-    staged = _redo_log(path)
-    classify(old, batch, keys, metadata, arrival).withColumn("ym", F.date_format(ts, "yyyy-MM")).write.parquet(f"{staged}/flags")
-    flags = spark.read.parquet(f"{staged}/flags")
-    stats = upsert_stats(flags).first().asDict()
-    touched = [r[0] for r in flags.filter("change <> 'same'").select("ym").distinct().collect()]
-    if touched:
-        changed = flags.filter("change <> 'same'")
-        kept = old.withColumn("ym", F.date_format(ts, "yyyy-MM")).filter(F.col("ym").isin(touched)).join(changed.select(*keys), list(keys), "left_anti")
-        merged = kept.unionByName(changed.drop("change"))
-        merged.write.partitionBy("ym").parquet(f"{staged}/merged")
-        _replace(spark, path)
-    remove(spark, staged)
-    return stats | {"months": sorted(touched)}
-
-
-def file_manifest(spark: SparkSession, path: str, rows: bool = False) -> DataFrame:
-    """(path, bytes, sha256) of every file under path, with the rows of Parquet files on request."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "[!_.]*").load(path)
-    out = files.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "[!_.]*").load(path)
+    small = found.filter(F.col("length") <= whole).select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    large = found.select("path", F.col("length").alias("bytes")).filter(F.col("bytes") > whole).repartition("path")
+    out = small.unionByName(large.mapInArrow(_stream_digests, "path string, bytes long, sha256 string"))
     if not rows:
         return out
     counts = spark.read.option("recursiveFileLookup", "true").parquet(path).groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("rows"))
     return out.join(counts, "path", "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
 
 
+def publish(rows: DataFrame, place: str) -> int:
+    """Rows as files with a manifest beside them, which is written last; nothing at all where there are no rows. The number of rows."""
+    spark = rows.sparkSession
+    if rows.isEmpty():
+        return 0
+    rows.write.parquet(f"{place}/files")
+    file_manifest(spark, f"{place}/files", rows=True).coalesce(1).write.json(f"{place}/manifest")
+    return spark.read.parquet(f"{place}/files").count()
+
+
+def restore_published(spark: SparkSession, place: str, table: str, keys: Sequence[str], ts: str, metadata: Sequence[str] = ()) -> dict:
+    """What publish() has left at a place, merged into a table; {"status": "no-mirror"} where nothing has been published yet."""
+    if not exists(spark, f"{place}/manifest"):
+        return {"status": "no-mirror"}
+    manifest = spark.read.schema("path string, bytes long, sha256 string, rows long").json(f"{place}/manifest")
+    return {"status": "restored", **restore(spark, manifest, f"{place}/files", table, keys, ts, metadata)}
+
+
 def restore(spark: SparkSession, manifest: DataFrame, published: str, table: str, keys: Sequence[str], ts: str, metadata: Sequence[str] = ()) -> dict:
     """Published Parquet files merged into a table, after each was found as its manifest row (path, sha256, rows) has it.
 
@@ -125,10 +155,22 @@ def restore(spark: SparkSession, manifest: DataFrame, published: str, table: str
     return upsert(spark, table, rows, keys, ts, metadata)
 
 
+#: Conditions of Spark that tell of a file's content: values and records that can't be read as their types.
+BAD = ("CAST_INVALID_INPUT", "CAST_OVERFLOW", "MALFORMED_RECORD", "MALFORMED_CSV_RECORD", "CANNOT_PARSE_TIMESTAMP", "UNRESOLVED_COLUMN", "FAILED_READ_FILE", "USER_RAISED_EXCEPTION")
+
+
+def _bad_content(error: Exception) -> bool:
+    """Whether a reader found fault with the file, by its own ValueError or by a condition of Spark's, at any depth of the causes."""
+    if isinstance(error, ValueError):
+        return True
+    return isinstance(error, PySparkException) and any(name in f"{error.getCondition()} {error}" for name in BAD)
+
+
 def refresh(spark: SparkSession, landed: str, table: str, read) -> str:
     """A table that one landed file replaces whole: "unchanged", "replaced", or "kept" where the new file is bad.
 
-    read(path) -> rows, and raises on a bad file. A version is written beside the old ones under its content's hash and
+    read(path) -> rows, and raises BAD on a bad file, as do the rows when they are read; anything else that fails, such as a lost
+    executor or a full disk, is an error here too. A version is written beside the old ones under its content's hash and
     becomes the current one by a row in `versions`, so readers never see a part of it; see current().
     """
     found = [r.sha256 for r in file_manifest(spark, landed).select("sha256").limit(2).collect()]
@@ -141,8 +183,8 @@ def refresh(spark: SparkSession, landed: str, table: str, read) -> str:
     try:
         rows = read(landed)
         rows.write.mode("overwrite").parquet(f"{table}/data-{version}")
-    except Exception:
-        if last is None:
+    except Exception as error:
+        if last is None or not _bad_content(error):
             raise
         return "kept"
     spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("since")).write.mode("append").parquet(f"{table}/versions")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import timefn as fn
 from ..operators import series as ops
 from ..operators import upsert as up
+from ..operators import versions
 from ..sources import readers, sinks
 from ..streaming import feeds
 from . import forecasting
@@ -75,12 +76,25 @@ def _upserted(w):
     first = w.raw.national.filter(F.col("ts") < F.lit(_CUT).cast("timestamp_ntz")).select("ts", "actual").withColumn("arrival", F.lit(0))
     for batch in (first, _batch(w), _batch(w)):
         up.upsert(w.raw.spark, path, batch, ["ts"], "ts", (), "arrival")
-    return w.raw.spark.read.parquet(path).select("ts", "actual")
+    return up.rows_of(w.raw.spark, path).select("ts", "actual")
 
 
 add("snk1_upsert", "ts actual:i", _upserted, f"(SELECT ts, actual FROM nat WHERE ts < TIMESTAMP '2024-04-06' UNION ALL SELECT ts, actual FROM {_CLASS})")
 
 
+def _snapshots(w):
+    """Both versions that the two merges made, each as its readers see it; the third merge changes nothing and makes none."""
+    spark, path = w.raw.spark, feeds.shared(w.raw.spark)
+    first = w.raw.national.filter(F.col("ts") < F.lit(_CUT).cast("timestamp_ntz")).select("ts", "actual").withColumn("arrival", F.lit(0))
+    for batch in (first, _batch(w), _batch(w)):
+        up.upsert(spark, path, batch, ["ts"], "ts", (), "arrival")
+    return readers.merge_all([versions.read(spark, path, version=v).select(F.lit(v).alias("version"), "ts", "actual") for v in versions.versions(spark, path)])
+
+
+add("snk1_snapshots", "version:i ts actual:i", _snapshots,
+    f"(SELECT 1 AS version, ts, actual FROM nat WHERE ts < TIMESTAMP '{_CUT}' UNION ALL SELECT 2, ts, actual FROM nat WHERE ts < TIMESTAMP '2024-04-06' UNION ALL SELECT 2, ts, actual FROM {_CLASS})")
+
+
 # ---- tables on disk: scans, conforming, published files, refreshes ----
 
 _TEXTS = ("forecast", "actual", "ts", "end_ts")  # columns that land as text
@@ -184,7 +198,7 @@ def _streamed_upsert(w):
     path = feeds.shared(w.raw.spark)
     rows = _events(w).select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id", F.col("event_id").alias("arrival"))
     feeds.upsert_stream(rows, f"{path}/table", path, ["event_id"], "ts", (), "arrival")
-    return w.raw.spark.read.parquet(f"{path}/table").groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("user_id").alias("users"))
+    return up.rows_of(w.raw.spark, f"{path}/table").groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("user_id").alias("users"))
 
 
 add("str1_upsert_stream", "day n:i users:i", _streamed_upsert, "(SELECT CAST(ts AS DATE) AS day, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY 1)")

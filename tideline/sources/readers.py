@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import timefn as fn
+from ..operators.upsert import rows_of
 
 
 @dataclass(frozen=True)
@@ -29,11 +30,8 @@ class Dataset:
         return spark.createDataFrame([], self.struct())
 
     def scan(self, spark: SparkSession, path: str) -> DataFrame:
-        """The table's files (partitioned by ym, which prunes); typed but empty where there are none yet."""
-        root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        if not root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(root):
-            return self.empty(spark)
-        return spark.read.schema(T.StructType([*self.struct().fields, T.StructField("ym", T.StringType())])).parquet(path).drop("ym")
+        """The rows of the table's newest version; typed but empty where there is none yet."""
+        return rows_of(spark, path, self.struct())
 
 
 NATIONAL = Dataset("ts timestamp_ntz, end_ts timestamp_ntz, forecast int, actual int, band string, fetched_at timestamp_ntz", ("ts",), "ts")
