@@ -228,6 +228,39 @@ add("str3_outages", "key:i start_ts end_ts", lambda w: feeds.collect_append(feed
     "(SELECT * FROM (SELECT user_id AS key, t + INTERVAL 30 MINUTE AS start_ts, lead(t) OVER (PARTITION BY user_id ORDER BY t) AS end_ts FROM (SELECT DISTINCT user_id, time_bucket(INTERVAL 30 MINUTE, ts) AS t FROM events)) WHERE end_ts > start_ts)")
 
 
+def _final_outages(w):
+    own = feeds.state_session(w.raw.spark)
+    stream = feeds.file_stream(own, w.raw.dir, "events.parquet", w.raw.table("events").schema)
+    return feeds.collect_append(feeds.final_outages(stream, "user_id", "ts"), "key long, kind string, start_ts timestamp_ntz, end_ts timestamp_ntz")
+
+
+add("str3_final_outages", "key:i kind start_ts end_ts", _final_outages,
+    """(WITH seen AS (SELECT DISTINCT user_id AS key, time_bucket(INTERVAL 30 MINUTE, ts) AS t FROM events), bound AS (SELECT max(ts) - INTERVAL 2 DAY AS b FROM events),
+    held AS (SELECT key, t + INTERVAL 30 MINUTE AS start_ts, lead(t) OVER (PARTITION BY key ORDER BY t) AS end_ts FROM seen)
+    SELECT key, 'hole' AS kind, start_ts, end_ts FROM held, bound WHERE end_ts > start_ts AND end_ts <= date_trunc('second', b)
+    UNION ALL SELECT key, 'silent', start_ts, NULL FROM held, bound WHERE end_ts IS NULL AND start_ts + INTERVAL 24 HOUR <= date_trunc('second', b))""")
+
+_REFETCH = 7
+
+
+def _bounded(w):
+    """Events landed in three files: most of them; a part that comes late; that part again with corrections of the last days. What the table and the late rows hold."""
+    spark, landed, path = w.raw.spark, feeds.shared(w.raw.spark), feeds.shared(w.raw.spark)
+    rows = w.raw.table("events").select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), F.round(F.col("value") * 100).cast("long").alias("cents"))
+    slow = F.col("event_id") % 97 == 0
+    recent = rows.crossJoin(F.broadcast(rows.agg(F.max("ts").alias("end")))).filter((F.col("event_id") % 5 == 0) & (F.col("ts") >= F.col("end") - F.expr("INTERVAL 2 DAYS"))).select("event_id", "ts", (F.col("cents") + 1).alias("cents"))
+    for k, part in enumerate((rows.filter(~slow), rows.filter(slow), rows.filter(slow).unionByName(recent.filter(~slow)))):
+        part.withColumn("arrival", F.lit(k)).coalesce(1).write.mode("append").parquet(landed)
+    schema = spark.read.parquet(landed).schema
+    feeds.bounded_upsert_stream(feeds.file_stream(spark, landed, "part", schema, 1), path, ["event_id"], "ts", _REFETCH, (), "arrival")
+    return readers.merge_all([up.rows_of(spark, f"{path}/{name}", schema).groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"), F.sum("cents").alias("cents")).withColumn("place", F.lit(name)) for name in ("table", "late")])
+
+
+add("str1_bounded_upsert", "place day n:i cents:i", _bounded,
+    f"""(WITH e AS (SELECT event_id, ts, CAST(round(value * 100) AS BIGINT) AS cents, event_id % 97 = 0 AS slow FROM events), b AS (SELECT max(ts) FILTER (NOT slow) - INTERVAL {_REFETCH} DAY AS bound, max(ts) AS newest FROM e)
+    SELECT CASE WHEN slow AND ts < bound THEN 'late' ELSE 'table' END AS place, CAST(ts AS DATE) AS day, count(*) AS n, sum(cents + CASE WHEN NOT slow AND event_id % 5 = 0 AND ts >= newest - INTERVAL 2 DAY THEN 1 ELSE 0 END) AS cents FROM e, b GROUP BY 1, 2)""")
+
+
 def _functions(w):
     """Every time function once, over the national series' times."""
     k, at = fn.slot("ts"), lambda minutes: F.timestamp_add("MINUTE", minutes, F.col("ts"))

@@ -2,20 +2,34 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from ..operators.tables import shared
+from ..operators.tables import exists, shared
 from ..operators.upsert import upsert
 
 
-def file_stream(spark: SparkSession, directory: str, name: str, schema) -> DataFrame:
-    """New files of one name in a directory, as a stream."""
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}*").parquet(directory)
+def file_stream(spark: SparkSession, directory: str, name: str, schema, files: int | None = None) -> DataFrame:
+    """New files of one name in a directory, as a stream; at most `files` of them in a micro-batch, the oldest first."""
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}*")
+    return (reader if files is None else reader.option("maxFilesPerTrigger", files)).parquet(directory)
+
+
+def state_session(spark: SparkSession) -> SparkSession:
+    """A session for streams whose state RocksDB holds, beside executors' memory; other sessions keep their settings."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    own.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    own.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    own.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
+    return own
 
 
 def run_once(df: DataFrame, path: str, writer) -> None:
@@ -29,6 +43,44 @@ def upsert_stream(df: DataFrame, table: str, path: str, keys: Sequence[str], ts:
     run_once(df, path, lambda batch, _: upsert(batch.sparkSession, table, batch, keys, ts, metadata, arrival))
 
 
+def _bound(spark: SparkSession, path: str, number: int, batch: DataFrame, ts: str, days: int):
+    """The time before which rows of this micro-batch are late: `days` before the newest row of all batches before it.
+
+    Kept by batch number before anything is merged, so a batch that is replayed is routed as it was the first time.
+    """
+    place = f"{path}/bounds/batch={number}"
+    if not exists(spark, f"{place}/_SUCCESS"):
+        seen = batch.agg(F.max(ts).cast("timestamp_ntz").alias("newest"))
+        if number and exists(spark, f"{path}/bounds/batch={number - 1}/_SUCCESS"):
+            before = spark.read.parquet(f"{path}/bounds/batch={number - 1}")
+            seen = before.select((F.col("newest") - F.expr(f"INTERVAL {days} DAYS")).alias("bound"), F.col("newest").alias("last")).crossJoin(seen)
+            seen = seen.select("bound", F.greatest("last", "newest").alias("newest"))
+        else:
+            seen = seen.select(F.lit(None).cast("timestamp_ntz").alias("bound"), "newest")
+        seen.write.mode("overwrite").parquet(place)
+    return spark.read.parquet(place).first().bound
+
+
+def bounded_upsert_stream(df: DataFrame, path: str, keys: Sequence[str], ts: str, refetch_days: int, metadata: Sequence[str] = (), arrival: str | None = None) -> None:
+    """As upsert_stream, into path/table, but for rows older than the days that a run fetches again: these go to path/late.
+
+    A late row stands there once, however often it arrives: rows alike in all but metadata and arrival are one. The bound moves
+    with the newest row of earlier micro-batches and is kept with them. A row without a time is refused, as one without a key.
+    """
+
+    def write(batch, number):
+        spark = batch.sparkSession
+        bound = _bound(spark, path, number, batch, ts, refetch_days)
+        late = F.lit(False) if bound is None else F.col(ts) < F.lit(bound)
+        upsert(spark, f"{path}/table", batch.filter(~F.coalesce(late, F.lit(False))), keys, ts, metadata, arrival)
+        if bound is not None:
+            values = [c for c in batch.columns if c != arrival and c not in metadata]
+            same = F.sha2(F.to_json(F.struct(*values), {"ignoreNullFields": "false"}), 256)
+            upsert(spark, f"{path}/late", batch.filter(late).withColumn("late_key", same), ["late_key"], ts, [*metadata, *([arrival] if arrival else [])], None)
+
+    run_once(df, path, write)
+
+
 def incremental_run(spark: SparkSession, sources: dict[str, tuple], path: str) -> DataFrame:
     """Every source read on from where its last run ended; (dataset, inserted, updated, unchanged, problem), a row for each.
 
@@ -79,6 +131,94 @@ def _outages(key, frames, state: GroupState):
     yield pd.DataFrame(out, columns=["key", "start_s", "end_s"])
 
 
+NO_END = -1
+SILENCE = 86_400  # seconds without a row after which a key counts as silent
+
+
+class Outages(StatefulProcessor):
+    """Holes in a key's half-hours, told once no row can fill them any more, and keys that have fallen silent.
+
+    The state is what is undecided: runs of half-hours seen since the last final hole, a row each in a map state, so late rows
+    shrink, split or close an open hole, and a key's memory grows with its open holes, not with its rows. Two timers stand
+    for a key: at the end of its first open hole, and where its silence would be too long.
+    """
+
+    def __init__(self, silence: int = SILENCE):
+        self.silence = silence
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.runs = handle.getMapState("runs", "start_s long", "end_s long")
+        self.told = handle.getValueState("told", "last_s long")  # the end that a silence was told of
+
+    def handleInputRows(self, key, rows, timerValues):
+        begins, ends = self._held()
+        first = begins[0] if len(begins) else None
+        for frame in rows:
+            times = np.unique(frame["epoch"].to_numpy(dtype="int64"))
+            times = times if first is None else times[times >= first]  # what lies before is final
+            begins, ends = _merged(np.concatenate([begins, times]), np.concatenate([ends, times + 1800]))
+        yield from self._settle(key, begins, ends, timerValues.getCurrentWatermarkInMs() // 1000)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        yield from self._settle(key, *self._held(), timerValues.getCurrentWatermarkInMs() // 1000)
+
+    def _held(self):
+        held = sorted((k[0], v[0]) for k, v in self.runs.iterator())
+        return np.array([b for b, _ in held], np.int64), np.array([e for _, e in held], np.int64)
+
+    def _settle(self, key, begins, ends, now: int) -> Iterator[pd.DataFrame]:
+        """Tell of holes that end by now, keep what is after them."""
+        out = []
+        final = int((begins[1:] <= now).sum()) if len(begins) else 0
+        out += [(key[0], "hole", int(e), int(b)) for e, b in zip(ends[:final], begins[1 : final + 1])]
+        begins, ends = begins[final:], ends[final:]
+        self.runs.clear()
+        for b, e in zip(begins.tolist(), ends.tolist()):
+            self.runs.updateValue((b,), (e,))
+        for t in list(self.handle.listTimers()):
+            self.handle.deleteTimer(t)
+        if len(begins):
+            last = int(ends[-1])
+            told = self.told.get()[0] if self.told.exists() else None
+            if now >= last + self.silence and told != last:
+                out.append((key[0], "silent", last, NO_END))
+                self.told.update((last,))
+                told = last
+            if len(begins) > 1:
+                self.handle.registerTimer(int(begins[1]) * 1000)
+            if told != last:
+                self.handle.registerTimer((last + self.silence) * 1000)
+        if out:
+            yield pd.DataFrame(out, columns=["key", "kind", "start_s", "end_s"])
+
+    def close(self) -> None:
+        pass
+
+
+def _merged(begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Intervals that touch or overlap as one."""
+    order = np.argsort(begins, kind="stable")
+    begins, reach = begins[order], np.maximum.accumulate(ends[order])
+    new = np.ones(len(begins), bool)
+    new[1:] = begins[1:] > reach[:-1]
+    at = np.flatnonzero(new)
+    return begins[at], reach[np.append(at[1:] - 1, len(begins) - 1)] if len(begins) else ends
+
+
+def final_outages(df: DataFrame, key: str, ts: str, lateness: str = "2 days", silence: int = SILENCE) -> DataFrame:
+    """(key, kind, start_ts, end_ts): "hole" where half-hours are missing for good, "silent" (no end) where a key has stopped.
+
+    The stream's session needs RocksDB for its state (state_session). Rows without a key or time are left out.
+    """
+    at = F.col(ts).cast("timestamp")
+    rows = df.select(F.col(key).cast("long").alias("key"), at.alias("at"), (F.floor(F.unix_timestamp(at) / 1800) * 1800).alias("epoch")).filter("key is not null and at is not null")
+    schema = "key long, kind string, start_s long, end_s long"
+    found = rows.withWatermark("at", lateness).groupBy("key").transformWithStateInPandas(Outages(silence), schema, "Append", "EventTime")
+    as_ntz = lambda c: F.timestamp_seconds(c).cast("timestamp_ntz")
+    return found.select("key", "kind", as_ntz("start_s").alias("start_ts"), as_ntz(F.nullif("end_s", F.lit(NO_END))).alias("end_ts"))
+
+
 def outages(df: DataFrame, key: str, ts: str) -> DataFrame:
     """(key, start_ts, end_ts) of each hole in a key's half-hours, across micro-batches. Late rows don't reopen a closed hole."""
     rows = df.select(F.col(key).cast("long").alias("key"), (F.floor(F.unix_timestamp(F.col(ts)) / 1800) * 1800).alias("epoch"))
