@@ -207,9 +207,35 @@ def test_chats_of_any_length(spark):
 
 
 def test_chat_fold(spark):
-    log = [(1, 0, 0, 3, "delta", "a", "new"), (1, 0, 0, 0, "start", "a", ""), (1, 0, 0, 1, "delta", "a", "old"), (1, 0, 0, 2, "regenerate", "a", ""), (1, 0, 0, 4, "delta", "a", "er"), (1, 1, 0, 0, "start", "u", ""), (1, 1, 0, 1, "delta", "u", "x"), (1, 1, 0, 2, "edit", "u", "y"), (1, 1, 0, 3, "delta", "u", "z")]
-    out = {r.turn: r.text for r in chat.fold(spark.createDataFrame(log, chat.EVENTS)).collect()}
-    assert out == {0: "newer", 1: "yz"}
+    """Events of two messages woven into each other; an edit and a regeneration that come after a later message."""
+    log = [(1, 4, 0, "delta", "a", "old"), (1, 0, 0, "start", "a", ""), (1, 2, 1, "delta", "u", "x"), (1, 1, 1, "start", "u", ""), (1, 3, 1, "edit", "u", "y"), (1, 5, 5, "start", "a", ""), (1, 6, 5, "delta", "a", "last"), (1, 7, 0, "regenerate", "a", ""), (1, 8, 0, "delta", "a", "new"), (1, 9, 1, "delta", "u", "z"), (1, 10, 0, "delta", "a", "er"), (1, 11, None, "start", None, None), (2, 0, 7, "delta", "a", "no start")]
+    out = [(r.conv_id, r.ref, r.role, r.text) for r in chat.fold(spark.createDataFrame(log, chat.EVENTS)).orderBy("conv_id", "ref").collect()]
+    assert out == [(1, 0, "a", "newer"), (1, 1, "u", "yz"), (1, 5, "a", "last"), (1, 11, "", ""), (2, 7, "", "no start")]
+
+
+def test_messages_stand_in_the_order_of_the_log(spark):
+    """Random logs, shuffled, against a fold event by event: what comes first is what the sequence starts first."""
+    rng = random.Random(12)
+    log, want = [], {}
+    for conv in (None, 1, 2, 3):
+        messages, seq = {}, rng.randint(-50, 50)
+        for _ in range(rng.randint(1, 60)):
+            seq += rng.randint(1, 9)
+            kind = rng.choice(("start", "delta", "delta", "edit", "regenerate")) if messages else "start"
+            ref = seq if kind == "start" else rng.choice(list(messages))
+            role, text = rng.choice(("user", "assistant")), rng.choice(("", "</s>", "some words ", "\n", "é"))
+            log.append((conv, seq, ref, kind, role, text))
+            if kind == "start":
+                messages[ref] = [role, ""]
+            else:
+                messages[ref][1] = messages[ref][1] + text if kind == "delta" else text if kind == "edit" else ""
+        want[conv] = [messages[k] for k in sorted(messages)]
+    rng.shuffle(log)
+    events = spark.createDataFrame(log, chat.EVENTS).repartition(3)
+    found = {r.conv_id: r for r in chat.conversation_digests(chat.format_chats(events)).collect()}
+    for conv, turns in want.items():
+        assert (found[conv].n_turns, found[conv].turns_sha256) == (len(turns), sha("".join(f"{role}\n{text}\n" for role, text in turns)))
+        assert found[conv].loss_sha256 == sha("".join(text for role, text in turns if role == "assistant"))
 
 
 def test_licenses(docs, rows, no_docs):

@@ -1,14 +1,17 @@
 """Chat formatting from event logs.
 
-A log holds events (conv_id, turn, part, seq, kind, role, text): `start` opens a message, `delta` appends to it, `edit`
-replaces its text, `regenerate` empties it. Events are grouped by conversation and message, sorted by sequence and folded;
-every final message is rendered as one piece of its conversation's formatted text, which is the concatenation of its pieces
-in order. A conversation of any length is thus spread over tasks; only the reader that digests a whole conversation passes
-through it in order, piece by piece, without holding it.
-
-Defined results: null texts and roles are empty; a null turn sorts first; rows of one turn sort by role and a hash of the text, rows
+A log holds events (conv_id, seq, ref, kind, role, text), with one sequence a conversation: `start` opens a message, which is named by
+its seq, `delta` appends to the message that ref names, `edit` replaces its text, `regenerate` empties it, however much has been
+said since. Events are grouped by conversation and message, sorted by sequence and folded; messages stand in the order in which
+the log starts them. Every final message is rendered as one piece of its conversation's formatted text, which is the concatenation of
+its pieces in order. A conversation of any length is thus spread over tasks; only the reader that digests a whole conversation
+passes through it in order, piece by piece, without holding it.
+
+Defined results: null texts and roles are empty; events that name a message without a start make one without a role, in the place of
+its name (none: first). Of tables of turns (as_events): a null turn sorts first; rows of one turn sort by role and a hash of the text, rows
 repeated as a whole stay repeated; a null conv_id is a conversation of its own; columns beyond conv_id, turn, role and text
-are neither read nor in the way; texts and conversations of any length are taken whole; an empty table has no conversations.
+are neither read nor in the way; texts and conversations of any length are taken whole; an empty table has no conversations; turns beyond
+2**40 either way are an error.
 
 Only the digests of a whole conversation are bound to one task each: SHA-256 can't be divided. Pieces pass through it as a
 stream, so a hot conversation costs that task time, not memory; without digests (format_chats) nothing is bound so.
@@ -19,14 +22,15 @@ from __future__ import annotations
 import hashlib
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Control strings of the template and of common chat formats, which texts may not contain bare.
 CONTROL = ("<|start|>", "<|end|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
 ESCAPE = "\x1b"
 CODES = {ESCAPE: "0", "\n": "n"} | {c: chr(ord("A") + i) for i, c in enumerate(CONTROL)}
-EVENTS = "conv_id long, turn long, part long, seq int, kind string, role string, text string"
+EVENTS = "conv_id long, seq long, ref long, kind string, role string, text string"
+PLACES, LATER = 1 << 20, 1 << 62  # of as_events: rows and events of one turn; what is said again after all turns
 
 
 def escape(text: Column, newline: bool = False) -> Column:
@@ -46,11 +50,12 @@ def unescape(text: str) -> str:
 
 
 def fold(events: DataFrame) -> DataFrame:
-    """(conv_id, turn, part, role, text): the final messages of a log."""
-    message = events.groupBy("conv_id", "turn", "part").agg(F.sort_array(F.collect_list(F.struct("seq", "kind", "role", "text"))).alias("log"))
-    text = F.aggregate("log", F.lit(""), lambda done, e: F.when(e.kind == "delta", F.concat(done, e.text)).when(e.kind == "edit", e.text).otherwise(F.lit("")))
-    role = F.filter("log", lambda e: e.kind == "start")[0].role
-    return message.select("conv_id", "turn", "part", F.coalesce(role, F.lit("")).alias("role"), text.alias("text"))
+    """(conv_id, ref, role, text): the final messages of a log, in the order of ref in their conversation."""
+    said = events.select("conv_id", F.coalesce("ref", F.when(F.col("kind") == "start", F.col("seq"))).alias("ref"), "seq", "kind", *(F.coalesce(c, F.lit("")).alias(c) for c in ("role", "text")))
+    message = said.groupBy("conv_id", "ref").agg(F.sort_array(F.collect_list(F.struct("seq", "kind", "role", "text"))).alias("log"))
+    text = F.aggregate("log", F.lit(""), lambda done, e: F.when(e.kind == "delta", F.concat(done, e.text)).when(e.kind == "edit", e.text).when(e.kind == "regenerate", F.lit("")).otherwise(done))
+    role = F.get(F.filter("log", lambda e: e.kind == "start"), 0).role
+    return message.select("conv_id", "ref", F.coalesce(role, F.lit("")).alias("role"), text.alias("text"))
 
 
 def render(messages: DataFrame) -> DataFrame:
@@ -59,7 +64,7 @@ def render(messages: DataFrame) -> DataFrame:
     inner = escape(F.col("text"))
     on = F.col("role") == "assistant"
     return messages.select(
-        "conv_id", "turn", "part", "role",
+        "conv_id", "ref", "role",
         F.concat(head, inner, F.lit("<|end|>\n")).alias("piece"),
         F.when(on, F.length(head)).alias("loss_from"),
         F.when(on, F.length(head) + F.length(inner)).alias("loss_to"),
@@ -105,32 +110,37 @@ _DIGESTS = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_
 def conversation_digests(pieces: DataFrame) -> DataFrame:
     schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
     n = pieces.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    rows = pieces.repartition(int(n), "conv_id").sortWithinPartitions("conv_id", "turn", "role", "part")
+    rows = pieces.repartition(int(n), "conv_id").sortWithinPartitions("conv_id", "ref")
     return rows.select("conv_id", "piece", "loss_from", "loss_to").mapInArrow(_digests, schema)
 
 
 def as_events(conversations: DataFrame) -> DataFrame:
-    """A log whose folding gives these rows back: in turn plain deltas, a regenerated answer, an edited draft, one delta."""
+    """A log whose folding gives these rows back: messages are started in order of turns, as plain deltas, or as drafts that are
+    regenerated or edited only after all turns of the conversation, by events that name them.
+    """
     text, role = F.coalesce(F.col("text").cast("string"), F.lit("")), F.coalesce(F.col("role").cast("string"), F.lit(""))
-    rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), role.alias("role"), text.alias("text"))
+    turn = F.col("turn").cast("long")
+    turn = F.when(turn.isNull(), -(1 << 40)).when(F.abs(turn) < (1 << 40), turn).otherwise(F.raise_error(F.lit("a turn beyond 2**40")).cast("long"))
+    rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), turn.alias("turn"), role.alias("role"), text.alias("text"))
     rows = rows.groupBy("conv_id", "turn", "role", "text").agg(F.count(F.lit(1)).alias("n"))
-    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
-    rows = rows.withColumn("part", F.xxhash64("role", "text", "copy"))
+    up_to = F.sum("n").over(Window.partitionBy("conv_id", "turn").orderBy("role", F.xxhash64("text"), "text").rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.withColumn("up_to", up_to).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
+    rows = rows.withColumn("first", F.col("turn") * PLACES + (F.col("up_to") - F.col("copy")) * 4)
     half = F.floor(F.length("text") / 2).cast("int")
     head, tail = F.substring("text", F.lit(1), half), F.substring("text", half + 1, F.length("text"))
 
-    def event(seq, kind, content):
-        return F.struct(F.lit(seq).alias("seq"), F.lit(kind).alias("kind"), content.alias("text"))
+    def event(step, kind, content):
+        return F.struct((F.col("first") + step).alias("seq"), F.lit(kind).alias("kind"), content.alias("text"))
 
-    start, whole = event(0, "start", F.lit("")), event(3, "delta", F.col("text"))
+    start, whole = event(0, "start", F.lit("")), event(LATER + 1, "delta", F.col("text"))
     kinds = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(4))
     log = (
         F.when(kinds == 0, F.array(start, event(1, "delta", head), event(2, "delta", tail)))
-        .when(kinds == 1, F.array(start, event(1, "delta", F.reverse(head)), event(2, "regenerate", F.lit("")), whole))
-        .when(kinds == 2, F.array(start, event(1, "delta", head), event(2, "edit", F.col("text"))))
-        .otherwise(F.array(start, whole))
+        .when(kinds == 1, F.array(start, event(1, "delta", F.reverse(head)), event(LATER, "regenerate", F.lit("")), whole))
+        .when(kinds == 2, F.array(start, event(1, "delta", head), event(LATER, "edit", F.col("text"))))
+        .otherwise(F.array(start, event(1, "delta", F.col("text"))))
     )
-    return rows.select("conv_id", "turn", "part", "role", F.explode(log).alias("e")).select("conv_id", "turn", "part", "e.seq", "e.kind", "role", "e.text")
+    return rows.select("conv_id", "first", "role", F.explode(log).alias("e")).select("conv_id", "e.seq", F.col("first").alias("ref"), "e.kind", "role", "e.text")
 
 
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
