@@ -153,8 +153,9 @@ def test_simhash(docs, rows, no_docs):
     groups = brute_groups(codes, 3)
     least = {g: min((r[0] for r, h in zip(rows, groups) if h == g and r[0] is not None), default=None) for g in groups}
     want = [(r[0], f"{c:016x}", least[g]) for r, c, g in zip(rows, codes, groups)]
-    found = [(r.doc_id, f"{r.code % (1 << 64):016x}", r.component_id) for r in simhash.near_components(docs).collect()]
-    same(found, want)
+    for parts in (simhash.HALVES, simhash.PARTS):
+        found = [(r.doc_id, f"{r.code % (1 << 64):016x}", r.component_id) for r in simhash.near_components(docs, parts=parts).collect()]
+        same(found, want)
     assert simhash.near_components(no_docs).count() == 0
     kept = simhash.keep_smallest(docs)
     assert kept.columns == docs.columns
@@ -227,16 +228,36 @@ def test_a_dense_shard_loses_no_link(monkeypatch):
     assert components(codes.tolist(), zip(a.tolist(), b.tolist())) == components(codes.tolist(), all_links(codes.tolist(), 3))
 
 
-def test_copies_do_not_grow():
-    """Copies of a fingerprint over all shards, at eight times the fingerprints and as many more leaves."""
+@pytest.mark.parametrize("parts,least,most", [(simhash.PARTS, [4, 4], [4, 4]), (simhash.HALVES, [3, 7], [6, 12])])
+def test_copies_over_shards(parts, least, most):
+    """Copies of a fingerprint over all shards of production size, at 10^5 and 10^6: constant without boundaries, else growing with depth."""
     rng = np.random.default_rng(2)
     copies = []
-    for n in (20_000, 160_000):
+    for n in (100_000, 1_000_000):
         codes = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
-        shards = routed(codes, 64, simhash.PARTS, simhash.DISTANCE, 300 * 500 / n)
-        assert len(shards) > n / 2000
-        copies.append(sum(map(len, shards.values())) / len(codes))
-    assert copies == [simhash.PARTS] * 2
+        sample = codes[:: len(codes) // simhash.SAMPLE]
+        total = 0
+        for mask in simhash.divide((1 << 64) - 1, parts):
+            tree = simhash.build_tree(sample, np.uint64(mask), len(sample) * simhash.SHARD_ROWS / n)
+            total += sum(len(at) for _, at in simhash.route(tree, codes, np.uint64(mask), simhash.DISTANCE // parts))
+        copies.append(total / len(codes))
+    assert all(a <= c <= b for a, c, b in zip(least, copies, most))
+
+
+def test_trees_prune():
+    """A shard of far fingerprints: every near pair is linked, at a part of all comparisons."""
+    rng = np.random.default_rng(9)
+    codes = np.unique(np.concatenate([rng.integers(0, 1 << 63, 8000, dtype=np.uint64), chains(rng, 30, 20)]))
+    whole = np.uint64((1 << 64) - 1)
+    tree = simhash.build_tree(codes, whole, simhash.LEAF)
+    home = {leaf: len(at) for leaf, at in simhash.route(tree, codes, whole, 0)}
+    compared = sum(len(at) * home.get(leaf, 0) for leaf, at in simhash.route(tree, codes, whole, 3))
+    assert sum(home.values()) == len(codes) and compared < 0.7 * len(codes) ** 2
+    links = simhash.Links(len(codes))
+    simhash.link_trees(codes, 3, links)
+    a, b = links.pairs()
+    near = [(int(codes[i]), int(codes[j])) for i in range(len(codes)) for j in np.flatnonzero(np.bitwise_count(codes[:i] ^ codes[i]) <= 3)]
+    assert components(codes.tolist(), zip(codes[a].tolist(), codes[b].tolist())) == components(codes.tolist(), near)
 
 
 def test_smallest_hashes(spark):
@@ -250,15 +271,16 @@ def test_smallest_hashes(spark):
     assert smallest_hashes(rows.limit(0), 20).count() == 0 and smallest_hashes(rows, 600).count() == 600
 
 
-def test_levels_lose_no_link(spark, monkeypatch):
+@pytest.mark.parametrize("parts", [simhash.PARTS, simhash.HALVES])
+def test_levels_lose_no_link(spark, monkeypatch, parts):
     """Shards far over the limit go through several levels of trees; two tables stay apart."""
     monkeypatch.setattr(simhash, "SHARD_ROWS", 16)
     monkeypatch.setattr(simhash, "LIMIT", 40)
     codes = [chains(np.random.default_rng(k), 50, 20) for k in (3, 4)]
     codes.append(codes[0][::2])
     rows = [(k, x - (1 << 64) if x >> 63 else x) for k, some in enumerate(codes) for x in some.tolist()]
-    links = simhash.near_links(spark.createDataFrame(rows, "tab int, code long").repartition(3)).collect()
-    assert len(links) < 12 * len(rows)
+    links = simhash.near_links(spark.createDataFrame(rows, "tab int, code long").repartition(3), parts=parts).collect()
+    assert len(links) < 40 * len(rows)
     for k, some in enumerate(codes):
         mine = [(r.a % (1 << 64), r.b % (1 << 64)) for r in links if r.tab == k]
         assert components(some.tolist(), mine) == components(some.tolist(), all_links(some.tolist(), 3))

@@ -1,17 +1,20 @@
 """SimHash near-duplicates through vantage-point trees.
 
-Fingerprints are taken once per document and reduced to the distinct ones. Their bits are divided into PARTS parts, and a
-vantage-point tree for each part divides the fingerprints by Hamming distance within it: two fingerprints at most DISTANCE bits
-apart differ in at most DISTANCE // PARTS bits of one part, so they meet in one of that part's shards if every fingerprint
-goes to all the shards whose boundary a ball of that radius overlaps (triangle bound). With more parts than differing bits the
-radius is 0: a ball crosses no boundary, and a fingerprint has PARTS copies however many there are. Fewer parts give wider
-balls, whose copies grow with the depth of the trees.
+Fingerprints are taken once per document and reduced to the distinct ones. Their bits are divided into halves, and a
+vantage-point tree for each half divides the fingerprints by Hamming distance within it: two fingerprints at most DISTANCE = 3 bits
+apart differ in at most one bit of one half, so they meet in one of that half's shards if every fingerprint goes to all the
+shards whose boundary a ball of one bit overlaps (triangle bound). In a shard every fingerprint is looked up in a tree over
+whole fingerprints: of two branches it enters those that a ball of 3 bits overlaps, and is compared to what lives in the leaves.
+
+Copies of a fingerprint over all shards grow with the depth of the trees, by about a quarter with every halving of the shards. Callers to
+whom that matters more may take more parts than differing bits (parts=4): one part is then equal, the balls have radius 0 and cross
+no boundary, the trees only name blocks of fingerprints that are equal in a part, and there are 4 copies at any size. Operator 10 takes
+halves; the stages that only need its components (packing, near copies) take four parts.
 
 A shard of over LIMIT fingerprints is divided again by Spark, by trees over the parts of the bits that the first part left
-(name and level stand in the shard's path), so none outgrows a task; copies grow by PARTS with each level, once for every
-factor of LIMIT or so in the number of fingerprints. Inside a shard, fingerprints equal in the part are compared, long runs after
-a further division of the bits that are left; a wider ball is searched in rings around a vantage point. A shard returns links
-between pairs that were not connected yet, not all pairs; components of the links are then joined up over all shards.
+(name and level stand in the shard's path), so none outgrows a task. With radius 0, fingerprints equal in the part are compared inside
+a shard, long runs after a further division of the bits that are left. A shard returns links between pairs that were not connected
+yet, not all pairs; components of the links are then joined up over all shards.
 
 The trees are built from a bounded sample (SAMPLE fingerprints) and only divide the work: every fingerprint is indexed, and
 every pair within the distance is found whatever the sample is.
@@ -36,8 +39,10 @@ from .components import connected_components
 
 SHINGLE = 3
 DISTANCE = 3
-PARTS = 4
+HALVES = 2  # parts of operator 10: balls of DISTANCE // HALVES bits
+PARTS = 4  # parts with balls of radius 0
 BITS = 64
+LEAF = 256  # fingerprints in a leaf of a shard's own tree
 SAMPLE = 4096
 SHARD_ROWS = 16_384  # fingerprints that a leaf of a tree is meant for
 LIMIT = 4 * SHARD_ROWS  # a larger shard is divided by another level
@@ -209,18 +214,21 @@ class Links:
         return np.concatenate(none + self.a), np.concatenate(none + self.b)
 
 
-def link_ring(codes: np.ndarray, at: np.ndarray, distance: int, links: Links, chunk: int = 256) -> None:
-    """Links what is within the distance, each compared to the ring around a vantage point that the triangle bound leaves."""
-    if len(at) < 2:
-        return
-    far = _bits(codes[at] ^ codes[at[0]])
-    order = np.argsort(far, kind="stable")
-    ring, at = far[order], at[order]
-    for i in range(0, len(at), chunk):
-        j = min(i + chunk, len(at))
-        stop = int(np.searchsorted(ring, ring[j - 1] + distance, "right"))
-        a, b = np.nonzero(np.bitwise_count(codes[at[i:j], None] ^ codes[None, at[i:stop]]) <= distance)
-        links.add(at[a + i][a < b], at[b + i][a < b])
+def link_trees(codes: np.ndarray, distance: int, links: Links, chunk: int = 1024) -> None:
+    """Links what is within the distance: each fingerprint enters the branches of a vantage-point tree that its ball overlaps.
+
+    Every fingerprint lives in one leaf; a pair is found where the ball of one reaches the leaf of the other.
+    """
+    whole = np.uint64((1 << 64) - 1)
+    tree = build_tree(codes, whole, LEAF)
+    home = dict(route(tree, codes, whole, 0))
+    for leaf, visitors in route(tree, codes, whole, distance):
+        own = home.get(leaf, np.zeros(0, np.int64))
+        for i in range(0, len(visitors), chunk):
+            some = visitors[i : i + chunk]
+            a, b = np.nonzero(np.bitwise_count(codes[some][:, None] ^ codes[own][None, :]) <= distance)
+            a, b = some[a], own[b]
+            links.add(a[a != b], b[a != b])
 
 
 def link_equal(codes: np.ndarray, at: np.ndarray, part: int, free: int, distance: int, parts: int, links: Links) -> None:
@@ -249,7 +257,7 @@ def shard_links(codes: np.ndarray, path: str, distance: int, bits: int, parts: i
     codes = np.unique(codes)
     links = Links(len(codes))
     if distance // parts:
-        link_ring(codes, np.arange(len(codes)), distance, links)
+        link_trees(codes, distance, links)
     else:
         free, part = free_bits(path, bits, parts)
         link_equal(codes, np.arange(len(codes)), part, free, distance, parts, links)
@@ -289,11 +297,11 @@ def near_links(codes: DataFrame, distance: int = DISTANCE, bits: int = BITS, par
         sent = sent.join(large, "path", "left_semi")
 
 
-def near_components(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+def near_components(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, parts: int = PARTS) -> DataFrame:
     """(doc_id, key, code, root, component_id) for every row of docs; root tells components apart, even where doc_ids repeat."""
     prints = cut(fingerprints(docs, shingle))
     nodes = cut(prints.groupBy("code").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n")))
-    links = near_links(nodes.select(F.lit(0).alias("tab"), "code"), distance)
+    links = near_links(nodes.select(F.lit(0).alias("tab"), "code"), distance, parts=parts)
     roots = connected_components(links.select("a", "b"))
     linked = nodes.join(roots, nodes["code"] == roots["node"], "left").select("code", "first_id", F.coalesce("root", "code").alias("root"))
     linked = cut(linked)
@@ -332,5 +340,5 @@ def keep_rows(docs: DataFrame, keep: DataFrame) -> DataFrame:
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = near_components(read_documents(spark, sf_dir))
+    found = near_components(read_documents(spark, sf_dir), parts=HALVES)
     return found.select("doc_id", F.lpad(F.lower(F.hex("code")), 16, "0").alias("fingerprint"), "component_id")
