@@ -136,3 +136,71 @@ def run_suite(checks: Sequence[Check]) -> DataFrame:
         return counted.select(F.lit(c.name).alias("check_name"), "failures", _status(F.col("failures"), c).alias("status"))
 
     return reduce(DataFrame.unionByName, map(row, checks))
+
+
+@dataclass(frozen=True)
+class Table:
+    """What holds of a table: rows (name -> condition that a row breaks, as SQL), keys, references and gaps.
+
+    rows: (name, broken when, among rows where, warns from, errs from). keys: column lists whose values don't repeat. references:
+    column -> (table, column) that its values stand in. sums: (column, by, tolerance) that add up to 100. gaps: (key columns, time,
+    dataset of the known gaps or None). recent: (time, hours).
+    """
+
+    name: str
+    rows: tuple[tuple[str, str, str | None, int, int], ...] = ()
+    keys: tuple[tuple[str, ...], ...] = ()
+    references: tuple[tuple[str, tuple[str, str]], ...] = ()
+    sums: tuple[tuple[str, tuple[str, ...], float], ...] = ()
+    gaps: tuple[tuple[tuple[str, ...], str, str | None], ...] = ()
+    recent: tuple[tuple[str, int], ...] = ()
+
+
+def _named(counts: DataFrame, names: Sequence[tuple[str, Column, int, int]]) -> DataFrame:
+    """One row of counts -> (check_name, failures, status) rows."""
+    rows = (F.struct(F.lit(n).alias("check_name"), F.coalesce(c, F.lit(0)).cast("long").alias("failures"), F.lit(warn).alias("warn"), F.lit(err).alias("err")) for n, c, warn, err in names)
+    out = counts.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    return out.select("check_name", "failures", F.when(F.col("failures") >= F.col("err"), "error").when(F.col("failures") >= F.col("warn"), "warn").otherwise("pass").alias("status"))
+
+
+def compiled(t: Table, df: DataFrame, tables: dict[str, DataFrame], known_gaps: DataFrame | None = None, now: Column | None = None) -> list[DataFrame]:
+    """The checks of one table as few plans, each one scan of it: all row conditions and times together, all keys that begin alike by one
+    grouping, all references by one exploded lookup, gaps by series.
+    """
+    out = []
+    if t.rows or t.recent:
+        broken = [F.count_if((F.lit(True) if where is None else F.expr(where)) & F.expr(bad)) for _, bad, where, _, _ in t.rows]
+        old = [F.when(F.max(c).isNull() | (F.max(c) < now - F.expr(f"INTERVAL {hours} HOURS")), 1).otherwise(0) for c, hours in t.recent]
+        counts = df.agg(*(c.alias(f"c{i}") for i, c in enumerate([*broken, *old])))
+        names = [(n, warn, err) for n, _, _, warn, err in t.rows] + [(f"{c} within {h} hours", 1, 1) for c, h in t.recent]
+        out.append(_named(counts, [(n, F.col(f"c{i}"), warn, err) for i, (n, warn, err) in enumerate(names)]))
+    sums = {by: (column, tolerance) for column, by, tolerance in t.sums}
+    for key in t.keys:
+        inner = [by for by in sums if key[: len(by)] == by]  # groups of this key's groups
+        first = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), *(F.sum(sums[by][0]).alias(f"_s{i}") for i, by in enumerate(inner)))
+        names = [(f"unique {', '.join(key)}", F.col("_repeated"), 1, 1)]
+        if inner:
+            by = inner[0]
+            second = first.groupBy(*by).agg(F.count_if(F.col("_n") > 1).alias("_r"), F.sum("_s0").alias("_t"))
+            counts = second.agg(F.sum("_r").alias("_repeated"), F.count_if(F.round(F.abs(F.col("_t") - 100), 9) > sums[by][1]).alias("_off"))
+            names.append((f"{sums[by][0]} sums to 100 by {', '.join(by)}", F.col("_off"), 1, 1))
+        else:
+            counts = first.agg(F.count_if(F.col("_n") > 1).alias("_repeated"))
+        out.append(_named(counts, names))
+    if t.references:
+        looked = F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c, _ in t.references))).alias("x")
+        found = df.select(looked).select("x.*").filter("value is not null").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+        parents = reduce(DataFrame.unionByName, (tables[p].select(F.lit(c).alias("column"), F.col(pc).cast("string").alias("value")) for c, (p, pc) in t.references))
+        lost = found.join(parents.distinct(), ["column", "value"], "left_anti")
+        counts = lost.agg(*(F.sum(F.when(F.col("column") == c, F.col("n"))).alias(f"c{i}") for i, (c, _) in enumerate(t.references)))
+        out.append(_named(counts, [(f"{c} in {p}.{pc}", F.col(f"c{i}"), 1, 1) for i, (c, (p, pc)) in enumerate(t.references)]))
+    for keys, ts, dataset in t.gaps:
+        missing = unexpected_gaps(df, list(keys), ts, known_gaps if dataset else None, dataset)
+        out.append(_named(missing.agg(F.count(F.lit(1)).alias("c")), [(f"no gaps in {ts}{' by ' + ', '.join(keys) if keys else ''}", F.col("c"), 1, 1)]))
+    return out
+
+
+def run_catalogue(catalogue: Sequence[Table], tables: dict[str, DataFrame], known_gaps: DataFrame, now: Column) -> DataFrame:
+    """(table_name, check_name, failures, status), a row for every line of the catalogue."""
+    parts = [p.select(F.lit(t.name).alias("table_name"), "*") for t in catalogue for p in compiled(t, tables[t.name], tables, known_gaps, now)]
+    return reduce(DataFrame.unionByName, parts)
