@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources import staging
 from ..sources.bound import Bound
 from .oracle import prelude, typed
 from .warehouse import Params, Warehouse
@@ -67,14 +68,24 @@ for _name, (_spec, _attr, _cte) in MODELS.items():
     add(_name, _spec, lambda w, a=_attr: getattr(w, a), _cte)
 
 STAGING = {
-    "m01_staged_national": ("ts forecast:i actual:i band", "national", "nat"),
-    "m02_staged_mix": ("ts fuel share:f", "mix", "rawmix"),
-    "m03_staged_regional": ("ts region_id:i forecast:i band", "regional", "rawreg"),
-    "m04_staged_regional_mix": ("ts region_id:i fuel share:f", "regional_mix", "rawregmix"),
-    "m06_staged_yearly": ("area code year:i source is_total generation:f share:f emissions:f intensity:f", "yearly", "yearly"),
+    # name: (columns, what stages it, raw table, CTE)
+    "m01_staged_national": ("ts forecast:i actual:i band", staging.national, "national", "nat"),
+    "m02_staged_mix": ("ts fuel share:f", staging.mix, "mix", "rawmix"),
+    "m03_staged_regional": ("ts region_id:i forecast:i band", staging.regional, "regional", "rawreg"),
+    "m04_staged_regional_mix": ("ts region_id:i fuel share:f", staging.regional_mix, "regional_mix", "rawregmix"),
 }
-for _name, (_spec, _attr, _cte) in STAGING.items():
-    add(_name, _spec, lambda w, a=_attr: getattr(w.raw, a), _cte)
+
+
+def as_landed(df: DataFrame) -> DataFrame:
+    """A raw table as the feed would write it: text throughout, padded numbers, names with capitals, blanks for nulls."""
+    shown = {"timestamp_ntz": lambda c: F.date_format(c, staging.MOMENT), "string": F.initcap}
+    plain = lambda c: F.concat(F.lit(" "), F.col(c).cast("string"))
+    return df.select(*(F.coalesce(shown.get(kind, plain)(c), F.lit("")).alias(c) for c, kind in df.dtypes))
+
+
+for _name, (_spec, _stage, _attr, _cte) in STAGING.items():
+    add(_name, _spec, lambda w, f=_stage, a=_attr: f(as_landed(getattr(w.raw, a))), _cte)
+add("m06_staged_yearly", "area code year:i source is_total generation:f share:f emissions:f intensity:f", lambda w: w.raw.yearly, "yearly")
 
 
 def _used(dim: DataFrame, fact: DataFrame, key: str) -> DataFrame:

@@ -143,3 +143,16 @@ add("inc5_chunks", "start_ts end_ts days:f", lambda w: intervals.chunks(w.raw.da
     """(WITH b AS (SELECT CAST(min(day) AS TIMESTAMP) AS a, CAST(max(day) AS TIMESTAMP) AS z FROM dayord), y AS (SELECT a, z, unnest(range(CAST(year(a) AS INT), CAST(year(z) AS INT) + 1)) AS y FROM b),
     p AS (SELECT greatest(a, make_timestamp(y, 1, 1, 0, 0, 0) - INTERVAL 30 MINUTE) AS a, least(z, make_timestamp(y + 1, 1, 1, 0, 0, 0) - INTERVAL 30 MINUTE) AS z FROM y)
     SELECT start_ts, least(start_ts + INTERVAL 30 DAY, z) AS end_ts, date_diff('minute', start_ts, least(start_ts + INTERVAL 30 DAY, z)) / 1440.0 AS days FROM (SELECT z, unnest(generate_series(a, z - INTERVAL 1 MICROSECOND, INTERVAL 30 DAY)) AS start_ts FROM p WHERE a < z))""")
+
+_LIMITS = {"national": 14, "regional": 5}
+
+
+def _plan(w):
+    """What to fetch of two datasets, a span for the nation and one for each region, cut by each dataset's own limit of days."""
+    spans = [w.raw.national.agg(F.lit("national").alias("dataset"), F.lit(0).alias("region_id"), F.min("ts").alias("start_ts"), F.max("ts").alias("end_ts")), w.raw.regional.groupBy(F.lit("regional").alias("dataset"), "region_id").agg(F.min("ts").alias("start_ts"), F.max("ts").alias("end_ts"))]
+    return intervals.plan(readers.merge_all(spans), ["region_id"], "dataset", _LIMITS)
+
+
+add("inc6_plan", "dataset region_id:i start_ts end_ts", _plan,
+    f"""(WITH s AS (SELECT 'national' AS dataset, 0 AS region_id, min(ts) AS a, max(ts) AS z, {_LIMITS["national"]} AS most FROM nat UNION ALL SELECT 'regional', region_id, min(ts), max(ts), {_LIMITS["regional"]} FROM rawreg GROUP BY region_id)
+    SELECT dataset, region_id, t AS start_ts, least(t + most * INTERVAL 1 DAY, z) AS end_ts FROM (SELECT *, unnest(generate_series(a, z - INTERVAL 1 MICROSECOND, most * INTERVAL 1 DAY)) AS t FROM s))""")

@@ -10,7 +10,7 @@ from ..operators import upsert as up
 from ..operators import versions
 from ..sources import readers, sinks
 from ..streaming import feeds
-from . import forecasting
+from . import adhoc, forecasting
 from .catalog import add
 
 
@@ -141,17 +141,28 @@ def _layers(w):
 add("snk3_layers", "day mean_actual:f n:i", lambda w: (_layers(w), w.raw.spark.table("tideline_daily"))[1], "(SELECT CAST(ts AS DATE) AS day, avg(actual) AS mean_actual, count(actual) AS n FROM nat GROUP BY 1)")
 
 
+EXPORT_DAYS = 90  # of half-hours; everything else is exported whole
+
+
 def _star(w):
-    """Dimensions and facts as ordered CSV with a manifest; the counts in it are those of the files."""
-    path = feeds.shared(w.raw.spark)
-    tables = {"dim_date": (w.dim_date, ["date_key"]), "dim_time": (w.dim_time, ["time_key"]), "fact_national": (w.national.select("ts", "date_key", "time_key", "forecast", "actual"), ["ts"]), "fact_mix": (w.mix, ["ts", "fuel"])}
+    """Five dimensions and five facts as ordered CSV with a manifest; the counts in it are those of the files."""
+    path, n = feeds.shared(w.raw.spark), w.national
+    last = n.agg((F.max("ts") - F.expr(f"INTERVAL {EXPORT_DAYS} DAYS")).alias("since"))
+    recent = n.crossJoin(F.broadcast(last)).filter("ts >= since").select("ts", "date_key", "time_key", "forecast", "actual", "error")
+    tables = {
+        "dim_date": (w.dim_date, ["date_key"]), "dim_time": (w.dim_time, ["time_key"]), "dim_region": (w.dim_region, ["region_id"]), "dim_fuel": (w.dim_fuel, ["fuel"]), "dim_country": (w.dim_country, ["country"]),
+        "national_half_hourly": (recent, ["ts"]), "national_daily": (adhoc.daily_rollup(w), ["day"]), "mix_daily": (adhoc.daily_mix(w), ["day", "fuel"]), "regional_daily": (adhoc.daily_regional(w), ["day", "region_id"]), "country_year": (w.country_intensity, ["country", "year"]),
+    }
     manifest = sinks.export_star(w.raw.spark, tables, path)
     files = readers.merge_all([w.raw.spark.read.option("header", True).csv(f"{path}/{name}").agg(F.count(F.lit(1)).alias("read_back")).withColumn("table", F.lit(name)) for name in tables])
     return manifest.join(files, "table").withColumnRenamed("table", "dataset")
 
 
-add("snk5_star_export", "dataset rows:i read_back:i", _star,
-    "(SELECT *, rows AS read_back FROM (SELECT 'dim_date' AS dataset, count(*) AS rows FROM dd UNION ALL SELECT 'dim_time', count(*) FROM dt UNION ALL SELECT 'fact_national', count(*) FROM fn UNION ALL SELECT 'fact_mix', count(*) FROM fm))")
+_EXPORTED = {
+    "dim_date": "dd", "dim_time": "dt", "dim_region": "regions", "dim_fuel": "fuels", "dim_country": "dc", "national_half_hourly": f"fn WHERE ts >= (SELECT max(ts) FROM fn) - INTERVAL {EXPORT_DAYS} DAY", "national_daily": "(SELECT DISTINCT day FROM fd)",
+    "mix_daily": "(SELECT DISTINCT day, fuel FROM fm JOIN dd USING (date_key))", "regional_daily": "(SELECT DISTINCT day, region_id FROM freg JOIN dd USING (date_key))", "country_year": "ci",
+}
+add("snk5_star_export", "dataset rows:i read_back:i", _star, "(SELECT *, rows AS read_back FROM (" + " UNION ALL ".join(f"SELECT '{name}' AS dataset, count(*) AS rows FROM {source}" for name, source in _EXPORTED.items()) + "))")
 
 
 def _restored(w):
