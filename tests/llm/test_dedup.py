@@ -280,7 +280,7 @@ def test_levels_lose_no_link(spark, monkeypatch, parts):
     codes.append(codes[0][::2])
     rows = [(k, x - (1 << 64) if x >> 63 else x) for k, some in enumerate(codes) for x in some.tolist()]
     links = simhash.near_links(spark.createDataFrame(rows, "tab int, code long").repartition(3), parts=parts).collect()
-    assert len(links) < 40 * len(rows)
+    assert len(links) < (12 if parts == simhash.PARTS else 60) * len(rows)  # each of these tiny shards has a forest of its copies
     for k, some in enumerate(codes):
         mine = [(r.a % (1 << 64), r.b % (1 << 64)) for r in links if r.tab == k]
         assert components(some.tolist(), mine) == components(some.tolist(), all_links(some.tolist(), 3))
