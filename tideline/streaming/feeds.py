@@ -133,14 +133,16 @@ def _outages(key, frames, state: GroupState):
 
 NO_END = -1
 SILENCE = 86_400  # seconds without a row after which a key counts as silent
+BUCKETS = 1024  # what keys are dealt to; a stream keeps to the number it began with
 
 
 class Outages(StatefulProcessor):
     """Holes in a key's half-hours, told once no row can fill them any more, and keys that have fallen silent.
 
-    The state is what is undecided: runs of half-hours seen since the last final hole, a row each in a map state, so late rows
-    shrink, split or close an open hole, and a key's memory grows with its open holes, not with its rows. Two timers stand
-    for a key: at the end of its first open hole, and where its silence would be too long.
+    The state is what is undecided: runs of half-hours seen since the last final hole, so late rows shrink, split or close an open
+    hole, and a key's memory grows with its open holes, not with its rows. The keys of a bucket are held in one value and settled
+    together: a bucket costs a few calls of the state store, whatever keys and runs it has. One timer stands for a bucket, at the
+    first time at which an open hole of its keys ends or a silence gets too long.
     """
 
     def __init__(self, silence: int = SILENCE):
@@ -148,49 +150,52 @@ class Outages(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.runs = handle.getMapState("runs", "start_s long", "end_s long")
-        self.told = handle.getValueState("told", "last_s long")  # the end that a silence was told of
+        # runs in the order of key and begin, as whole numbers of eight bytes; told: whether a silence from the run's end on was told
+        self.held = handle.getValueState("held", "keys binary, begins binary, ends binary, told binary, timer_s long")
 
     def handleInputRows(self, key, rows, timerValues):
-        begins, ends = self._held()
-        first = begins[0] if len(begins) else None
+        keys, begins, ends, told, timer = self._held()
+        known, at = np.unique(keys, return_index=True)
+        first = begins[at]
         for frame in rows:
-            times = np.unique(frame["epoch"].to_numpy(dtype="int64"))
-            times = times if first is None else times[times >= first]  # what lies before is final
-            begins, ends = _merged(np.concatenate([begins, times]), np.concatenate([ends, times + 1800]))
-        yield from self._settle(key, begins, ends, timerValues.getCurrentWatermarkInMs() // 1000)
+            k, t = frame["key"].to_numpy(dtype="int64"), frame["epoch"].to_numpy(dtype="int64")
+            if len(known):
+                at = np.minimum(np.searchsorted(known, k), len(known) - 1)
+                live = (known[at] != k) | (t >= first[at])  # what lies before is final
+                k, t = k[live], t[live]
+            keys, begins, ends, told = _merged_by_key(np.concatenate([keys, k]), np.concatenate([begins, t]), np.concatenate([ends, t + 1800]), np.concatenate([told, np.zeros(len(k), bool)]))
+        yield from self._settle(keys, begins, ends, told, timer, timerValues.getCurrentWatermarkInMs() // 1000)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        yield from self._settle(key, *self._held(), timerValues.getCurrentWatermarkInMs() // 1000)
+        keys, begins, ends, told, _ = self._held()  # the timer goes by itself
+        yield from self._settle(keys, begins, ends, told, None, timerValues.getCurrentWatermarkInMs() // 1000)
 
     def _held(self):
-        held = sorted((k[0], v[0]) for k, v in self.runs.iterator())
-        return np.array([b for b, _ in held], np.int64), np.array([e for _, e in held], np.int64)
+        found = self.held.get() or (b"", b"", b"", b"", None)
+        return *(np.frombuffer(x, np.int64) for x in found[:3]), np.frombuffer(found[3], bool), found[4]
 
-    def _settle(self, key, begins, ends, now: int) -> Iterator[pd.DataFrame]:
+    def _settle(self, keys, begins, ends, told, timer: int | None, now: int) -> Iterator[pd.DataFrame]:
         """Tell of holes that end by now, keep what is after them."""
-        out = []
-        final = int((begins[1:] <= now).sum()) if len(begins) else 0
-        out += [(key[0], "hole", int(e), int(b)) for e, b in zip(ends[:final], begins[1 : final + 1])]
-        begins, ends = begins[final:], ends[final:]
-        self.runs.clear()
-        for b, e in zip(begins.tolist(), ends.tolist()):
-            self.runs.updateValue((b,), (e,))
-        for t in list(self.handle.listTimers()):
-            self.handle.deleteTimer(t)
-        if len(begins):
-            last = int(ends[-1])
-            told = self.told.get()[0] if self.told.exists() else None
-            if now >= last + self.silence and told != last:
-                out.append((key[0], "silent", last, NO_END))
-                self.told.update((last,))
-                told = last
-            if len(begins) > 1:
-                self.handle.registerTimer(int(begins[1]) * 1000)
-            if told != last:
-                self.handle.registerTimer((last + self.silence) * 1000)
-        if out:
-            yield pd.DataFrame(out, columns=["key", "kind", "start_s", "end_s"])
+        final = np.zeros(len(keys), bool)
+        final[:-1] = (keys[1:] == keys[:-1]) & (begins[1:] <= now)
+        at = np.flatnonzero(final)
+        holes = pd.DataFrame({"key": keys[at], "kind": "hole", "start_s": ends[at], "end_s": begins[at + 1]})
+        keys, begins, ends, told = (x[~final] for x in (keys, begins, ends, told))
+        last = np.ones(len(keys), bool)
+        last[:-1] = keys[1:] != keys[:-1]
+        silent = last & ~told & (now >= ends + self.silence)
+        quiet = pd.DataFrame({"key": keys[silent], "kind": "silent", "start_s": ends[silent], "end_s": NO_END})
+        told = told | silent
+        awaited = np.concatenate([begins[1:][~last[:-1]], ends[last & ~told] + self.silence])
+        wanted = int(awaited.min()) if len(awaited) else None
+        if wanted != timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer * 1000)
+            if wanted is not None:
+                self.handle.registerTimer(wanted * 1000)
+        self.held.update((keys.tobytes(), begins.tobytes(), ends.tobytes(), told.tobytes(), wanted))
+        if len(holes) or len(quiet):
+            yield pd.concat([holes, quiet], ignore_index=True)
 
     def close(self) -> None:
         pass
@@ -206,15 +211,31 @@ def _merged(begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return begins[at], reach[np.append(at[1:] - 1, len(begins) - 1)] if len(begins) else ends
 
 
-def final_outages(df: DataFrame, key: str, ts: str, lateness: str = "2 days", silence: int = SILENCE) -> DataFrame:
+def _merged_by_key(keys: np.ndarray, begins: np.ndarray, ends: np.ndarray, told: np.ndarray) -> tuple[np.ndarray, ...]:
+    """_merged for each key, in the order of keys; a run is told of if one with its end was."""
+    if not len(keys):
+        return keys, begins, ends, told
+    names, at = np.unique(keys, return_inverse=True)
+    low = begins.min()
+    width = ends.max() - low + 2  # so that runs of different keys don't touch
+    b, e = begins - low + at * width, ends - low + at * width
+    marked = e[told]
+    b, e = _merged(b, e)
+    at = b // width
+    return names[at], b - at * width + low, e - at * width + low, np.isin(e, marked)
+
+
+def final_outages(df: DataFrame, key: str, ts: str, lateness: str = "2 days", silence: int = SILENCE, buckets: int = BUCKETS) -> DataFrame:
     """(key, kind, start_ts, end_ts): "hole" where half-hours are missing for good, "silent" (no end) where a key has stopped.
 
-    The stream's session needs RocksDB for its state (state_session). Rows without a key or time are left out.
+    The stream's session needs RocksDB for its state (state_session). Rows without a key or time are left out. Some thousand keys
+    a bucket are well; each micro-batch reads and writes the open runs of the buckets that it has rows of.
     """
     at = F.col(ts).cast("timestamp")
     rows = df.select(F.col(key).cast("long").alias("key"), at.alias("at"), (F.floor(F.unix_timestamp(at) / 1800) * 1800).alias("epoch")).filter("key is not null and at is not null")
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
     schema = "key long, kind string, start_s long, end_s long"
-    found = rows.withWatermark("at", lateness).groupBy("key").transformWithStateInPandas(Outages(silence), schema, "Append", "EventTime")
+    found = rows.withWatermark("at", lateness).groupBy("bucket").transformWithStateInPandas(Outages(silence), schema, "Append", "EventTime")
     as_ntz = lambda c: F.timestamp_seconds(c).cast("timestamp_ntz")
     return found.select("key", "kind", as_ntz("start_s").alias("start_ts"), as_ntz(F.nullif("end_s", F.lit(NO_END))).alias("end_ts"))
 
