@@ -350,6 +350,18 @@ def test_pack_documents_against_brute_force(docs, rows):
     assert Counter(found) == Counter(want)
 
 
+def test_lengths_are_counted_over_bytes(spark):
+    """Words of texts that stand end to end, against split; no regular expression rewrites the texts in the JVM."""
+    texts = ["a b", "", " c", "d", "\x0b \x1f\u00a0x\u2003y\x0c", "\r\n", None, "é ü\té", "end "]
+    table = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, source string").coalesce(1)
+    clusters = spark.createDataFrame([], "key long, cluster long")
+    lots = packing._lots(table, clusters)
+    assert {r.doc_id: r.length for r in lots.collect()} == {i: len((t or "").encode().split()) for i, t in enumerate(texts)}
+    raw = "".join(t or "" for t in texts).encode()
+    ends = np.cumsum([0, *(len((t or "").encode()) for t in texts)])
+    assert packing.word_counts(np.frombuffer(raw, np.uint8), ends).tolist() == [len((t or "").encode().split()) for t in texts]
+
+
 def test_pack_with_clusters_of_the_caller(spark):
     table = spark.range(40).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"), F.col("id").cast("string").alias("source"))
     clusters = table.select(row_key().alias("key"), (F.col("doc_id") % 4).alias("cluster"))

@@ -21,17 +21,22 @@ from __future__ import annotations
 
 from bisect import bisect_left, insort
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, body, cut, partitions, read_documents, row_key, scratch
+from .common import blocks_of, body, cut, lean, partitions, read_documents, row_key, scratch, text_buffers
 from .simhash import near_components
 
 CAPACITY = 2048
 PER_SOURCE = 2
 GROUP = 8192
 LOT = 256
+SLICE = 1 << 21  # bytes of text worked on at once
+
+_SPACE = np.zeros(256, bool)
+_SPACE[[32, 9, 10, 11, 12, 13]] = True
 
 
 def pack(items: list[tuple], capacity: int = CAPACITY, per_source: int = PER_SOURCE) -> list[tuple[int, int]]:
@@ -64,9 +69,25 @@ def pack(items: list[tuple], capacity: int = CAPACITY, per_source: int = PER_SOU
     return out
 
 
-def words(text: str = "text") -> Column:
-    line = F.trim(F.regexp_replace(body(text), SPACE, " "))
-    return F.when(line == "", F.lit(0)).otherwise(F.length(line) - F.length(F.replace(line, F.lit(" "))) + 1).cast("long")
+def word_counts(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Words of each of the texts that stand end to end; a word ends with its text."""
+    inside = ~_SPACE[raw]
+    starts = inside.copy()
+    starts[1:] &= ~inside[:-1]
+    begin = offsets[:-1][np.diff(offsets) > 0]
+    starts[begin] = inside[begin]
+    return np.diff(np.searchsorted(np.flatnonzero(starts), offsets))
+
+
+@lean
+def _lengths(batches):
+    """Rows with texts -> the same rows with the texts' lengths."""
+    for batch in batches:
+        raw, offsets = text_buffers(batch.column("text"))
+        counts = [word_counts(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]) for i, j in blocks_of(offsets, SLICE)]
+        names = ["doc_id", "source", "key"]
+        length = pa.array(np.concatenate([np.zeros(0, np.int64), *counts]))
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), length], names=[*names, "length"])
 
 
 def _pack_group(capacity: int, per_source: int):
@@ -119,8 +140,8 @@ def _lots(docs: DataFrame, clusters: DataFrame) -> DataFrame:
     """(doc_id, source, cluster, length, n): rows alike, counted."""
     items = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
-        row_key().alias("key"), words().alias("length"),
-    )
+        row_key().alias("key"), body().alias("text"),
+    ).mapInArrow(_lengths, "doc_id long, source string, key long, length long")
     lots = items.groupBy("doc_id", "source", "key", "length").agg(F.count(F.lit(1)).alias("n"))
     lots = lots.join(clusters.groupBy("key").agg(F.min("cluster").alias("cluster")), "key", "left").withColumn("cluster", F.coalesce("cluster", "key"))
     return cut(lots.groupBy("doc_id", "source", "cluster", "length").agg(F.sum("n").alias("n")), keep=True)
