@@ -54,6 +54,25 @@ def test_leaves_hold_quantiles(spark, rows, monkeypatch, limit):
     assert shown.columns == [*part.columns, "lo", "hi"] and shown.filter("lo is null or hi is null").isEmpty()
 
 
+def test_rows_are_written_once_in_many_rounds(spark, rows, monkeypatch, tmp_path):
+    """Rounds between two writings go on from kept rows, to the same bounds, and leave neither rows nor files behind."""
+    places = []
+    plain = boosting.written
+    monkeypatch.setattr(boosting, "shared", lambda spark: str(tmp_path / f"rows{len(places)}"))
+    monkeypatch.setattr(boosting, "written", lambda df, place: (places.append(place), plain(df, place))[1])
+    found = []
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    for every in (1, 2, 8):
+        places.clear()
+        monkeypatch.setattr(boosting, "WRITTEN", every)
+        fitted = boosting.PinballTrees((0.1, 0.9), 4, 0.5, 2).fit(rows.filter("i < 800"), "x", "y", "w")
+        found.append((fitted.start, [values for _, values in fitted.model]))
+        assert len(places) == {1: 4, 2: 2, 8: 1}[every]
+        assert not any(tmp_path.iterdir())
+    assert found[0] == found[1] == found[2]
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
 def test_bounds_cover_before_widening(rows):
     fitted = boosting.PinballTrees((0.1, 0.9), 10, 0.4, 4).fit(rows.filter("i < 2200"), "x", "y", "w")
     held = fitted.predict(rows.filter("i >= 2200"), "x", ("lo", "hi"))
