@@ -52,3 +52,11 @@ def test_awkward_rows(docs, rows, no_docs):
     kept = near_copies.keep_smallest(docs)
     assert kept.columns == docs.columns and kept.count() == len(set(group))
     assert near_copies.near_components(no_docs).count() == 0
+
+
+def test_fingerprints_are_looked_up_once(docs):
+    """The table of all fingerprints is joined in one pass, whose few rows the rest goes on from."""
+    described = docs.select("doc_id", near_copies.row_key().alias("key"), near_copies.body().alias("text")).mapInArrow(near_copies._describe, "doc_id long, key long, code long, prints array<long>")
+    nodes = near_copies.cut(described.groupBy("code").agg(near_copies.F.first("prints").alias("prints")))
+    found = near_copies.candidates(nodes)
+    assert found.count() and "Generate" not in found._jdf.queryExecution().executedPlan().toString()

@@ -107,3 +107,11 @@ def test_planted_passages_go_and_clean_documents_stay(spark):
     assert all(got[i] == t for i, t in clean.items())
     assert not [i for i, t in rows if any(p in got[i] for p in planted)]
     assert [got[i] for i, _ in rows] == without_repeats([t for _, t in rows])
+
+
+def test_suffix_stage_moves_texts_once(docs):
+    """Rows are joined to their runs and cut there, not joined again to what was cut elsewhere."""
+    out = corpus_pipeline.suffix_stage(docs.sparkSession, docs, "")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"(?:SortMerge|BroadcastHash|ShuffledHash)Join", plan)) == 1
+    assert Counter(r.text or "" for r in out.collect()) == Counter(without_repeats([r.text for r in docs.collect()]))

@@ -136,12 +136,15 @@ def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def candidates(nodes: DataFrame) -> DataFrame:
     """nodes (code, prints) -> (a, b, tab): pairs of classes whose fingerprints are equal or near in a table, with their first table."""
     dealt = nodes.select("code", F.posexplode("prints").alias("tab", "print"))
-    prints = cut(dealt.groupBy("tab", "print").agg(F.min("code").alias("head"), F.count(F.lit(1)).alias("n")))
+    prints = cut(dealt.groupBy("tab", "print").agg(F.count(F.lit(1)).alias("n")))
     near = cut(simhash.near_links(prints.select("tab", F.col("print").alias("code")), DISTANCE, BITS))
-    heads = prints.select("tab", "print", "head")
+    # only fingerprints that stand twice or in a link are looked up, all in one pass; read anew, so that a hot one's side of the joins can be split
+    wanted = near.select("tab", F.explode(F.array("a", "b")).alias("print")).unionByName(prints.filter("n > 1").select("tab", "print"))
+    met = cut(dealt.join(cut(wanted.distinct()), ["tab", "print"], "left_semi"))
+    heads = cut(met.groupBy("tab", "print").agg(F.min("code").alias("head")))
     ends = [heads.select("tab", F.col("print").alias(c), F.col("head").alias(f"head_{c}")) for c in "ab"]
     linked = near.join(ends[0], ["tab", "a"]).join(ends[1], ["tab", "b"]).select("tab", F.col("head_a").alias("a"), F.col("head_b").alias("b"))
-    alike = dealt.join(prints.filter("n > 1").select("tab", "print", "head"), ["tab", "print"]).select("tab", F.col("code").alias("a"), F.col("head").alias("b"))
+    alike = met.join(heads, ["tab", "print"]).select("tab", F.col("code").alias("a"), F.col("head").alias("b"))
     both = linked.unionByName(alike).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "tab")
     return both.groupBy("a", "b").agg(F.min("tab").alias("tab"))
 
