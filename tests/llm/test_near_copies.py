@@ -3,7 +3,7 @@
 import random
 
 import corpus_pipeline
-from tideline.llm import near_copies
+from tideline.llm import common, near_copies
 
 
 def shingle_set(text):
@@ -60,3 +60,12 @@ def test_fingerprints_are_looked_up_once(docs):
     nodes = near_copies.cut(described.groupBy("code").agg(near_copies.F.first("prints").alias("prints")))
     found = near_copies.candidates(nodes)
     assert found.count() and "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_marks_let_every_marked_row_through_and_few_others(spark):
+    rows = spark.range(-20_000, 20_000).selectExpr("if(id = 7, null, id) AS id")
+    table = common.marks(rows.filter("id % 20 = 0 OR id IS NULL"), "id")
+    got = [r.id for r in rows.filter(common.marked(table, "id")).collect()]
+    assert None in got and set(range(-20_000, 20_000, 20)) <= set(got) and len(got) < 2100
+    assert table.count() == 1 and len(table.first().words) == common.SLOTS
+    assert rows.filter(common.marked(common.marks(rows.limit(0), "id"), "id")).isEmpty()

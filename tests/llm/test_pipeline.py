@@ -115,3 +115,9 @@ def test_suffix_stage_moves_texts_once(docs):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert len(re.findall(r"(?:SortMerge|BroadcastHash|ShuffledHash)Join", plan)) == 1
     assert Counter(r.text or "" for r in out.collect()) == Counter(without_repeats([r.text for r in docs.collect()]))
+
+
+def test_suffix_stage_leaves_texts_without_runs_in_place(docs):
+    """Rows that can't have runs bypass the join; the others go through it."""
+    plan = corpus_pipeline.suffix_stage(docs.sparkSession, docs, "")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and "scalar-subquery" in plan

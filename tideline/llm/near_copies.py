@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import simhash
-from .common import BYTE_CODES, blocks_of, body, cut, lean, mix, prefixes, records_per_batch, row_key, scratch, spans_hash, text_buffers
+from .common import BYTE_CODES, blocks_of, body, cut, lean, marked, marks, mix, prefixes, records_per_batch, row_key, scratch, spans_hash, text_buffers
 from .components import connected_components
 
 SHINGLE = 5
@@ -155,7 +155,8 @@ def near_links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     met = pairs.select(F.col("a").alias("code")).unionByName(pairs.select(F.col("b").alias("code"))).distinct()
     keys = cut(nodes.select("code", "key").join(met, "code"))
     rows = docs.select(row_key().alias("key"), F.encode(body(), "UTF-8").alias("text"))
-    texts = cut(keys.join(rows, "key").groupBy("code").agg(F.first("text").alias("text")))
+    some = rows.filter(marked(marks(keys, "key"), "key"))  # few texts are in a pair: only these are moved
+    texts = cut(keys.join(some, "key").groupBy("code").agg(F.first("text").alias("text")))
     links, since = docs.sparkSession.createDataFrame([], "a long, b long"), 0
     for until in ROUNDS:
         some = pairs.filter(F.col("tab").between(since, until - 1)).select("a", "b")
@@ -184,5 +185,5 @@ def near_components(docs: DataFrame) -> DataFrame:
 def keep_smallest(docs: DataFrame) -> DataFrame:
     """One document of each component: the one with the smallest doc_id (of rows with that id, one)."""
     with scratch(docs.sparkSession):
-        heads = simhash.heads(near_components(docs))
-    return simhash.keep_rows(docs, heads)
+        heads = simhash.heads(cut(near_components(docs)))
+    return simhash.keep_rows(docs, *heads)

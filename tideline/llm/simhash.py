@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import body, cut, lean, read_documents, row_key, scratch, smallest_hashes
+from .common import body, cut, lean, marked, marks, read_documents, row_key, scratch, smallest_hashes
 from .components import connected_components
 
 SHINGLE = 3
@@ -313,30 +313,42 @@ def near_components(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
 def keep_smallest(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """One document of each component: the one with the smallest doc_id (of rows with that id, one)."""
     with scratch(docs.sparkSession):
-        found = heads(near_components(docs, shingle, distance))
-    return keep_rows(docs, found)
+        found = heads(cut(near_components(docs, shingle, distance)))
+    return keep_rows(docs, *found)
 
 
-def heads(found: DataFrame) -> DataFrame:
-    """Of each component of `found` (doc_id, key, root, component_id) the row with the smallest doc_id, and how often it repeats."""
-    rows = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root", "component_id", "key").agg(F.count(F.lit(1)).alias("n"))
-    least = rows.groupBy("root", "component_id").agg(F.min(F.struct("key", "n")).alias("head"))
-    return cut(least.select(F.col("component_id").alias("__tl_id"), F.col("head.key").alias("__tl_key"), F.col("head.n").alias("__tl_n")), keep=True)
+def heads(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of each component of `found` (doc_id, key, root, component_id) the row with the smallest doc_id, and how often it repeats.
+
+    Then the marks of every doc_id that stands in a row beyond those, or in one that repeats.
+    """
+    first = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    rows = found.filter(first).groupBy("root", "component_id", "key").agg(F.count(F.lit(1)).alias("n"))
+    least = rows.groupBy("root", "component_id").agg(F.min(F.struct("key", "n")).alias("head"), F.sum("n").alias("of"))
+    keep = cut(least.select(F.col("component_id").alias("__tl_id"), F.col("head.key").alias("__tl_key"), F.col("head.n").alias("__tl_n"), F.col("of").alias("__tl_of")), keep=True)
+    others = found.filter(~first).select("doc_id").unionByName(keep.filter("__tl_of > 1").select(F.col("__tl_id").alias("doc_id")))
+    return keep, marks(others, "doc_id", keep=True)
 
 
-def keep_rows(docs: DataFrame, keep: DataFrame) -> DataFrame:
-    """The rows of docs that `heads` names, each once, with their own columns."""
-    rows = docs.withColumn("__tl_row", row_key())
+def keep_rows(docs: DataFrame, keep: DataFrame, others: DataFrame) -> DataFrame:
+    """The rows of docs that `heads` names, each once, with their own columns.
+
+    A doc_id without a mark stands in rows to keep only; the other rows alone are moved, to be joined to `keep`.
+    """
+    open_ = marked(others, F.col("doc_id").cast("long"))
+    rows = docs.filter(open_).withColumn("__tl_row", row_key())
+    keep = keep.filter(marked(others, "__tl_id"))
 
     def match(right):
         return rows["doc_id"].cast("long").eqNullSafe(right["__tl_id"]) & (rows["__tl_row"] == right["__tl_key"])
 
+    sure = docs.filter(~open_)
     again = keep.filter("__tl_n > 1")
     if again.isEmpty():
-        return rows.join(keep, match(keep), "left_semi").drop("__tl_row")
+        return sure.unionByName(rows.join(keep, match(keep), "left_semi").drop("__tl_row"))
     single = keep.filter("__tl_n = 1")
     once = rows.join(again, match(again), "left_semi").dropDuplicates(["doc_id", "__tl_row"])
-    return rows.join(single, match(single), "left_semi").unionByName(once).drop("__tl_row")
+    return sure.unionByName(rows.join(single, match(single), "left_semi").unionByName(once).drop("__tl_row"))
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
