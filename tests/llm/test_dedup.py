@@ -244,6 +244,62 @@ def test_copies_over_shards(parts, least, most):
     assert all(a <= c <= b for a, c, b in zip(least, copies, most))
 
 
+def test_shards_keep_their_size():
+    """At 3 * 10^6 fingerprints no shard is over the limit, which would divide it anew with further copies; a fingerprint has few copies."""
+    codes = np.unique(np.random.default_rng(8).integers(0, 1 << 63, 3_000_000, dtype=np.uint64))
+    sample = codes[:: len(codes) // simhash.SAMPLE]
+    send = simhash._send(sample, len(sample) * simhash.SHARD_ROWS / len(codes), 64, simhash.HALVES, simhash.DISTANCE // simhash.HALVES)
+    sizes = Counter()
+    for batch in send([pa.RecordBatch.from_arrays([pa.array(["0"]), pa.array([codes.tobytes()], pa.binary())], names=["path", "codes"])]):
+        sizes.update(dict(zip(batch.column("path").to_pylist(), (len(c) // 8 for c in batch.column("codes").to_pylist()))))
+    assert max(sizes.values()) <= simhash.LIMIT and sum(sizes.values()) < 9 * len(codes)
+
+
+def test_a_large_shard_is_divided_by_its_own_size():
+    """A shard that goes to the next level makes as many leaves as it needs, not as many as the whole table did."""
+    rng = np.random.default_rng(12)
+    codes = np.unique(rng.integers(0, 1 << 63, 100_000, dtype=np.uint64))
+    batch = pa.RecordBatch.from_arrays([pa.array(["0/0:1"]), pa.array([codes.tobytes()], pa.binary()), pa.array([len(codes)])], names=["path", "codes", "size"])
+    (sent,) = simhash._send(codes[::25], 4, 64, simhash.HALVES, 1)([batch])  # 4 of the sample: meant for a table of 16 million
+    assert sum(len(c) // 8 for c in sent.column("codes").to_pylist()) < 8 * len(codes)
+
+
+def test_pairs_meet_inwards():
+    """Copies only go from the outer to the inner side, yet pairs within the radius share a leaf; the tree is counted with its copies."""
+    codes = chains(np.random.default_rng(6), 300, 10)
+    mask = np.uint64((1 << 32) - 1)
+    tree = simhash.build_tree(codes, mask, 40, 1)
+    leaves = [set(at.tolist()) for _, at in simhash.route(tree, codes, mask, 1, 0)]
+    assert max(map(len, leaves)) <= 40 and sum(map(len, leaves)) < sum(len(at) for _, at in simhash.route(tree, codes, mask, 1))
+    for i in range(len(codes)):
+        for j in np.flatnonzero(np.bitwise_count((codes[:i] ^ codes[i]) & mask) <= 1):
+            assert any(i in leaf and j in leaf for leaf in leaves)
+
+
+def test_a_shard_alike_in_its_half_loses_no_link():
+    """More than a leaf's worth of fingerprints that their half can't divide: whole fingerprints do."""
+    codes = np.unique(chains(np.random.default_rng(15), 150, 25, 32))  # the upper half is zero
+    free, part = simhash.free_bits("0/1:1", 64, 2)
+    assert part == 0xFFFFFFFF << 32 and len(codes) > 4 * simhash.LEAF
+    a, b = simhash.shard_links(codes, "0/1:1", 3, 64, 2)
+    assert components(codes.tolist(), zip(a.tolist(), b.tolist())) == components(codes.tolist(), all_links(codes.tolist(), 3))
+
+
+def test_fingerprints_in_batches():
+    """Words and spans of all lengths, texts without words between them, over the borders of the runs in which bits are counted."""
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choice("abcXYZé0-\x85\u3000") for _ in range(rng.choice([1, 1, 2, 3, 5, 8, 9, 12, 31, 32, 40, 200])))
+    space = lambda: "".join(rng.choice(" \t\n\x0b\x0c\r") for _ in range(rng.choice([1, 1, 1, 4])))
+    texts = ["", " ", "a", *(rng.choice(["", space()]) + "".join(word() + space() for _ in range(rng.choice([0, 1, 2, 3, 4, 30, 255, 256, 257, 600]))) + rng.choice(["", word()]) for _ in range(200)), ""]
+    raw = [t.encode() for t in texts]
+    offsets = np.cumsum([0, *map(len, raw)])
+    want = [brute_print(t) for t in texts]
+    assert simhash.text_prints(np.frombuffer(b"".join(raw), np.uint8), offsets).tolist() == want
+    assert simhash.text_prints(np.zeros(0, np.uint8), np.zeros(3, np.int64)).tolist() == [0, 0]
+    for text, code in zip(raw[:40], want):
+        assert simhash.text_prints(np.frombuffer(text, np.uint8), np.array([0, len(text)])).tolist() == [code]
+
+
 def test_trees_prune():
     """A shard of far fingerprints: every near pair is linked, at a part of all comparisons."""
     rng = np.random.default_rng(9)

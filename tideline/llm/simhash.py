@@ -2,19 +2,22 @@
 
 Fingerprints are taken once per document and reduced to the distinct ones. Their bits are divided into halves, and a
 vantage-point tree for each half divides the fingerprints by Hamming distance within it: two fingerprints at most DISTANCE = 3 bits
-apart differ in at most one bit of one half, so they meet in one of that half's shards if every fingerprint goes to all the
-shards whose boundary a ball of one bit overlaps (triangle bound). In a shard every fingerprint is looked up in a tree over
-whole fingerprints: of two branches it enters those that a ball of 3 bits overlaps, and is compared to what lives in the leaves.
-
-Copies of a fingerprint over all shards grow with the depth of the trees, by about a quarter with every halving of the shards. Callers to
+apart differ in at most one bit of one half, so where a boundary parts them, both are within one bit of it (triangle bound). Every
+fingerprint goes to the side where it lies, and from the outer side also to the inner one if its ball of one bit overlaps the
+boundary, so the two meet in one of that half's shards. In a shard the tree goes on, over the same half, down to leaves in which all
+are compared. What the half can't divide (fingerprints alike in it) goes through a tree over whole fingerprints: of two branches one
+enters those that a ball of 3 bits overlaps, and is compared to what lives in the leaves.
+
+Copies of a fingerprint over all shards grow with the depth of the trees, by about a seventh with every halving, and a leaf is counted with
+its copies, so that shards keep their size whatever the number of fingerprints. Callers to
 whom that matters more may take more parts than differing bits (parts=4): one part is then equal, the balls have radius 0 and cross
 no boundary, the trees only name blocks of fingerprints that are equal in a part, and there are 4 copies at any size. Operator 10 takes
 halves; the stages that only need its components (packing, near copies) take four parts.
 
-A shard of over LIMIT fingerprints is divided again by Spark, by trees over the parts of the bits that the first part left
-(name and level stand in the shard's path), so none outgrows a task. With radius 0, fingerprints equal in the part are compared inside
-a shard, long runs after a further division of the bits that are left. A shard returns links between pairs that were not connected
-yet, not all pairs; components of the links are then joined up over all shards.
+A shard of over LIMIT fingerprints is divided again by Spark, by trees over the parts of the bits that the first part left, as deep as
+that shard's own size asks (name and level stand in the shard's path), so none outgrows a task. With radius 0, fingerprints equal in the
+part are compared inside a shard, long runs after a further division of the bits that are left. A shard returns links between pairs that
+were not connected yet, not all pairs; components of the links are then joined up over all shards.
 
 The trees are built from a bounded sample (SAMPLE fingerprints) and only divide the work: every fingerprint is indexed, and
 every pair within the distance is found whatever the sample is.
@@ -26,18 +29,17 @@ beyond doc_id and text are neither read nor in the way, whatever their names; em
 
 from __future__ import annotations
 
-import itertools
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import body, cut, lean, marked, marks, read_documents, row_key, scratch, smallest_hashes
+from .common import blocks_of, body, cut, lean, marked, marks, read_documents, row_key, scratch, smallest_hashes, text_buffers
 from .components import connected_components
 
 SHINGLE = 3
+SEED = 42
 DISTANCE = 3
 HALVES = 2  # parts of operator 10: balls of DISTANCE // HALVES bits
 PARTS = 4  # parts with balls of radius 0
@@ -49,33 +51,88 @@ LIMIT = 4 * SHARD_ROWS  # a larger shard is divided by another level
 LEVELS = 4
 RUN = 512  # fingerprints alike in their part that are compared without a further division
 FLUSH = 1 << 20  # fingerprints that are routed together
+BLOCK = 1 << 18  # bytes of text that are fingerprinted together
+SPANS = 1 << 15  # shingles that are hashed together
+
+_SPACE = np.zeros(256, bool)
+_SPACE[[32, 9, 10, 11, 12, 13]] = True
+_PLAIN = np.where(_SPACE, 32, np.arange(256)).astype(np.uint8)  # letters lowered, white space as spaces
+_PLAIN[65:91] += 32
+_LANES = np.uint64(0x0101010101010101)
+_P1, _P2, _P3, _P4, _P5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
 
-_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
+def _turn(x: np.ndarray, by: int) -> np.ndarray:
+    return (x << np.uint64(by)) | (x >> np.uint64(64 - by))
 
-def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
-    words = text.translate(_LOWER).split()
-    if not words:
-        return 0
-    line = b" ".join(words)
-    digest = xxhash.xxh64_intdigest
-    if len(words) <= shingle:
-        return digest(line, 42)
-    ends = list(itertools.accumulate(map(len, words), lambda a, n: a + n + 1))
-    starts = [0, *(e + 1 for e in ends)]
-    hashes = np.array([digest(line[a:b], 42) for a, b in zip(starts, ends[shingle - 1 :])], np.uint64)
-    counts = np.zeros(64, np.int64)
-    for k in range(0, len(hashes), 1 << 16):
-        counts += np.unpackbits(hashes[k : k + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(2 * counts > len(hashes), bitorder="little").view(np.uint64)[0])
+
+def xxh64(data: np.ndarray, start: np.ndarray, size: np.ndarray, seed: int = SEED) -> np.ndarray:
+    """XXH64 of data[start : start + size] for each span: those under 32 bytes together, longer ones by the library.
+
+    The data hold eight bytes at least beyond the last span, so that words of eight can be read anywhere.
+    """
+    eight, four = (np.ndarray((len(data) - 7,), kind, data, strides=(1,)) for kind in ("<u8", "<u4"))
+    h = np.uint64(seed) + _P5 + size.astype(np.uint64)
+    for k in range(3):
+        i = np.flatnonzero(size >= 8 * (k + 1))
+        h[i] = _turn(h[i] ^ _turn(eight[start[i] + 8 * k] * _P2, 31) * _P1, 27) * _P1 + _P4
+    i = np.flatnonzero(size & 4)
+    h[i] = _turn(h[i] ^ four[start[i] + (size[i] & ~7)].astype(np.uint64) * _P1, 23) * _P2 + _P3
+    for k in range(3):
+        i = np.flatnonzero((size & 3) > k)
+        h[i] = _turn(h[i] ^ data[start[i] + (size[i] & ~3) + k].astype(np.uint64) * _P5, 11) * _P1
+    h = (h ^ (h >> np.uint64(33))) * _P2
+    h = (h ^ (h >> np.uint64(29))) * _P3
+    h ^= h >> np.uint64(32)
+    i = np.flatnonzero(size >= 32)
+    h[i] = np.array([xxhash.xxh64_intdigest(data[a : a + n], seed) for a, n in zip(start[i].tolist(), size[i].tolist())], np.uint64)
+    return h
+
+
+def text_prints(raw: np.ndarray, offsets: np.ndarray, shingle: int = SHINGLE) -> np.ndarray:
+    """The fingerprint of each text raw[offsets[i] : offsets[i + 1]]: a bit is set if over half of the text's shingles have it."""
+    inside = ~_SPACE[raw]
+    edge = np.zeros(len(raw) + 1, bool)
+    edge[offsets] = True
+    new, last = edge[:-1].copy(), edge[1:].copy()
+    new[1:] |= ~inside[:-1]
+    last[:-1] |= ~inside[1:]
+    starts, ends = np.flatnonzero(inside & new), np.flatnonzero(inside & last) + 1
+    # words side by side, with one space between those of a text
+    plain = np.append(_PLAIN[raw[inside | ~new]], np.zeros(8, np.uint8))
+    sizes = ends - starts
+    wide = sizes + ~edge[ends]
+    starts, place = np.cumsum(wide) - wide, np.searchsorted(starts, offsets)
+    words = np.diff(place)
+    rows = np.flatnonzero(words)
+    out = np.zeros(len(words), np.uint64)
+    if not len(rows):
+        return out
+    n = np.maximum(words[rows] - shingle + 1, 1)
+    first = np.cumsum(n) - n
+    at = np.arange(n.sum()) + np.repeat(place[rows] - first, n)
+    to = np.minimum(at + shingle, np.repeat(place[rows + 1], n)) - 1
+    start, size = starts[at], starts[to] + sizes[to] - starts[at]
+    hashes = np.concatenate([xxh64(plain, start[i : i + SPANS], size[i : i + SPANS]) for i in range(0, len(at), SPANS)])
+    # bits are counted eight lanes at a time, in runs short enough for a lane of eight bits
+    runs = -(-n // 255)
+    of_text = np.cumsum(runs) - runs
+    begin = np.repeat(first, runs) + 255 * (np.arange(runs.sum()) - np.repeat(of_text, runs))
+    bits = np.zeros((len(rows), 64), bool)
+    for b in range(8):
+        lanes = np.add.reduceat((hashes >> np.uint64(b)) & _LANES, begin)
+        bits[:, b::8] = 2 * np.add.reduceat(lanes.view(np.uint8).reshape(-1, 8).astype(np.int64), of_text, axis=0) > n[:, None]
+    out[rows] = np.packbits(bits, axis=1, bitorder="little").view(np.uint64)[:, 0]
+    return out
 
 
 def _fingerprints(shingle: int):
     @lean
     def run(batches):
         for batch in batches:
-            texts = batch.column("text").cast(pa.large_binary())
-            codes = np.array([fingerprint(x.as_py(), shingle) for x in texts], np.uint64)
+            raw, offsets = text_buffers(batch.column("text"))
+            codes = [text_prints(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], shingle) for i, j in blocks_of(offsets, BLOCK)]
+            codes = np.concatenate([np.zeros(0, np.uint64), *codes])
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(codes.view(np.int64))], names=["doc_id", "key", "code"])
 
     return run
@@ -98,26 +155,41 @@ def divide(free: int, parts: int = PARTS) -> list[int]:
     return [sum(1 << b for b in bits[i:j]) for i, j in zip(edges, edges[1:])]
 
 
-def build_tree(codes: np.ndarray, mask: np.uint64, most: float):
-    """Nested (vantage, median, inner, outer) over a sample; None for a leaf of at most `most`, or that can't be divided."""
+def build_tree(codes: np.ndarray, mask: np.uint64, most: float, radius: int = 0):
+    """Nested (vantage, median, inner, outer) over a sample; None for a leaf of at most `most`, or that can't be divided.
+
+    With a radius, `most` is what a leaf holds with the copies that come in over its boundaries, and the two sides are alike with these.
+    """
     if len(codes) <= max(most, 1):
         return None
     # of a few candidates the one whose distances spread most
     picks = codes[np.linspace(0, len(codes) - 1, min(8, len(codes))).astype(int)]
-    spread = [float(np.std(_bits((codes ^ p) & mask))) for p in picks]
-    vantage = picks[int(np.argmax(spread))]
+    some = codes[:: max(1, len(codes) // SAMPLE)]
+    vantage = picks[int(np.argmax(_bits((some ^ picks[:, None]) & mask).std(axis=1)))]
     far = _bits((codes ^ vantage) & mask)
-    median = int(np.median(far))
-    if median == far.max():
-        median -= 1
-    inner, outer = codes[far <= median], codes[far > median]
+    if radius:
+        upto = np.cumsum(np.bincount(far))
+        held = np.maximum(np.append(upto[radius:], np.full(min(radius, len(upto)), len(codes))), len(codes) - upto)
+        median = int(np.argmin(held))
+        if 4 * held[median] > 3 * len(codes):
+            return None  # copies would outweigh the division
+    else:
+        median = int(np.median(far))
+        if median == far.max():
+            median -= 1
+    inner, outer = codes[far - radius <= median], codes[far > median]
     if not len(inner) or not len(outer):
         return None
-    return vantage, median, build_tree(inner, mask, most), build_tree(outer, mask, most)
+    return vantage, median, build_tree(inner, mask, most, radius), build_tree(outer, mask, most, radius)
 
 
-def route(tree, codes: np.ndarray, mask: np.uint64, radius: int, at: np.ndarray | None = None, name: int = 1):
-    """(leaf, rows of codes): the leaves that each code's ball overlaps."""
+def route(tree, codes: np.ndarray, mask: np.uint64, radius: int, back: int | None = None, at: np.ndarray | None = None, name: int = 1):
+    """(leaf, rows of codes): the leaves that each code's ball overlaps.
+
+    `back` is the radius towards the outer side. With 0 a code goes inwards only: of two codes within the radius that a boundary
+    parts, the outer one lies within the radius of the boundary and is copied to the inner one's side, so both still meet in a leaf.
+    """
+    back = radius if back is None else back
     at = np.arange(len(codes)) if at is None else at
     if not len(at):
         return
@@ -126,8 +198,8 @@ def route(tree, codes: np.ndarray, mask: np.uint64, radius: int, at: np.ndarray
         return
     vantage, median, inner, outer = tree
     far = _bits((codes[at] ^ vantage) & mask)
-    yield from route(inner, codes, mask, radius, at[far - radius <= median], 2 * name)
-    yield from route(outer, codes, mask, radius, at[far + radius > median], 2 * name + 1)
+    yield from route(inner, codes, mask, radius, back, at[far - radius <= median], 2 * name)
+    yield from route(outer, codes, mask, radius, back, at[far + back > median], 2 * name + 1)
 
 
 def free_bits(path: str, bits: int, parts: int) -> tuple[int, int]:
@@ -150,20 +222,26 @@ def _blocks(batch) -> list[tuple[str, bytes]]:
 
 
 def _send(points: np.ndarray, most: float, bits: int, parts: int, radius: int):
-    """Fingerprints, in rows or in blocks (path, codes) -> blocks, each on its way to the shards of the next level."""
+    """Fingerprints, in rows or in blocks (path, codes) -> blocks, each on its way to the shards of the next level.
+
+    Blocks of a shard to divide again come with its `size`, which its trees are made for: balls that cross boundaries make copies at every level.
+    """
+    meant = len(points) * SHARD_ROWS
 
     @lean
     def run(batches):
-        trees: dict[str, list] = {}
+        trees: dict[tuple, list] = {}
+        sizes: dict[str, int] = {}
 
         def routed(path, codes):
             free, _ = free_bits(path, bits, parts)
             masks = divide(free, parts)
-            taken = "/".join(x.split(":")[0] for x in path.split("/")[1:])  # shards of like parts share their trees
-            if taken not in trees:
-                trees[taken] = [build_tree(points, np.uint64(m), most) for m in masks]
-            for k, (tree, mask) in enumerate(zip(trees[taken], masks)):
-                for leaf, at in route(tree, codes, np.uint64(mask), radius):
+            leaf_most = meant / (1 << sizes[path].bit_length()) if radius and path in sizes else most
+            of = "/".join(x.split(":")[0] for x in path.split("/")[1:]), leaf_most  # shards of like parts and size share their trees
+            if of not in trees:
+                trees[of] = [build_tree(points, np.uint64(m), leaf_most, radius) for m in masks]
+            for k, (tree, mask) in enumerate(zip(trees[of], masks)):
+                for leaf, at in route(tree, codes, np.uint64(mask), radius, 0):
                     yield f"{path}/{k}:{leaf}", codes[at].tobytes()
 
         def flushed(held):
@@ -172,6 +250,8 @@ def _send(points: np.ndarray, most: float, bits: int, parts: int, radius: int):
 
         held, size = {}, 0
         for batch in batches:
+            if "size" in batch.schema.names:
+                sizes.update(zip(batch.column("path").to_pylist(), batch.column("size").to_pylist()))
             for path, blob in _blocks(batch):
                 held.setdefault(path, []).append(blob)
                 size += len(blob)
@@ -231,6 +311,26 @@ def link_trees(codes: np.ndarray, distance: int, links: Links, chunk: int = 1024
             links.add(a[a != b], b[a != b])
 
 
+def link_part(codes: np.ndarray, part: int, radius: int, distance: int, links: Links, strip: int = 64) -> None:
+    """Links what is within the distance and, in `part`, within the radius: the tree over the part goes on down to small leaves.
+
+    Leaves that the part can't divide are left to a tree over whole fingerprints.
+    """
+    sample = codes[:: max(1, 4 * len(codes) // SAMPLE)]
+    mask = np.uint64(part)
+    tree = build_tree(sample, mask, LEAF * len(sample) / max(1, len(codes)), radius)
+    for _, at in route(tree, codes, mask, radius, 0):
+        if len(at) > 4 * LEAF:
+            alike = Links(len(at))
+            link_trees(codes[at], distance, alike)
+            a, b = alike.pairs()
+            links.add(at[a], at[b])
+            continue
+        for i in range(0, len(at), strip):
+            a, b = np.nonzero(np.bitwise_count(codes[at[i : i + strip]][:, None] ^ codes[at[i:]][None, :]) <= distance)
+            links.add(at[i + a[a < b]], at[i + b[a < b]])
+
+
 def link_equal(codes: np.ndarray, at: np.ndarray, part: int, free: int, distance: int, parts: int, links: Links) -> None:
     """Links those codes[at] within the distance that are equal in `part`; of a long run, those equal in a part of `free` besides."""
     value = codes[at] & np.uint64(part)
@@ -256,10 +356,10 @@ def shard_links(codes: np.ndarray, path: str, distance: int, bits: int, parts: i
     """Linked pairs of a shard: their components are those of all its pairs that its part is there to find."""
     codes = np.unique(codes)
     links = Links(len(codes))
+    free, part = free_bits(path, bits, parts)
     if distance // parts:
-        link_trees(codes, distance, links)
+        link_part(codes, part, distance // parts, distance, links)
     else:
-        free, part = free_bits(path, bits, parts)
         link_equal(codes, np.arange(len(codes)), part, free, distance, parts, links)
     a, b = links.pairs()
     return codes[a], codes[b]
@@ -286,15 +386,15 @@ def near_links(codes: DataFrame, distance: int = DISTANCE, bits: int = BITS, par
     found, schema = None, "tab int, a long, b long"
     for level in range(LEVELS):
         sent = cut(sent.mapInArrow(send, "path string, codes binary"))
-        large = sent.groupBy("path").agg(F.sum(F.octet_length("codes")).alias("size")).filter(F.col("size") > 8 * LIMIT)
-        large = cut(large.select("path"))
+        large = sent.groupBy("path").agg(F.expr("sum(octet_length(codes)) div 8").alias("size")).filter(F.col("size") > LIMIT)
+        large = cut(large)
         last = level == LEVELS - 1 or large.isEmpty()
         here = sent if last else sent.join(large, "path", "left_anti")
         links = here.groupBy("path").applyInArrow(_search(distance, bits, parts), schema)
         found = links if found is None else found.unionByName(links)
         if last:
             return found
-        sent = sent.join(large, "path", "left_semi")
+        sent = sent.join(large, "path")
 
 
 def near_components(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, parts: int = PARTS) -> DataFrame:
